@@ -53,23 +53,28 @@ def share_by(df: DataFrame, keys: str | Sequence[str], *, where: Column | None =
 
 def share_of_group(df: DataFrame, keys: Sequence[str], part_key: str, *, where: Column | None = None,
                    name: str = "n", total_name: str = "total", pct_name: str = "ratio",
-                   count_col: str | None = None, digits: int | None = 2) -> DataFrame:
+                   count_col: str | None = None, total_count_col: str | None = None,
+                   digits: int | None = 2) -> DataFrame:
     """Count by ``keys + [part_key]`` and its percentage of the ``keys`` group total.
 
-    The group total is computed from the same grouped counts (one row per
-    ``keys`` group) and joined back on the group key: both sides are
-    aggregates, so neither is skewed by a hot key.
+    The numerator counts rows meeting ``where`` (non-null ``count_col`` if
+    given); the group total counts all rows of the group (non-null
+    ``total_count_col`` if given). The total is summed from the same fine
+    counts, one row per group, and joined back on the group key: both sides
+    are aggregates, so a hot key is not skewed here. Groups with a null key
+    drop out (inner join), as in CN:267-269.
     """
     keys = list(keys)
     cond = where if where is not None else F.lit(True)
-    counted = F.col(count_col) if count_col else F.lit(1)
+    counted = F.col(f"`{count_col}`") if count_col else F.lit(1)
+    total_counted = F.col(f"`{total_count_col}`") if total_count_col else F.lit(1)
     fine = df.groupBy(*keys, part_key).agg(F.count(F.when(cond, counted)).alias(name),
                                            F.count_if(cond).alias("_rows"),
-                                           F.count(counted).alias("_grp"))
+                                           F.count(total_counted).alias("_grp"))
     totals = fine.groupBy(*keys).agg(F.sum("_grp").alias(total_name))
     return (fine.where(F.col("_rows") > 0).join(totals, on=keys)
             .select(*keys, part_key, name, total_name,
-                    F.round(percent(name, total_name), digits).alias(pct_name)))
+                    _round(percent(name, total_name), digits, "up").alias(pct_name)))
 
 
 def rate_by(df: DataFrame, keys: str | Sequence[str], cond: Column, *, name: str = "rate",

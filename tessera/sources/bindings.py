@@ -185,3 +185,8 @@ def hr_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = hr(spark, sf_dir)
     return h.select("id", F.col("left").alias("label"),
                     F.when(F.col("satisfaction_level") < 0.45, 1).otherwise(0).alias("prediction"))
+
+
+# Severity classes for the crimes binding, whose categories are
+# order priorities (FIXTURES.md, crimes).
+CRIME_SEVERITY = {"1-URGENT": "4.EXTREME", "2-HIGH": "3.MAJOR", "3-MEDIUM": "2.INTERMEDIATE"}
