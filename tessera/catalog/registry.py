@@ -40,6 +40,7 @@ def register(key: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 def load_all() -> dict[str, Entry]:
     """Import every catalog module (they register on import)."""
     from tessera.catalog import (  # noqa: F401
-        c_crime, c_energy, c_features, c_flights, c_generic, c_ml, c_series, c_titles, c_wine,
+        c_aggregates, c_crime, c_energy, c_features, c_flights, c_generic, c_ml, c_scalar, c_series, c_titles,
+        c_wine,
     )
     return REGISTRY

@@ -26,7 +26,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str | None = None,
                    sep: str = ",", header: bool = True, null_value: str = "NA",
                    quoted_multiline: bool = False, decimal_comma_columns: tuple[str, ...] = (),
-                   infer: bool = False) -> DataFrame:
+                   infer: bool = False, timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
     """Delimited text with header.
 
     ``schema`` is the normal case. ``infer=True`` samples the file for types
@@ -36,9 +36,12 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str | No
     the job.
     """
     reader = (spark.read.option("header", header).option("sep", sep)
-              .option("nullValue", null_value).option("mode", "PERMISSIVE"))
+              .option("nullValue", null_value).option("mode", "PERMISSIVE")
+              .option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format))
     if quoted_multiline:
         reader = reader.option("quote", '"').option("escape", '"').option("multiLine", True)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
     if decimal_comma_columns:
         # read those columns as strings, convert afterwards
         if isinstance(schema, StructType):
@@ -56,7 +59,27 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str | No
     return df
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", null_value: str = "NA") -> None:
-    """Sink used by round-trip tests; the reference itself writes nothing."""
-    (df.write.mode("overwrite").option("header", True).option("sep", sep)
-     .option("nullValue", null_value).csv(path))
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names shared storage every executor
+    can reach; a machine-local temporary folder would not survive the loss of
+    that machine.
+    """
+    import uuid
+
+    from tessera.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tessera-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def write_text_table(df: DataFrame, path: str, sep: str = ",", null_value: str = "NA",
+                     quote_all_text: bool = False) -> None:
+    """Delimited text with header, timestamps as ``yyyy-MM-dd HH:mm:ss``, ``NA`` for null."""
+    w = (df.write.mode("overwrite").option("header", True).option("sep", sep)
+         .option("nullValue", null_value).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+         .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    if quote_all_text:
+        w = w.option("quoteAll", True)
+    w.csv(path)
