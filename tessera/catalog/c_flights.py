@@ -69,7 +69,7 @@ def q_delay_corr_by_airport(spark, sf):
 
 def describe_sql(source: str, col: str, by: str | None, digits: int = 6) -> str:
     """Long describe ``(by, column, stat, value)`` in SQL, rounded like the Spark side."""
-    x = f"CAST({col} AS DOUBLE)"
+    x = f'CAST("{col}" AS DOUBLE)'
     key = f"{by}, " if by else ""
     stats = {"count": f"CAST(count({x}) AS DOUBLE)", "mean": f"avg({x})", "std": f"stddev_samp({x})",
              "min": f"min({x})", "25%": f"quantile_cont({x}, 0.25)", "50%": f"quantile_cont({x}, 0.5)",
