@@ -2,8 +2,8 @@
 
 ``with_fixtures(sql)`` prepends, as CTEs, the study tables a query names.
 Helpers ``r_up``/``r_even`` round like Spark's ``round``/``bround`` on a
-double: Spark rounds the shortest decimal form of the double, so the oracle
-goes through ``DECIMAL(38,12)`` before rounding (T12).
+double: Spark rounds the decimal text of the double (``1.005`` -> 1.01), so
+the oracle parses the double's text into a wide decimal before rounding (T12).
 """
 
 from __future__ import annotations
@@ -114,9 +114,9 @@ def with_fixtures(sql: str) -> str:
 
 def r_up(expr: str, digits: int) -> str:
     """Spark ``round`` (half up on the decimal form) of a double expression."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
 
 
 def r_even(expr: str, digits: int) -> str:
     """Spark ``bround`` (half even on the decimal form) of a double expression."""
-    return f"CAST(round_even(CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(round_even(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
