@@ -1 +1,80 @@
-"""Registered queries."""
+"""Registered time-series diagnostics over the many-series fixture."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.catalog.fixture_sql import r_up
+from tessera.catalog.registry import register
+from tessera.operators import timeseries as TS
+from tessera.sources import bindings as B
+
+LAGS = 20
+
+
+@register("ts_moments", f"""
+WITH s AS (SELECT series_id, count(value) AS n, avg(value) AS m, stddev_samp(value) AS sd FROM series GROUP BY 1),
+c AS (SELECT x.series_id, n, m, sd, sum(pow(value - m, 3)) / n AS m3, sum(pow(value - m, 4)) / n AS m4
+  FROM series x JOIN s ON x.series_id = s.series_id GROUP BY x.series_id, n, m, sd)
+SELECT series_id, n, {r_up('m', 9)} AS mean, {r_up('sd', 9)} AS sd, {r_up('m3 / pow(sd, 3)', 8)} AS skewness,
+  {r_up('m4 / pow(sd, 4)', 8)} AS kurtosis FROM c""")
+def ts_moments(spark, sf):
+    m = TS.moments(B.series(spark, sf))
+    return m.select("series_id", "n", F.round("mean", 9).alias("mean"), F.round("sd", 9).alias("sd"),
+                    F.round("skewness", 8).alias("skewness"), F.round("kurtosis", 8).alias("kurtosis"))
+
+
+_ACF_CTE = f"""s AS (SELECT series_id, avg(value) AS m, count(value) AS n FROM series GROUP BY 1),
+d AS (SELECT x.series_id, t, value - m AS d FROM series x JOIN s ON x.series_id = s.series_id),
+den AS (SELECT d.series_id, sum(d * d) AS s0 FROM d GROUP BY 1),
+num AS (SELECT a.series_id, k, sum(a.d * b.d) AS sk FROM d a, range(1, {LAGS + 1}) r(k), d b
+  WHERE a.series_id = b.series_id AND b.t = a.t - k GROUP BY 1, 2),
+r AS (SELECT num.series_id, s.n, k, sk / s0 AS acf FROM num JOIN den ON num.series_id = den.series_id
+  JOIN s ON num.series_id = s.series_id WHERE k < s.n)"""
+
+
+@register("ts_acf", f"WITH {_ACF_CTE} SELECT series_id, n, CAST(k AS INTEGER) AS lag, {r_up('acf', 9)} AS acf FROM r")
+def ts_acf(spark, sf):
+    a = TS.acf(B.series(spark, sf), LAGS)
+    return a.withColumn("acf", F.round("acf", 9))
+
+
+@register("ts_ljung_box", f"""
+WITH {_ACF_CTE},
+q AS (SELECT series_id, n, n * (n + 2) * sum(acf * acf / (n - k)) AS qs FROM r GROUP BY 1, 2)
+SELECT series_id, n, {r_up('qs', 8)} AS statistic, {LAGS} AS df,
+  {r_up(f'least(1.0, exp(-qs / 2) * list_sum(list_transform(range({LAGS // 2}), i -> pow(qs / 2, i) / factorial(CAST(i AS INTEGER)))))', 8)}
+  AS p_value FROM q""")
+def ts_ljung_box(spark, sf):
+    lb = TS.ljung_box(B.series(spark, sf), LAGS)
+    return lb.select("series_id", "n", F.round("statistic", 8).alias("statistic"), "df",
+                     F.round("p_value", 8).alias("p_value"))
+
+
+@register("ts_pacf")
+def ts_pacf(spark, sf):
+    """Partial autocorrelations by Durbin-Levinson (rows check; properties in tests)."""
+    return TS.pacf(B.series(spark, sf), LAGS)
+
+
+@register("ts_ndiffs_adf")
+def ts_ndiffs_adf(spark, sf):
+    """Differences needed by the ADF test for the stationary and the random-walk series."""
+    a = TS.ndiffs(B.series(spark, sf)).withColumn("kind", F.lit("noise"))
+    b = TS.ndiffs(B.series_walk(spark, sf)).withColumn("kind", F.lit("walk"))
+    return a.unionByName(b)
+
+
+@register("ts_shapiro")
+def ts_shapiro(spark, sf):
+    return TS.shapiro(B.series(spark, sf))
+
+
+@register("ts_diagnose")
+def ts_diagnose(spark, sf):
+    return TS.diagnose(B.series(spark, sf), LAGS)
+
+
+@register("ts_strict_white_noise")
+def ts_strict_white_noise(spark, sf):
+    return TS.strict_white_noise(B.series(spark, sf), LAGS)

@@ -8,12 +8,14 @@ SQL and are checked by property tests instead.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.catalog.fixture_sql import with_fixtures
+from tessera.session import ship_package
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -32,7 +34,13 @@ def register(key: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     def deco(fn: QueryFn) -> QueryFn:
         if key in REGISTRY:
             raise KeyError(f"duplicate query key {key}")
-        REGISTRY[key] = Entry(key, fn, with_fixtures(sql) if sql else None)
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        REGISTRY[key] = Entry(key, run, with_fixtures(sql) if sql else None)
         return fn
     return deco
 

@@ -25,8 +25,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 KEY, T, V = "series_id", "t", "value"
 DEFAULT_BLOCK = 4096
@@ -166,19 +170,16 @@ def ljung_box(series: DataFrame, lag: int = 20, fitdf: int = 0) -> DataFrame:
     dof = lag - fitdf
     out = s.select(KEY, "n", q.alias("statistic")).withColumn("df", F.lit(dof))
     if dof % 2 == 0:
-        return out.withColumn("p_value", chi2_sf_even(F.col("statistic"), dof))
-    return out.withColumn("p_value", _chi2_sf_udf(F.col("statistic"), F.col("df")))
+        p = chi2_sf_even(F.col("statistic"), dof)
+    else:
+        p = _chi2_sf_udf(F.col("statistic"), F.col("df"))
+    return out.withColumn("p_value", F.when(F.col("statistic").isNotNull(), p))
 
 
-def _chi2_sf_udf(q: Column, dof: Column) -> Column:
+@pandas_udf(DoubleType())
+def _chi2_sf_udf(qs: pd.Series, ds: pd.Series) -> pd.Series:
     """Chi-square upper tail for any integer df, on aggregated rows (one per series)."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("double")
-    def sf(qs: pd.Series, ds: pd.Series) -> pd.Series:
-        return pd.Series([chi2_sf(a, int(b)) if pd.notna(a) else None for a, b in zip(qs, ds)])
-    return sf(q, dof)
+    return pd.Series([chi2_sf(a, int(b)) if pd.notna(a) else None for a, b in zip(qs, ds)], dtype="float64")
 
 
 def chi2_sf(q: float, dof: int) -> float:
@@ -209,9 +210,6 @@ def pacf(series: DataFrame, max_lag: int = 20) -> DataFrame:
     The recursion runs per series on its K autocorrelations only (one short
     array per series), in ``applyInPandas``. Output ``(series_id, lag, pacf)``.
     """
-    import numpy as np
-    import pandas as pd
-
     wide = acf_wide(series, max_lag)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -246,3 +244,288 @@ def durbin_levinson(r) -> list[float]:
         phi_prev = phi
     return out
 
+
+
+# ------------------------------------------------------ normal quantile ----
+
+# Rational approximation of the standard normal quantile
+# (P. J. Acklam), relative error below 1.2e-9.
+_PROBIT_A = (-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
+             1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00)
+_PROBIT_B = (-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
+             6.680131188771972e+01, -1.328068155288572e+01)
+_PROBIT_C = (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
+             -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00)
+_PROBIT_D = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00,
+             3.754408661907416e+00)
+_P_LOW = 0.02425
+
+
+def _horner(coefs: Sequence[float], x: Column) -> Column:
+    out = F.lit(coefs[0])
+    for c in coefs[1:]:
+        out = out * x + F.lit(c)
+    return out
+
+
+def probit(p: Column) -> Column:
+    """Standard normal quantile of ``p`` in (0, 1) as a Column expression (JVM-side)."""
+    q = p - 0.5
+    r = q * q
+    central = _horner(_PROBIT_A, r) * q / (_horner(_PROBIT_B, r) * r + 1)
+    ql = F.sqrt(-2 * F.log(p))
+    low = _horner(_PROBIT_C, ql) / (_horner(_PROBIT_D, ql) * ql + 1)
+    qu = F.sqrt(-2 * F.log(1 - p))
+    high = -_horner(_PROBIT_C, qu) / (_horner(_PROBIT_D, qu) * qu + 1)
+    return F.when(p < _P_LOW, low).when(p > 1 - _P_LOW, high).otherwise(central)
+
+
+def normal_sf(z: float) -> float:
+    """Upper tail of the standard normal."""
+    return 0.5 * math.erfc(z / math.sqrt(2))
+
+
+# ---------------------------------------------------------- Shapiro-Wilk ---
+
+# Polynomial coefficients of Royston (1995), algorithm AS R94,
+# for the Shapiro-Wilk coefficients and the normalising transformation of W.
+_SW_C1 = (0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056)
+_SW_C2 = (0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633)
+_SW_C3 = (0.5440, -0.39978, 0.025054, -6.714e-4)
+_SW_C4 = (1.3822, -0.77857, 0.062767, -0.0020322)
+_SW_C5 = (-1.5861, -0.31082, -0.083751, 0.0038915)
+_SW_C6 = (-0.4803, -0.082676, 0.0030302)
+_SW_G = (-2.273, 0.459)
+SHAPIRO_MAX_N = 5000
+
+
+def _poly(coefs: Sequence[float], x):
+    """``c0 + c1 x + c2 x^2 ..`` for Columns or floats."""
+    out = None
+    for i, c in enumerate(coefs):
+        term = c * (x ** i) if not isinstance(x, Column) else F.lit(c) * F.pow(x, i)
+        out = term if out is None else out + term
+    return out
+
+
+def shapiro(series: DataFrame) -> DataFrame:
+    """Shapiro-Wilk normality test (TS:63), Royston's approximation as R's ``shapiro.test``.
+
+    Defined for ``3 <= n <= 5000``; other series are left out. Because of
+    that bound the per-series rank window never holds more than 5000 rows,
+    and longer series are removed by a semi join before any window. The
+    coefficients ``a_i`` are Column expressions of the rank (normal scores by
+    ``probit``); W is one aggregate; its p-value is computed on the one
+    aggregated row per series. Output ``(series_id, n, statistic, p_value)``.
+    """
+    from tessera.operators.joins import checked_broadcast
+
+    stats = series_stats(series).where((F.col("n") >= 3) & (F.col("n") <= SHAPIRO_MAX_N))
+    keep = series.join(checked_broadcast(stats), KEY)
+    w = Window.partitionBy(KEY).orderBy(V, T)
+    ranked = keep.withColumn("_i", F.row_number().over(w))
+    n = F.col("n").cast("double")
+    m = probit((F.col("_i") - 0.375) / (n + 0.25))
+    ranked = ranked.withColumn("_m", m)
+    # sums over the normal scores, the two largest scores, per series
+    sums = ranked.groupBy(KEY).agg(F.sum(F.col("_m") * F.col("_m")).alias("_summ2"),
+                                   F.max(F.when(F.col("_i") == F.col("n"), F.col("_m"))).alias("_mn"),
+                                   F.max(F.when(F.col("_i") == F.col("n") - 1, F.col("_m"))).alias("_mn1"))
+    rsn = 1 / F.sqrt(n)
+    # the two largest scores are positive; their coefficients get the
+    # polynomial corrections (m_n = -m_1 by symmetry of the normal scores)
+    a1 = _poly(_SW_C1, rsn) + F.col("_mn") / F.sqrt(F.col("_summ2"))
+    a2 = F.col("_mn1") / F.sqrt(F.col("_summ2")) + _poly(_SW_C2, rsn)
+    fac_big = F.sqrt((F.col("_summ2") - 2 * F.col("_mn") ** 2 - 2 * F.col("_mn1") ** 2)
+                     / (1 - 2 * a1 ** 2 - 2 * a2 ** 2))
+    fac_small = F.sqrt((F.col("_summ2") - 2 * F.col("_mn") ** 2) / (1 - 2 * a1 ** 2))
+    coef = sums.join(stats, KEY).select(
+        KEY, "n", "mean",
+        F.when(F.col("n") == 3, F.lit(math.sqrt(0.5))).otherwise(a1).alias("_a1"),
+        F.when(F.col("n") > 5, a2).alias("_a2"),
+        F.when(F.col("n") > 5, fac_big).otherwise(fac_small).alias("_fac"))
+    j = ranked.select(KEY, T, V, "_i", "_m").join(coef, KEY)
+    i, nn = F.col("_i"), F.col("n")
+    # antisymmetric coefficients: a_{n+1-i} = -a_i; the outer one or two come from the polynomials
+    pos = F.when(i == nn, F.col("_a1")).when((i == nn - 1) & (nn > 5), F.col("_a2"))
+    neg = F.when(i == 1, -F.col("_a1")).when((i == 2) & (nn > 5), -F.col("_a2"))
+    a = F.coalesce(pos, neg, F.when(nn == 3, F.lit(0.0)), F.col("_m") / F.col("_fac"))
+    w_stat = j.groupBy(KEY, "n").agg(
+        (F.pow(F.sum(a * F.col(V)), 2) / F.sum(F.pow(F.col(V) - F.col("mean"), 2))).alias("statistic"))
+    w_stat = w_stat.withColumn("statistic", F.least(F.col("statistic"), F.lit(1.0)))
+    return w_stat.withColumn("p_value", _shapiro_p_udf(F.col("statistic"), F.col("n")))
+
+
+def shapiro_p(w: float, n: int) -> float | None:
+    """p-value of W by Royston's normalising transformation."""
+    if w is None or n is None or n < 3:
+        return None
+    if n == 3:
+        p = 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75)))
+        return max(0.0, min(1.0, p))
+    if w >= 1:
+        return 1.0
+    if n <= 11:
+        gamma = _poly(_SW_G, float(n))
+        m = _poly(_SW_C3, float(n))
+        s = math.exp(_poly(_SW_C4, float(n)))
+        arg = gamma - math.log1p(-w)
+        if arg <= 0:
+            return 0.0
+        z = (-math.log(arg) - m) / s
+    else:
+        ln = math.log(n)
+        m = _poly(_SW_C5, ln)
+        s = math.exp(_poly(_SW_C6, ln))
+        z = (math.log1p(-w) - m) / s
+    return normal_sf(z)
+
+
+@pandas_udf(DoubleType())
+def _shapiro_p_udf(ws: pd.Series, ns: pd.Series) -> pd.Series:
+    """Shapiro-Wilk p-values on aggregated rows (one per series)."""
+    return pd.Series([shapiro_p(float(a), int(b)) if pd.notna(a) else None for a, b in zip(ws, ns)],
+                     dtype="float64")
+
+
+# ------------------------------------------------------- Dickey-Fuller ----
+
+# 5% critical values of the Dickey-Fuller tau statistic for a
+# regression with constant and no trend, by sample size (Fuller 1976).
+DF_TAU_C_5PCT = ((25, -3.00), (50, -2.93), (100, -2.89), (250, -2.88), (500, -2.87), (None, -2.86))
+
+
+def _df_critical(n: Column) -> Column:
+    expr = None
+    for size, cv in DF_TAU_C_5PCT:
+        if size is None:
+            return expr.otherwise(F.lit(cv))
+        expr = F.when(n <= size, F.lit(cv)) if expr is None else expr.when(n <= size, F.lit(cv))
+    return expr
+
+
+def adf(series: DataFrame, max_p: int = 12, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Augmented Dickey-Fuller test with constant (TS:49) [choice: see README].
+
+    Regression ``dy_t = a + g y_{t-1} + sum_{j<=p} b_j dy_{t-j}`` with
+    ``p = floor((n-1)^(1/3))`` (capped at ``max_p``); statistic ``g / se(g)``
+    against the 5% Dickey-Fuller critical value. The cross-product sums of
+    the regression are one aggregate per series over bounded block windows;
+    the small solve per series runs in ``applyInPandas`` on one row.
+    Output ``(series_id, n, lags, statistic, critical_5pct, stationary)``.
+    """
+    stats = series_stats(series).withColumn(
+        "_p", F.least(F.floor(F.pow(F.col("n") - 1, 1.0 / 3)), F.lit(max_p)).cast("int"))
+    lg = lagged(series, max_p + 1, block).join(stats.select(KEY, "_p"), KEY)
+    y = [F.col(V)] + [F.col(f"lag_{V}_{k}") for k in range(1, max_p + 2)]
+    dy = F.col(V) - y[1]
+    regs = [F.lit(1.0), y[1]] + [F.when(F.lit(j) <= F.col("_p"), y[j] - y[j + 1]).otherwise(F.lit(0.0))
+                                  for j in range(1, max_p + 1)]
+    k = len(regs)
+    usable = lg.where(F.col(T) >= F.col("_p") + 2)
+    aggs = [F.count(F.lit(1)).alias("_m"), F.sum(dy * dy).alias("_yy")]
+    aggs += [F.sum(regs[i] * dy).alias(f"_xy_{i}") for i in range(k)]
+    aggs += [F.sum(regs[i] * regs[j]).alias(f"_xx_{i}_{j}") for i in range(k) for j in range(i, k)]
+    sums = usable.groupBy(KEY).agg(*aggs).join(stats.select(KEY, "n", "_p"), KEY)
+    packed = sums.select(KEY, "n", "_p", "_m", "_yy",
+                         F.array(*[F.col(f"_xy_{i}") for i in range(k)]).alias("_xy"),
+                         F.array(*[F.col(f"_xx_{i}_{j}") for i in range(k) for j in range(i, k)]).alias("_xx"))
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for sid, n, p, m, yy, xy, xx in zip(pdf[KEY], pdf["n"], pdf["_p"], pdf["_m"], pdf["_yy"],
+                                            pdf["_xy"], pdf["_xx"]):
+            full = np.zeros((k, k))
+            it = iter(list(xx))
+            for a in range(k):
+                for b in range(a, k):
+                    full[a, b] = full[b, a] = next(it)
+            kk = 2 + int(p)
+            xtx, xty = full[:kk, :kk], np.asarray(list(xy), dtype=float)[:kk]
+            dof = int(m) - kk
+            stat = None
+            if dof > 0:
+                try:
+                    inv = np.linalg.inv(xtx)
+                    beta = inv @ xty
+                    rss = float(yy) - float(beta @ xty)
+                    var = rss / dof
+                    if var > 0 and inv[1, 1] > 0:
+                        stat = float(beta[1] / math.sqrt(var * inv[1, 1]))
+                except np.linalg.LinAlgError:
+                    stat = None
+            rows.append((sid, int(n), int(p), stat))
+        return pd.DataFrame(rows, columns=[KEY, "n", "lags", "statistic"])
+
+    out = packed.groupBy(KEY).applyInPandas(solve, f"{KEY} long, n long, lags int, statistic double")
+    cv = _df_critical(F.col("n"))
+    return out.select(KEY, "n", "lags", "statistic", cv.alias("critical_5pct"),
+                      (F.col("statistic") < cv).alias("stationary"))
+
+
+def ndiffs(series: DataFrame, max_d: int = 2, max_p: int = 12) -> DataFrame:
+    """Number of differences needed for stationarity by the ADF test (TS:49, TS:103).
+
+    The series and its first ``max_d`` differences are tested in the same
+    job; ``d`` is the first order whose test rejects a unit root, else
+    ``max_d``. Output ``(series_id, ndiffs)``.
+    """
+    current = series
+    tests = []
+    for d in range(max_d + 1):
+        tests.append(adf(current, max_p).select(KEY, F.col("stationary").alias(f"_s{d}")))
+        if d < max_d:
+            current = difference(current)
+    j = tests[0]
+    for t in tests[1:]:
+        j = j.join(t, KEY, "left")
+    expr = None
+    for d in range(max_d + 1):
+        cond = F.coalesce(F.col(f"_s{d}"), F.lit(False))
+        expr = F.when(cond, F.lit(d)) if expr is None else expr.when(cond, F.lit(d))
+    return j.select(KEY, expr.otherwise(F.lit(max_d)).alias("ndiffs"))
+
+
+# -------------------------------------------------------------- battery ----
+
+def diagnose(series: DataFrame, lag: int = 20, max_d: int = 2) -> DataFrame:
+    """The whole battery of the series study (TS:29-115) for y, y^2 and z = diff(y).
+
+    Output ``(series_id, transform, test, statistic, p_value)``; tests are
+    ``ljung_box`` (all three), ``shapiro`` (y, z) and ``ndiffs`` (y, z; the
+    statistic is the number of differences).
+    """
+    parts = []
+    z = difference(series)
+    for name, s in (("y", series), ("y2", squared(series)), ("z", z), ("z2", squared(z))):
+        lb = ljung_box(s, lag)
+        parts.append(lb.select(KEY, F.lit(name).alias("transform"), F.lit("ljung_box").alias("test"),
+                               "statistic", "p_value"))
+    for name, s in (("y", series), ("z", z)):
+        sw = shapiro(s)
+        parts.append(sw.select(KEY, F.lit(name).alias("transform"), F.lit("shapiro").alias("test"),
+                               "statistic", "p_value"))
+        nd = ndiffs(s, max_d)
+        parts.append(nd.select(KEY, F.lit(name).alias("transform"), F.lit("ndiffs").alias("test"),
+                               F.col("ndiffs").cast("double").alias("statistic"),
+                               F.lit(None).cast("double").alias("p_value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def strict_white_noise(series: DataFrame, lag: int = 20, alpha: float = 0.05) -> DataFrame:
+    """Verdict per series (TS:69-88): uncorrelated (Ljung-Box on y), uncorrelated squares
+    (Ljung-Box on y^2), normal (Shapiro-Wilk). ``GWN`` when all three hold,
+    ``SWN`` when the first two hold, ``WN`` when only the first, else ``not WN``.
+    """
+    lb = ljung_box(series, lag).select(KEY, F.col("p_value").alias("p_lb"))
+    lb2 = ljung_box(squared(series), lag).select(KEY, F.col("p_value").alias("p_lb2"))
+    sw = shapiro(series).select(KEY, F.col("p_value").alias("p_sw"))
+    j = lb.join(lb2, KEY, "left").join(sw, KEY, "left")
+    unc = F.col("p_lb") > alpha
+    unc2 = F.col("p_lb2") > alpha
+    normal = F.coalesce(F.col("p_sw") > alpha, F.lit(False))
+    verdict = (F.when(unc & unc2 & normal, "GWN").when(unc & unc2, "SWN").when(unc, "WN").otherwise("not WN"))
+    return j.select(KEY, "p_lb", "p_lb2", "p_sw", verdict.alias("verdict"))

@@ -28,6 +28,11 @@ DEFAULT_CONF = {
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
     """Local session for tests and benchmarks."""
+    # local workers import the package from the repository
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root] + paths)
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -56,3 +61,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable on the executors (Python UDFs refer to its functions).
+
+    Zips the package once per application and adds it with ``addPyFile``, the
+    same as ``--py-files`` on a cluster.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out_dir = tempfile.mkdtemp(prefix="tessera-pkg-")
+    archive = shutil.make_archive(os.path.join(out_dir, "tessera"), "zip", root_dir=root, base_dir="tessera")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
