@@ -43,7 +43,7 @@ def ts_acf(spark, sf):
 WITH {_ACF_CTE},
 q AS (SELECT series_id, n, n * (n + 2) * sum(acf * acf / (n - k)) AS qs FROM r GROUP BY 1, 2)
 SELECT series_id, n, {r_up('qs', 8)} AS statistic, {LAGS} AS df,
-  {r_up(f'least(1.0, exp(-qs / 2) * list_sum(list_transform(range({LAGS // 2}), i -> pow(qs / 2, i) / factorial(CAST(i AS INTEGER)))))', 8)}
+  {r_up(f'least(1.0, exp(-qs / 2) * list_sum(list_transform(range({LAGS // 2}), lambda i: pow(qs / 2, i) / factorial(CAST(i AS INTEGER)))))', 8)}
   AS p_value FROM q""")
 def ts_ljung_box(spark, sf):
     lb = TS.ljung_box(B.series(spark, sf), LAGS)
