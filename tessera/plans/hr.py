@@ -93,3 +93,57 @@ def discretized(hr: DataFrame) -> DataFrame:
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = (ID, LABEL)) -> list[str]:
     return [c for c in df.columns if c not in exclude]
+
+
+# ------------------------------------------------------------- pipeline ---
+
+def _evaluate(name: str, df: DataFrame, feats: list[str], folds: int, parallelism: int) -> DataFrame:
+    from tessera.operators import ml
+    train, test = FE.hash_split(df, ID, 0.2)
+    model = ml.fit_logistic(train, feats, LABEL)
+    pred = ml.predict(model, test, keep=[LABEL])
+    rep = ml.report(pred, LABEL, "prediction")
+    one = rep.where(F.col("class") == "1").select(F.col("f1_score").alias("f1"))
+    acc = rep.where(F.col("class") == "accuracy").select(F.col("f1_score").alias("accuracy"))
+    wf = rep.where(F.col("class") == "weighted avg").select(F.col("f1_score").alias("f1_weighted"))
+    cv = ml.cv_summary(ml.cross_validate(train, feats, LABEL, ID, folds, parallelism=parallelism))
+    return (one.crossJoin(acc).crossJoin(wf).crossJoin(cv)
+            .select(F.lit(name).alias("variant"), F.lit(len(feats)).alias("n_features"), "*"))
+
+
+def attrition_pipeline(hr: DataFrame, folds: int = 30, parallelism: int = 4) -> DataFrame:
+    """Baseline and the two attempts of the study (HR:261-592), one comparison row each.
+
+    * baseline: one-hot department and salary, fit, report, cross-validate;
+    * attempt 1: remove outlier rows, drop the columns the study drops,
+      fix skewed columns, min-max scale;
+    * attempt 2: discretise and one-hot the numeric columns, drop constant
+      columns, fix skewness, scale, drop features below the importance
+      threshold, remove outlier rows.
+    """
+    base = encoded(hr)
+    out = [_evaluate("baseline", base, feature_columns(base), folds, parallelism)]
+
+    a1 = FE.drop_rows(base, FE.outlier_rows(base, list(NUMERIC[:5]), ID), ID)
+    a1 = a1.drop(*[c for c in ATTEMPT1_DROP if c in a1.columns])
+    feats1 = feature_columns(a1)
+    skewed1 = [r["column"] for r in FE.skewed(a1, feats1).collect()]
+    a1 = FE.minmax(FE.fix_skewness(a1, skewed1), feats1)
+    out.append(_evaluate("attempt1", a1, feats1, folds, parallelism))
+
+    a2 = discretized(hr)
+    feats2 = feature_columns(a2)
+    constant = FE.drop_constant(a2, feats2)
+    a2 = a2.drop(*constant)
+    feats2 = [c for c in feats2 if c not in constant]
+    skewed2 = [r["column"] for r in FE.skewed(a2, feats2).collect()]
+    a2 = FE.minmax(FE.fix_skewness(a2, skewed2), feats2)
+    low = FE.below_threshold(FE.relieff(a2, feats2, LABEL, ID), IMPORTANCE_THRESHOLD)
+    keep = [c for c in feats2 if c not in low] or feats2
+    a2 = a2.select(ID, LABEL, *keep)
+    out.append(_evaluate("attempt2", a2, keep, folds, parallelism))
+
+    res = out[0]
+    for o in out[1:]:
+        res = res.unionByName(o)
+    return res
