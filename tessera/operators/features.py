@@ -179,26 +179,34 @@ def relieff(df: DataFrame, features: Sequence[str], label: str, id_col: str, anc
                 continue
             x = pdf[feats].to_numpy(dtype=float)
             ids, ys = pdf["_id"].to_numpy(), pdf["_y"].to_numpy()
-            out = []
-            for j in range(len(a_id)):
-                d = np.abs(x - a_x[j])
-                dist = np.round(d.sum(axis=1), digits)
-                for hit in (True, False):
-                    m = (ys == a_y[j]) if hit else (ys != a_y[j])
-                    m &= ids != a_id[j]
-                    idx = np.flatnonzero(m)
-                    if idx.size == 0:
-                        continue
-                    order = np.lexsort((ids[idx], dist[idx]))[:k]
-                    sel = idx[order]
-                    frame = pd.DataFrame(d[sel], columns=[f"_d{i}" for i in range(n_feat)])
-                    frame.insert(0, "_dist", dist[sel])
-                    frame.insert(0, "_nid", ids[sel])
-                    frame.insert(0, "_hit", hit)
-                    frame.insert(0, "_aid", a_id[j])
-                    out.append(frame)
-            if out:
-                yield pd.concat(out, ignore_index=True)
+            out_a, out_h, out_n, out_d, out_x = [], [], [], [], []
+            for lo in range(0, len(a_id), 16):
+                chunk = a_x[lo:lo + 16]
+                dist_all = np.round(np.abs(x[:, None, :] - chunk[None, :, :]).sum(axis=2), digits)
+                for c in range(chunk.shape[0]):
+                    j = lo + c
+                    dist = dist_all[:, c]
+                    not_self = ids != a_id[j]
+                    for hit in (True, False):
+                        idx = np.flatnonzero(((ys == a_y[j]) if hit else (ys != a_y[j])) & not_self)
+                        if idx.size == 0:
+                            continue
+                        if idx.size > k:
+                            kth = np.partition(dist[idx], k - 1)[k - 1]
+                            idx = idx[dist[idx] <= kth]
+                        sel = idx[np.lexsort((ids[idx], dist[idx]))[:k]]
+                        out_a.append(np.full(sel.size, a_id[j]))
+                        out_h.append(np.full(sel.size, hit))
+                        out_n.append(ids[sel])
+                        out_d.append(dist[sel])
+                        out_x.append(np.abs(x[sel] - a_x[j]))
+            if out_a:
+                frame = pd.DataFrame(np.vstack(out_x), columns=[f"_d{i}" for i in range(n_feat)])
+                frame.insert(0, "_dist", np.concatenate(out_d))
+                frame.insert(0, "_nid", np.concatenate(out_n))
+                frame.insert(0, "_hit", np.concatenate(out_h))
+                frame.insert(0, "_aid", np.concatenate(out_a))
+                yield frame
 
     schema = "_aid long, _hit boolean, _nid long, _dist double, " + ", ".join(
         f"_d{i} double" for i in range(n_feat))

@@ -19,13 +19,21 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
+_CHECKED: dict[tuple[str, int, int], bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Runs one small job: ``limit(max_rows + 1)`` stops reading once the bound
-    is passed, so a large table is not scanned in full.
+    is passed, so a large table is not scanned in full. The answer is kept
+    per application and semantic plan, so a lookup used by many queries is
+    checked once.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:

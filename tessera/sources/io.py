@@ -18,9 +18,21 @@ TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One Parquet test table; filters and projections reach the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One Parquet test table; filters and projections reach the scan.
+
+    ``spread=True`` is for fact tables: when the files give fewer input splits
+    than the cluster's default parallelism (one file with one row group, as
+    in the small test data), the rows are spread round-robin so the stages
+    after the scan use every core. On large inputs the scan already has more
+    splits than cores and nothing is added.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
+    return df
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str | None = None,
