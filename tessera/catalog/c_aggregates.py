@@ -152,8 +152,8 @@ def agg_min_max(spark, sf):
 @register("agg_argmin_argmax_columns", """
 WITH s AS (SELECT sum(gas) AS gas, sum(hydro) AS hydro, sum(coal) AS coal FROM energy),
 l AS (SELECT source, total FROM s UNPIVOT (total FOR source IN (gas, hydro, coal)))
-SELECT max_by(source, total) AS highest_source, max(total) AS highest_total,
-  min_by(source, total) AS lowest_source, min(total) AS lowest_total FROM l""")
+SELECT (SELECT source FROM l ORDER BY total DESC, source LIMIT 1) AS highest_source, max(total) AS highest_total,
+  (SELECT source FROM l ORDER BY total ASC, source LIMIT 1) AS lowest_source, min(total) AS lowest_total FROM l""")
 def agg_argmin_argmax_columns(spark, sf):
     return ratios.extreme_column(B.energy(spark, sf), ["gas", "hydro", "coal"])
 

@@ -60,7 +60,7 @@ def q_energy_wind_category(spark, sf):
 @register("q_energy_extremes", "WITH s AS (SELECT " + ", ".join(f"sum({c}) AS {c}" for c in EN.SOURCES)
           + " FROM energy), l AS (SELECT source, total FROM s UNPIVOT (total FOR source IN ("
           + ", ".join(EN.SOURCES) + f""")))
-SELECT max_by(source, total) AS highest_source, {r_up('max(total)', 2)} AS highest_total,
-  min_by(source, total) AS lowest_source, {r_up('min(total)', 2)} AS lowest_total FROM l""")
+SELECT (SELECT source FROM l ORDER BY total DESC, source LIMIT 1) AS highest_source, {r_up('max(total)', 2)} AS highest_total,
+  (SELECT source FROM l ORDER BY total ASC, source LIMIT 1) AS lowest_source, {r_up('min(total)', 2)} AS lowest_total FROM l""")
 def q_energy_extremes(spark, sf):
     return EN.source_extremes(B.energy(spark, sf), digits=2)

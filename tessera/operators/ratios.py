@@ -143,9 +143,13 @@ def extreme_column(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Which column has the largest and which the smallest total (EN:247-253), one row.
 
     The column totals are one aggregate; ``unpivot`` turns them into rows and
-    ``max_by``/``min_by`` pick the names (T30).
+    ``min`` over ``struct(total, name)`` picks the names (T30); equal totals
+    go to the first name in sort order.
     """
     sums = df.agg(*[F.sum(c).alias(c) for c in cols])
     long = sums.unpivot([], list(cols), "source", "total")
-    return long.agg(F.max_by("source", "total").alias("highest_source"), F.max("total").alias("highest_total"),
-                    F.min_by("source", "total").alias("lowest_source"), F.min("total").alias("lowest_total"))
+    hi = F.min(F.struct(F.negative("total").alias("k"), F.col("source").alias("s"), F.col("total").alias("t")))
+    lo = F.min(F.struct(F.col("total").alias("k"), F.col("source").alias("s"), F.col("total").alias("t")))
+    return long.agg(hi.alias("_hi"), lo.alias("_lo")).select(
+        F.col("_hi.s").alias("highest_source"), F.col("_hi.t").alias("highest_total"),
+        F.col("_lo.s").alias("lowest_source"), F.col("_lo.t").alias("lowest_total"))

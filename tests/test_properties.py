@@ -72,11 +72,41 @@ def test_adf_walk_needs_a_difference_noise_does_not(spark):
     assert nd == {0: 0, 1: 1}
 
 
-def test_shapiro_w_bounds(spark):
+def _royston_w(x):
+    """Shapiro-Wilk W by Royston's coefficients with exact normal quantiles, in plain Python."""
+    from statistics import NormalDist
+    x = sorted(x)
+    n = len(x)
+    m = [NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)]
+    summ2 = sum(v * v for v in m)
+    rsn = 1 / math.sqrt(n)
+    a1 = TS._poly(TS._SW_C1, rsn) + m[-1] / math.sqrt(summ2)
+    a2 = TS._poly(TS._SW_C2, rsn) + m[-2] / math.sqrt(summ2)
+    fac = math.sqrt((summ2 - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * a1 ** 2 - 2 * a2 ** 2))
+    a = [v / fac for v in m]
+    a[-1], a[-2], a[0], a[1] = a1, a2, -a1, -a2
+    mean = sum(x) / n
+    return sum(ai * xi for ai, xi in zip(a, x)) ** 2 / sum((xi - mean) ** 2 for xi in x)
+
+
+def test_shapiro_matches_plain_python(spark):
     df = _series(spark, [lambda: random.gauss(0, 1), lambda: random.expovariate(1.0)], n=300)
+    got = {x["series_id"]: x["statistic"] for x in TS.shapiro(df).collect()}
+    for sid in (0, 1):
+        values = [r["value"] for r in df.where(F.col("series_id") == sid).collect()]
+        assert abs(got[sid] - _royston_w(values)) < 1e-8
+
+
+def test_shapiro_w_bounds(spark):
+    from statistics import NormalDist
+    n = 300
+    quantiles = [(0, t, NormalDist().inv_cdf((t - 0.5) / n)) for t in range(1, n + 1)]
+    random.seed(2)
+    skewed = [(1, t, random.expovariate(1.0)) for t in range(1, n + 1)]
+    df = spark.createDataFrame(quantiles + skewed, "series_id long, t int, value double")
     r = {x["series_id"]: x for x in TS.shapiro(df).collect()}
-    assert 0.98 < r[0]["statistic"] <= 1.0 and r[0]["p_value"] > 0.05
-    assert r[1]["statistic"] < r[0]["statistic"] and r[1]["p_value"] < 0.001
+    assert 0.99 < r[0]["statistic"] <= 1.0 and r[0]["p_value"] > 0.5
+    assert 0 < r[1]["statistic"] < r[0]["statistic"] and r[1]["p_value"] < 0.001
 
 
 def test_top_k_per_group_matches_brute_force(spark):

@@ -129,6 +129,8 @@ def test_t29_any_zero_is_a_flag(spark):
 
 
 def test_t30_extreme_column_names(spark):
-    df = spark.createDataFrame([(1.0, 5.0, 2.0), (1.0, 5.0, None)], "a double, b double, c double")
+    df = spark.createDataFrame([(1.0, 5.0, 3.0), (1.0, 5.0, None)], "a double, b double, c double")
     r = ratios.extreme_column(df, ["a", "b", "c"]).first()
     assert (r["highest_source"], r["lowest_source"]) == ("b", "a")
+    tie = spark.createDataFrame([(2.0, 1.0, 2.0)], "c double, b double, a double")
+    assert ratios.extreme_column(tie, ["c", "b", "a"]).first()["highest_source"] == "a"
