@@ -52,3 +52,55 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
            .where(F.col("_r1") <= k).drop("_r1", "_bucket"))
     w2 = Window.partitionBy(*keys).orderBy(*order)
     return pre.withColumn(rank_name, F.row_number().over(w2)).where(F.col(rank_name) <= k)
+
+
+def _range_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], partitions: int | None) -> DataFrame:
+    """Range-partition on ``(keys, order)`` and record the partition id.
+
+    The result is checkpointed (reliably, in ``spark.checkpoint.dir``): the
+    partition ids come from sampled range bounds, and both branches that use
+    them (numbering and offsets) must see the same assignment. The
+    checkpoint also cuts the lineage, so a lost executor does not redo the
+    sort.
+    """
+    from tessera.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *keys, *order).withColumn("_pid", F.spark_partition_id()).checkpoint()
+
+
+def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos",
+                    partitions: int | None = None) -> DataFrame:
+    """1-based position of each row within its key, in ``order`` (a unique order).
+
+    Equivalent to ``row_number() over (partition by keys order by order)``
+    without putting a whole key into one task: rows are range-partitioned on
+    ``(keys, order)``, so a hot key is spread over several partitions; rows are
+    numbered inside each (partition, key) piece, and each piece is offset by
+    the row counts of the same key in earlier partitions (a small table of at
+    most one row per partition and key).
+    """
+    keys, order = list(keys), list(order)
+    s = _range_parts(df, keys, order, partitions)
+    local = F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order))
+    pieces = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.select("_pid", *keys, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    return (s.withColumn("_local", local).join(offsets, ["_pid", *keys])
+            .withColumn(name, (F.col("_off") + F.col("_local")).cast("int")).drop("_pid", "_local", "_off"))
+
+
+def running_sum_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column | str,
+                       name: str = "running_sum", partitions: int | None = None) -> DataFrame:
+    """Cumulative sum of ``value`` within each key in ``order``, with the same
+    range-partition-and-offset plan as ``position_within``."""
+    keys, order = list(keys), list(order)
+    v = F.col(value) if isinstance(value, str) else value
+    s = _range_parts(df.withColumn("_v", v), keys, order, partitions)
+    local = F.sum("_v").over(Window.partitionBy("_pid", *keys).orderBy(*order)
+                             .rowsBetween(Window.unboundedPreceding, 0))
+    pieces = s.groupBy("_pid", *keys).agg(F.sum("_v").alias("_tot"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.select("_pid", *keys, F.coalesce(F.sum("_tot").over(before), F.lit(0.0)).alias("_off"))
+    return (s.withColumn("_local", local).join(offsets, ["_pid", *keys])
+            .withColumn(name, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off", "_v"))

@@ -8,10 +8,11 @@ study query runs over whole tables that grow with the scale factor.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import lookup_join
+from tessera.operators.sorting import position_within, running_sum_within
 from tessera.sources.io import read_table
 
 # Fixed values of the bindings (FIXTURES.md).
@@ -171,19 +172,20 @@ def hr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many time series in long form ``(series_id, t, value)``, t = 1..n per series."""
-    e = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return e.select(F.col("user_id").alias("series_id"),
-                    F.row_number().over(w).cast("int").alias("t"),
-                    F.col("value"))
+    """Many time series in long form ``(series_id, t, value)``, t = 1..n per series.
+
+    Positions follow ``(ts, event_id)`` within a user; they are numbered
+    without a per-user window, so one very active user is spread over tasks.
+    """
+    e = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("series_id"), "ts", "event_id", "value")
+    return position_within(e, ["series_id"], ["ts", "event_id"], name="t").select("series_id", "t", "value")
 
 
 def series_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Non-stationary companion: running sum of ``value - 49.6`` within each series."""
     s = series(spark, sf_dir)
-    w = Window.partitionBy("series_id").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    return s.select("series_id", "t", F.sum(F.col("value") - SERIES_DRIFT).over(w).alias("value"))
+    w = running_sum_within(s, ["series_id"], ["t"], F.col("value") - SERIES_DRIFT, name="walk")
+    return w.select("series_id", "t", F.col("walk").alias("value"))
 
 
 def hr_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -165,3 +165,18 @@ def test_relieff_ranks_informative_feature_first(spark):
     df = spark.createDataFrame(rows, "id long, good double, noise double, y int")
     imp = {r["feature"]: r["importance"] for r in FE.relieff(df, ["good", "noise"], "y", "id", anchors=50, k=5).collect()}
     assert imp["good"] > imp["noise"]
+
+
+def test_position_and_running_sum_with_hot_key(spark):
+    random.seed(9)
+    rows = [(0 if i % 3 else random.randint(1, 5), i, random.random()) for i in range(3000)]   # key 0 is hot
+    df = spark.createDataFrame(rows, "k long, ts long, v double")
+    got = sorting.position_within(df, ["k"], ["ts"], name="pos", partitions=16)
+    w = Window.partitionBy("k").orderBy("ts")
+    exp = df.withColumn("pos", F.row_number().over(w))
+    assert got.select("k", "ts", "pos").exceptAll(exp.select("k", "ts", "pos")).count() == 0
+    assert got.count() == 3000
+    rs = {(r["k"], r["ts"]): r["running_sum"] for r in sorting.running_sum_within(df, ["k"], ["ts"], "v", partitions=16).collect()}
+    ref = {(r["k"], r["ts"]): r["c"] for r in df.withColumn(
+        "c", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0))).collect()}
+    assert rs.keys() == ref.keys() and all(abs(rs[x] - ref[x]) < 1e-9 for x in ref)
