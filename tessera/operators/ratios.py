@@ -1,11 +1,9 @@
 """Shares, rates, co-occurrence, correlation and pivots.
 
 The reference computes a total with a driver-side ``count()`` and writes it
-into a second plan as a constant (FN:214-219, CN:176). Here the total is an
-aggregate of the same grouped result joined back as one broadcast row: the
-grouped exchange is planned once and reused by both branches (Spark's
-exchange reuse), so the base is scanned once and nothing comes back to the
-driver.
+into a second plan as a constant (FN:214-219, CN:176). Here the total is a
+window sum over the already aggregated rows (one row per group), so the base
+is scanned once and nothing comes back to the driver.
 """
 
 from __future__ import annotations
@@ -13,7 +11,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import percent, safe_corr
@@ -27,7 +25,8 @@ def _round(c: Column, digits: int | None, rounding: str) -> Column:
 
 def share_by(df: DataFrame, keys: str | Sequence[str], *, where: Column | None = None,
              count_col: str | None = None, denominator: str = "all", name: str = "n",
-             pct_name: str = "ratio", digits: int | None = 1, rounding: str = "up") -> DataFrame:
+             pct_name: str = "ratio", digits: int | None = 1, rounding: str = "up",
+             total: str = "window") -> DataFrame:
     """Count per group and its percentage of a total.
 
     ``where`` restricts the counted rows (groups without such rows are left
@@ -35,6 +34,11 @@ def share_by(df: DataFrame, keys: str | Sequence[str], *, where: Column | None =
     values of that column instead of rows (T15). ``denominator``: ``'all'``
     divides by all rows of ``df`` (T16, the reference's ``count()`` of the
     whole table), ``'counted'`` by the sum of the group counts.
+
+    ``total='window'`` sums the group counts with a window over the
+    aggregated rows (one row per group, one scan of ``df``);
+    ``total='aggregate'`` computes the total as a separate one-row aggregate
+    joined back by broadcast, for group counts too large for one task.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     cond = where if where is not None else F.lit(True)
@@ -46,8 +50,11 @@ def share_by(df: DataFrame, keys: str | Sequence[str], *, where: Column | None =
     total_src = "_all" if denominator == "all" else name
     if denominator not in ("all", "counted"):
         raise ValueError("denominator is 'all' or 'counted'")
-    total = g.agg(F.sum(total_src).alias("_total"))
-    return (g.where(F.col("_rows") > 0).crossJoin(F.broadcast(total))
+    if total == "window":
+        with_total = g.withColumn("_total", F.sum(total_src).over(Window.partitionBy()))
+    else:
+        with_total = g.crossJoin(F.broadcast(g.agg(F.sum(total_src).alias("_total"))))
+    return (with_total.where(F.col("_rows") > 0)
             .select(*keys, name, _round(percent(name, "_total"), digits, rounding).alias(pct_name)))
 
 
@@ -59,10 +66,10 @@ def share_of_group(df: DataFrame, keys: Sequence[str], part_key: str, *, where:
 
     The numerator counts rows meeting ``where`` (non-null ``count_col`` if
     given); the group total counts all rows of the group (non-null
-    ``total_count_col`` if given). The total is summed from the same fine
-    counts, one row per group, and joined back on the group key: both sides
-    are aggregates, so a hot key is not skewed here. Groups with a null key
-    drop out (inner join), as in CN:267-269.
+    ``total_count_col`` if given). The total is a window sum, partitioned by
+    the group key, over the fine counts (one row per part), so the base is
+    scanned once. Groups with a null key drop out, as the reference's inner
+    join does (CN:267-269).
     """
     keys = list(keys)
     cond = where if where is not None else F.lit(True)
@@ -71,8 +78,11 @@ def share_of_group(df: DataFrame, keys: Sequence[str], part_key: str, *, where:
     fine = df.groupBy(*keys, part_key).agg(F.count(F.when(cond, counted)).alias(name),
                                            F.count_if(cond).alias("_rows"),
                                            F.count(total_counted).alias("_grp"))
-    totals = fine.groupBy(*keys).agg(F.sum("_grp").alias(total_name))
-    return (fine.where(F.col("_rows") > 0).join(totals, on=keys)
+    with_total = fine.withColumn(total_name, F.sum("_grp").over(Window.partitionBy(*keys)))
+    present = F.col("_rows") > 0
+    for k in keys:
+        present = present & F.col(f"`{k}`").isNotNull()
+    return (with_total.where(present)
             .select(*keys, part_key, name, total_name,
                     _round(percent(name, total_name), digits, "up").alias(pct_name)))
 

@@ -97,7 +97,7 @@ def feature_columns(df: DataFrame, exclude: Sequence[str] = (ID, LABEL)) -> list
 
 # ------------------------------------------------------------- pipeline ---
 
-def _evaluate(name: str, df: DataFrame, feats: list[str], folds: int, parallelism: int) -> DataFrame:
+def _evaluate(name: str, df: DataFrame, feats: list[str], folds: int) -> DataFrame:
     from tessera.operators import ml
     train, test = FE.hash_split(df, ID, 0.2)
     model = ml.fit_logistic(train, feats, LABEL)
@@ -106,12 +106,12 @@ def _evaluate(name: str, df: DataFrame, feats: list[str], folds: int, parallelis
     one = rep.where(F.col("class") == "1").select(F.col("f1_score").alias("f1"))
     acc = rep.where(F.col("class") == "accuracy").select(F.col("f1_score").alias("accuracy"))
     wf = rep.where(F.col("class") == "weighted avg").select(F.col("f1_score").alias("f1_weighted"))
-    cv = ml.cv_summary(ml.cross_validate(train, feats, LABEL, ID, folds, parallelism=parallelism))
+    cv = ml.cv_summary(ml.cross_validate(train, feats, LABEL, ID, folds))
     return (one.crossJoin(acc).crossJoin(wf).crossJoin(cv)
             .select(F.lit(name).alias("variant"), F.lit(len(feats)).alias("n_features"), "*"))
 
 
-def attrition_pipeline(hr: DataFrame, folds: int = 30, parallelism: int = 4) -> DataFrame:
+def attrition_pipeline(hr: DataFrame, folds: int = 30) -> DataFrame:
     """Baseline and the two attempts of the study (HR:261-592), one comparison row each.
 
     * baseline: one-hot department and salary, fit, report, cross-validate;
@@ -122,14 +122,14 @@ def attrition_pipeline(hr: DataFrame, folds: int = 30, parallelism: int = 4) ->
       threshold, remove outlier rows.
     """
     base = encoded(hr)
-    out = [_evaluate("baseline", base, feature_columns(base), folds, parallelism)]
+    out = [_evaluate("baseline", base, feature_columns(base), folds)]
 
     a1 = FE.drop_rows(base, FE.outlier_rows(base, list(NUMERIC[:5]), ID), ID)
     a1 = a1.drop(*[c for c in ATTEMPT1_DROP if c in a1.columns])
     feats1 = feature_columns(a1)
     skewed1 = [r["column"] for r in FE.skewed(a1, feats1).collect()]
     a1 = FE.minmax(FE.fix_skewness(a1, skewed1), feats1)
-    out.append(_evaluate("attempt1", a1, feats1, folds, parallelism))
+    out.append(_evaluate("attempt1", a1, feats1, folds))
 
     a2 = discretized(hr)
     feats2 = feature_columns(a2)
@@ -141,7 +141,7 @@ def attrition_pipeline(hr: DataFrame, folds: int = 30, parallelism: int = 4) ->
     low = FE.below_threshold(FE.relieff(a2, feats2, LABEL, ID), IMPORTANCE_THRESHOLD)
     keep = [c for c in feats2 if c not in low] or feats2
     a2 = a2.select(ID, LABEL, *keep)
-    out.append(_evaluate("attempt2", a2, keep, folds, parallelism))
+    out.append(_evaluate("attempt2", a2, keep, folds))
 
     res = out[0]
     for o in out[1:]:
