@@ -110,6 +110,17 @@ def f1_weighted(pred: DataFrame, label: str = "label", prediction: str = "predic
     return r.where(F.col("class") == "weighted avg").select(*by, F.col("f1_score").alias("f1_weighted"))
 
 
+def summary_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """One row from one aggregate: F1 of class 1, accuracy, weighted F1."""
+    c = _counts(pred, label, prediction)
+    tp, fp, fn, tn = F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")
+    f1_1 = _class_metrics(tp, fp, fn)[2]
+    f1_0 = _class_metrics(tn, fn, fp)[2]
+    s1, s0 = tp + fn, tn + fp
+    return c.select(f1_1.alias("f1"), _div(tp + tn, s0 + s1).alias("accuracy"),
+                    _div(f1_0 * s0 + f1_1 * s1, s0 + s1).alias("f1_weighted"))
+
+
 def accuracy_recall_mcc(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Accuracy, recall of class 1 and Matthews correlation, one row (imported at HR:14)."""
     c = _counts(pred, label, prediction)

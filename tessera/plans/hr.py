@@ -99,15 +99,14 @@ def feature_columns(df: DataFrame, exclude: Sequence[str] = (ID, LABEL)) -> list
 
 def _evaluate(name: str, df: DataFrame, feats: list[str], folds: int) -> DataFrame:
     from tessera.operators import ml
+    # the prepared table is read by the fit, the predictions and every Newton
+    # pass: cut its lineage once in the shared checkpoint folder
+    df = df.select(ID, LABEL, *feats).checkpoint()
     train, test = FE.hash_split(df, ID, 0.2)
     model = ml.fit_logistic(train, feats, LABEL)
-    pred = ml.predict(model, test, keep=[LABEL])
-    rep = ml.report(pred, LABEL, "prediction")
-    one = rep.where(F.col("class") == "1").select(F.col("f1_score").alias("f1"))
-    acc = rep.where(F.col("class") == "accuracy").select(F.col("f1_score").alias("accuracy"))
-    wf = rep.where(F.col("class") == "weighted avg").select(F.col("f1_score").alias("f1_weighted"))
+    held_out = ml.summary_metrics(ml.predict(model, test, keep=[LABEL]), LABEL, "prediction")
     cv = ml.cv_summary(ml.cross_validate(train, feats, LABEL, ID, folds))
-    return (one.crossJoin(acc).crossJoin(wf).crossJoin(cv)
+    return (held_out.crossJoin(cv)
             .select(F.lit(name).alias("variant"), F.lit(len(feats)).alias("n_features"), "*"))
 
 
