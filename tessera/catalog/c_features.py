@@ -106,7 +106,7 @@ def box_stats(spark, sf):
 
 @register("box_stats_grouped", _box_sql(_unpivot_sql(WINE_CLEAN, ["ln_price"], "points"), ["points"]))
 def box_stats_grouped(spark, sf):
-    return _round_box(D.box_stats(WI.clean(B.wine(spark, sf)), ["ln_price"], by="points"))
+    return _round_box(D.box_stats(WI.clean(B.wine(spark, sf)), ["ln_price"], by="points", method="ranked"))
 
 
 def _kde_sql(source: str, x: str, key: str, points: int = 100, bins: int = 512, cut: float = 3.0,

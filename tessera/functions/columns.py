@@ -27,23 +27,19 @@ def cast_all(df: DataFrame, cols: Iterable[str], to: str | DataType) -> DataFram
 
 
 def cast_category(df: DataFrame, c: str, code_suffix: str = "_code") -> DataFrame:
-    """Category type: keep the text and add a dense integer code in value order.
+    """Category type: keep the text and add a dense integer code in value order (HR:102-103).
 
-    The code is ``dense_rank`` over the distinct values, computed by a small
-    aggregate joined back (no window over the whole table).
+    The distinct values are numbered by ``sorting.position_within`` (range
+    partitioned, so even a high-cardinality column is numbered in parallel)
+    and joined back on the value.
     """
-    codes = (df.select(c).where(F.col(c).isNotNull()).distinct()
-             .select(c, (F.dense_rank().over(_global_order(c)) - 1).cast("int").alias(c + code_suffix)))
+    from tessera.operators.sorting import position_within
+    values = df.select(c).where(F.col(c).isNotNull()).distinct()
+    codes = position_within(values, [], [c], name="_pos").select(
+        c, (F.col("_pos") - 1).cast("int").alias(c + code_suffix))
     return df.join(codes, on=c, how="left")
 
 
-def _global_order(c: str):
-    from pyspark.sql import Window
-    # after ``distinct`` the frame holds one row per category value; a
-    # category column has few values, so one ordered partition is small.
-    return Window.orderBy(F.col(c))
-
-
 # ---------------------------------------------------------- derived cols ---
 
 def flag_present(df: DataFrame, cols: Sequence[str], threshold: float = 0,

@@ -104,9 +104,8 @@ def histogram_density(df: DataFrame, col: str, by: str | Sequence[str] | None =
 
 def _long(df: DataFrame, cols: Sequence[str], keys: list[str]) -> DataFrame:
     """``(keys.., column, value)``: one row per non-null value of each column."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
-                                for c in cols])).alias("kv")
-    return df.select(*keys, pairs).select(*keys, "kv.column", "kv.value").where(F.col("value").isNotNull())
+    from tessera.operators.profile import unpivot_values
+    return unpivot_values(df, cols, keys)
 
 
 def histogram_all(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
@@ -118,7 +117,7 @@ def histogram_all(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFra
 # ------------------------------------------------------------------ box ----
 
 def box_stats(df: DataFrame, cols: Sequence[str], by: str | Sequence[str] | None = None,
-              whisker: float = 1.5, exact: bool = True, accuracy: int = 10000) -> DataFrame:
+              whisker: float = 1.5, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Box-plot statistics per column (and group): quartiles (interpolated as
     numpy's default), whiskers at the most extreme values within
     ``whisker * IQR`` of the box, and the number of values beyond (HR:114-163,
@@ -127,15 +126,25 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: str | Sequence[str] | None
     Output ``(by.., column, n, q1, median, q3, lower_whisker, upper_whisker,
     n_outliers)``. Quartiles are one aggregate; the fences are joined back as
     one row per column/group and the second aggregate finds whiskers and
-    outliers.
+    outliers. ``method`` chooses the quartiles as in ``profile.describe``
+    (``'ranked'`` keeps no group's values in one task).
     """
+    from tessera.operators.profile import quantiles_ranked
     keys = _keys(by)
     lng = _long(df, cols, keys)
-    q = (F.percentile("value", [0.25, 0.5, 0.75]) if exact
-         else F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy))
-    stats = lng.groupBy(*keys, "column").agg(F.count("value").alias("n"), q.alias("_q"))
-    stats = stats.select(*keys, "column", "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                         F.col("_q")[2].alias("q3"))
+    if method == "ranked":
+        q = quantiles_ranked(lng, "value", [0.25, 0.5, 0.75], keys + ["column"])
+        wide = q.groupBy(*keys, "column").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
+        n = lng.groupBy(*keys, "column").agg(F.count("value").alias("n"))
+        stats = n.join(wide, keys + ["column"]).select(
+            *keys, "column", "n", F.col("`0.25`").alias("q1"), F.col("`0.5`").alias("median"),
+            F.col("`0.75`").alias("q3"))
+    else:
+        q = (F.percentile("value", [0.25, 0.5, 0.75]) if method == "exact"
+             else F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy))
+        stats = lng.groupBy(*keys, "column").agg(F.count("value").alias("n"), q.alias("_q"))
+        stats = stats.select(*keys, "column", "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+                             F.col("_q")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     stats = stats.withColumns({"_lo": F.col("q1") - whisker * iqr, "_hi": F.col("q3") + whisker * iqr})
     j = lng.join(F.broadcast(stats) if not keys else checked_broadcast(stats), keys + ["column"])

@@ -166,33 +166,84 @@ def profile_columns(df: DataFrame, ks: Mapping[str, int]) -> DataFrame:
 DESCRIBE_STATS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
 
 
-def describe(df: DataFrame, cols: Sequence[str], exact: bool = True, accuracy: int = 10000,
+def describe(df: DataFrame, cols: Sequence[str], method: str = "exact", accuracy: int = 10000,
              by: str | None = None, digits: int | None = None) -> DataFrame:
     """count, mean, sample sd, min, quartiles, max per column, long ``(column, stat, value)``.
 
-    ``exact=True``: interpolated quartiles (``percentile``, like pandas), which
-    keep a map of distinct values per group; ``exact=False``: approximate
-    quantiles (``percentile_approx``) in fixed memory, for large tables. One
-    aggregate for all columns. ``digits`` rounds the values (display precision).
+    Quartiles are interpolated as pandas does. ``method``: ``'exact'`` uses
+    Spark's ``percentile`` (a map of distinct values per group: right for
+    columns of bounded cardinality); ``'ranked'`` is exact for any
+    cardinality and group size (``quantiles_ranked``); ``'approx'`` uses
+    ``percentile_approx`` in fixed memory. ``digits`` rounds the values
+    (display precision).
     """
+    keys = [by] if by else []
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
-        q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
-             else F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy))
-        aggs.append(F.struct(
-            F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q.alias("q"),
-            F.max(x).alias("max")).alias(c))
-    keys = [by] if by else []
+        x = F.col(f"`{c}`").cast("double")
+        fields = [F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"),
+                  F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
+        if method == "exact":
+            fields.append(F.percentile(x, [0.25, 0.5, 0.75]).alias("q"))
+        elif method == "approx":
+            fields.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias("q"))
+        elif method != "ranked":
+            raise ValueError("method is 'exact', 'ranked' or 'approx'")
+        aggs.append(F.struct(*fields).alias(c))
     wide = df.groupBy(*keys).agg(*aggs)
     parts = []
     for c in cols:
-        s = F.col(f"`{c}`")
-        for stat, expr in (("count", s["count"]), ("mean", s["mean"]), ("std", s["std"]),
-                           ("min", s["min"]), ("25%", s["q"][0]), ("50%", s["q"][1]),
-                           ("75%", s["q"][2]), ("max", s["max"])):
+        st = F.col(f"`{c}`")
+        items = [("count", st["count"]), ("mean", st["mean"]), ("std", st["std"]), ("min", st["min"])]
+        if method != "ranked":
+            items += [("25%", st["q"][0]), ("50%", st["q"][1]), ("75%", st["q"][2])]
+        items.append(("max", st["max"]))
+        for stat, expr in items:
             v = expr.cast("double")
             parts.append(F.struct(F.lit(c).alias("column"), F.lit(stat).alias("stat"),
                                   (F.round(v, digits) if digits is not None else v).alias("value")))
-    return wide.select(*keys, F.explode(F.array(*parts)).alias("d")).select(*keys, "d.*")
+    out = wide.select(*keys, F.explode(F.array(*parts)).alias("d")).select(*keys, "d.*")
+    if method == "ranked":
+        lng = unpivot_values(df, cols, keys)
+        q = quantiles_ranked(lng, "value", [0.25, 0.5, 0.75], keys + ["column"])
+        v = F.col("value")
+        q = q.select(*keys, "column", F.concat((F.col("p") * 100).cast("int").cast("string"), F.lit("%")).alias("stat"),
+                     (F.round(v, digits) if digits is not None else v).alias("value"))
+        out = out.unionByName(q)
+    return out
+
+
+def unpivot_values(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys.., column, value)``: one row per non-null value of each column, as double."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
+                                for c in cols])).alias("kv")
+    return df.select(*keys, pairs).select(*keys, "kv.column", "kv.value").where(F.col("value").isNotNull())
+
+
+def quantiles_ranked(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
+                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Exact interpolated quantiles (as ``percentile``/numpy) without holding a group's values
+    in one task: values are ranked within each group by ``sorting.position_within``
+    (range partitioning spreads a large group), the two ranks around
+    ``p * (n - 1)`` are picked by a join with a small table of target ranks,
+    and interpolated. Output ``(by.., p, value)``.
+    """
+    from tessera.operators.joins import checked_broadcast
+    from tessera.operators.sorting import position_within
+
+    keys = list(by)
+    src = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
+    n = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    targets = n.select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+    h = F.col("p") * (F.col("_n") - 1)
+    targets = targets.select(*keys, "p", (F.floor(h) + 1).cast("int").alias("_lo"),
+                             (h - F.floor(h)).alias("_frac"), "_n")
+    want = targets.select(*keys, "p", "_frac", F.explode(F.array(
+        F.struct(F.col("_lo").alias("_pos"), F.lit(0).alias("_side")),
+        F.struct(F.least(F.col("_lo") + 1, F.col("_n").cast("int")).alias("_pos"), F.lit(1).alias("_side"))
+    )).alias("w")).select(*keys, "p", "_frac", "w._pos", "w._side")
+    ranked = position_within(src, keys, ["_x"], name="_pos")
+    hit = ranked.join(checked_broadcast(want, max_broadcast_rows), [*keys, "_pos"])
+    g = hit.groupBy(*keys, "p", "_frac").agg(F.max(F.when(F.col("_side") == 0, F.col("_x"))).alias("_a"),
+                                             F.max(F.when(F.col("_side") == 1, F.col("_x"))).alias("_b"))
+    return g.select(*keys, "p", (F.col("_a") + F.col("_frac") * (F.col("_b") - F.col("_a"))).alias(value))

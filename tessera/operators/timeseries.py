@@ -416,6 +416,9 @@ def adf(series: DataFrame, max_p: int = 12, block: int = DEFAULT_BLOCK) -> DataF
     """
     stats = series_stats(series).withColumn(
         "_p", F.least(F.floor(F.pow(F.col("n") - 1, 1.0 / 3)), F.lit(max_p)).cast("int"))
+    # the regression width follows the longest series (one number to the driver)
+    longest = stats.agg(F.max("_p")).first()[0]
+    max_p = int(longest) if longest is not None else 0
     lg = lagged(series, max_p + 1, block).join(stats.select(KEY, "_p"), KEY)
     y = [F.col(V)] + [F.col(f"lag_{V}_{k}") for k in range(1, max_p + 2)]
     dy = F.col(V) - y[1]

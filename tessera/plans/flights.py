@@ -115,7 +115,7 @@ def delay_corr_by_airport(flights: DataFrame, airport: str = "Origin") -> DataFr
 
 # ------------------------------------------------------------------ Q4 -----
 
-def distance_summary(flights: DataFrame, exact: bool = True, digits: int | None = None) -> DataFrame:
+def distance_summary(flights: DataFrame, method: str = "exact", digits: int | None = None) -> DataFrame:
     """``summary()`` of Distance for delayed flights and for all (FN:299, FN:471).
 
     Output ``(subset, column, stat, value)``. Both subsets come from one scan:
@@ -124,7 +124,7 @@ def distance_summary(flights: DataFrame, exact: bool = True, digits: int | None
     subsets = F.when(F.col("ArrDelay") >= LATE_MINUTES, F.array(F.lit("all"), F.lit("delayed"))) \
         .otherwise(F.array(F.lit("all")))
     tagged = flights.select(F.explode(subsets).alias("subset"), "Distance")
-    return profile.describe(tagged, ["Distance"], exact=exact, by="subset", digits=digits)
+    return profile.describe(tagged, ["Distance"], method=method, by="subset", digits=digits)
 
 
 def flights_by_distance_category(flights: DataFrame) -> DataFrame:
