@@ -65,8 +65,10 @@ def _range_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], parti
     """
     from tessera.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *keys, *order).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    # without an explicit count AQE may merge adjacent ranges to fit the data
+    parted = (df.repartitionByRange(partitions, *keys, *order) if partitions
+              else df.repartitionByRange(*keys, *order))
+    return parted.withColumn("_pid", F.spark_partition_id()).checkpoint()
 
 
 def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos",

@@ -65,6 +65,12 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str | No
     elif infer:
         reader = reader.option("inferSchema", True)
     df = reader.csv(path)
+    if infer and schema is None:
+        # inferred timestamps stay wall-clock values, as written in the text,
+        # whatever the session time zone
+        from pyspark.sql.types import TimestampType
+        df = df.withColumns({f.name: F.col(f"`{f.name}`").cast("timestamp_ntz")
+                             for f in df.schema.fields if isinstance(f.dataType, TimestampType)})
     if decimal_comma_columns:
         df = df.withColumns({c: F.regexp_replace(F.col(c), ",", ".").try_cast(DoubleType())
                              for c in decimal_comma_columns})
