@@ -10,9 +10,7 @@ from tessera.functions import columns as C
 from tessera.functions import predicates as P
 from tessera.operators import joins as J
 from tessera.operators import profile
-from tessera.plans import crime as CR
 from tessera.plans import flights as FL
-from tessera.plans import wine as WI
 from tessera.sources import bindings as B
 from tessera.sources.io import read_delimited, read_table, scratch_path, write_text_table
 
@@ -302,5 +300,3 @@ def join_scalar_total(spark, sf):
     total = d.agg(F.count(F.lit(1)).alias("_total"))
     return J.with_scalar(g, total).select("Origin", "NumFlights", C.percent("NumFlights", "_total").alias("pct_of_all"))
 
-
-__all__ = ["CR", "WI"]

@@ -83,8 +83,10 @@ def fn_word_count(spark, sf):
 @register("fn_to_timestamp_utc", f"SELECT strftime(datetime, {ISO}) AS text, strptime(strftime(datetime, {ISO}), {ISO}) "
           "AS parsed FROM energy")
 def fn_to_timestamp_utc(spark, sf):
-    e = B.energy(spark, sf).select(F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("text"))
-    return e.select("text", C.to_timestamp_utc("text", "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz").alias("parsed"))
+    # the wall-clock text of a timestamp_ntz, to whole seconds (date_format would
+    # pass through the session time zone)
+    e = B.energy(spark, sf).select(F.substring(F.col("datetime").cast("string"), 1, 19).alias("text"))
+    return e.select("text", C.to_timestamp_utc("text", "yyyy-MM-dd HH:mm:ss").alias("parsed"))
 
 
 @register("fn_calendar_parts", """

@@ -149,8 +149,16 @@ def word_count(c: Column | str) -> Column:
 # --------------------------------------------------------------- time -----
 
 def to_timestamp_utc(c: Column | str, fmt: str | None = None) -> Column:
-    """Parse text as a timestamp in the session time zone (UTC); bad text gives null."""
-    return F.try_to_timestamp(col_of(c), F.lit(fmt)) if fmt else F.try_to_timestamp(col_of(c))
+    """Parse text as a UTC wall-clock time (``pd.to_datetime(utc=True)``, EN:67).
+
+    The result is a ``timestamp_ntz``: the text is taken as UTC whatever the
+    session time zone, so no local daylight-saving gap can shift it. Bad text
+    gives null (validated with ``try_to_timestamp`` before the NTZ parse).
+    """
+    c = col_of(c)
+    if not fmt:
+        return c.try_cast("timestamp_ntz")
+    return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))
 
 
 def calendar(df: DataFrame, ts: str) -> DataFrame:

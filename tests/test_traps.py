@@ -134,3 +134,15 @@ def test_t30_extreme_column_names(spark):
     assert (r["highest_source"], r["lowest_source"]) == ("b", "a")
     tie = spark.createDataFrame([(2.0, 1.0, 2.0)], "c double, b double, a double")
     assert ratios.extreme_column(tie, ["c", "b", "a"]).first()["highest_source"] == "a"
+
+
+def test_utc_parse_ignores_session_zone(spark):
+    df = spark.createDataFrame([("2024-03-10 02:33:02",), ("garbage",), (None,)], "s string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = [r[0] for r in df.select(C.to_timestamp_utc("s", "yyyy-MM-dd HH:mm:ss")).collect()]
+        plain = [r[0] for r in df.select(C.to_timestamp_utc("s")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert str(got[0]) == "2024-03-10 02:33:02" and got[1:] == [None, None] and plain == got
