@@ -18,23 +18,39 @@ TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False,
+               refresh: bool = False) -> DataFrame:
     """One Parquet test table; filters and projections reach the scan.
 
+    The given tables are read-only, so the relation (file listing and Parquet
+    footer) is resolved once per application and path; ``refresh=True`` lists
+    the files again.
+
     ``spread=True`` is for fact tables: when the files give fewer input splits
     than the cluster's default parallelism (one file with one row group, as
     in the small test data), the rows are spread round-robin so the stages
     after the scan use every core. On large inputs the scan already has more
     splits than cores and nothing is added.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    rkey = (spark.sparkContext.applicationId, path)
+    if refresh or rkey not in _RELATIONS:
+        _RELATIONS[rkey] = spark.read.parquet(path)
+    df = _RELATIONS[rkey]
     if spread:
         want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
+        key = (spark.sparkContext.applicationId, path)
+        if key not in _SPLITS:
+            _SPLITS[key] = df.rdd.getNumPartitions()
+        if _SPLITS[key] < want:
             df = df.repartition(want)
     return df
 
 
+_SPLITS: dict[tuple[str, str], int] = {}
+_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str | None = None,
                    sep: str = ",", header: bool = True, null_value: str = "NA",
                    quoted_multiline: bool = False, decimal_comma_columns: tuple[str, ...] = (),
