@@ -277,7 +277,7 @@ def fe_feature_importance(spark, sf):
 @register("fe_drop_by_importance", "WITH imp AS (" + _importance_sql() + ") SELECT feature FROM imp WHERE importance >= "
           + str(HRP.IMPORTANCE_THRESHOLD))
 def fe_drop_by_importance(spark, sf):
-    """Features kept at the 0.05 threshold (HR:552, HR:614)."""
+    """Features kept at the 0.05 threshold."""
     return _importance(spark, sf).where(F.col("importance") >= HRP.IMPORTANCE_THRESHOLD).select("feature")
 
 
@@ -297,7 +297,7 @@ def _disc_sql() -> str:
     f"count(DISTINCT {c}) AS {c}" for c in _DISC_ONEHOT) + " FROM d) UNPIVOT (n FOR \"column\" IN ("
     + ", ".join(_DISC_ONEHOT) + ")) WHERE n <= 1")
 def fe_drop_constant(spark, sf):
-    """Columns of the discretised table holding one value only (HR:472, HR:475)."""
+    """Columns of the discretised table holding one value only."""
     d = HRP.discretized(B.hr(spark, sf)).select("id", *_DISC_ONEHOT)
     counts = d.agg(*[F.count_distinct(c).alias(c) for c in _DISC_ONEHOT])
     return counts.unpivot([], _DISC_ONEHOT, "column", "n").where(F.col("n") <= 1).select("column")
@@ -324,7 +324,7 @@ def fe_skewed_features(spark, sf):
           f"SELECT id, l.\"column\", {r_up('ln(1 + value - mn)', 9)} AS value FROM l JOIN mins ON l.\"column\" = mins.\"column\"\n"
           "WHERE l.\"column\" IN (SELECT \"column\" FROM k WHERE abs(sk) > 0.75)")
 def fe_fix_skewness(spark, sf):
-    """``log1p(x - min)`` on the skewed numeric columns (HR:317), long ``(id, column, value)``."""
+    """``log1p(x - min)`` on the skewed numeric columns, long ``(id, column, value)``."""
     e = HRP.encoded(B.hr(spark, sf))
     cols = [r["column"] for r in FE.skewed(e, ENC_NUM).collect()]
     fixed = FE.fix_skewness(e, cols)

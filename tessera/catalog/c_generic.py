@@ -29,7 +29,7 @@ def _orders_with_na(spark, sf):
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
   o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, {ORDERS_NA_SQL} AS o_orderpriority FROM orders""")
 def scan_csv_header(spark, sf):
-    """All columns read as text (FN:78); the price is then cast, bad text giving null."""
+    """All columns read as text; the price is then cast, bad text giving null."""
     path = scratch_path(spark, "orders-csv")
     write_text_table(_orders_with_na(spark, sf), path)
     text = read_delimited(spark, path, ", ".join(f"{c} string" for c in ORDERS_COLS))
@@ -40,7 +40,7 @@ def scan_csv_header(spark, sf):
 SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
   o_totalprice, o_orderdate, {ORDERS_NA_SQL} AS o_orderpriority FROM orders""")
 def scan_csv_infer(spark, sf):
-    """Types inferred from the text (CN:35-38): one extra pass over the file."""
+    """Types inferred from the text: one extra pass over the file."""
     path = scratch_path(spark, "orders-csv")
     write_text_table(_orders_with_na(spark, sf), path)
     return read_delimited(spark, path, infer=True)
@@ -56,7 +56,7 @@ def scan_csv_semicolon(spark, sf):
 
 @register("scan_csv_decimal_comma", "SELECT event_id, value FROM events")
 def scan_csv_decimal_comma(spark, sf):
-    """``read.csv(sep=';', dec=',')`` (TS:8-9): decimal commas converted after reading."""
+    """``read.csv(sep=';', dec=',')``: decimal commas converted after reading."""
     path = scratch_path(spark, "events-dec")
     e = read_table(spark, sf, "events").select(
         "event_id", F.regexp_replace(F.col("value").cast("string"), r"\.", ",").alias("value"))
@@ -74,7 +74,7 @@ def scan_tsv(spark, sf):
 
 @register("scan_csv_quoted", "SELECT doc_id, text, lang, source FROM documents")
 def scan_csv_quoted(spark, sf):
-    """Quoted free text spanning lines (WR:47): whole documents round-trip through CSV."""
+    """Quoted free text spanning lines: whole documents round-trip through CSV."""
     path = scratch_path(spark, "documents-csv")
     write_text_table(read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), path)
     return read_delimited(spark, path, "doc_id long, text string, lang string, source string",

@@ -71,7 +71,7 @@ def ml_accuracy_recall_mcc(spark, sf):
 
 @register("ml_logreg_fit_predict")
 def ml_logreg_fit_predict(spark, sf):
-    """Baseline model: fit on the 80% hash split, predict the 20% (HR:261-264)."""
+    """Baseline model: fit on the 80% hash split, predict the 20%."""
     e = HRP.encoded(B.hr(spark, sf))
     feats = HRP.feature_columns(e)
     train, test = FE.hash_split(e, HRP.ID, 0.2)
@@ -81,7 +81,7 @@ def ml_logreg_fit_predict(spark, sf):
 
 @register("ml_cross_val")
 def ml_cross_val(spark, sf):
-    """30-fold F1 and weighted F1 of the baseline model on the training split (HR:345-349)."""
+    """30-fold F1 and weighted F1 of the baseline model on the training split."""
     e = HRP.encoded(B.hr(spark, sf))
     train, _ = FE.hash_split(e, HRP.ID, 0.2)
     return ml.cross_validate(train, HRP.feature_columns(e), HRP.LABEL, HRP.ID, folds=30)

@@ -27,7 +27,7 @@ def cast_all(df: DataFrame, cols: Iterable[str], to: str | DataType) -> DataFram
 
 
 def cast_category(df: DataFrame, c: str, code_suffix: str = "_code") -> DataFrame:
-    """Category type: keep the text and add a dense integer code in value order (HR:102-103).
+    """Category type: keep the text and add a dense integer code in value order.
 
     The distinct values are numbered by ``sorting.position_within`` (range
     partitioned, so even a high-cardinality column is numbered in parallel)
@@ -44,7 +44,7 @@ def cast_category(df: DataFrame, c: str, code_suffix: str = "_code") -> DataFram
 
 def flag_present(df: DataFrame, cols: Sequence[str], threshold: float = 0,
                  suffix: str = "_present") -> DataFrame:
-    """``c_present = 1 if c > threshold else 0`` for every column (FN:166-167); null gives 0."""
+    """``c_present = 1 if c > threshold else 0`` for every column; null gives 0."""
     return df.withColumns({c + suffix: F.when(F.col(c) > threshold, F.lit(1)).otherwise(F.lit(0))
                            for c in cols})
 
@@ -73,7 +73,7 @@ def round_half_even(c: Column | str, digits: int) -> Column:
 # --------------------------------------------------------- value mapping ---
 
 def map_values(c: Column | str, mapping: Mapping[object, object], default: object = None) -> Column:
-    """Value -> class with a default, as one ``CASE`` (CN:177-184).
+    """Value -> class with a default, as one ``CASE``.
 
     The mapping is a small, fixed dictionary written into the plan; a
     mapping too large for that belongs in a lookup table joined instead.
@@ -88,7 +88,7 @@ def map_values(c: Column | str, mapping: Mapping[object, object], default: objec
 
 
 def replace_values(c: Column | str, old: Sequence[object], new: object) -> Column:
-    """``np.where(x in old, new, x)`` (HR:93-94); null stays null."""
+    """``np.where(x in old, new, x)``; null stays null."""
     c = col_of(c)
     return F.when(c.isin(*old), F.lit(new)).otherwise(c)
 
@@ -113,7 +113,7 @@ def cut_right(c: Column | str, edges: Sequence[float], labels: Sequence[str],
 
 
 def discretize(c: Column | str, bins: Sequence[tuple[float, float]], names: Sequence[str]) -> Column:
-    """Named bins given as ``(lo, hi)`` pairs (HR:381-398).
+    """Named bins given as ``(lo, hi)`` pairs.
 
     Bins are right-closed, ``(lo, hi]``, and the first bin also takes its low
     edge [choice, see SURVEY 2.9]. Values outside every bin give null.
@@ -149,7 +149,7 @@ def word_count(c: Column | str) -> Column:
 # --------------------------------------------------------------- time -----
 
 def to_timestamp_utc(c: Column | str, fmt: str | None = None) -> Column:
-    """Parse text as a UTC wall-clock time (``pd.to_datetime(utc=True)``, EN:67).
+    """Parse text as a UTC wall-clock time (``pd.to_datetime(utc=True)``).
 
     The result is a ``timestamp_ntz``: the text is taken as UTC whatever the
     session time zone, so no local daylight-saving gap can shift it. Bad text
@@ -162,7 +162,7 @@ def to_timestamp_utc(c: Column | str, fmt: str | None = None) -> Column:
 
 
 def calendar(df: DataFrame, ts: str) -> DataFrame:
-    """day, month, year, hour, weekday (Monday = 0, T19), as EN:80-84."""
+    """day, month, year, hour, weekday (Monday = 0, T19), as pandas gives them."""
     t = F.col(ts)
     return df.withColumns({
         "day": F.dayofmonth(t), "month": F.month(t), "year": F.year(t),
@@ -176,12 +176,12 @@ def weekend_flag(weekday_col: Column | str) -> Column:
 
 
 def weekend_label(iso_dow: Column | str) -> Column:
-    """6, 7 -> 'Weekend', anything else (null too) -> 'Weekday' (FN:435-437)."""
+    """6, 7 -> 'Weekend', anything else (null too) -> 'Weekday'."""
     c = col_of(iso_dow)
     return F.when(c.isin(6, 7), F.lit("Weekend")).otherwise(F.lit("Weekday"))
 
 
-# Month -> season as in the energy study (EN:115-143).
+# Month -> season as in the energy study.
 SEASON_MONTHS = {"Winter": (12, 1, 2), "Spring": (3, 4, 5), "Summer": (6, 7, 8)}
 SEASON_DEFAULT = "Fall"
 

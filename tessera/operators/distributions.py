@@ -33,7 +33,7 @@ def _join_stats(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def grid(stats: DataFrame, lo: Column, hi: Column, points: int = 100, name: str = "x") -> DataFrame:
-    """``seq(lo, hi, length = points)`` for every row of ``stats`` (TS:56, WR:187): columns ``i, x``."""
+    """``seq(lo, hi, length = points)`` for every row of ``stats``: columns ``i, x``."""
     i = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i")
     g = stats.select("*", i)
     return g.withColumn(name, lo + F.col("i") * (hi - lo) / (points - 1))
@@ -42,7 +42,7 @@ def grid(stats: DataFrame, lo: Column, hi: Column, points: int = 100, name: str
 # ------------------------------------------------------------ histograms ---
 
 def histogram_bins(df: DataFrame, col: str, bins: int = 30, by: str | Sequence[str] | None = None) -> DataFrame:
-    """Equal-width histogram over ``[min, max]`` with ``bins`` bins (WR:186).
+    """Equal-width histogram over ``[min, max]`` with ``bins`` bins.
 
     Output ``(by.., bin, lo, hi, count)``; the maximum falls in the last bin,
     a constant column in bin 0. Empty bins are left out.
@@ -62,7 +62,7 @@ def histogram_bins(df: DataFrame, col: str, bins: int = 30, by: str | Sequence[s
 
 def histogram_width(df: DataFrame, col: str, width: float, lo: float | None = None,
                     hi: float | None = None, by: str | Sequence[str] | None = None) -> DataFrame:
-    """Fixed-width histogram, bins ``[k w, (k+1) w)``, optionally within limits (WR:201-208).
+    """Fixed-width histogram, bins ``[k w, (k+1) w)``, optionally within limits.
 
     No statistics pass is needed: the bin follows from the value alone.
     """
@@ -80,7 +80,7 @@ def histogram_width(df: DataFrame, col: str, width: float, lo: float | None = No
 
 def histogram_density(df: DataFrame, col: str, by: str | Sequence[str] | None = None,
                       bins: int | None = None) -> DataFrame:
-    """Density-scaled histogram (``hist(prob = TRUE)``, TS:52): ``count / (n * width)``.
+    """Density-scaled histogram (``hist(prob = TRUE)``): ``count / (n * width)``.
 
     Bins are equal-width over the data range; their number is Sturges'
     ``ceil(log2(n) + 1)`` per group unless given (R rounds the breaks to
@@ -109,7 +109,7 @@ def _long(df: DataFrame, cols: Sequence[str], keys: list[str]) -> DataFrame:
 
 
 def histogram_all(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
-    """Histograms of many numeric columns in one job (HR:226): the columns are unpivoted
+    """Histograms of many numeric columns in one job: the columns are unpivoted
     and binned by column."""
     return histogram_bins(_long(df, cols, []), "value", bins, by="column")
 
@@ -120,8 +120,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: str | Sequence[str] | None
               whisker: float = 1.5, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Box-plot statistics per column (and group): quartiles (interpolated as
     numpy's default), whiskers at the most extreme values within
-    ``whisker * IQR`` of the box, and the number of values beyond (HR:114-163,
-    WR:278-288).
+    ``whisker * IQR`` of the box, and the number of values beyond.
 
     Output ``(by.., column, n, q1, median, q3, lower_whisker, upper_whisker,
     n_outliers)``. Quartiles are one aggregate; the fences are joined back as
@@ -170,7 +169,7 @@ def bandwidth_nrd0(sd: Column, q1: Column, q3: Column, n: Column) -> Column:
 
 def kde(df: DataFrame, col: str, by: str | Sequence[str] | None = None, points: int = 100,
         bins: int = 512, cut: float = 3.0, lo: float | None = None, hi: float | None = None) -> DataFrame:
-    """Gaussian kernel density on a grid of ``points`` (TS:53, WR:232-244).
+    """Gaussian kernel density on a grid of ``points``.
 
     The data are first counted in ``bins`` equal-width bins per group; the
     density at each grid point is the kernel sum over the bin centres
@@ -207,7 +206,7 @@ def kde(df: DataFrame, col: str, by: str | Sequence[str] | None = None, points:
 
 def normal_overlay(df: DataFrame, col: str, by: str | Sequence[str] | None = None, points: int = 100,
                    spread: float = 3.0) -> DataFrame:
-    """Normal curve with the sample mean and sd over ``mean +- spread sd`` (TS:54-58)."""
+    """Normal curve with the sample mean and sd over ``mean +- spread sd``."""
     from tessera.functions.columns import normal_pdf
     keys = _keys(by)
     x = F.col(col).cast("double")
@@ -217,8 +216,8 @@ def normal_overlay(df: DataFrame, col: str, by: str | Sequence[str] | None = Non
 
 
 def trend(df: DataFrame, x: str, y: str, by: str | Sequence[str] | None = None) -> DataFrame:
-    """Mean of ``y`` at each ``x`` and the least-squares line through the data, per facet
-    (WR:251-260). R draws a loess/GAM smoother; a straight line is the
+    """Mean of ``y`` at each ``x`` and the least-squares line through the data, per facet.
+    R draws a loess/GAM smoother; a straight line is the
     aggregate form chosen here.
 
     Output ``(by.., x, n, mean_y, fitted)``.

@@ -20,7 +20,7 @@ from tessera.operators.sorting import top_k_per_group
 
 def onehot(df: DataFrame, col: str, values: Sequence, prefix: str | None = None,
            drop: bool = True) -> DataFrame:
-    """0/1 column ``<col>_<value>`` for every value (HR:235-238).
+    """0/1 column ``<col>_<value>`` for every value.
 
     The values are given: a Spark plan needs its columns before it runs. Use
     ``category_values`` to find them (one small aggregate), or Spark ML's
@@ -62,13 +62,13 @@ def outlier_flag(cols: Sequence[str], whisker: float = 1.5) -> Column:
 
 
 def outlier_rows(df: DataFrame, cols: Sequence[str], id_col: str, whisker: float = 1.5) -> DataFrame:
-    """Ids of rows with a value beyond the box-plot fences in any column (HR:278) [choice: 1.5 IQR]."""
+    """Ids of rows with a value beyond the box-plot fences in any column [choice: 1.5 IQR]."""
     stats = _column_stats(df, cols)
     return df.crossJoin(F.broadcast(stats)).where(outlier_flag(cols, whisker)).select(id_col)
 
 
 def drop_rows(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """Remove rows by id (HR:281): an anti join, shuffled on the id (unique, so never skewed)."""
+    """Remove rows by id: an anti join, shuffled on the id (unique, so never skewed)."""
     return df.join(ids.select(id_col), on=id_col, how="left_anti")
 
 
@@ -81,12 +81,12 @@ def skewness_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def skewed(df: DataFrame, cols: Sequence[str], threshold: float = 0.75) -> DataFrame:
-    """Columns whose absolute skewness exceeds ``threshold`` (HR:311) [choice: 0.75]."""
+    """Columns whose absolute skewness exceeds ``threshold`` [choice: 0.75]."""
     return skewness_table(df, cols).where(F.abs(F.col("skewness")) > threshold)
 
 
 def fix_skewness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``log1p(x - min)`` for the given columns (HR:317): non-negative, order preserving [choice]."""
+    """``log1p(x - min)`` for the given columns: non-negative, order preserving [choice]."""
     if not cols:
         return df
     mins = df.agg(*[F.min(F.col(c).cast("double")).alias(f"_m_{c}") for c in cols])
@@ -98,7 +98,7 @@ def fix_skewness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # --------------------------------------------------------------- scaling ---
 
 def minmax(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(x - min) / (max - min)``; a constant column becomes 0 (HR:323)."""
+    """``(x - min) / (max - min)``; a constant column becomes 0."""
     if not cols:
         return df
     mm = df.agg(*[x for c in cols for x in (F.min(F.col(c).cast("double")).alias(f"_lo_{c}"),
@@ -113,7 +113,7 @@ def minmax(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def drop_constant(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    """Names of columns with a single value (HR:472); one small aggregate to the driver."""
+    """Names of columns with a single value; one small aggregate to the driver."""
     row = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cols]).first()
     return [c for c in cols if row[c] <= 1]
 
@@ -128,7 +128,7 @@ def hash_bucket(id_col: str, buckets: int = 100) -> Column:
 
 def hash_split(df: DataFrame, id_col: str, test_fraction: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """Train/test split that does not move when the data is re-read or partitioned differently
-    (HR:261); ``randomSplit`` depends on partitioning."""
+   ; ``randomSplit`` depends on partitioning."""
     is_test = hash_bucket(id_col) < int(round(test_fraction * 100))
     return df.where(~is_test), df.where(is_test)
 
@@ -142,7 +142,7 @@ def with_split(df: DataFrame, id_col: str, test_fraction: float = 0.2, name: str
 
 def relieff(df: DataFrame, features: Sequence[str], label: str, id_col: str, anchors: int = 100,
             k: int = 10, digits: int = 9) -> DataFrame:
-    """ReliefF feature weights (HR:288; the reference imports ReliefF) [choice].
+    """ReliefF feature weights (the reference imports ReliefF) [choice].
 
     ``anchors`` rows (the lowest ids: a deterministic sample of fixed size,
     taken with a bounded top-k) are compared with every row; features are
@@ -221,5 +221,5 @@ def relieff(df: DataFrame, features: Sequence[str], label: str, id_col: str, anc
 
 
 def below_threshold(importance: DataFrame, threshold: float = 0.05) -> list[str]:
-    """Features whose importance is below ``threshold`` (HR:552, HR:614): a short list to the driver."""
+    """Features whose importance is below ``threshold``: a short list to the driver."""
     return [r["feature"] for r in importance.where(F.col("importance") < threshold).collect()]

@@ -1,6 +1,6 @@
 """Joins.
 
-The reference broadcasts its lookup tables by hand (FN:90-91). A broadcast is
+The reference broadcasts its lookup tables by hand. A broadcast is
 only safe for a side whose size is bounded, so the explicit hint here sits
 behind a row-count check; a side above the bound is joined by shuffle (sort
 merge), and AQE may still turn that into a broadcast at run time when the
@@ -47,7 +47,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str] | Co
     """Enrich ``fact`` with a lookup table.
 
     ``on`` is a shared key name / list (the key is kept once) or a join
-    condition (both keys kept, FN:91). ``broadcast``: ``'checked'`` hints a
+    condition (both keys kept). ``broadcast``: ``'checked'`` hints a
     broadcast after the size check, ``'auto'`` leaves it to the planner's size
     estimate and AQE, ``'never'`` forces a shuffle join.
     """
@@ -62,7 +62,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str] | Co
 
 def join_aggregates(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                     how: str = "inner") -> DataFrame:
-    """Join two aggregates of the same base on their group keys (FN:187, CN:267-269).
+    """Join two aggregates of the same base on their group keys.
 
     Both sides are already one row per key, so neither side is skewed.
     """
@@ -73,7 +73,7 @@ def with_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
     """Attach a one-row aggregate (e.g. a grand total) to every row.
 
     Replaces the reference's driver-side ``count()`` baked into a later plan
-    (FN:214-219): the one-row side is broadcast (its size is one row by
+   : the one-row side is broadcast (its size is one row by
     construction) and nothing returns to the driver.
     """
     return df.crossJoin(F.broadcast(scalar))

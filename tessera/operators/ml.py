@@ -24,7 +24,7 @@ from tessera.operators.features import hash_bucket
 
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str, C: float = 1.0,
                  max_iter: int = 200, tol: float = 1e-6) -> PipelineModel:
-    """Fit L2 logistic regression (HR:263). Counts the training rows once for ``regParam``."""
+    """Fit L2 logistic regression. Counts the training rows once for ``regParam``."""
     n = train.count()
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
     lr = LogisticRegression(featuresCol="_features", labelCol="_label", regParam=1.0 / (C * max(n, 1)),
@@ -35,7 +35,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str, C: float
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """``prediction`` (0/1 int) and ``probability`` of class 1 next to the kept columns (HR:264)."""
+    """``prediction`` (0/1 int) and ``probability`` of class 1 next to the kept columns."""
     from pyspark.ml.functions import vector_to_array
     out = model.transform(df)
     return out.select(*keep, F.col("prediction").cast("int").alias("prediction"),
@@ -69,7 +69,7 @@ def _class_metrics(tp, fp, fn):
 
 def report(pred: DataFrame, label: str = "label", prediction: str = "prediction",
            by: Sequence[str] = ()) -> DataFrame:
-    """``classification_report`` for a 0/1 label (HR:269): per class precision, recall,
+    """``classification_report`` for a 0/1 label: per class precision, recall,
     F1 and support, then accuracy, macro and weighted averages.
 
     Output ``(by.., class, precision, recall, f1_score, support)``.
@@ -98,7 +98,7 @@ def report(pred: DataFrame, label: str = "label", prediction: str = "prediction"
 
 def f1_score(pred: DataFrame, label: str = "label", prediction: str = "prediction",
              by: Sequence[str] = ()) -> DataFrame:
-    """F1 of class 1 (HR:267)."""
+    """F1 of class 1."""
     c = _counts(pred, label, prediction, by)
     return c.select(*by, _class_metrics(F.col("tp"), F.col("fp"), F.col("fn"))[2].alias("f1"))
 
@@ -122,7 +122,7 @@ def summary_metrics(pred: DataFrame, label: str = "label", prediction: str = "pr
 
 
 def accuracy_recall_mcc(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Accuracy, recall of class 1 and Matthews correlation, one row (imported at HR:14)."""
+    """Accuracy, recall of class 1 and Matthews correlation, one row (imported at )."""
     c = _counts(pred, label, prediction)
     tp, fp, fn, tn = (F.col(x).cast("double") for x in ("tp", "fp", "fn", "tn"))
     den = F.sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn))
@@ -197,7 +197,7 @@ def fit_logistic_folds(data: DataFrame, features: Sequence[str], label: str, fol
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, id_col: str, folds: int = 30,
                    C: float = 1.0) -> DataFrame:
-    """K-fold scores of the logistic model (HR:345-349): ``(fold, f1, f1_weighted)``.
+    """K-fold scores of the logistic model: ``(fold, f1, f1_weighted)``.
 
     The prepared rows are checkpointed once (lineage cut in the shared
     checkpoint folder: every Newton pass reads them, and a lost executor does

@@ -3,7 +3,7 @@ least and most frequent values, extremes, describe, schema report.
 
 Every function is one declarative plan. Several columns are profiled in one
 scan: they are unpivoted to ``(column, value)`` and grouped once, instead of
-one job per column as in the reference (CN:75-157).
+one job per column as in the reference.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ def schema_report(df: DataFrame) -> DataFrame:
 
 
 def feature_list(df: DataFrame, exclude: Sequence[str]) -> list[str]:
-    """Names of all columns but ``exclude`` (EN:50-51)."""
+    """Names of all columns but ``exclude``."""
     ex = {e.lower() for e in exclude}
     return [c for c in df.columns if c.lower() not in ex]
 
@@ -40,13 +40,13 @@ def feature_list(df: DataFrame, exclude: Sequence[str]) -> list[str]:
 # ----------------------------------------------------------- null/distinct --
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """One row, one column per input column: number of nulls (CN:75, EN:58); one pass."""
+    """One row, one column per input column: number of nulls; one pass."""
     cols = list(cols or df.columns)
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
 
 
 def any_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """One row: does the column hold a null (HR:81)."""
+    """One row: does the column hold a null."""
     cols = list(cols or df.columns)
     return df.agg(*[F.bool_or(F.col(c).isNull()).alias(c) for c in cols])
 
@@ -58,7 +58,7 @@ def any_equal(df: DataFrame, c: str, value, name: str | None = None) -> DataFram
 
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False,
                     rsd: float = 0.01) -> DataFrame:
-    """One row: distinct non-null values per column (CN:78).
+    """One row: distinct non-null values per column.
 
     ``approx=True`` uses HyperLogLog++ (fixed memory per column) for tables
     where exact distinct counts would shuffle every distinct value.
@@ -70,7 +70,7 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, approx: bo
 
 
 def distinct_values(df: DataFrame, c: str) -> DataFrame:
-    """``unique()``: the distinct values of a column, null included (HR:69)."""
+    """``unique()``: the distinct values of a column, null included."""
     return df.select(c).distinct()
 
 
@@ -106,7 +106,7 @@ def most_frequent(df: DataFrame, c: str, k: int, name: str = "Total") -> DataFra
 
 
 def extremes(df: DataFrame, cols: Sequence[str], name: str = "Total") -> DataFrame:
-    """Least and most frequent value of each column with its count, one row (CN:111-124).
+    """Least and most frequent value of each column with its count, one row.
 
     Replaces four ``orderBy().first()`` driver round trips by ``min`` over
     ``struct(count, value)`` per column. Ties go to the smaller value, a

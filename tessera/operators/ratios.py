@@ -1,7 +1,7 @@
 """Shares, rates, co-occurrence, correlation and pivots.
 
 The reference computes a total with a driver-side ``count()`` and writes it
-into a second plan as a constant (FN:214-219, CN:176). Here the total is a
+into a second plan as a constant. Here the total is a
 window sum over the already aggregated rows (one row per group), so the base
 is scanned once and nothing comes back to the driver.
 """
@@ -69,7 +69,7 @@ def share_of_group(df: DataFrame, keys: Sequence[str], part_key: str, *, where:
     ``total_count_col`` if given). The total is a window sum, partitioned by
     the group key, over the fine counts (one row per part), so the base is
     scanned once. Groups with a null key drop out, as the reference's inner
-    join does (CN:267-269).
+    join does.
     """
     keys = list(keys)
     cond = where if where is not None else F.lit(True)
@@ -90,7 +90,7 @@ def share_of_group(df: DataFrame, keys: Sequence[str], part_key: str, *, where:
 def rate_by(df: DataFrame, keys: str | Sequence[str], cond: Column, *, name: str = "rate",
             count_name: str | None = None, total_name: str | None = None,
             digits: int | None = 1, rounding: str = "up") -> DataFrame:
-    """Percentage of rows meeting ``cond`` within each group (FN:440-444)."""
+    """Percentage of rows meeting ``cond`` within each group."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     aggs = [_round(F.avg(F.when(cond, 1).otherwise(0)) * 100, digits, rounding).alias(name)]
     if count_name:
@@ -102,7 +102,7 @@ def rate_by(df: DataFrame, keys: str | Sequence[str], cond: Column, *, name: str
 
 def cooccurrence(df: DataFrame, cols: Sequence[str], threshold: float = 15,
                  names: Mapping[str, str] | None = None, sep: str = "-") -> DataFrame:
-    """One row: for every pair of columns, rows where both reach ``threshold`` (FN:244-254).
+    """One row: for every pair of columns, rows where both reach ``threshold``.
 
     Pairs follow ``itertools.combinations`` order; one aggregate, one pass.
     """
@@ -114,7 +114,7 @@ def cooccurrence(df: DataFrame, cols: Sequence[str], threshold: float = 15,
 
 def corr_by(df: DataFrame, keys: str | Sequence[str], pairs: Mapping[str, tuple[str, str]],
             digits: int | None = 2, drop_undefined: bool = True) -> DataFrame:
-    """Correlation of column pairs per group, undefined results removed (FN:257-263).
+    """Correlation of column pairs per group, undefined results removed.
 
     Zero variance or fewer than two pairs give null rather than an ANSI
     division error (T10); with ``drop_undefined`` groups with any null
@@ -131,7 +131,7 @@ def corr_by(df: DataFrame, keys: str | Sequence[str], pairs: Mapping[str, tuple[
 
 def pivot_value(df: DataFrame, key: str | Sequence[str], pivot_col: str, values: Sequence,
                 value_col: str, agg: str = "min") -> DataFrame:
-    """``groupBy(key).pivot(col, values).<agg>(value)`` with the values given (CN:278-281).
+    """``groupBy(key).pivot(col, values).<agg>(value)`` with the values given.
 
     Giving the values saves the extra job that finds them.
     """
@@ -141,7 +141,7 @@ def pivot_value(df: DataFrame, key: str | Sequence[str], pivot_col: str, values:
 
 def weighted_totals(df: DataFrame, quantities: Mapping[str, str], price: str,
                     digits: int | None = 0) -> DataFrame:
-    """One row: ``round(sum(quantity * price))`` for several quantities (EN:182-207).
+    """One row: ``round(sum(quantity * price))`` for several quantities.
 
     Rounding is half to even, as numpy does for the reference's ``round``.
     """
@@ -150,7 +150,7 @@ def weighted_totals(df: DataFrame, quantities: Mapping[str, str], price: str,
 
 
 def extreme_column(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Which column has the largest and which the smallest total (EN:247-253), one row.
+    """Which column has the largest and which the smallest total, one row.
 
     The column totals are one aggregate; ``unpivot`` turns them into rows and
     ``min`` over ``struct(total, name)`` picks the names (T30); equal totals

@@ -39,12 +39,12 @@ DEFAULT_BLOCK = 4096
 # ------------------------------------------------------------ positions ----
 
 def slice_first(series: DataFrame, n: int) -> DataFrame:
-    """First ``n`` observations of every series (TS:19-23): a filter on the position."""
+    """First ``n`` observations of every series: a filter on the position."""
     return series.where(F.col(T) <= n)
 
 
 def difference(series: DataFrame) -> DataFrame:
-    """First difference ``diff(y)`` (TS:95): ``z_t = y_{t+1} - y_t`` for ``t = 1..n-1``.
+    """First difference ``diff(y)``: ``z_t = y_{t+1} - y_t`` for ``t = 1..n-1``.
 
     An equi-join of the series with itself shifted by one position; the join
     key ``(series_id, t)`` is unique, so no key is hot.
@@ -55,7 +55,7 @@ def difference(series: DataFrame) -> DataFrame:
 
 
 def squared(series: DataFrame) -> DataFrame:
-    """``y^2`` (TS:76-78)."""
+    """``y^2``."""
     return series.select(KEY, T, (F.col(V) * F.col(V)).alias(V))
 
 
@@ -67,7 +67,7 @@ def series_stats(series: DataFrame) -> DataFrame:
 
 
 def moments(series: DataFrame) -> DataFrame:
-    """n, mean, sample sd, skewness and kurtosis as R's fBasics defines them (TS:40-43, T24).
+    """n, mean, sample sd, skewness and kurtosis as R's fBasics defines them (T24).
 
     fBasics divides the third and fourth central moments by powers of the
     *sample* sd; Spark's ``skewness``/``kurtosis`` use the population sd and
@@ -124,7 +124,7 @@ def autocovariance_sums(series: DataFrame, max_lag: int, block: int = DEFAULT_BL
 
 
 def acf(series: DataFrame, max_lag: int = 20, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Autocorrelations ``r_k = s_k / s_0`` for ``k = 1..max_lag`` (TS:36), long ``(series_id, n, lag, acf)``.
+    """Autocorrelations ``r_k = s_k / s_0`` for ``k = 1..max_lag``, long ``(series_id, n, lag, acf)``.
 
     Lags at or beyond the series length are left out; a constant series has
     no autocorrelation (null).
@@ -159,7 +159,7 @@ def chi2_sf_even(q: Column, df: int) -> Column:
 
 
 def ljung_box(series: DataFrame, lag: int = 20, fitdf: int = 0) -> DataFrame:
-    """Ljung-Box portmanteau test (TS:69), ``Box.test(y, lag, type='Ljung')``.
+    """Ljung-Box portmanteau test, ``Box.test(y, lag, type='Ljung')``.
 
     ``Q = n(n+2) sum_k r_k^2 / (n-k)``, chi-square with ``lag - fitdf`` degrees
     of freedom. Output ``(series_id, n, statistic, df, p_value)``.
@@ -205,7 +205,7 @@ def chi2_sf(q: float, dof: int) -> float:
 # ----------------------------------------------------------------- PACF ----
 
 def pacf(series: DataFrame, max_lag: int = 20) -> DataFrame:
-    """Partial autocorrelations by Durbin-Levinson on the autocorrelations (TS:37).
+    """Partial autocorrelations by Durbin-Levinson on the autocorrelations.
 
     The recursion runs per series on its K autocorrelations only (one short
     array per series), in ``applyInPandas``. Output ``(series_id, lag, pacf)``.
@@ -309,7 +309,7 @@ def _poly(coefs: Sequence[float], x):
 
 
 def shapiro(series: DataFrame) -> DataFrame:
-    """Shapiro-Wilk normality test (TS:63), Royston's approximation as R's ``shapiro.test``.
+    """Shapiro-Wilk normality test, Royston's approximation as R's ``shapiro.test``.
 
     Defined for ``3 <= n <= 5000``; other series are left out. Because of
     that bound the per-series rank window never holds more than 5000 rows,
@@ -405,7 +405,7 @@ def _df_critical(n: Column) -> Column:
 
 
 def adf(series: DataFrame, max_p: int = 12, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Augmented Dickey-Fuller test with constant (TS:49) [choice: see README].
+    """Augmented Dickey-Fuller test with constant [choice: see README].
 
     Regression ``dy_t = a + g y_{t-1} + sum_{j<=p} b_j dy_{t-j}`` with
     ``p = floor((n-1)^(1/3))`` (capped at ``max_p``); statistic ``g / se(g)``
@@ -467,7 +467,7 @@ def adf(series: DataFrame, max_p: int = 12, block: int = DEFAULT_BLOCK) -> DataF
 
 
 def ndiffs(series: DataFrame, max_d: int = 2, max_p: int = 12) -> DataFrame:
-    """Number of differences needed for stationarity by the ADF test (TS:49, TS:103).
+    """Number of differences needed for stationarity by the ADF test.
 
     The series and its first ``max_d`` differences are tested in the same
     job; ``d`` is the first order whose test rejects a unit root, else
@@ -492,7 +492,7 @@ def ndiffs(series: DataFrame, max_d: int = 2, max_p: int = 12) -> DataFrame:
 # -------------------------------------------------------------- battery ----
 
 def diagnose(series: DataFrame, lag: int = 20, max_d: int = 2) -> DataFrame:
-    """The whole battery of the series study (TS:29-115) for y, y^2 and z = diff(y).
+    """The whole battery of the series study for y, y^2 and z = diff(y).
 
     Output ``(series_id, transform, test, statistic, p_value)``; tests are
     ``ljung_box`` (all three), ``shapiro`` (y, z) and ``ndiffs`` (y, z; the
@@ -519,7 +519,7 @@ def diagnose(series: DataFrame, lag: int = 20, max_d: int = 2) -> DataFrame:
 
 
 def strict_white_noise(series: DataFrame, lag: int = 20, alpha: float = 0.05) -> DataFrame:
-    """Verdict per series (TS:69-88): uncorrelated (Ljung-Box on y), uncorrelated squares
+    """Verdict per series: uncorrelated (Ljung-Box on y), uncorrelated squares
     (Ljung-Box on y^2), normal (Shapiro-Wilk). ``GWN`` when all three hold,
     ``SWN`` when the first two hold, ``WN`` when only the first, else ``not WN``.
     """

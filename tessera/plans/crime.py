@@ -1,4 +1,4 @@
-"""Crime profiling study (CN/CP): column profiles, ratios by category and
+"""Crime profiling study: column profiles, ratios by category and
 severity, top premises, severe-crime share by ZIP and its pivot.
 
 Input columns: ``OCCURRED ON, OCCURRED TO`` (timestamps), ``UCR CRIME
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tessera.functions import columns as C
 from tessera.operators import profile, ratios
 
-# The study's severity classes (CN:177-184).
+# The study's severity classes.
 SEVERITY_MAP = {
     "ARSON": "3.MAJOR",
     "AGGRAVATED ASSAULT": "3.MAJOR",
@@ -39,36 +39,36 @@ def with_severity(crimes: DataFrame, mapping: Mapping[str, str] = SEVERITY_MAP,
 
 
 def profile_columns(crimes: DataFrame, ks: Mapping[str, int]) -> DataFrame:
-    """Nulls, distinct values, k least and most frequent values per column (CN:75-157)."""
+    """Nulls, distinct values, k least and most frequent values per column."""
     return profile.profile_columns(crimes, ks)
 
 
 def earliest_rows(crimes: DataFrame, ts: str = "OCCURRED ON", n: int = 10) -> DataFrame:
-    """First ``n`` rows by time (CN:91); the other columns break ties."""
+    """First ``n`` rows by time; the other columns break ties."""
     others = [c for c in crimes.columns if c != ts]
     order = [F.col(f"`{ts}`").asc_nulls_last()] + [F.col(f"`{c}`").asc_nulls_last() for c in others]
     return crimes.orderBy(*order).limit(n)
 
 
 def extreme_categories(crimes: DataFrame, cols: Sequence[str] = (CATEGORY, PREMISE)) -> DataFrame:
-    """Least and most frequent crime category and premise with counts, one row (CN:111-124)."""
+    """Least and most frequent crime category and premise with counts, one row."""
     return profile.extremes(crimes, cols)
 
 
 def category_ratio(crimes: DataFrame, key: str = CATEGORY, digits: int = 1) -> DataFrame:
-    """Crimes per class and their % of all crimes (CN:190-195)."""
+    """Crimes per class and their % of all crimes."""
     return ratios.share_by(crimes, key, count_col=key, denominator="all", name="NUM CRIMES",
                            pct_name="ROUNDED RATIO", digits=digits)
 
 
 def severity_ratio(crimes: DataFrame, mapping: Mapping[str, str] = SEVERITY_MAP,
                    default: str = SEVERITY_DEFAULT, digits: int = 1) -> DataFrame:
-    """Crimes per severity class and their % of all crimes (CN:205-210)."""
+    """Crimes per severity class and their % of all crimes."""
     return category_ratio(with_severity(crimes, mapping, default), SEVERITY, digits)
 
 
 def top_premises(crimes: DataFrame, k: int = 20, exclude: str = "OTHER", digits: int = 1) -> DataFrame:
-    """Top ``k`` premise types by crimes, without ``exclude``, % of all crimes (CN:229-238).
+    """Top ``k`` premise types by crimes, without ``exclude``, % of all crimes.
 
     ``!= exclude`` also drops the null premise (T14), as in the reference.
     """
@@ -78,14 +78,14 @@ def top_premises(crimes: DataFrame, k: int = 20, exclude: str = "OTHER", digits:
 
 
 def premise_totals(crimes: DataFrame) -> DataFrame:
-    """Non-null premise count per premise (CN:225-227); the null premise counts 0 (T15)."""
+    """Non-null premise count per premise; the null premise counts 0 (T15)."""
     return profile.group_counts(crimes, "Premise Type", name="TotalPremise", count_col="Premise Type")
 
 
 def zip_severity(crimes: DataFrame, mapping: Mapping[str, str] = SEVERITY_MAP,
                  default: str = SEVERITY_DEFAULT, min_total: int = 5, digits: int = 2) -> DataFrame:
     """Severe crimes per ZIP and class, with % of the ZIP's crimes, for ZIPs with at least
-    ``min_total`` crimes (CN:257-271). Unordered; see ``top_zip_severity``."""
+    ``min_total`` crimes. Unordered; see ``top_zip_severity``."""
     sev = with_severity(crimes, mapping, default)
     cond = F.col(f"`{SEVERITY}`").isin(*SEVERE_CLASSES)
     out = ratios.share_of_group(sev, ["ZIP"], SEVERITY, where=cond, name="NUM CRIME SEVERITY",
@@ -95,13 +95,13 @@ def zip_severity(crimes: DataFrame, mapping: Mapping[str, str] = SEVERITY_MAP,
 
 
 def top_zip_severity(crimes: DataFrame, k: int = 100, **kw) -> DataFrame:
-    """``zip_severity`` ordered by count and ZIP, both descending, first ``k`` (CN:272-275)."""
+    """``zip_severity`` ordered by count and ZIP, both descending, first ``k``."""
     return zip_severity(crimes, **kw).orderBy(
         F.col("`NUM CRIME SEVERITY`").desc(), F.col("ZIP").desc(), F.col(f"`{SEVERITY}`").asc()).limit(k)
 
 
 def zip_severity_pivot(crimes: DataFrame, k: int = 40, **kw) -> DataFrame:
-    """One row per ZIP, one ratio column per severe class, top ``k`` by extreme then major (CN:278-283)."""
+    """One row per ZIP, one ratio column per severe class, top ``k`` by extreme then major."""
     piv = ratios.pivot_value(zip_severity(crimes, **kw), "ZIP", SEVERITY, list(SEVERE_CLASSES),
                              "SEVERITY BY ZIP RATIO", "min")
     return piv.orderBy(F.col("`4.EXTREME`").desc_nulls_last(), F.col("`3.MAJOR`").desc_nulls_last(),

@@ -1,4 +1,4 @@
-"""Hourly power study (EN): calendar parts, weekday and season means, nulls,
+"""Hourly power study: calendar parts, weekday and season means, nulls,
 income per source, hourly profile, wind classes, largest and smallest source.
 
 Input: ``datetime`` (timestamp) and the measures ``power_demand, nuclear,
@@ -29,25 +29,25 @@ def _r(c, digits):
 
 
 def features(energy: DataFrame, ts: str = "datetime") -> list[str]:
-    """All columns but the timestamp (EN:50-51, T27)."""
+    """All columns but the timestamp (T27)."""
     return profile.feature_list(energy, [ts])
 
 
 def with_calendar(energy: DataFrame, ts: str = "datetime") -> DataFrame:
-    """day, month, year, hour, weekday (Monday = 0), weekend flag and season (EN:80-143)."""
+    """day, month, year, hour, weekday (Monday = 0), weekend flag and season."""
     cal = C.calendar(energy, ts)
     return cal.withColumns({"weekend": C.weekend_flag("weekday"), "season": C.season("month")})
 
 
 def weekday_means(energy: DataFrame, ts: str = "datetime", digits: int | None = None) -> DataFrame:
-    """Mean of every feature by weekday (EN:106-107); nulls skipped as pandas does."""
+    """Mean of every feature by weekday; nulls skipped as pandas does."""
     feats = features(energy, ts)
     return (energy.withColumn("weekday", F.weekday(ts))
             .groupBy("weekday").agg(*[_r(F.avg(c), digits).alias(c) for c in feats]))
 
 
 def season_summary(energy: DataFrame, ts: str = "datetime", digits: int | None = None) -> DataFrame:
-    """Rows, mean demand and mean price per season (EN:143-155)."""
+    """Rows, mean demand and mean price per season."""
     return (energy.withColumn("season", C.season(F.month(ts)))
             .groupBy("season").agg(F.count(F.lit(1)).alias("rows"),
                                    _r(F.avg("power_demand"), digits).alias("power_demand"),
@@ -55,19 +55,19 @@ def season_summary(energy: DataFrame, ts: str = "datetime", digits: int | None =
 
 
 def null_report(energy: DataFrame, zero_col: str = "solar") -> DataFrame:
-    """Nulls per column and whether ``zero_col`` ever equals 0 (EN:58, EN:161-164, T29), one row."""
+    """Nulls per column and whether ``zero_col`` ever equals 0 (T29), one row."""
     aggs = [F.count_if(F.col(c).isNull()).alias(c) for c in energy.columns]
     aggs.append(F.max(F.when(F.col(zero_col) == 0, 1).otherwise(0)).alias(f"{zero_col}_has_zero"))
     return energy.agg(*aggs)
 
 
 def income(energy: DataFrame, price: str = "spot_price") -> DataFrame:
-    """Cost of consumption and income of each source: ``round(sum(q * price))`` (EN:182-207)."""
+    """Cost of consumption and income of each source: ``round(sum(q * price))``."""
     return ratios.weighted_totals(energy, INCOME_NAMES, price, digits=0)
 
 
 def hourly_profile(energy: DataFrame, ts: str = "datetime", digits: int | None = None) -> DataFrame:
-    """Mean demand and mean price by hour of day (EN:215-220)."""
+    """Mean demand and mean price by hour of day."""
     return (energy.withColumn("hour", F.hour(ts))
             .groupBy("hour").agg(_r(F.avg("power_demand"), digits).alias("power_demand"),
                                  _r(F.avg("spot_price"), digits).alias("spot_price")))
@@ -75,7 +75,7 @@ def hourly_profile(energy: DataFrame, ts: str = "datetime", digits: int | None =
 
 def wind_categories(energy: DataFrame, edges: Sequence[float] = WIND_EDGES,
                     labels: Sequence[str] = WIND_LABELS) -> DataFrame:
-    """Right-closed wind classes (T20) with their counts, plus the column's min and max (EN:230-241).
+    """Right-closed wind classes (T20) with their counts, plus the column's min and max.
 
     Every label appears, with 0 when empty, as ``value_counts`` of a pandas
     categorical does; values outside the edges (the minimum 352 itself) fall
@@ -93,7 +93,7 @@ def wind_categories(energy: DataFrame, edges: Sequence[float] = WIND_EDGES,
 
 
 def source_extremes(energy: DataFrame, sources: Sequence[str] = SOURCES, digits: int | None = None) -> DataFrame:
-    """The source with the most and the one with the least energy, with totals (EN:247-253, T30)."""
+    """The source with the most and the one with the least energy, with totals (T30)."""
     out = ratios.extreme_column(energy, sources)
     if digits is None:
         return out

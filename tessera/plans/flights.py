@@ -1,8 +1,8 @@
-"""Flight delay study (FN/FP): six questions over one flights table.
+"""Flight delay study: six questions over one flights table.
 
 Input columns: ``Origin, Dest, Region, DayOfWeek (1 = Monday), Distance,
 ArrDelay, DepDelay`` and the five cause columns, integers, null when missing.
-Where the reference runs one job per class or per cause (FN:300-416), each
+Where the reference runs one job per class or per cause, each
 function here is one scan and one aggregate.
 """
 
@@ -34,7 +34,7 @@ HAUL_THRESHOLDS = (1700, 1100)
 
 
 def distance_category(distance: Column | str = "Distance") -> Column:
-    """Four classes (FN:290-293); the first is closed on both ends, the others right-closed;
+    """Four classes; the first is closed on both ends, the others right-closed;
     everything else, short distances below 93 and null included, is ``4.Long`` (T8)."""
     d = C.col_of(distance)
     expr = None
@@ -45,19 +45,19 @@ def distance_category(distance: Column | str = "Distance") -> Column:
 
 
 def haul_class(distance: Column | str = "Distance", threshold: int = 1700) -> Column:
-    """``Long`` at or above the threshold, else ``Short`` (FN:474, FN:496)."""
+    """``Long`` at or above the threshold, else ``Short``."""
     return F.when(C.col_of(distance) >= threshold, F.lit("Long")).otherwise(F.lit("Short"))
 
 
 def delayed_flag(arr: Column | str = "ArrDelay", minutes: int = LATE_MINUTES) -> Column:
-    """1 when the arrival is late by ``minutes`` or more, else 0 (null too) (FN:440)."""
+    """1 when the arrival is late by ``minutes`` or more, else 0 (null too)."""
     return F.when(C.col_of(arr) >= minutes, F.lit(1)).otherwise(F.lit(0))
 
 
 # ------------------------------------------------------------------ Q1 -----
 
 def region_delay_proportions(flights: DataFrame, region: str = "Region", digits: int = 3) -> DataFrame:
-    """Share of a region's flights with each kind of delay (FN:146-203).
+    """Share of a region's flights with each kind of delay.
 
     A flight counts for a delay kind when that delay is > 0 and the flight has
     any delay other than a pure arrival delay (T4: the reference's second
@@ -81,7 +81,7 @@ def region_delay_proportions(flights: DataFrame, region: str = "Region", digits:
 
 def security_by_airport(flights: DataFrame, airport: str = "Origin", k: int = 10,
                         cause: str = "SecurityDelay", present: str = "not_null") -> DataFrame:
-    """Airports with the most security-delay reports as % of all flights (FN:214-231).
+    """Airports with the most security-delay reports as % of all flights.
 
     ``present='not_null'`` counts rows where the cause is recorded at all
     (T7, as the reference); ``'positive'`` counts rows where it is > 0.
@@ -99,12 +99,12 @@ def security_by_airport(flights: DataFrame, airport: str = "Origin", k: int = 10
 
 def delay_cooccurrence(flights: DataFrame, cols: Sequence[str] = COOCCURRENCE_COLUMNS,
                        threshold: int = LATE_MINUTES) -> DataFrame:
-    """How often two causes reach ``threshold`` together, one column per pair (FN:244-254)."""
+    """How often two causes reach ``threshold`` together, one column per pair."""
     return ratios.cooccurrence(flights, cols, threshold, names=SHORT_NAMES)
 
 
 def delay_corr_by_airport(flights: DataFrame, airport: str = "Origin") -> DataFrame:
-    """Carrier~NAS and NAS~late-aircraft correlation by airport, rounded to 2 (FN:257-263).
+    """Carrier~NAS and NAS~late-aircraft correlation by airport, rounded to 2.
 
     The reference names the first pair ``Carrier-LateAircraft`` but computes
     Carrier~NAS (T9); the name here says what it is.
@@ -116,7 +116,7 @@ def delay_corr_by_airport(flights: DataFrame, airport: str = "Origin") -> DataFr
 # ------------------------------------------------------------------ Q4 -----
 
 def distance_summary(flights: DataFrame, method: str = "exact", digits: int | None = None) -> DataFrame:
-    """``summary()`` of Distance for delayed flights and for all (FN:299, FN:471).
+    """``summary()`` of Distance for delayed flights and for all.
 
     Output ``(subset, column, stat, value)``. Both subsets come from one scan:
     each row is counted for ``all`` and, when late, for ``delayed``.
@@ -128,13 +128,13 @@ def distance_summary(flights: DataFrame, method: str = "exact", digits: int | No
 
 
 def flights_by_distance_category(flights: DataFrame) -> DataFrame:
-    """Flights per distance class (FN:320-322)."""
+    """Flights per distance class."""
     return (flights.withColumn("Distance_Category", distance_category())
             .groupBy("Distance_Category").agg(F.count("Distance_Category").alias("#Flights")))
 
 
 def delayed_ratio_by_distance(flights: DataFrame, digits: int = 1) -> DataFrame:
-    """Delayed flights and their % of the class, per class (FN:303-346): one aggregate for four jobs."""
+    """Delayed flights and their % of the class, per class: one aggregate for four jobs."""
     late = F.col("ArrDelay") >= LATE_MINUTES
     g = (flights.withColumn("Distance_Category", distance_category())
          .groupBy("Distance_Category")
@@ -145,7 +145,7 @@ def delayed_ratio_by_distance(flights: DataFrame, digits: int = 1) -> DataFrame:
 
 def cause_by_distance(flights: DataFrame, causes: Sequence[str] = CAUSES, digits: int = 1) -> DataFrame:
     """For every cause and class among delayed flights with that cause > 0: flights, share of
-    the cause's flights, mean arrival delay (FN:348-416).
+    the cause's flights, mean arrival delay.
 
     One aggregate by class holds a count and a mean per cause; it is turned
     into rows per cause, and the cause total comes from a window over those
@@ -169,12 +169,12 @@ def cause_by_distance(flights: DataFrame, causes: Sequence[str] = CAUSES, digits
 # ------------------------------------------------------------------ Q5 -----
 
 def flights_by_weekday(flights: DataFrame) -> DataFrame:
-    """Flights per day of week (FN:432)."""
+    """Flights per day of week."""
     return flights.groupBy("DayOfWeek").count()
 
 
 def weekend_delay_rate(flights: DataFrame, digits: int = 1) -> DataFrame:
-    """% of flights late, weekend against weekday (FN:435-445)."""
+    """% of flights late, weekend against weekday."""
     f = flights.withColumns({"Weekend": C.weekend_label("DayOfWeek"), "Delayed": delayed_flag()})
     return f.groupBy("Weekend").agg(F.round(100 * F.avg("Delayed"), digits).alias("Percentage Delayed"))
 
@@ -185,7 +185,7 @@ NONWEATHER_NAMES = {"CarrierDelay": "Average Carrier Delay (min)", "NASDelay": "
 
 
 def nonweather_weekend_means(flights: DataFrame, digits: int = 2) -> DataFrame:
-    """Mean of four causes for late flights without weather delay, weekend against weekday (FN:448-463)."""
+    """Mean of four causes for late flights without weather delay, weekend against weekday."""
     f = flights.where((F.col("ArrDelay") >= LATE_MINUTES) & (F.col("WeatherDelay") == 0)) \
         .withColumn("Weekend", C.weekend_label("DayOfWeek"))
     return f.groupBy("Weekend").agg(*[F.round(F.avg(c), digits).alias(n) for c, n in NONWEATHER_NAMES.items()])
@@ -196,7 +196,7 @@ def nonweather_weekend_means(flights: DataFrame, digits: int = 2) -> DataFrame:
 def delay_recovery(flights: DataFrame, thresholds: Sequence[int] = HAUL_THRESHOLDS,
                    as_is: bool = False) -> DataFrame:
     """Share of flights that left late (DepDelay > 0) and arrived no later than they left,
-    by haul class, for several long-haul thresholds (FN:474-515).
+    by haul class, for several long-haul thresholds.
 
     Each class is divided by its own total. ``as_is=True`` reproduces the
     reference literally: delays compared as text (T2) and both classes

@@ -1,4 +1,4 @@
-"""Employee attrition study (HR): profile, feature preparation, logistic
+"""Employee attrition study: profile, feature preparation, logistic
 regression baseline and two feature-engineering attempts.
 
 Input: ``id``, the numeric features, ``sales`` (department), ``salary`` and
@@ -24,7 +24,7 @@ NUMERIC = ("satisfaction_level", "last_evaluation", "number_project", "average_m
            "time_spend_company", "Work_accident", "promotion_last_5years")
 CATEGORICAL = ("department", "salary")
 
-# Bins and names of the second attempt (HR:381-398).
+# Bins and names of the second attempt.
 DISCRETIZE = {
     "last_evaluation": ([(0.36, 0.56), (0.56, 0.72), (0.72, 0.87), (0.87, 1)],
                         ["low", "medium", "high", "excelent"]),
@@ -39,14 +39,14 @@ DISCRETIZE = {
 DEPARTMENTS = ("IT", "RandD", "accounting", "hr", "management", "marketing", "product_mng", "sales",
                "support", "technical")
 SALARIES = ("high", "low", "medium")
-# Columns the reference drops by hand in the first attempt (HR:299-305).
+# Columns the reference drops by hand in the first attempt.
 ATTEMPT1_DROP = ("department_hr", "department_RandD", "department_marketing", "department_accounting",
                  "department_product_mng", "department_management", "promotion_last_5years")
 IMPORTANCE_THRESHOLD = 0.05
 
 
 def prepare(hr: DataFrame, merge_departments: bool = True) -> DataFrame:
-    """Rename ``sales`` to ``department`` and merge support and IT into technical (HR:43, HR:93-94)."""
+    """Rename ``sales`` to ``department`` and merge support and IT into technical."""
     df = hr.withColumnRenamed("sales", "department")
     if merge_departments:
         df = df.withColumn("department", C.replace_values("department", ["support", "IT"], "technical"))
@@ -54,7 +54,7 @@ def prepare(hr: DataFrame, merge_departments: bool = True) -> DataFrame:
 
 
 def profile_table(hr: DataFrame) -> DataFrame:
-    """Shape, describe, distinct values and nulls of every column (HR:43-96), long form
+    """Shape, describe, distinct values and nulls of every column, long form
     ``(column, stat, value)``."""
     df = prepare(hr, merge_departments=False)
     num = [c for c, t in df.dtypes if t in ("int", "bigint", "double") and c != ID]
@@ -74,14 +74,14 @@ def profile_table(hr: DataFrame) -> DataFrame:
 
 
 def encoded(hr: DataFrame) -> DataFrame:
-    """Baseline features: department and salary one-hot encoded (HR:235-238)."""
+    """Baseline features: department and salary one-hot encoded."""
     df = prepare(hr)
     df = FE.onehot(df, "salary", SALARIES)
     return FE.onehot(df, "department", [d for d in DEPARTMENTS if d not in ("support", "IT")])
 
 
 def discretized(hr: DataFrame) -> DataFrame:
-    """Second attempt: one-hot categories, discretised and one-hot numeric columns (HR:361-416)."""
+    """Second attempt: one-hot categories, discretised and one-hot numeric columns."""
     df = prepare(hr, merge_departments=False)
     df = FE.onehot(df, "department", DEPARTMENTS)
     df = FE.onehot(df, "salary", SALARIES)
@@ -111,7 +111,7 @@ def _evaluate(name: str, df: DataFrame, feats: list[str], folds: int) -> DataFra
 
 
 def attrition_pipeline(hr: DataFrame, folds: int = 30) -> DataFrame:
-    """Baseline and the two attempts of the study (HR:261-592), one comparison row each.
+    """Baseline and the two attempts of the study, one comparison row each.
 
     * baseline: one-hot department and salary, fit, report, cross-validate;
     * attempt 1: remove outlier rows, drop the columns the study drops,

@@ -1,4 +1,4 @@
-"""Title table study (IM): types, slices, adult share, runtime of one type,
+"""Title table study: types, slices, adult share, runtime of one type,
 word counts in titles.
 
 Input: ``titleType, primaryTitle, isAdult, startYear, runtimeMinutes``.
@@ -16,7 +16,7 @@ SLICE_COLUMNS = ("titleType", "primaryTitle", "startYear", "runtimeMinutes")
 
 
 def title_types(titles: DataFrame, col: str = "titleType") -> DataFrame:
-    """Count per type and the number of types (IM:16-25).
+    """Count per type and the number of types.
 
     ``len(unique())`` counts a null type as a type of its own, so the number
     of types is the number of groups including the null group.
@@ -27,37 +27,37 @@ def title_types(titles: DataFrame, col: str = "titleType") -> DataFrame:
 
 
 def title_slice(titles: DataFrame) -> DataFrame:
-    """Four columns (IM:34)."""
+    """Four columns."""
     return titles.select(*SLICE_COLUMNS)
 
 
 def titles_of_type(titles: DataFrame, title_type: str) -> DataFrame:
-    """Rows of one type (IM:41)."""
+    """Rows of one type."""
     return titles.where(F.col("titleType") == title_type)
 
 
 def adult_share(titles: DataFrame, col: str = "isAdult") -> DataFrame:
-    """Count per value of a 0/1 column and its mean, the share of ones (IM:53-56)."""
+    """Count per value of a 0/1 column and its mean, the share of ones."""
     counts = profile.value_counts(titles, col, "count")
     mean = titles.agg(F.avg(col).alias(f"mean_{col}"))
     return counts.crossJoin(F.broadcast(mean))
 
 
 def mean_runtime(titles: DataFrame, title_type: str, digits: int | None = None) -> DataFrame:
-    """Mean runtime of one type, nulls skipped (IM:75-79)."""
+    """Mean runtime of one type, nulls skipped."""
     m = F.avg("runtimeMinutes")
     return titles_of_type(titles, title_type).agg(
         (F.round(m, digits) if digits is not None else m).alias("mean_runtime"))
 
 
 def with_word_count(titles: DataFrame, col: str = "primaryTitle") -> DataFrame:
-    """``words_in_title``: words separated by white space (IM:66, T23)."""
+    """``words_in_title``: words separated by white space (T23)."""
     return titles.withColumn("words_in_title", C.word_count(col))
 
 
 def typed_titles_by_words(titles: DataFrame, title_type: str, min_words: int = 3,
                           max_runtime: float = 75, as_is: bool = False) -> DataFrame:
-    """Titles of one type with at least ``min_words`` words and runtime below ``max_runtime`` (IM:89).
+    """Titles of one type with at least ``min_words`` words and runtime below ``max_runtime``.
 
     The question asks for "3 or more words"; the reference codes ``> 3``
     (T22), reproduced with ``as_is=True``.

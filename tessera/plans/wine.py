@@ -1,4 +1,4 @@
-"""Wine review study (WR): cleaning, log price, price classes, group
+"""Wine review study: cleaning, log price, price classes, group
 summaries over four dimensions, subsets and frequent groups.
 
 Input: ``country, variety, winery, province, price, points``.
@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
 
-# Price ladder of the study, tested in this order (WR:67-92, T21).
+# Price ladder of the study, tested in this order (T21).
 PRICE_RULES = (("cheap", None, 20), ("premium", 15, 50), ("luxury", 50, 200))
 PRICE_OTHER = "iconic"
 DIMENSIONS = ("country", "variety", "winery", "province")
 
 
 def clean(wine: DataFrame) -> DataFrame:
-    """Drop rows without price or points, add ``one`` and ``ln_price`` (WR:49-59)."""
+    """Drop rows without price or points, add ``one`` and ``ln_price``."""
     return (wine.where(F.col("price").isNotNull() & F.col("points").isNotNull())
             .withColumns({"one": F.lit(1), "ln_price": F.ln("price")}))
 
@@ -39,13 +39,13 @@ def price_category(price: Column | str = "price") -> Column:
 
 
 def price_category_counts(wine: DataFrame) -> DataFrame:
-    """``table(price_category)`` after cleaning (WR:94)."""
+    """``table(price_category)`` after cleaning."""
     return (clean(wine).withColumn("price_category", price_category())
             .groupBy("price_category").agg(F.count(F.lit(1)).alias("n")))
 
 
 def group_summaries(wine: DataFrame, dims: Sequence[str] = DIMENSIONS) -> DataFrame:
-    """obs, mean price and mean points by each dimension, in one scan (WR:103-117).
+    """obs, mean price and mean points by each dimension, in one scan.
 
     ``groupingSets`` computes all four groupings from one read of the data;
     output ``(dimension, value, obs, average_price, average_points)``.
@@ -72,7 +72,7 @@ def summary_by(wine: DataFrame, dim: str) -> DataFrame:
 
 
 def top_subsets(wine: DataFrame, countries: Sequence[str], varieties: Sequence[str]) -> DataFrame:
-    """Rows in the chosen countries, in the chosen varieties, and in both, tagged (WR:123-130)."""
+    """Rows in the chosen countries, in the chosen varieties, and in both, tagged."""
     w = clean(wine)
     in_c = F.col("country").isin(*countries)
     in_v = F.col("variety").isin(*varieties)
@@ -82,6 +82,6 @@ def top_subsets(wine: DataFrame, countries: Sequence[str], varieties: Sequence[s
 
 
 def frequent_groups(wine: DataFrame, dim: str, min_obs: int) -> DataFrame:
-    """Groups with more than ``min_obs`` observations, largest first (WR:212-217, WR:221-226)."""
+    """Groups with more than ``min_obs`` observations, largest first."""
     return (summary_by(wine, dim).where(F.col("obs") > min_obs).select(dim, "obs")
             .orderBy(F.col("obs").desc(), F.col(dim).asc_nulls_last()))

@@ -146,3 +146,57 @@ def test_utc_parse_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert str(got[0]) == "2024-03-10 02:33:02" and got[1:] == [None, None] and plain == got
+
+
+def test_t1_bad_text_becomes_null_not_error(spark):
+    df = spark.createDataFrame([("12",), ("NA",), ("",), ("7.5",)], "d string")
+    got = [r[0] for r in C.cast_all(df, ["d"], "int").collect()]
+    assert got == [12, None, None, None]
+
+
+def _haul_rows(spark):
+    # (Distance, ArrDelay, DepDelay): two short flights recover, one long flight recovers
+    rows = [("A", "B", "W", 1, 500, 5, 10, None, None, None, None, None),
+            ("A", "B", "W", 1, 500, 20, 3, None, None, None, None, None),
+            ("A", "B", "W", 1, 500, 9, 10, None, None, None, None, None),
+            ("A", "B", "W", 1, 500, 0, 0, None, None, None, None, None),
+            ("A", "B", "W", 1, 2000, 1, 4, None, None, None, None, None),
+            ("A", "B", "W", 1, 2000, 8, 2, None, None, None, None, None)]
+    return _flights(spark, rows)
+
+
+def test_t3_recovery_denominators(spark):
+    df = _haul_rows(spark)
+    own = {(r["threshold"], r["Long_Short_Haul"]): r for r in FL.delay_recovery(df, [1700]).collect()}
+    asis = {(r["threshold"], r["Long_Short_Haul"]): r for r in FL.delay_recovery(df, [1700], as_is=True).collect()}
+    assert own[(1700, "Short")]["Num"] == 2 and own[(1700, "Short")]["percentage_of_flights_with_recovered_delays"] == 50.0
+    assert own[(1700, "Long")]["percentage_of_flights_with_recovered_delays"] == 50.0
+    # as-is: text comparison ('9' <= '10' is false) and division by the short-haul total
+    assert asis[(1700, "Short")]["Num"] == 1 and asis[(1700, "Long")]["percentage_of_flights_with_recovered_delays"] == 25.0
+
+
+def test_t7_security_counts_recorded_values(spark):
+    rows = [("A", "B", "W", 1, 100, 20, 5, 0, 0, 0, 0, 0),      # recorded zero: counted
+            ("A", "B", "W", 1, 100, 20, 5, 0, 0, 0, 9, 0),
+            ("A", "B", "W", 1, 100, 0, 0, None, None, None, None, None),
+            ("C", "B", "W", 1, 100, 0, 0, None, None, None, None, None)]
+    out = {r["Origin"]: r for r in FL.security_by_airport(_flights(spark, rows)).collect()}
+    assert out["A"]["NumFlights"] == 2 and out["A"]["Ratio"] == 50.0 and "C" not in out
+    pos = {r["Origin"]: r for r in FL.security_by_airport(_flights(spark, rows), present="positive").collect()}
+    assert pos["A"]["NumFlights"] == 1
+
+
+def test_t9_pair_names_say_what_they_hold(spark):
+    rows = [("A", "B", "W", 1, 100, 20, 5, c, 0, n, 0, l) for c, n, l in ((1, 2, 5), (2, 4, 3), (3, 7, 1))]
+    r = FL.delay_corr_by_airport(_flights(spark, rows)).first()
+    assert set(r.asDict()) == {"Origin", "carrier_nas", "nas_late"}
+    assert r["carrier_nas"] == 0.99 and r["nas_late"] == -0.99
+
+
+def test_t25_quartile_methods(spark):
+    df = spark.createDataFrame([(float(x),) for x in (1, 2, 3, 4)], "x double")
+    exact = {r["stat"]: r["value"] for r in profile.describe(df, ["x"]).collect()}
+    ranked = {r["stat"]: r["value"] for r in profile.describe(df, ["x"], method="ranked").collect()}
+    approx = {r["stat"]: r["value"] for r in profile.describe(df, ["x"], method="approx").collect()}
+    assert exact["25%"] == 1.75 and exact["75%"] == 3.25 and ranked == exact
+    assert approx["25%"] == 1.0
