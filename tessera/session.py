@@ -36,7 +36,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
+    conf.setdefault("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "4g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
