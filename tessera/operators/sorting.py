@@ -63,12 +63,11 @@ def _range_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], parti
     checkpoint also cuts the lineage, so a lost executor does not redo the
     sort.
     """
-    from tessera.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
+    from tessera.session import cut_lineage
     # without an explicit count AQE may merge adjacent ranges to fit the data
     parted = (df.repartitionByRange(partitions, *keys, *order) if partitions
               else df.repartitionByRange(*keys, *order))
-    return parted.withColumn("_pid", F.spark_partition_id()).checkpoint()
+    return cut_lineage(parted.withColumn("_pid", F.spark_partition_id()))
 
 
 def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos",

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tessera.functions import columns as C
 from tessera.operators import features as FE
 from tessera.operators import profile
+from tessera.session import cut_lineage
 
 LABEL = "left"
 ID = "id"
@@ -101,10 +102,10 @@ def _evaluate(name: str, df: DataFrame, feats: list[str], folds: int) -> DataFra
     from tessera.operators import ml
     # the prepared table is read by the fit, the predictions and every Newton
     # pass: cut its lineage once in the shared checkpoint folder
-    df = df.select(ID, LABEL, *feats).checkpoint()
+    df = cut_lineage(df.select(ID, LABEL, *feats))
     train, test = FE.hash_split(df, ID, 0.2)
-    model = ml.fit_logistic(train, feats, LABEL)
-    held_out = ml.summary_metrics(ml.predict(model, test, keep=[LABEL]), LABEL, "prediction")
+    coef = ml.fit_logistic_newton(train, feats, LABEL)
+    held_out = ml.summary_metrics(ml.predict_linear(coef, test, feats, keep=[LABEL]), LABEL, "prediction")
     cv = ml.cv_summary(ml.cross_validate(train, feats, LABEL, ID, folds))
     return (held_out.crossJoin(cv)
             .select(F.lit(name).alias("variant"), F.lit(len(feats)).alias("n_features"), "*"))

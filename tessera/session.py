@@ -83,3 +83,19 @@ def ship_package(spark: SparkSession) -> None:
     archive = shutil.make_archive(os.path.join(out_dir, "tessera"), "zip", root_dir=root, base_dir="tessera")
     sc.addPyFile(archive)
     _SHIPPED.add(app)
+
+
+def cut_lineage(df):
+    """Reliable checkpoint of ``df`` in the shared checkpoint folder, computed once.
+
+    An eager ``checkpoint()`` runs the lineage for its count and again to write
+    the files; persisting first (memory, spilling to disk) lets the write read
+    the blocks of the first run. The persisted blocks are released afterwards:
+    readers use the checkpoint files, which survive the loss of an executor.
+    """
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out

@@ -180,3 +180,16 @@ def test_position_and_running_sum_with_hot_key(spark):
     ref = {(r["k"], r["ts"]): r["c"] for r in df.withColumn(
         "c", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0))).collect()}
     assert rs.keys() == ref.keys() and all(abs(rs[x] - ref[x]) < 1e-9 for x in ref)
+
+
+def test_newton_fit_matches_spark_ml(spark):
+    random.seed(13)
+    rows = []
+    for i in range(500):
+        x1, x2 = random.gauss(0, 1), random.gauss(0, 2)
+        y = 1 if random.random() < 1 / (1 + math.exp(-(-0.3 + x1 - 0.5 * x2))) else 0
+        rows.append((i, x1, x2, y))
+    df = spark.createDataFrame(rows, "id long, x1 double, x2 double, y int")
+    lr = ml.fit_logistic(df, ["x1", "x2"], "y", tol=1e-10).stages[-1]
+    w = ml.fit_logistic_newton(df, ["x1", "x2"], "y")
+    assert abs(w[0] - lr.intercept) < 1e-5 and np.max(np.abs(w[1:] - lr.coefficients.toArray())) < 1e-5
