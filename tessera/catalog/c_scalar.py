@@ -74,10 +74,13 @@ def fn_grid(spark, sf):
     return g.select("series_id", "i", F.round("x", 9).alias("x"))
 
 
-@register("fn_word_count", r"SELECT primaryTitle, CAST(len(regexp_extract_all(primaryTitle, '\S+')) AS INTEGER) "
-          "AS words_in_title FROM titles")
+@register("fn_word_count", r"SELECT doc_id, CAST(len(regexp_extract_all(text, '\S+')) AS INTEGER) AS words "
+          "FROM documents")
 def fn_word_count(spark, sf):
-    return B.titles(spark, sf).select("primaryTitle", C.word_count("primaryTitle").alias("words_in_title"))
+    """Words of whole documents (up to 20,000 words each), by the title word rule (T23)."""
+    from tessera.sources.io import read_table
+    d = read_table(spark, sf, "documents", spread=True)
+    return d.select("doc_id", C.word_count("text").alias("words"))
 
 
 @register("fn_to_timestamp_utc", f"SELECT strftime(datetime, {ISO}) AS text, strptime(strftime(datetime, {ISO}), {ISO}) "
