@@ -36,7 +36,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "4g"))
+    conf.setdefault("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "6g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -86,16 +86,11 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint of ``df`` in the shared checkpoint folder, computed once.
+    """Reliable checkpoint of ``df`` in the shared checkpoint folder.
 
-    An eager ``checkpoint()`` runs the lineage for its count and again to write
-    the files; persisting first (memory, spilling to disk) lets the write read
-    the blocks of the first run. The persisted blocks are released afterwards:
-    readers use the checkpoint files, which survive the loss of an executor.
+    ``Dataset.checkpoint(eager=True)`` evaluates the plan once, writing the
+    files as it goes (checked: each row is computed once), and readers then
+    use the files, which survive the loss of an executor.
     """
-    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = held.checkpoint(eager=True)
-    held.unpersist()
-    return out
+    return df.checkpoint(eager=True)
