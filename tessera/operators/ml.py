@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,7 +142,8 @@ def fold_column(id_col: str, folds: int) -> F.Column:
 
 
 def fit_logistic_folds(data: DataFrame, features: Sequence[str], label: str, fold: str, folds: int,
-                       C: float = 1.0, max_iter: int = 50, tol: float = 1e-9) -> np.ndarray:
+                       C: float = 1.0, max_iter: int = 50, tol: float = 1e-9,
+                       init: np.ndarray | None = None) -> np.ndarray:
     """Coefficients of all fold models at once: model ``k`` is fitted on the rows whose
     fold is not ``k``, with the same objective as ``fit_logistic``.
 
@@ -148,12 +151,14 @@ def fit_logistic_folds(data: DataFrame, features: Sequence[str], label: str, fol
     task computes, for its rows, every fold model's gradient and Hessian
     contributions with numpy (``mapInPandas``); Spark sums them by position;
     the driver solves ``folds`` small systems of size ``features + 1`` and
-    sends the new coefficients with the next pass. Returns an array
+    sends the new coefficients with the next pass. ``init`` (one coefficient
+    vector) starts every model there, e.g. at the fit on all training rows,
+    which the fold models are close to. Returns an array
     ``(folds, 1 + features)``, intercept first.
     """
     feats = list(features)
     dim = len(feats) + 1
-    w = np.zeros((folds, dim))
+    w = np.zeros((folds, dim)) if init is None else np.tile(np.asarray(init, dtype=float), (folds, 1))
     reg = np.eye(dim)
     reg[0, 0] = 0.0
     size = folds * dim + folds * dim * dim
@@ -182,11 +187,9 @@ def fit_logistic_folds(data: DataFrame, features: Sequence[str], label: str, fol
                 yield pd.DataFrame({"v": [np.concatenate([g.ravel(), h.ravel()]).tolist()]})
 
         parts = data.select(*feats, label, fold).mapInPandas(partial, "v array<double>")
-        summed = (parts.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"))
-                  .collect())
-        vec = np.zeros(size)
-        for r in summed:
-            vec[r["i"]] = r["x"]
+        # one vector aggregate with map-side combine: the driver receives one vector
+        total = parts.agg(Summarizer.sum(array_to_vector("v")).alias("s")).first()["s"]
+        vec = total.toArray() if total is not None else np.zeros(size)
         g = C * vec[:folds * dim].reshape(folds, dim) + w @ reg
         h = C * vec[folds * dim:].reshape(folds, dim, dim) + reg
         step = np.stack([np.linalg.solve(h[k], g[k]) for k in range(folds)])
@@ -225,7 +228,7 @@ def predict_linear(coef: np.ndarray, df: DataFrame, features: Sequence[str], kee
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, id_col: str, folds: int = 30,
-                   C: float = 1.0) -> DataFrame:
+                   C: float = 1.0, init: np.ndarray | None = None) -> DataFrame:
     """K-fold scores of the logistic model: ``(fold, f1, f1_weighted)``.
 
     The prepared rows are checkpointed once (lineage cut in the shared
@@ -239,7 +242,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, id_col: s
                      *[F.col(c).cast("double").alias(c) for c in feats]) \
         .withColumn("_fold", fold_column(id_col, folds))
     data = cut_lineage(data)
-    w = fit_logistic_folds(data, feats, label, "_fold", folds, C)
+    w = fit_logistic_folds(data, feats, label, "_fold", folds, C, init=init)
     margin = F.expr("CASE " + " ".join(f"WHEN _fold = {k} THEN {_margin_sql(w[k], feats)}" for k in range(folds))
                     + " END")
     pred = data.select(F.col("_fold").alias("fold"), F.col(label).cast("int").alias(label),

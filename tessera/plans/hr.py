@@ -106,7 +106,7 @@ def _evaluate(name: str, df: DataFrame, feats: list[str], folds: int) -> DataFra
     train, test = FE.hash_split(df, ID, 0.2)
     coef = ml.fit_logistic_newton(train, feats, LABEL)
     held_out = ml.summary_metrics(ml.predict_linear(coef, test, feats, keep=[LABEL]), LABEL, "prediction")
-    cv = ml.cv_summary(ml.cross_validate(train, feats, LABEL, ID, folds))
+    cv = ml.cv_summary(ml.cross_validate(train, feats, LABEL, ID, folds, init=coef))
     return (held_out.crossJoin(cv)
             .select(F.lit(name).alias("variant"), F.lit(len(feats)).alias("n_features"), "*"))
 
