@@ -178,31 +178,33 @@ def describe(df: DataFrame, cols: Sequence[str], method: str = "exact", accuracy
     (display precision).
     """
     keys = [by] if by else []
+    if method not in ("exact", "ranked", "approx"):
+        raise ValueError("method is 'exact', 'ranked' or 'approx'")
+    # built as SQL text: one call to the JVM per column
     aggs = []
-    for c in cols:
-        x = F.col(f"`{c}`").cast("double")
-        fields = [F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"),
-                  F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
+    for i, c in enumerate(cols):
+        x = f"CAST(`{c}` AS DOUBLE)"
+        fields = [f"CAST(count({x}) AS DOUBLE) AS `count`", f"avg({x}) AS mean", f"stddev_samp({x}) AS std",
+                  f"min({x}) AS `min`", f"max({x}) AS `max`"]
         if method == "exact":
-            fields.append(F.percentile(x, [0.25, 0.5, 0.75]).alias("q"))
+            fields.append(f"percentile({x}, array(0.25D, 0.5D, 0.75D)) AS q")
         elif method == "approx":
-            fields.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias("q"))
-        elif method != "ranked":
-            raise ValueError("method is 'exact', 'ranked' or 'approx'")
-        aggs.append(F.struct(*fields).alias(c))
+            fields.append(f"percentile_approx({x}, array(0.25D, 0.5D, 0.75D), {int(accuracy)}) AS q")
+        aggs.append(F.expr(f"struct({', '.join(fields)}) AS `_s{i}`"))
     wide = df.groupBy(*keys).agg(*aggs)
     parts = []
-    for c in cols:
-        st = F.col(f"`{c}`")
-        items = [("count", st["count"]), ("mean", st["mean"]), ("std", st["std"]), ("min", st["min"])]
+    for i, c in enumerate(cols):
+        items = [("count", f"_s{i}.`count`"), ("mean", f"_s{i}.mean"), ("std", f"_s{i}.std"), ("min", f"_s{i}.`min`")]
         if method != "ranked":
-            items += [("25%", st["q"][0]), ("50%", st["q"][1]), ("75%", st["q"][2])]
-        items.append(("max", st["max"]))
+            items += [("25%", f"_s{i}.q[0]"), ("50%", f"_s{i}.q[1]"), ("75%", f"_s{i}.q[2]")]
+        items.append(("max", f"_s{i}.`max`"))
+        name = c.replace("'", "\\'")
         for stat, expr in items:
-            v = expr.cast("double")
-            parts.append(F.struct(F.lit(c).alias("column"), F.lit(stat).alias("stat"),
-                                  (F.round(v, digits) if digits is not None else v).alias("value")))
-    out = wide.select(*keys, F.explode(F.array(*parts)).alias("d")).select(*keys, "d.*")
+            v = f"CAST({expr} AS DOUBLE)"
+            v = f"round({v}, {digits})" if digits is not None else v
+            parts.append(f"named_struct('column', '{name}', 'stat', '{stat}', 'value', {v})")
+    key_sql = [f"`{k}`" for k in keys]
+    out = wide.selectExpr(*key_sql, f"explode(array({', '.join(parts)})) AS d").selectExpr(*key_sql, "d.*")
     if method == "ranked":
         lng = unpivot_values(df, cols, keys)
         q = quantiles_ranked(lng, "value", [0.25, 0.5, 0.75], keys + ["column"])

@@ -109,17 +109,17 @@ def lagged(series: DataFrame, max_lag: int, block: int = DEFAULT_BLOCK,
         F.struct(blk.alias("_blk"), F.lit(False).alias("_halo")),
         F.when(in_tail, F.struct((blk + 1).alias("_blk"), F.lit(True).alias("_halo"))))).alias("_b")) \
         .where(F.col("_b").isNotNull()).select("*", "_b._blk", "_b._halo").drop("_b")
-    w = Window.partitionBy(KEY, "_blk").orderBy(T)
-    lags = {f"lag_{c}_{k}": F.lag(c, k).over(w) for c in cols for k in range(1, max_lag + 1)}
-    return tagged.withColumns(lags).where(~F.col("_halo")).drop("_blk", "_halo")
+    win = f"OVER (PARTITION BY `{KEY}`, _blk ORDER BY `{T}`)"
+    lags = [f"lag(`{c}`, {k}) {win} AS `lag_{c}_{k}`" for c in cols for k in range(1, max_lag + 1)]
+    return tagged.selectExpr("*", *lags).where(~F.col("_halo")).drop("_blk", "_halo")
 
 
 def autocovariance_sums(series: DataFrame, max_lag: int, block: int = DEFAULT_BLOCK) -> DataFrame:
     """``(series_id, n, s_0 .. s_K)`` with ``s_k = sum_t d_t d_{t-k}`` of the centred series."""
     c = _centered(series)
     lg = lagged(c, max_lag, block)
-    aggs = [F.count(V).alias("n"), F.sum(F.col(V) * F.col(V)).alias("s_0")]
-    aggs += [F.sum(F.col(V) * F.col(f"lag_{V}_{k}")).alias(f"s_{k}") for k in range(1, max_lag + 1)]
+    aggs = [F.expr(f"count({V}) AS n"), F.expr(f"sum({V} * {V}) AS s_0")]
+    aggs += [F.expr(f"sum({V} * lag_{V}_{k}) AS s_{k}") for k in range(1, max_lag + 1)]
     return lg.groupBy(KEY).agg(*aggs)
 
 
@@ -165,8 +165,8 @@ def ljung_box(series: DataFrame, lag: int = 20, fitdf: int = 0) -> DataFrame:
     of freedom. Output ``(series_id, n, statistic, df, p_value)``.
     """
     s = autocovariance_sums(series, lag)
-    terms = [F.pow(F.try_divide(F.col(f"s_{k}"), F.col("s_0")), 2) / (F.col("n") - k) for k in range(1, lag + 1)]
-    q = F.col("n") * (F.col("n") + 2) * sum(terms[1:], terms[0])
+    terms = " + ".join(f"power(try_divide(s_{k}, s_0), 2) / (n - {k})" for k in range(1, lag + 1))
+    q = F.expr(f"n * (n + 2) * ({terms})")
     dof = lag - fitdf
     out = s.select(KEY, "n", q.alias("statistic")).withColumn("df", F.lit(dof))
     if dof % 2 == 0:
@@ -420,15 +420,16 @@ def adf(series: DataFrame, max_p: int = 12, block: int = DEFAULT_BLOCK) -> DataF
     longest = stats.agg(F.max("_p")).first()[0]
     max_p = int(longest) if longest is not None else 0
     lg = lagged(series, max_p + 1, block).join(stats.select(KEY, "_p"), KEY)
-    y = [F.col(V)] + [F.col(f"lag_{V}_{k}") for k in range(1, max_p + 2)]
-    dy = F.col(V) - y[1]
-    regs = [F.lit(1.0), y[1]] + [F.when(F.lit(j) <= F.col("_p"), y[j] - y[j + 1]).otherwise(F.lit(0.0))
-                                  for j in range(1, max_p + 1)]
+    # regression terms as SQL text (one call to the JVM per aggregate)
+    y = [V] + [f"lag_{V}_{k}" for k in range(1, max_p + 2)]
+    dy = f"({V} - {y[1]})"
+    regs = ["1.0D", y[1]] + [f"(CASE WHEN {j} <= _p THEN {y[j]} - {y[j + 1]} ELSE 0.0D END)"
+                             for j in range(1, max_p + 1)]
     k = len(regs)
     usable = lg.where(F.col(T) >= F.col("_p") + 2)
-    aggs = [F.count(F.lit(1)).alias("_m"), F.sum(dy * dy).alias("_yy")]
-    aggs += [F.sum(regs[i] * dy).alias(f"_xy_{i}") for i in range(k)]
-    aggs += [F.sum(regs[i] * regs[j]).alias(f"_xx_{i}_{j}") for i in range(k) for j in range(i, k)]
+    aggs = [F.expr("count(1) AS _m"), F.expr(f"sum({dy} * {dy}) AS _yy")]
+    aggs += [F.expr(f"sum({regs[i]} * {dy}) AS _xy_{i}") for i in range(k)]
+    aggs += [F.expr(f"sum({regs[i]} * {regs[j]}) AS _xx_{i}_{j}") for i in range(k) for j in range(i, k)]
     sums = usable.groupBy(KEY).agg(*aggs).join(stats.select(KEY, "n", "_p"), KEY)
     packed = sums.select(KEY, "n", "_p", "_m", "_yy",
                          F.array(*[F.col(f"_xy_{i}") for i in range(k)]).alias("_xy"),

@@ -61,17 +61,14 @@ def profile_table(hr: DataFrame) -> DataFrame:
     num = [c for c, t in df.dtypes if t in ("int", "bigint", "double") and c != ID]
     desc = profile.describe(df, num, digits=6)
     cols = [c for c in df.columns if c != ID]
-    extra = df.agg(F.count(F.lit(1)).alias("_rows"),
-                   *[F.count_distinct(F.col(c)).alias(f"d_{c}") for c in cols],
-                   *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in cols])
-    parts = [F.struct(F.lit("*").alias("column"), F.lit("rows").alias("stat"),
-                      F.col("_rows").cast("double").alias("value"))]
-    for c in cols:
-        parts.append(F.struct(F.lit(c).alias("column"), F.lit("distinct").alias("stat"),
-                              F.col(f"d_{c}").cast("double").alias("value")))
-        parts.append(F.struct(F.lit(c).alias("column"), F.lit("nulls").alias("stat"),
-                              F.col(f"n_{c}").cast("double").alias("value")))
-    return desc.unionByName(extra.select(F.explode(F.array(*parts)).alias("s")).select("s.*"))
+    extra = df.agg(F.expr("count(1) AS _rows"),
+                   *[F.expr(f"count(DISTINCT `{c}`) AS `d_{i}`") for i, c in enumerate(cols)],
+                   *[F.expr(f"count_if(`{c}` IS NULL) AS `n_{i}`") for i, c in enumerate(cols)])
+    parts = ["named_struct('column', '*', 'stat', 'rows', 'value', CAST(_rows AS DOUBLE))"]
+    for i, c in enumerate(cols):
+        parts.append(f"named_struct('column', '{c}', 'stat', 'distinct', 'value', CAST(`d_{i}` AS DOUBLE))")
+        parts.append(f"named_struct('column', '{c}', 'stat', 'nulls', 'value', CAST(`n_{i}` AS DOUBLE))")
+    return desc.unionByName(extra.selectExpr(f"explode(array({', '.join(parts)})) AS s").selectExpr("s.*"))
 
 
 def encoded(hr: DataFrame) -> DataFrame:
