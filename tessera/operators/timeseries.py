@@ -261,23 +261,23 @@ _PROBIT_D = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00
 _P_LOW = 0.02425
 
 
-def _horner(coefs: Sequence[float], x: Column) -> Column:
-    out = F.lit(coefs[0])
+def _horner_sql(coefs: Sequence[float], x: str) -> str:
+    out = f"{coefs[0]!r}D"
     for c in coefs[1:]:
-        out = out * x + F.lit(c)
+        out = f"({out} * {x} + {c!r}D)"
     return out
 
 
-def probit(p: Column) -> Column:
-    """Standard normal quantile of ``p`` in (0, 1) as a Column expression (JVM-side)."""
-    q = p - 0.5
-    r = q * q
-    central = _horner(_PROBIT_A, r) * q / (_horner(_PROBIT_B, r) * r + 1)
-    ql = F.sqrt(-2 * F.log(p))
-    low = _horner(_PROBIT_C, ql) / (_horner(_PROBIT_D, ql) * ql + 1)
-    qu = F.sqrt(-2 * F.log(1 - p))
-    high = -_horner(_PROBIT_C, qu) / (_horner(_PROBIT_D, qu) * qu + 1)
-    return F.when(p < _P_LOW, low).when(p > 1 - _P_LOW, high).otherwise(central)
+def probit(p: str) -> Column:
+    """Standard normal quantile of the SQL expression ``p`` in (0, 1), one JVM-side expression."""
+    q, r = f"(({p}) - 0.5D)", f"((({p}) - 0.5D) * (({p}) - 0.5D))"
+    central = f"({_horner_sql(_PROBIT_A, r)} * {q} / ({_horner_sql(_PROBIT_B, r)} * {r} + 1.0D))"
+    ql = f"sqrt(-2.0D * ln({p}))"
+    low = f"({_horner_sql(_PROBIT_C, ql)} / ({_horner_sql(_PROBIT_D, ql)} * {ql} + 1.0D))"
+    qu = f"sqrt(-2.0D * ln(1.0D - ({p})))"
+    high = f"(-{_horner_sql(_PROBIT_C, qu)} / ({_horner_sql(_PROBIT_D, qu)} * {qu} + 1.0D))"
+    return F.expr(f"CASE WHEN ({p}) < {_P_LOW!r}D THEN {low} WHEN ({p}) > {1 - _P_LOW!r}D THEN {high} "
+                  f"ELSE {central} END")
 
 
 def normal_sf(z: float) -> float:
@@ -325,8 +325,7 @@ def shapiro(series: DataFrame) -> DataFrame:
     w = Window.partitionBy(KEY).orderBy(V, T)
     ranked = keep.withColumn("_i", F.row_number().over(w))
     n = F.col("n").cast("double")
-    m = probit((F.col("_i") - 0.375) / (n + 0.25))
-    ranked = ranked.withColumn("_m", m)
+    ranked = ranked.withColumn("_m", probit("(_i - 0.375D) / (CAST(n AS DOUBLE) + 0.25D)"))
     # sums over the normal scores, the two largest scores, per series
     sums = ranked.groupBy(KEY).agg(F.sum(F.col("_m") * F.col("_m")).alias("_summ2"),
                                    F.max(F.when(F.col("_i") == F.col("n"), F.col("_m"))).alias("_mn"),

@@ -193,3 +193,12 @@ def test_newton_fit_matches_spark_ml(spark):
     lr = ml.fit_logistic(df, ["x1", "x2"], "y", tol=1e-10).stages[-1]
     w = ml.fit_logistic_newton(df, ["x1", "x2"], "y")
     assert abs(w[0] - lr.intercept) < 1e-5 and np.max(np.abs(w[1:] - lr.coefficients.toArray())) < 1e-5
+
+
+def test_probit_accuracy(spark):
+    from statistics import NormalDist
+    ps = [1e-6, 0.001, 0.02, 0.02425, 0.1, 0.3, 0.5, 0.7, 0.9, 0.97576, 0.99, 0.999999]
+    got = [r[0] for r in spark.createDataFrame([(p,) for p in ps], "p double").select(TS.probit("p")).collect()]
+    for g, p in zip(got, ps):
+        z = NormalDist().inv_cdf(p)
+        assert abs(g - z) <= 2e-9 * max(1.0, abs(z))
