@@ -100,7 +100,7 @@ RULES = (
     *BASE,
     Rule("symbols", ("n_symbols", "n_words"), lambda s, n: 4 * s > n),
     Rule("capitals", ("n_capitals", "word_chars"), lambda u, c: 2 * u > c),
-    Rule("duplicate_lines", ("n_dup_lines", "n_lines"), lambda d, n: 100 * d > 30 * n),
+    Rule("duplicate_lines", ("n_dup_lines", "n_lines"), lambda d, n: 100 * d > 50 * n),
     Rule("word_length", ("word_chars", "n_words"), lambda c, n: (c < 2 * n) | (c > 40 * n)),
 )
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, neardup, quality
+from tessera.llm import decontaminate, langid, nbest, neardup, quality
 from tessera.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,7 +57,7 @@ s AS (
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT 4 * n_symbols > n_words AND NOT 2 * n_capitals > word_chars
-       AND NOT 100 * n_dup_lines > 30 * n_lines AND NOT (word_chars < 2 * n_words OR word_chars > 40 * n_words) AS kept
+       AND NOT 100 * n_dup_lines > 50 * n_lines AND NOT (word_chars < 2 * n_words OR word_chars > 40 * n_words) AS kept
 FROM b
 """)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,3 +88,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return neardup.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op3_sentencepiece_nbest")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best segmentation (digest, number of pieces) of every document, scores of its four best, and the round trip."""
+    return nbest.segmented(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
