@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, nbest, neardup, quality
+from tessera.llm import decontaminate, htmltext, langid, nbest, neardup, quality, repair, warc
 from tessera.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best segmentation (digest, number of pieces) of every document, scores of its four best, and the round trip."""
     return nbest.segmented(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+
+
+@query("op2_repair_shards")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, length and checksum of every document's ids, read back from Re-Pair shards."""
+    return repair.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op4_warc_records")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record type and payload digest of every page, read back from WARC archives."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op5_main_text")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
