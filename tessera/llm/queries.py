@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, htmltext, langid, nbest, neardup, quality, repair, warc
+from tessera.llm import decontaminate, htmltext, langid, licenses, nbest, neardup, quality, repair, transcripts, warc
 from tessera.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op1_license_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License templates in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_transcript_turns")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns recovered from raw transcripts of all conversations, rendered."""
+    return transcripts.recovered(table(spark, sf_dir, "conversations"))
