@@ -40,12 +40,30 @@ FILE = ("part int, block int, n_ids long, first_rule long, rules binary, lengths
         "doc_ids binary, is_null binary, doc_symbols binary")
 
 
+def _places(n: int, place: np.ndarray, pair_at: np.ndarray, n_pairs: int,
+            often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places to replace and their pair's index in ``often`` (ascending frequency): no two places overlap.
+
+    The better pair wins where two overlap; in a run of one symbol every
+    second place is taken.
+    """
+    rank = np.zeros(n_pairs, np.int64)
+    rank[often] = np.arange(1, len(often) + 1)
+    grade = np.zeros(n + 1, np.int64)  # shifted by one, so that both ends have a neighbour of grade 0
+    grade[place + 1] = rank[pair_at]
+    mine, left, right = grade[1:-1], grade[:-2], grade[2:]
+    at = np.arange(n - 1)
+    in_run = at - np.maximum.accumulate(np.where(mine != left, at, 0))
+    take = np.flatnonzero((mine > 0) & (mine >= left) & (mine >= right) & (in_run % 2 == 0))
+    return take, mine[take] - 1
+
+
 def compress(ids: np.ndarray, doc_sizes: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(rules, lengths, symbols, symbols per document)`` of one shard.
 
     A round counts all adjacent pairs inside documents and replaces the most
     frequent ones at once; where chosen pairs overlap the more frequent one
-    wins (ties: the smaller pair, then the earlier place).
+    wins (ties: the larger pair).
     """
     s = ids.astype(np.uint64)
     last = np.zeros(len(s), bool)
@@ -58,21 +76,18 @@ def compress(ids: np.ndarray, doc_sizes: np.ndarray, first_rule: int) -> tuple[n
         pairs, inverse, count = np.unique(key[place], return_inverse=True, return_counts=True)
         if not len(count) or count.max() < MIN_USES:
             break
-        often = np.flatnonzero(count >= max(MIN_USES, ROUND_SHARE * count.max()))
-        rank = np.zeros(len(count), np.int64)
-        rank[often[np.argsort(count[often], kind="stable")]] = np.arange(1, len(often) + 1)
-        grade = np.zeros(len(s) + 1, np.int64)  # one more than places, shifted by one: neighbours of both ends are 0
-        grade[place + 1] = rank[inverse]
-        mine = grade[1:-1]
-        take = np.flatnonzero((mine > 0) & (mine > grade[:-2]) & (mine >= grade[2:]))
-        which = mine[take] - 1
-        uses = np.bincount(which, minlength=len(often))
-        good = uses >= MIN_USES
-        take, which = take[good[which]], which[good[which]]
+        for least in (max(MIN_USES, ROUND_SHARE * count.max()), MIN_USES):
+            often = np.flatnonzero(count >= least)
+            often = often[np.argsort(count[often], kind="stable")]
+            take, which = _places(len(s), place, inverse, len(count), often)
+            good = np.bincount(which, minlength=len(often)) >= MIN_USES
+            take, which = take[good[which]], which[good[which]]
+            if len(take):
+                break
         if not len(take):
             break
         number = np.cumsum(good) - 1
-        chosen = pairs[often[np.argsort(count[often], kind="stable")]][good]
+        chosen = pairs[often][good]
         new = np.column_stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)]).astype(np.uint32)
         known = np.concatenate(lengths)
         size = lambda x: np.where(x < first_rule, 1, known[np.maximum(x.astype(np.int64) - first_rule, 0)]
