@@ -11,8 +11,9 @@
    sample, identified by shingle and t). Equal texts share one node.
 3. Rows of samples form bands. In a bucket every member is a candidate of the
    bucket's smallest node. Members not verified against it are then compared
-   with all members of the bucket, by samples, in blocks spread over tasks,
-   so no pair of a bucket is left out and no pair table of a bucket is built.
+   with all members of the bucket, by samples, in blocks spread over tasks;
+   pairs that verified links already put in one class are left out, as they
+   can't change a class, and no pair table of a bucket is built.
 4. Candidates are verified by the exact weighted Jaccard similarity of their
    whole texts, then joined into classes by connected components.
 
@@ -140,7 +141,7 @@ def _signatures(idf, samples: int):
 
 
 def _residual_pairs(samples: int, least: int):
-    """Pairs (residual, member) of a block with at least ``least`` equal samples; rows come sorted by block."""
+    """Pairs (residual, member) of a block with ``least`` equal samples in different components; sorted by block."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         at = None
@@ -157,7 +158,8 @@ def _residual_pairs(samples: int, least: int):
             same = np.zeros((len(x), len(y)), np.uint8)
             for k in range(samples):
                 same += sx[:, k, None] == sy[None, :, k]
-            i, j = np.nonzero(same >= least)
+            cx, cy = x["component"].to_numpy(), y["component"].to_numpy()
+            i, j = np.nonzero((same >= least) & (cx[:, None] != cy[None, :]))
             return pd.DataFrame({"a": x["node"].to_numpy()[i], "b": y["node"].to_numpy()[j]})
 
         for b in batches:
@@ -274,6 +276,8 @@ def classes_by_text(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     left = written(member.where("node <> centre").join(
         linked.select(F.col("a").alias("centre"), F.col("b").alias("node")), ["centre", "node"], "left_anti")
         .select("bucket", "node", "size"), "left")
+    # what is already in one class needs no further link
+    joined = written(connected_components(linked.select("a", "b")), "joined")
     n_left = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_left"))
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     block_of = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
@@ -284,7 +288,8 @@ def classes_by_text(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
             .unionByName(sized.where("node <> centre").select(
                 "bucket", "node", F.lit(False).alias("residual"), all_of("n_left").alias("i"),
                 block_of("size").alias("j"))))
-    side = (side.join(nodes.select("node", "sig"), "node").repartition("bucket", "i", "j")
+    side = (side.join(nodes.select("node", "sig"), "node").join(joined, "node", "left")
+            .withColumn("component", F.xxhash64(F.coalesce("component", "node"))).repartition("bucket", "i", "j")
             .sortWithinPartitions("bucket", "i", "j"))
     more = (map_batches(side, _residual_pairs(samples, least), "a string, b string").where("a <> b")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
