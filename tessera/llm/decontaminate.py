@@ -35,9 +35,9 @@ def shingle_hashes(words: Column) -> Column:
 
 def shingle_texts(words: Column) -> Column:
     """Distinct five-word shingles as texts; empty below five words."""
-    return F.array_distinct(F.transform(
-        F.when(F.size(words) >= SIZE, F.sequence(F.lit(1), F.size(words) - (SIZE - 1)))
-        .otherwise(F.array().cast("array<int>")), lambda i: F.array_join(F.slice(words, i, SIZE), " ")))
+    return let(words, lambda held: F.array_distinct(F.transform(
+        F.when(F.size(held) >= SIZE, F.sequence(F.lit(1), F.size(held) - (SIZE - 1)))
+        .otherwise(F.array().cast("array<int>")), lambda i: F.array_join(F.slice(held, i, SIZE), " "))))
 
 
 def minima(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
