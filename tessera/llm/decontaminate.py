@@ -28,7 +28,7 @@ THRESHOLD = 0.8
 def shingle_hashes(words: Column) -> Column:
     """64-bit hashes of the five-word shingles, repeats included; empty below five words."""
     shifted = lambda a, b, step: F.zip_with(a, F.slice(b, step + 1, F.size(b)), lambda x, y: F.xxhash64(x, y))
-    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.slice(
+    return let(words, lambda h: F.slice(
         shifted(let(shifted(h, h, 1), lambda p: shifted(p, p, 2)), h, 4),
         1, F.greatest(F.size(h) - (SIZE - 1), F.lit(0))))
 

@@ -62,7 +62,7 @@ def repeated_words(word_list: Column, window: int = WINDOW) -> Column:
         return F.when(F.size(F.array_distinct(grams)) == F.size(grams), F.lit(0)).otherwise(
             let(ranked, lambda s: let(starts(s), covered)))
 
-    return let(F.transform(word_list, lambda w: F.xxhash64(w)), lambda h: let(doubled(h, 1), count))
+    return let(word_list, lambda w: let(doubled(w, 1), count))
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -71,15 +71,15 @@ def duplicate_lines(text: Column) -> Column:
                lambda lines: F.size(lines) - F.size(F.array_distinct(lines)))
 
 
-#: Statistics by name: expressions of the columns ``text`` and ``words``.
-STATISTICS: dict[str, Callable[[], Column]] = {
-    "n_words": lambda: F.size("words"),
-    "word_chars": lambda: F.length(F.array_join("words", "")),
-    "n_symbols": lambda: F.length("text") - F.length(F.regexp_replace("text", r"[#*$%&|<>]+", "")),
-    "n_dup_lines": lambda: duplicate_lines(F.col("text")),
-    "n_repeat_words": lambda: repeated_words(F.col("words")),
-    "n_capitals": lambda: F.length(F.regexp_replace("text", r"\P{Lu}+", "")),
-    "n_lines": lambda: F.size(F.split("text", "\n")),
+#: Statistics by name: expressions of a text and its words.
+STATISTICS: dict[str, Callable[[Column, Column], Column]] = {
+    "n_words": lambda text, w: F.size(w),
+    "word_chars": lambda text, w: F.length(F.array_join(w, "")),
+    "n_symbols": lambda text, w: F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]+", "")),
+    "n_dup_lines": lambda text, w: duplicate_lines(text),
+    "n_repeat_words": lambda text, w: repeated_words(w),
+    "n_capitals": lambda text, w: F.length(F.regexp_replace(text, r"\P{Lu}+", "")),
+    "n_lines": lambda text, w: F.size(F.split(text, "\n")),
 }
 
 
@@ -105,14 +105,18 @@ RULES = (
 )
 
 
-def prepared(docs: DataFrame) -> DataFrame:
-    """Adds ``words`` and makes a null text empty."""
-    text = F.coalesce("text", F.lit(""))
-    return docs.withColumn("text", text).withColumn("words", words(F.col("text")))
+def whole_text() -> Column:
+    """The text; a null text is empty."""
+    return F.coalesce("text", F.lit(""))
 
 
-def _condition(rule: Rule, have: Sequence[str] = ()) -> Column:
-    return rule.fails(*[F.col(s) if s in have else STATISTICS[s]() for s in rule.needs])
+def _condition(rule: Rule, text: Column, word_list: Column) -> Column:
+    return rule.fails(*[STATISTICS[s](text, word_list) for s in rule.needs])
+
+
+def _counted_condition(rule: Rule) -> Column:
+    """The rule on columns that hold the statistics."""
+    return rule.fails(*[F.col(s) for s in rule.needs])
 
 
 def ordered_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 512,
@@ -123,7 +127,8 @@ def ordered_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: i
     ``sample_rows`` rows; each rule's job brings back one boolean per sampled
     row. Its time above that of a job that only reads the text is the cost.
     """
-    sample = prepared(docs.select("text").sample(fraction=fraction, seed=seed))
+    sample = docs.select(whole_text().alias("text")).sample(fraction=fraction, seed=seed)
+    text = F.col("text")
 
     def timed(column: Column) -> tuple[float, list]:
         began = time.perf_counter()
@@ -135,16 +140,16 @@ def ordered_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: i
     floor = timed(plain)[0]
     out = []
     for rule in rules:
-        seconds, rows = min((timed(_condition(rule)) for _ in range(2)), key=lambda x: x[0])
+        seconds, rows = min((timed(let(words(text), lambda w: _condition(rule, text, w))) for _ in range(2)), key=lambda x: x[0])
         out.append((rule, max(seconds - floor, 1e-3), sum(bool(r[0]) for r in rows) / max(len(rows), 1)))
     return sorted(out, key=lambda x: (-x[2] / x[1], x[1]))
 
 
-def first_failure(rules: Sequence[Rule], have: Sequence[str] = ()) -> Column:
+def first_failure(rules: Sequence[Rule], condition: Callable[[Rule], Column]) -> Column:
     """Name of the first rule that rejects the text, null if none does; later rules aren't evaluated."""
     chain = None
     for rule in rules:
-        test = _condition(rule, have)
+        test = condition(rule)
         chain = F.when(test, rule.name) if chain is None else chain.when(test, rule.name)
     return chain
 
@@ -158,19 +163,20 @@ def apply_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, **sampling) -> D
     ``text`` is read. An empty table stays empty.
     """
     order = [r for r, _, _ in ordered_rules(docs, rules, **sampling)]
-    whole = docs.withColumn("_row", F.struct(*[docs[c] for c in docs.columns]))
-    judged = prepared(whole.select("_row", F.col("_row.text").alias("text")))
-    return judged.where(first_failure(order).isNull()).select("_row.*")
+    failed = let(whole_text(), lambda text: let(
+        words(text), lambda w: first_failure(order, lambda rule: _condition(rule, text, w))))
+    return docs.where(failed.isNull())
 
 
 def rule_report(docs: DataFrame, rules: Sequence[Rule] = RULES, **sampling) -> DataFrame:
     """One row per document: ``doc_id``, all statistics, ``base_failed``, ``first_failed`` and ``kept``."""
     order = [r for r, _, _ in ordered_rules(docs, rules, **sampling)]
     stats = list(STATISTICS)
-    counted = prepared(docs.select("doc_id", "text")).select(
-        "doc_id", *[STATISTICS[s]().cast("long").alias(s) for s in stats])
-    failed = _condition(BASE[0], stats)
+    text, word_list = F.col("text"), F.col("words")
+    cut = docs.select("doc_id", whole_text().alias("text")).withColumn("words", words(text))
+    counted = cut.select("doc_id", *[STATISTICS[s](text, word_list).cast("long").alias(s) for s in stats])
+    failed = _counted_condition(BASE[0])
     for rule in BASE[1:]:
-        failed = failed | _condition(rule, stats)
-    return (counted.withColumn("base_failed", failed).withColumn("first_failed", first_failure(order, stats))
+        failed = failed | _counted_condition(rule)
+    return (counted.withColumn("base_failed", failed).withColumn("first_failed", first_failure(order, _counted_condition))
             .withColumn("kept", ~F.col("base_failed") & F.col("first_failed").isNull()))

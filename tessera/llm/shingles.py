@@ -96,4 +96,4 @@ def weighted_sets(texts: list[str], size: int = SIZE) -> tuple[np.ndarray, np.nd
 
 def words_column(text: Column) -> Column:
     """Array of the words of ``text`` as a Spark expression (null text: empty array)."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
