@@ -51,7 +51,7 @@ SELECT ts + (event_id % 360) * INTERVAL '1' DAY AS datetime,
 FROM events""",
     "titles": """
 SELECT source AS titleType,
-  CASE WHEN d.doc_id % 31 <> 0 THEN substr(text, 1, 30) END AS primaryTitle,
+  CASE WHEN d.doc_id % 31 <> 0 THEN text END AS primaryTitle,
   CAST(coalesce(toxic, 0) AS INTEGER) AS isAdult,
   CAST(2019 AS INTEGER) AS startYear,
   CASE WHEN d.doc_id % 9 <> 0 THEN CAST(n_chars AS DOUBLE) / 50 END AS runtimeMinutes

@@ -198,12 +198,12 @@ def season(month_col: Column | str) -> Column:
 # ---------------------------------------------------------------- math ----
 
 def normal_pdf(x: Column | str, mu: Column | float, sigma: Column | float) -> Column:
-    """Gaussian density ``dnorm(x, mu, sigma)``."""
+    """Gaussian density ``dnorm(x, mu, sigma)``; null where sigma is 0."""
     x = col_of(x)
     mu = mu if isinstance(mu, Column) else F.lit(float(mu))
     sigma = sigma if isinstance(sigma, Column) else F.lit(float(sigma))
-    z = (x - mu) / sigma
-    return F.exp(-0.5 * z * z) / (sigma * F.lit(math.sqrt(2 * math.pi)))
+    z = F.try_divide(x - mu, sigma)
+    return F.try_divide(F.exp(-0.5 * z * z), sigma * F.lit(math.sqrt(2 * math.pi)))
 
 
 def safe_corr(x: Column | str, y: Column | str) -> Column:

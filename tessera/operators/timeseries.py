@@ -311,16 +311,17 @@ def _poly(coefs: Sequence[float], x):
 def shapiro(series: DataFrame) -> DataFrame:
     """Shapiro-Wilk normality test, Royston's approximation as R's ``shapiro.test``.
 
-    Defined for ``3 <= n <= 5000``; other series are left out. Because of
-    that bound the per-series rank window never holds more than 5000 rows,
-    and longer series are removed by a semi join before any window. The
-    coefficients ``a_i`` are Column expressions of the rank (normal scores by
+    Defined for ``3 <= n <= 5000``; other series, and constant ones, get a
+    row with null statistic and p-value. Because of that bound the per-series
+    rank window never holds more than 5000 rows, and longer series are left
+    out by a join before any window. The coefficients ``a_i`` are Column expressions of the rank (normal scores by
     ``probit``); W is one aggregate; its p-value is computed on the one
     aggregated row per series. Output ``(series_id, n, statistic, p_value)``.
     """
     from tessera.operators.joins import checked_broadcast
 
-    stats = series_stats(series).where((F.col("n") >= 3) & (F.col("n") <= SHAPIRO_MAX_N))
+    every = series_stats(series)
+    stats = every.where((F.col("n") >= 3) & (F.col("n") <= SHAPIRO_MAX_N))
     keep = series.join(checked_broadcast(stats), KEY)
     w = Window.partitionBy(KEY).orderBy(V, T)
     ranked = keep.withColumn("_i", F.row_number().over(w))
@@ -350,8 +351,11 @@ def shapiro(series: DataFrame) -> DataFrame:
     neg = F.when(i == 1, -F.col("_a1")).when((i == 2) & (nn > 5), -F.col("_a2"))
     a = F.coalesce(pos, neg, F.when(nn == 3, F.lit(0.0)), F.col("_m") / F.col("_fac"))
     w_stat = j.groupBy(KEY, "n").agg(
-        (F.pow(F.sum(a * F.col(V)), 2) / F.sum(F.pow(F.col(V) - F.col("mean"), 2))).alias("statistic"))
-    w_stat = w_stat.withColumn("statistic", F.least(F.col("statistic"), F.lit(1.0)))
+        F.try_divide(F.pow(F.sum(a * F.col(V)), 2), F.sum(F.pow(F.col(V) - F.col("mean"), 2))).alias("statistic"))
+    # ``least`` skips nulls, so a missing statistic must stay missing
+    w_stat = w_stat.withColumn("statistic", F.when(F.col("statistic").isNotNull(),
+                                                   F.least(F.col("statistic"), F.lit(1.0))))
+    w_stat = every.select(KEY, "n").join(w_stat.drop("n"), KEY, "left")
     return w_stat.withColumn("p_value", _shapiro_p_udf(F.col("statistic"), F.col("n")))
 
 
@@ -471,12 +475,15 @@ def ndiffs(series: DataFrame, max_d: int = 2, max_p: int = 12) -> DataFrame:
 
     The series and its first ``max_d`` differences are tested in the same
     job; ``d`` is the first order whose test rejects a unit root, else
-    ``max_d``. Output ``(series_id, ndiffs)``.
+    ``max_d``. A constant series needs no further difference; a series too
+    short for a test gets null. Output ``(series_id, ndiffs)``.
     """
     current = series
     tests = []
     for d in range(max_d + 1):
-        tests.append(adf(current, max_p).select(KEY, F.col("stationary").alias(f"_s{d}")))
+        same = current.groupBy(KEY).agg((F.min(V) == F.max(V)).alias("_same"))
+        tests.append(same.join(adf(current, max_p), KEY, "left").select(
+            KEY, F.when(F.col("_same"), True).otherwise(F.col("stationary")).alias(f"_s{d}")))
         if d < max_d:
             current = difference(current)
     j = tests[0]
@@ -484,8 +491,9 @@ def ndiffs(series: DataFrame, max_d: int = 2, max_p: int = 12) -> DataFrame:
         j = j.join(t, KEY, "left")
     expr = None
     for d in range(max_d + 1):
-        cond = F.coalesce(F.col(f"_s{d}"), F.lit(False))
-        expr = F.when(cond, F.lit(d)) if expr is None else expr.when(cond, F.lit(d))
+        test = F.col(f"_s{d}")
+        missing = F.lit(None).cast("int")
+        expr = (F.when(test.isNull(), missing) if expr is None else expr.when(test.isNull(), missing)).when(test, F.lit(d))
     return j.select(KEY, expr.otherwise(F.lit(max_d)).alias("ndiffs"))
 
 
@@ -521,7 +529,8 @@ def diagnose(series: DataFrame, lag: int = 20, max_d: int = 2) -> DataFrame:
 def strict_white_noise(series: DataFrame, lag: int = 20, alpha: float = 0.05) -> DataFrame:
     """Verdict per series: uncorrelated (Ljung-Box on y), uncorrelated squares
     (Ljung-Box on y^2), normal (Shapiro-Wilk). ``GWN`` when all three hold,
-    ``SWN`` when the first two hold, ``WN`` when only the first, else ``not WN``.
+    ``SWN`` when the first two hold, ``WN`` when only the first, else ``not WN``;
+    ``normality not tested`` when the first two hold and Shapiro-Wilk is undefined.
     """
     lb = ljung_box(series, lag).select(KEY, F.col("p_value").alias("p_lb"))
     lb2 = ljung_box(squared(series), lag).select(KEY, F.col("p_value").alias("p_lb2"))
@@ -529,6 +538,7 @@ def strict_white_noise(series: DataFrame, lag: int = 20, alpha: float = 0.05) ->
     j = lb.join(lb2, KEY, "left").join(sw, KEY, "left")
     unc = F.col("p_lb") > alpha
     unc2 = F.col("p_lb2") > alpha
-    normal = F.coalesce(F.col("p_sw") > alpha, F.lit(False))
-    verdict = (F.when(unc & unc2 & normal, "GWN").when(unc & unc2, "SWN").when(unc, "WN").otherwise("not WN"))
+    untested = unc & unc2 & F.col("p_sw").isNull()
+    normal = F.col("p_sw") > alpha
+    verdict = (F.when(untested, "normality not tested").when(unc & unc2 & normal, "GWN").when(unc & unc2, "SWN").when(unc, "WN").otherwise("not WN"))
     return j.select(KEY, "p_lb", "p_lb2", "p_sw", verdict.alias("verdict"))

@@ -119,7 +119,7 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = d.join(b, F.col("doc_id") == F.col("b_doc_id"), "left")
     return x.select(
         F.col("source").alias("titleType"),
-        F.when(F.col("doc_id") % 31 != 0, F.substring("text", 1, 30)).alias("primaryTitle"),
+        F.when(F.col("doc_id") % 31 != 0, F.col("text")).alias("primaryTitle"),
         F.coalesce(F.col("toxic"), F.lit(0)).cast("int").alias("isAdult"),
         F.lit(2019).alias("startYear"),
         F.when(F.col("doc_id") % 9 != 0, F.col("n_chars").cast("double") / 50).alias("runtimeMinutes"),

@@ -7,6 +7,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tessera.functions import columns as C
 from tessera.operators import features as FE
 from tessera.operators import ml
 from tessera.operators import sorting
@@ -202,3 +203,17 @@ def test_probit_accuracy(spark):
     for g, p in zip(got, ps):
         z = NormalDist().inv_cdf(p)
         assert abs(g - z) <= 2e-9 * max(1.0, abs(z))
+
+
+def test_series_without_spread_or_of_unusual_length(spark):
+    rows = ([(1, t, 3.0) for t in range(1, 41)] + [(2, 1, 2.0)]
+            + [(3, t, float(math.sin(t * t))) for t in range(1, 5002)])
+    s = spark.createDataFrame(rows, "series_id long, t int, value double")
+    found = {r["series_id"]: r for r in TS.shapiro(s).collect()}
+    assert set(found) == {1, 2, 3}
+    assert all(r["statistic"] is None and r["p_value"] is None for r in found.values())
+    short = s.where("series_id <> 3")
+    assert {r["series_id"]: r["ndiffs"] for r in TS.ndiffs(short).collect()} == {1: 0, 2: 0}
+    assert TS.strict_white_noise(s.where("series_id = 3")).first()["verdict"] in ("normality not tested", "WN", "not WN")
+    flat = s.where("series_id = 1").select(C.normal_pdf("value", 3.0, 0.0).alias("d")).first()
+    assert flat["d"] is None
