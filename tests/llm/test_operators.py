@@ -163,6 +163,29 @@ def test_warc_round_trip(spark):
         assert Counter(tuple(r) for r in warc.round_trip(some).collect()) == _warc_by_hand(some.collect())
 
 
+def test_warc_marks_at_the_edges_of_payloads_and_segments(spark):
+    first = "WARC/1.1\r\n"
+    edge = lambda k: "x" * (warc.SEGMENT - k)
+    texts = [first, first + "a", "a\r\n\r\nWARC/1.1", "WARC/1.1", first * 3, "a\r\n\r\nWA", "RC/1.1\r\n", edge(0) + first + "b",
+             *(edge(k) + warc.SEPARATOR + "b" for k in range(0, 15)), edge(12) + "\r\n\r\nWARC/1.1", "€" * 50_000, "€" * 50_000 + first]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, html string").selectExpr("page_id", "'u' AS url", "html")
+    assert Counter(tuple(r) for r in warc.round_trip(pages).collect()) == _warc_by_hand(pages.collect())
+
+
+def test_warc_separator_at_the_readers_buffer_edge(spark, tmp_path):
+    """Records one byte longer than the reader's buffer of 64 KiB, each ending in a line end, push the separator over its edge."""
+    def written(name, size):
+        pages = spark.createDataFrame([(i, "u", f"{i}".ljust(size - 2, "x") + "\r\n") for i in range(1, 10)],
+                                      "page_id long, url string, html string")
+        warc.write_archives(warc.classified(pages).coalesce(1), str(tmp_path / name))
+        return [f for f in (tmp_path / name).iterdir() if f.name.startswith("part-") and f.stat().st_size]
+
+    size = 60_000
+    size += 65_537 - written("a", size)[0].stat().st_size // 9
+    assert [f.stat().st_size for f in written("b", size)] == [9 * 65_537]
+    assert warc.read_archives(spark, str(tmp_path / "b")).count() == 9
+
+
 def test_warc_segments_are_bounded(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "é" * 300_000)], "page_id long, url string, html string")
     warc.write_archives(warc.classified(pages), str(tmp_path / "w"))
