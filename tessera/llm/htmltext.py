@@ -4,13 +4,17 @@ A page becomes a small tree of containers and text blocks. Each block passes
 points for its length and its commas, discounted by its share of link text,
 in full to its container and in halves further up. The container with most
 points is the article; siblings that score like it or read like prose are
-kept with it. Parsing one page is a per-row helper; Spark spreads the pages.
+kept with it. An element whose name marks it as furniture is left out unless
+it holds nearly all of the page's text. Parsing one page is a per-row helper; Spark spreads the pages.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -19,39 +23,85 @@ from pyspark.sql import functions as F
 
 from tessera.llm.shared import by_text_size, map_batches
 
-# Element names of HTML and words that name page furniture in class and id.
+# Element names of HTML and words that name page furniture in class, id and role.
 SKIPPED = frozenset("script style noscript template nav header footer aside form button select textarea iframe svg object "
-                    "head title dialog menu".split())
+                    "title dialog menu".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote dt dd td th figcaption caption summary address".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+BLOCKS = HEADINGS | frozenset("p li pre blockquote dt dd td th figcaption caption summary address".split())
 CONTAINERS = frozenset("html body div section article main ul ol dl table tbody thead tfoot tr figure details center "
                        "fieldset hgroup".split())
-FURNITURE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|alert|popup|modal|"
-                       r"nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|aside|widget|related|share|"
-                       r"social|comments?|replies|disqus|newsletter|subscribe|login|pagination|pager)(?:$|[\s_-])", re.I)
+INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub "
+                   "sup time tt u var".split())
+_BREAKS = CONTAINERS | BLOCKS | (SKIPPED - {"script", "style", "button", "select", "textarea", "svg", "object"})
+_CELLS = frozenset("td th caption table".split())
+_TABLE_PARTS = frozenset("tbody thead tfoot tr td th caption".split())
+#: Start tags that end an element without its end tag: what they end, and where the search for it stops.
+ENDS = {"li": (frozenset(["li"]), _CELLS | frozenset("ul ol menu article section".split())),
+        "dt": (frozenset(["dt", "dd"]), _CELLS | {"dl"}), "dd": (frozenset(["dt", "dd"]), _CELLS | {"dl"}),
+        "td": (frozenset(["td", "th", "caption"]), frozenset(["tr", "table"])),
+        "th": (frozenset(["td", "th", "caption"]), frozenset(["tr", "table"])),
+        "tr": (frozenset(["tr", "caption"]), frozenset(["table"])),
+        **{t: (frozenset("tbody thead tfoot caption".split()), frozenset(["table"])) for t in ("tbody", "thead", "tfoot")},
+        **{t: (HEADINGS, _BREAKS - HEADINGS) for t in HEADINGS}, "a": (frozenset(["a"]), _BREAKS)}
+
+_FURNITURE = (r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|alert|popup|modal|"
+              r"nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|aside|widget|related|share|"
+              r"social|comments?|replies|disqus|newsletter|subscribe|login|pagination|pager)")
+FURNITURE = re.compile(rf"{_FURNITURE}(?:s|list|box|bar|wrap|wrapper|area|section|form|posts?|links?|items?|block|container|content|"
+                       rf"banner|notice|body|thread|count|buttons?|icons?|unit|slot|sense|panel|menu)?|"
+                       r"(?:site|main|top|page|side|sub|bottom|global|left|right)(?:nav|menu|footer|header|banner|ads?)")
+#: Names of a state or of a topic, not of furniture: has-sidebar, comments-open, header-fixed, category-promo.
+STATES = frozenset("no not has have with without is hide hidden show open closed enabled disabled fixed sticky".split())
+TOPICS = frozenset("category tag type status format topic".split())
+TITLED = frozenset("entry article post story content section".split())
+#: Furniture by name is the page itself if it holds this many times the text outside furniture (with and without prose there).
+WRAPPER, WRAPPER_OF_PROSE = 4, 50
 
 BASE_POINTS, CHARS_PER_POINT, SIBLING_SHARE, PROSE_CHARS, PROSE_LINKS = 1.0, 100.0, 0.2, 80, 0.25
 #: Points of a container named as the article, however short its text.
 NAMED_ARTICLE = {"article": 25.0, "main": 15.0}
 
 
+@lru_cache(20_000)
+def _names_furniture(value: str) -> bool:
+    """Whether a word of a class, id or role names furniture; words are cut at punctuation and at capitals (cookieBanner)."""
+    for token in value.split():
+        parts = [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", token)]
+        if not parts or parts[0] in TOPICS or not STATES.isdisjoint(parts) or "header" in parts and not TITLED.isdisjoint(parts):
+            continue
+        if any(map(FURNITURE.fullmatch, parts)):
+            return True
+    return False
+
+
 class _Node:
-    __slots__ = ("tag", "parent", "points", "order")
+    """A container, or an element marked as furniture by its name."""
 
-    def __init__(self, tag: str, parent: "_Node | None", order: int) -> None:
-        self.tag, self.parent, self.order, self.points = tag, parent, order, NAMED_ARTICLE.get(tag, 0.0)
+    __slots__ = ("tag", "parent", "children", "points", "order", "marked", "own", "chars", "prose")
+
+    def __init__(self, tag: str, parent: "_Node | None", order: int, marked: bool = False) -> None:
+        self.tag, self.parent, self.order, self.marked = tag, parent, order, marked
+        self.points, self.own, self.chars, self.prose, self.children = NAMED_ARTICLE.get(tag, 0.0), 0, 0, False, []
+        if parent is not None:
+            parent.children.append(self)
 
 
 class _Tree(HTMLParser):
-    """Blocks ``(container, tag, text, link characters)`` in page order, outside skipped elements."""
+    """Blocks ``(node, tag, text, link characters)`` in page order, outside skipped elements.
+
+    The stack holds every open element; an end tag, and a start tag by
+    ``ENDS``, closes what is open inside the element it ends.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.at = _Node("html", None, 0)
         self.nodes, self.blocks = [self.root], []
         self.text: list[str] = []
-        self.links, self.link_chars, self.block_tag = 0, 0, ""
-        self.skipping: list[str] = []
+        self.link_chars, self.block_tag, self.skipping = 0, "", 0
+        self.stack: list[tuple[str, _Node, str, int]] = []  # tag; node, block and skipped elements from there on
+        self.open: Counter[str] = Counter()
 
     def flush(self) -> None:
         words = " ".join("".join(self.text).split())
@@ -59,61 +109,127 @@ class _Tree(HTMLParser):
             self.blocks.append((self.at, self.block_tag, words, self.link_chars))
         self.text, self.link_chars = [], 0
 
+    def cut(self, depth: int) -> None:
+        """Close all elements from this place of the stack on."""
+        if any(tag in _BREAKS or node.tag == tag and node is not self.root for tag, node, _, _ in self.stack[depth:]):
+            self.flush()
+        for tag, *_ in self.stack[depth:]:
+            self.open[tag] -= 1
+        del self.stack[depth:]
+        self.at, self.block_tag, self.skipping = self.stack[-1][1:] if self.stack else (self.root, "", 0)
+
+    def end(self, tags: frozenset[str], stop: frozenset[str]) -> None:
+        if any(self.open[t] for t in tags):
+            for k in range(len(self.stack) - 1, -1, -1):
+                if self.stack[k][0] in tags:
+                    return self.cut(k)
+                if self.stack[k][0] in stop:
+                    return None
+        return None
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self.skipping:
-            if tag == self.skipping[0] and tag not in VOID:
-                self.skipping.append(tag)
+        if tag in ("html", "head", "body"):
+            if tag == "body":
+                self.cut(0)
             return
+        if tag in _BREAKS or tag == "hr":
+            self.end(frozenset(["p"]), _CELLS)
         if tag in VOID:
-            if tag == "br":
-                self.text.append("\n")
-            elif tag == "hr":
+            if tag == "hr":
                 self.flush()
+            elif tag == "br" and not self.skipping:
+                self.text.append("\n")
             return
+        if tag in ENDS:
+            self.end(*ENDS[tag])
         named = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
-        hidden = any(k == "hidden" for k, _ in attrs)
-        if (tag in SKIPPED or hidden or (FURNITURE.search(named) and tag not in ("html", "body", "article", "main"))):
-            if tag not in ("span", "b", "i", "em", "strong", "a"):
-                self.flush()
-            self.skipping = [tag]
-        elif tag in CONTAINERS:
-            self.flush()
-            self.block_tag = ""
-            if tag not in ("html", "body"):
-                self.at = _Node(tag, self.at, len(self.nodes))
-                self.nodes.append(self.at)
-        elif tag in BLOCKS:
+        furniture = bool(named) and tag != "main" and _names_furniture(named)
+        # the header of an article or of the main part holds its title
+        skipped = (tag in SKIPPED and not (tag == "header" and (self.open["article"] or self.open["main"]))
+                   or any(k == "hidden" for k, _ in attrs) or furniture and tag in INLINE)
+        node, block, marked = self.at, self.block_tag, furniture and not skipped
+        if tag in _BREAKS or marked:
             self.flush()
-            self.block_tag = tag
-        elif tag == "a":
-            self.links += 1
+        if not (skipped or self.skipping):
+            if tag in CONTAINERS or marked:
+                node = _Node(tag, self.at, len(self.nodes), marked)
+                self.nodes.append(node)
+            if tag in BLOCKS or tag in CONTAINERS:
+                block = tag if tag in BLOCKS else ""
+        self.stack.append((tag, node, block, self.skipping + skipped))
+        self.open[tag] += 1
+        self.at, self.block_tag, self.skipping = node, block, self.skipping + skipped
 
     def handle_endtag(self, tag: str) -> None:
-        if self.skipping:
-            if tag == self.skipping[0]:
-                self.skipping.pop()
-            return
-        if tag in CONTAINERS:
-            up = self.at
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if up is not None:
-                self.flush()
-                self.block_tag, self.links = "", 0
-                self.at = up.parent or up
-        elif tag in BLOCKS:
+        if tag == "p" and not self.open["p"]:
             self.flush()
-            self.block_tag = ""
-        elif tag == "a" and self.links:
-            self.links -= 1
+        elif tag in _TABLE_PARTS:
+            self.end(frozenset([tag]), frozenset(["table"]))
+        elif tag == "table":
+            self.end(frozenset([tag]), frozenset())
+        elif tag in ("li", "a") or tag in HEADINGS:
+            self.end(*ENDS[tag])
+        elif tag not in ("html", "head", "body"):
+            self.end(frozenset([tag]), _CELLS if tag in _BREAKS or tag not in INLINE else _BREAKS)
 
     def handle_data(self, data: str) -> None:
         if not self.skipping:
             self.text.append(data)
-            if self.links:
+            if self.open["a"]:
                 self.link_chars += len(data.strip())
 
 
+def _weigh_furniture(tree: _Tree) -> None:
+    """Takes the mark from elements that hold the page's text, and drops the blocks inside the others."""
+    for node, _, text, linked in tree.blocks:
+        node.own += max(0, len(text) - linked)
+        node.prose |= len(text) >= PROSE_CHARS and linked <= PROSE_LINKS * len(text)
+    for node in reversed(tree.nodes):
+        node.chars += node.own
+        if node.parent is not None:
+            node.parent.chars += node.chars
+    chars, prose, marked = 0, False, []
+
+    def count(node: _Node) -> None:
+        nonlocal chars, prose
+        todo = [node]
+        while todo:
+            n = todo.pop()
+            chars, prose = chars + n.own, prose or n.prose
+            for c in n.children:
+                if c.marked:
+                    heapq.heappush(marked, (-c.chars, c.order, c))
+                else:
+                    todo.append(c)
+
+    count(tree.root)
+    outside = chars
+    for node in tree.nodes:
+        # no furniture holds the main part, or an article longer than all that is outside
+        if not node.marked and (node.tag == "main" or node.tag == "article" and node.chars > outside):
+            up = node.parent
+            while up is not None:
+                up.marked, up = False, up.parent
+    chars, prose, marked = 0, False, []
+    count(tree.root)
+    while marked and -marked[0][0] > (WRAPPER_OF_PROSE if prose else WRAPPER) * chars:
+        node = heapq.heappop(marked)[2]
+        node.marked = False
+        count(node)
+    dropped: set[int] = set()
+    for node in tree.nodes:
+        if node.marked or node.parent is not None and id(node.parent) in dropped:
+            dropped.add(id(node))
+    found = []
+    for node, tag, text, linked in tree.blocks:
+        if id(node) not in dropped:
+            while node.tag not in CONTAINERS:
+                node = node.parent
+            found.append((node, tag, text, linked))
+    tree.blocks = found
+    tree.nodes = [n for n in tree.nodes if id(n) not in dropped and n.tag in CONTAINERS]
+
+
 def _score(tree: _Tree) -> None:
     for node, _, text, linked in tree.blocks:
         density = min(1.0, linked / len(text))
@@ -130,6 +246,7 @@ def main_blocks(html: str) -> list[str]:
     tree.feed(html)
     tree.close()
     tree.flush()
+    _weigh_furniture(tree)
     if not tree.blocks:
         return []
     _score(tree)

@@ -216,6 +216,24 @@ def test_main_text_by_scores():
     assert htmltext.main_blocks("just  text") == ["just text"]
 
 
+def test_main_text_weighs_furniture_names():
+    prose = "Some words, and more words, that read like an article and go on for a good while, as articles do."
+    for name in ("content has-sidebar", "no-comments", "header-fixed", "widget", "menu"):
+        page = f"""<body><div>Site</div><div id=page class="{name}"><p>{prose}</p><p>{prose}</p>
+            <div class="sidebar"><p>{prose}</p></div></div></body>"""
+        assert htmltext.main_blocks(page)[-2:] == [prose, prose], name
+    assert htmltext.main_blocks(f"<ul><li class=ad>{prose}<li>one, two<li>three</ul><p class=promo>buy<p>{prose}<p>{prose}") == [
+        "one, two", "three", prose, prose]
+    assert htmltext.main_blocks(f"<div><p class=share>x</div><div><p>{prose}</div>") == [prose]
+    assert htmltext.main_blocks(f"<div><p hidden>x</div><div><p>{prose}</div>") == [prose]
+    for comment in ("<article class=comment>", "<div class=commentlist>", "<div id=cookieBanner>", "<div class=relatedPosts>"):
+        end = f"</{comment[1:].split()[0]}>"
+        page = f"<div><article><p>{prose}</p></article>{comment}<p>{prose} {prose} {prose}</p>{end}<p>End, text.</p></div>"
+        assert [b for b in htmltext.main_blocks(page) if b != "End, text."] == [prose], comment
+    page = f'<article class="post comments-open category-promo"><header><h1>Title</h1></header><p>{prose}</p></article>'
+    assert htmltext.main_blocks(page) == ["Title", prose]
+
+
 def test_main_text_edge_rows(spark):
     pages = spark.createDataFrame([(None, None, None, "t"), (1, "u", "", "t"), (1, "u", "<p>a</p>" * 50_000, "t")],
                                   "page_id long, url string, html string, text string")
