@@ -3,8 +3,9 @@
 A page becomes a small tree of containers and text blocks. Each block passes
 points for its length and its commas, discounted by its share of link text,
 in full to its container and in halves further up. The container with most
-points is the article; siblings that score like it or read like prose are
-kept with it. An element whose name marks it as furniture is left out unless
+points leads to the article: the nearest article or main element around it,
+kept whole with the title and blocks beside it in main; without one, parents
+are climbed as long as they add text that isn't links. An element whose name marks it as furniture is left out unless
 it holds nearly all of the page's text. Parsing one page is a per-row helper; Spark spreads the pages.
 """
 
@@ -59,7 +60,7 @@ TITLED = frozenset("entry article post story content section".split())
 WRAPPER, WRAPPER_OF_PROSE = 4, 50
 
 BASE_POINTS, CHARS_PER_POINT, SIBLING_SHARE, PROSE_CHARS, PROSE_LINKS = 1.0, 100.0, 0.2, 80, 0.25
-#: Points of a container named as the article, however short its text.
+#: Points of a container named as the article, if it holds all text of the page; else in proportion.
 NAMED_ARTICLE = {"article": 25.0, "main": 15.0}
 
 
@@ -82,7 +83,7 @@ class _Node:
 
     def __init__(self, tag: str, parent: "_Node | None", order: int, marked: bool = False) -> None:
         self.tag, self.parent, self.order, self.marked = tag, parent, order, marked
-        self.points, self.own, self.chars, self.prose, self.children = NAMED_ARTICLE.get(tag, 0.0), 0, 0, False, []
+        self.points, self.own, self.chars, self.prose, self.children = 0.0, 0, 0, False, []
         if parent is not None:
             parent.children.append(self)
 
@@ -249,32 +250,84 @@ def main_blocks(html: str) -> list[str]:
     _weigh_furniture(tree)
     if not tree.blocks:
         return []
+    kept, around = _chosen(tree)
+    return [text for node, _, text, linked in tree.blocks
+            if id(node) in kept or id(node) in around and linked <= PROSE_LINKS * len(text)]
+
+
+def _chosen(tree: _Tree) -> tuple[set[int], set[int]]:
+    """Containers kept whole, and those of which only the blocks between their children are kept."""
     _score(tree)
+    own = {id(n): [0, 0, False, False] for n in tree.nodes}  # text outside links, links, a title, prose
+    for node, tag, text, linked in tree.blocks:
+        o, few = own[id(node)], linked <= PROSE_LINKS * len(text)
+        o[0], o[1] = o[0] + max(0, len(text) - linked), o[1] + linked
+        o[2], o[3] = o[2] or tag in ("h1", "h2") and few, o[3] or len(text) >= PROSE_CHARS and few
+    held = {k: list(o[:3]) for k, o in own.items()}
+    children: dict[int, list[_Node]] = {k: [] for k in own}
+    up: dict[int, _Node | None] = {}
+    for node in reversed(tree.nodes):
+        above = node.parent
+        while above is not None and id(above) not in own:  # an element that is no container
+            above = above.parent
+        up[id(node)] = above
+        if above is not None:
+            children[id(above)].append(node)
+            h, k = held[id(above)], held[id(node)]
+            h[0], h[1], h[2] = h[0] + k[0], h[1] + k[1], h[2] or k[2]
+    whole = max(1, held[id(tree.root)][0])
+    for node in tree.nodes:
+        node.points += NAMED_ARTICLE.get(node.tag, 0.0) * held[id(node)][0] / whole
     best = max(tree.nodes, key=lambda n: (n.points, -n.order))
-    inside: dict[int, bool] = {}
-    prose = {id(n) for n, _, text, linked in tree.blocks if len(text) >= PROSE_CHARS and linked <= PROSE_LINKS * len(text)}
-
-    def kept(node: _Node) -> bool:
-        path, found = [], None
-        while node is not None and found is None:
-            path.append(node)
-            if id(node) in inside:
-                found = inside[id(node)]
-            elif node is best:
-                found = True
-            elif node.parent is best.parent and best.parent is not None:
-                found = best.tag not in NAMED_ARTICLE and (
-                    node.points >= max(2.0, SIBLING_SHARE * best.points) or id(node) in prose)
-            node = node.parent
-        for n in path:
-            inside[id(n)] = bool(found)
-        return bool(found)
-
-    # text that stands in the best container's own parent, between its children, is a sibling too
-    around = best.parent
-    own = best.tag not in NAMED_ARTICLE
-    return [text for node, tag, text, linked in tree.blocks
-            if kept(node) or (own and node is around and (tag in ("h1", "h2", "p")) and linked <= PROSE_LINKS * len(text))]
+    named = best
+    while named is not None and named.tag not in NAMED_ARTICLE:
+        named = up[id(named)]
+    kept: set[int] = set()
+    around: set[int] = set()
+
+    def keep(node: _Node) -> None:
+        todo = [node]
+        while todo:
+            n = todo.pop()
+            kept.add(id(n))
+            todo.extend(children[id(n)])
+
+    def belongs(node: _Node) -> bool:
+        chars, links, title = held[id(node)]
+        if named is not None:
+            return title and not holds_article(node)
+        if own[id(node)][3] or node.points >= max(2.0, SIBLING_SHARE * best.points):
+            return True
+        # a few words beside the article in body itself are more often a notice than its text
+        return links <= PROSE_LINKS * (chars + links) and (title or chars >= PROSE_CHARS or up[id(node)] is not tree.root)
+
+    def holds_article(node: _Node) -> bool:
+        todo = [node]
+        while todo:
+            n = todo.pop()
+            if n.tag == "article":
+                return True
+            todo.extend(children[id(n)])
+        return False
+
+    at = named or best
+    keep(at)
+    last = None  # an article takes in the title and the blocks beside it, up to the main part
+    if named is not None:
+        last = named
+        while last is not None and last.tag != "main":
+            last = up[id(last)]
+    while at is not (last if named is not None else tree.root) and (named is None or last is not None):
+        above = up[id(at)]
+        others = [n for n in children[id(above)] if n is not at and any(held[id(n)][:2])]
+        found = [n for n in others if belongs(n)]
+        if named is None and (others or any(own[id(above)][:2])) and not found and not own[id(above)][0]:
+            break  # only lists of links stand beside the article
+        around.add(id(above))
+        for n in found:
+            keep(n)
+        at = above
+    return kept, around
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -216,6 +216,24 @@ def test_main_text_by_scores():
     assert htmltext.main_blocks("just  text") == ["just text"]
 
 
+def test_main_text_keeps_the_whole_article():
+    long = "Some words, and more words, that read like an article, and go on, for a good while, as articles do, to the end."
+    short = "Seventy characters of text that stand in a paragraph of their own here."
+    body = f"<div class=body><div class=col>{f'<p>{long}</p>' * 20}</div></div>"
+    for outer in ("main", "article", "div"):
+        page = f"<{outer}><h1>Title</h1><p>Lead</p>{body}</{outer}><ul><li><a href=1>link</a><li><a href=2>link</a></ul>"
+        assert htmltext.main_blocks(page) == ["Title", "Lead", *[long] * 20]
+        page = f"<{outer}><section>{f'<p>{long}</p>' * 9}</section><section>{f'<p>{short}</p>' * 5}</section></{outer}>"
+        assert htmltext.main_blocks(page) == [*[long] * 9, *[short] * 5]
+        page = f"<{outer}><h3>Head</h3><div>{f'<p>{long}</p>' * 9}</div><blockquote>Quote</blockquote><pre>code</pre>bare</{outer}>"
+        assert htmltext.main_blocks(page) == ["Head", *[long] * 9, "Quote", "code", "bare"]
+        page = f"<{outer}><div>{f'<p>{long}</p>' * 9}</div><ul><li>one</li><li>two</li></ul></{outer}>"
+        assert htmltext.main_blocks(page) == [*[long] * 9, "one", "two"]
+    page = f"<main><h1>Title</h1><p>Lead</p><article>{f'<p>{long}</p>' * 3}</article></main>"
+    assert htmltext.main_blocks(page) == ["Title", "Lead", *[long] * 3]
+    assert htmltext.main_blocks(f"<article>Short teaser</article><div>{f'<p>{long}</p>' * 3}</div>")[-3:] == [long] * 3
+
+
 def test_main_text_weighs_furniture_names():
     prose = "Some words, and more words, that read like an article and go on for a good while, as articles do."
     for name in ("content has-sidebar", "no-comments", "header-fixed", "widget", "menu"):
