@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def segmentation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of the best segmentation of every remaining document, checked by decoding."""
+    """Piece ids of the N best segmentations of every remaining document, checked by decoding."""
     ship_package(spark)
     return nbest.segmented(docs)
 

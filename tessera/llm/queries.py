@@ -92,8 +92,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_sentencepiece_nbest")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best segmentation (digest, number of pieces) of every document, scores of its four best, and the round trip."""
-    return nbest.segmented(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+    """Score, number of pieces and digest of the four best segmentations of every document, and their round trip."""
+    return nbest.segmented(table(spark, sf_dir, "documents"), with_ids=False)
 
 
 @query("op2_repair_shards")

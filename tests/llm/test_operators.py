@@ -134,6 +134,36 @@ def test_nbest_first_is_viterbi_and_scores_fall():
         assert len({tuple(p[1]) for p in paths}) == len(paths)
 
 
+def _every_path(vocabulary, text):
+    """All segmentations of a short text by enumeration, best first."""
+    marked = nbest.BLANK + text.replace(nbest.BLANK, nbest.LITERAL).replace(" ", nbest.BLANK)
+    into = vocabulary.edges(marked)
+    ends = [[(0.0, ())]] + [[] for _ in marked]
+    for j in range(1, len(into)):
+        ends[j] = [(done + s, ids + piece) for i, s, piece in into[j] for done, ids in ends[i]]
+    return sorted(ends[-1], key=lambda p: -p[0])
+
+
+def test_segmentations_are_the_n_best(spark):
+    vocabulary = nbest.Vocabulary(nbest.default_model())
+    texts = ["a", "the cat", "aaaa aaaa", "it is in", "on on on a", "é ▁ x", "a\n\nb", "  ab", "日本 x", "aaa", "no way"]
+    for n in (1, 4, 6):
+        for r in nbest.segmented(docs_of(spark, list(enumerate(texts))), n).collect():
+            every = _every_path(vocabulary, texts[r.doc_id])
+            scores = {ids: s for s, ids in every}
+            got = [tuple(s.ids) for s in r.segmentations]
+            assert r.exact and len(set(got)) == len(got) == min(n, len(every))
+            assert [s.score for s in r.segmentations] == pytest.approx([s for s, _ in every[:n]])
+            assert [scores[ids] for ids in got] == pytest.approx([s for s, _ in every[:n]])
+            assert [(s.n_pieces, s.ids_crc32) for s in r.segmentations] == [
+                (len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for i in got]
+    text = "International organisations discuss segmentation of unusually long words."
+    row = nbest.segmented(docs_of(spark, [(1, text)]), 8).first()
+    whole = nbest.best_segmentations(text, 8)
+    assert [s.score for s in row.segmentations] == pytest.approx([s for s, _ in whole])
+    assert {tuple(s.ids) for s in row.segmentations[:4]} <= {ids for _, ids in whole}
+
+
 def test_segmented_round_trip(spark, odd):
     for docs in (table(spark, "documents"), odd):
         out = nbest.segmented(docs).collect()
