@@ -116,8 +116,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_license_scan")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License templates in every document."""
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    """License templates and short notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"), notices=licenses.SHORT_NOTICES)
 
 
 @query("op8_transcript_turns")

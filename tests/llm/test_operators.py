@@ -69,6 +69,44 @@ def test_licenses_planted_in_long_texts(spark):
     assert want <= got
 
 
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the distribution.
+{}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES"""
+CLAUSE_3 = """3. Neither the name of Acme nor the names of its contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+"""
+
+
+def test_licenses_short_notices_and_bsd(spark):
+    rows = [(1, "(c) Acme.\nALL Rights\nreserved"), (2, "all rights"), (3, "reserved. All"), (4, "rights reserved"),
+            (5, BSD.format("")), (6, BSD.format(CLAUSE_3)), (7, "all rights are reserved"), (8, "x SPDX-License-Identifier: MIT y")]
+    out = licenses.scan(docs_of(spark, rows), notices=licenses.SHORT_NOTICES).collect()
+    assert Counter((r.doc_id, r.license) for r in out) == Counter([
+        (1, "All-rights-reserved"), (5, "BSD-conditions"), (5, "BSD-2-Clause"), (6, "BSD-conditions"), (6, "BSD-3-Clause"),
+        (8, "MIT-SPDX")])
+    assert {(r.doc_id, r.first_word) for r in out if r.n_template == 1} == {(1, 2), (8, 1)}
+    with pytest.raises(ValueError):
+        licenses.scan(docs_of(spark, rows), notices={"long": "five words are too many"})
+
+
+def test_licenses_of_a_family_are_told_apart(spark):
+    names = sorted(n for n in licenses.TEMPLATES if re.match("A?GPL|LGPL|BSD|MIT|ISC|Unl", n))
+    text = {n: licenses.TEMPLATES[n].replace("29 June", "29 June 2007").replace("2, June", "2, June 1991") for n in names}
+    out = licenses.scan(docs_of(spark, [(i, f"a b c {text[n]} d e f") for i, n in enumerate(names)])).collect()
+    assert sorted((r.doc_id, r.license) for r in out) == list(enumerate(names))
+
+
+def test_license_query_finds_all_kinds_of_notice(spark):
+    import __spark_entry__ as entry
+
+    have = {(r.doc_id, r.license) for r in entry.queries()["op1_license_scan"](spark, SF_SMALL).collect()}
+    want = {r.doc_id for r in table(spark, "documents").collect() if re.search(r"\ball rights reserved\b", (r.text or "").lower())}
+    assert {d for d, name in have if name == "All-rights-reserved"} == want
+
+
 def test_licenses_edge_rows(spark, odd):
     assert licenses.scan(odd).count() == 0 and licenses.scan(odd.limit(0)).count() == 0
     with pytest.raises(ValueError):
