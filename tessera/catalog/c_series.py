@@ -54,7 +54,7 @@ def ts_ljung_box(spark, sf):
 @register("ts_pacf")
 def ts_pacf(spark, sf):
     """Partial autocorrelations by Durbin-Levinson (rows check; properties in tests)."""
-    return TS.pacf(B.series(spark, sf), LAGS)
+    return TS.pacf(B.series(spark, sf))
 
 
 @register("ts_ndiffs_adf")

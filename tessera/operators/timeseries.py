@@ -123,12 +123,27 @@ def autocovariance_sums(series: DataFrame, max_lag: int, block: int = DEFAULT_BL
     return lg.groupBy(KEY).agg(*aggs)
 
 
-def acf(series: DataFrame, max_lag: int = 20, block: int = DEFAULT_BLOCK) -> DataFrame:
+def lag_rule(n: Column) -> Column:
+    """Lags of a series of ``n`` values: ``floor(10 * log10(n))``, as R's ``acf`` has it."""
+    # rounded, so that n = 10**k isn't cut by a logarithm a little below k
+    return F.floor(F.round(10 * F.log10(n), 9)).cast("int")
+
+
+def _longest_lag(series: DataFrame) -> int:
+    """The lag rule for the longest series: the width of the sums (one number to the driver)."""
+    longest = series.groupBy(KEY).agg(F.count(V).alias("n")).agg(F.max(lag_rule(F.col("n")))).first()[0]
+    return max(1, int(longest or 0))
+
+
+def acf(series: DataFrame, max_lag: int | None = None, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Autocorrelations ``r_k = s_k / s_0`` for ``k = 1..max_lag``, long ``(series_id, n, lag, acf)``.
 
-    Lags at or beyond the series length are left out; a constant series has
-    no autocorrelation (null).
+    Without ``max_lag`` each series has the lags of ``lag_rule``. Lags at or
+    beyond the series length are left out; a constant series has no
+    autocorrelation (null).
     """
+    if max_lag is None:
+        return acf(series, _longest_lag(series), block).where(F.col("lag") <= lag_rule(F.col("n")))
     s = autocovariance_sums(series, max_lag, block)
     rows = F.explode(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"s_{k}").alias("s"))
                                for k in range(1, max_lag + 1)])).alias("r")
@@ -204,18 +219,19 @@ def chi2_sf(q: float, dof: int) -> float:
 
 # ----------------------------------------------------------------- PACF ----
 
-def pacf(series: DataFrame, max_lag: int = 20) -> DataFrame:
+def pacf(series: DataFrame, max_lag: int | None = None) -> DataFrame:
     """Partial autocorrelations by Durbin-Levinson on the autocorrelations.
 
-    The recursion runs per series on its K autocorrelations only (one short
+    Without ``max_lag`` each series has the lags of ``lag_rule``. The recursion runs per series on its K autocorrelations only (one short
     array per series), in ``applyInPandas``. Output ``(series_id, lag, pacf)``.
     """
-    wide = acf_wide(series, max_lag)
+    wide = acf_wide(series, _longest_lag(series) if max_lag is None else max_lag).withColumn(
+        "_lags", lag_rule(F.col("n")) if max_lag is None else F.lit(max_lag))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for sid, n, r in zip(pdf[KEY], pdf["n"], pdf["acf"]):
-            k_max = min(max_lag, int(n) - 1)
+        for sid, n, r, lags in zip(pdf[KEY], pdf["n"], pdf["acf"], pdf["_lags"]):
+            k_max = min(int(lags), int(n) - 1) if n else 0
             if k_max < 1 or r is None or any(x is None or (isinstance(x, float) and math.isnan(x))
                                              for x in list(r)[:k_max]):
                 continue
@@ -407,18 +423,18 @@ def _df_critical(n: Column) -> Column:
     return expr
 
 
-def adf(series: DataFrame, max_p: int = 12, block: int = DEFAULT_BLOCK) -> DataFrame:
+def adf(series: DataFrame, max_p: int | None = None, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Augmented Dickey-Fuller test with constant [choice: see README].
 
     Regression ``dy_t = a + g y_{t-1} + sum_{j<=p} b_j dy_{t-j}`` with
-    ``p = floor((n-1)^(1/3))`` (capped at ``max_p``); statistic ``g / se(g)``
+    ``p = floor((n-1)^(1/3))`` (capped at ``max_p`` if given); statistic ``g / se(g)``
     against the 5% Dickey-Fuller critical value. The cross-product sums of
     the regression are one aggregate per series over bounded block windows;
     the small solve per series runs in ``applyInPandas`` on one row.
     Output ``(series_id, n, lags, statistic, critical_5pct, stationary)``.
     """
-    stats = series_stats(series).withColumn(
-        "_p", F.least(F.floor(F.pow(F.col("n") - 1, 1.0 / 3)), F.lit(max_p)).cast("int"))
+    rule = F.floor(F.pow(F.col("n") - 1, 1.0 / 3))
+    stats = series_stats(series).withColumn("_p", (rule if max_p is None else F.least(rule, F.lit(max_p))).cast("int"))
     # the regression width follows the longest series (one number to the driver)
     longest = stats.agg(F.max("_p")).first()[0]
     max_p = int(longest) if longest is not None else 0
@@ -470,7 +486,7 @@ def adf(series: DataFrame, max_p: int = 12, block: int = DEFAULT_BLOCK) -> DataF
                       (F.col("statistic") < cv).alias("stationary"))
 
 
-def ndiffs(series: DataFrame, max_d: int = 2, max_p: int = 12) -> DataFrame:
+def ndiffs(series: DataFrame, max_d: int = 2, max_p: int | None = None) -> DataFrame:
     """Number of differences needed for stationarity by the ADF test.
 
     The series and its first ``max_d`` differences are tested in the same
@@ -503,11 +519,25 @@ def diagnose(series: DataFrame, lag: int = 20, max_d: int = 2) -> DataFrame:
     """The whole battery of the series study for y, y^2 and z = diff(y).
 
     Output ``(series_id, transform, test, statistic, p_value)``; tests are
-    ``ljung_box`` (all three), ``shapiro`` (y, z) and ``ndiffs`` (y, z; the
-    statistic is the number of differences).
+    ``mean`` (y, z), ``sd``, ``skewness`` and ``kurtosis`` (y), ``acf_k`` and
+    ``pacf_k`` for the lags k of each series (all three), ``ljung_box`` (all
+    three and z^2), ``shapiro`` (y, z) and ``ndiffs`` (y, z; the statistic is
+    the number of differences). Only Ljung-Box and Shapiro have a p-value.
     """
     parts = []
     z = difference(series)
+
+    def plain(rows: DataFrame, name: str, test: Column, value: str) -> DataFrame:
+        return rows.select(KEY, F.lit(name).alias("transform"), test.alias("test"), F.col(value).alias("statistic"),
+                           F.lit(None).cast("double").alias("p_value"))
+
+    for name, s, which in (("y", series, ("mean", "sd", "skewness", "kurtosis")), ("z", z, ("mean",))):
+        wide = moments(s).select(KEY, F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).alias("v"))
+                                                          for m in which])).alias("r")).select(KEY, "r.m", "r.v")
+        parts.append(plain(wide, name, F.col("m"), "v"))
+    for name, s in (("y", series), ("y2", squared(series)), ("z", z)):
+        for kind, rows in (("acf", acf(s)), ("pacf", pacf(s))):
+            parts.append(plain(rows, name, F.concat(F.lit(f"{kind}_"), F.col("lag")), kind))
     for name, s in (("y", series), ("y2", squared(series)), ("z", z), ("z2", squared(z))):
         lb = ljung_box(s, lag)
         parts.append(lb.select(KEY, F.lit(name).alias("transform"), F.lit("ljung_box").alias("test"),

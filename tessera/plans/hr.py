@@ -116,7 +116,7 @@ def attrition_pipeline(hr: DataFrame, folds: int = 30) -> DataFrame:
       fix skewed columns, min-max scale;
     * attempt 2: discretise and one-hot the numeric columns, drop constant
       columns, fix skewness, scale, drop features below the importance
-      threshold, remove outlier rows.
+      threshold (if all are, the intercept alone is fitted), remove outlier rows.
     """
     base = encoded(hr)
     out = [_evaluate("baseline", base, feature_columns(base), folds)]
@@ -136,8 +136,9 @@ def attrition_pipeline(hr: DataFrame, folds: int = 30) -> DataFrame:
     skewed2 = [r["column"] for r in FE.skewed(a2, feats2).collect()]
     a2 = FE.minmax(FE.fix_skewness(a2, skewed2), feats2)
     low = FE.below_threshold(FE.relieff(a2, feats2, LABEL, ID), IMPORTANCE_THRESHOLD)
-    keep = [c for c in feats2 if c not in low] or feats2
-    a2 = a2.select(ID, LABEL, *keep)
+    keep = [c for c in feats2 if c not in low]
+    # by the numeric columns as in attempt 1: beyond the fences of a one-hot column lies each row of a rarer value
+    a2 = FE.drop_rows(a2.select(ID, LABEL, *keep), FE.outlier_rows(base, list(NUMERIC[:5]), ID), ID)
     out.append(_evaluate("attempt2", a2, keep, folds))
 
     res = out[0]

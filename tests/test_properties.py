@@ -217,3 +217,44 @@ def test_series_without_spread_or_of_unusual_length(spark):
     assert TS.strict_white_noise(s.where("series_id = 3")).first()["verdict"] in ("normality not tested", "WN", "not WN")
     flat = s.where("series_id = 1").select(C.normal_pdf("value", 3.0, 0.0).alias("d")).first()
     assert flat["d"] is None
+
+
+def test_lags_follow_the_length_of_each_series(spark):
+    rng = np.random.default_rng(8)
+    sizes = {1: 2300, 2: 100, 3: 9}
+    df = spark.createDataFrame([(i, t, float(v)) for i, n in sizes.items() for t, v in enumerate(rng.normal(size=n), 1)],
+                               "series_id long, t long, value double")
+    want = {1: 33, 2: 20, 3: 8}
+    for out in (TS.acf(df), TS.pacf(df)):
+        assert {r[0]: r[1] for r in out.groupBy("series_id").agg(F.max("lag")).collect()} == want
+    assert {r["series_id"]: r["lags"] for r in TS.adf(df).collect()}[1] == 13
+
+
+def test_diagnose_is_the_whole_battery(spark):
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(1, t, float(v)) for t, v in enumerate(rng.normal(size=60), 1)],
+                               "series_id long, t long, value double")
+    have = {(r["transform"], r["test"]): r["statistic"] for r in TS.diagnose(df).collect()}
+    for name in ("y", "y2", "z"):
+        assert {(name, f"{k}_{lag}") for k in ("acf", "pacf") for lag in range(1, 18)} | {(name, "ljung_box")} <= set(have)
+    assert {("y", m) for m in ("mean", "sd", "skewness", "kurtosis", "shapiro", "ndiffs")} | {("z", "mean")} <= set(have)
+    assert have["y", "mean"] == df.agg(F.avg("value")).first()[0]
+
+
+def test_attrition_attempt2_drops_outliers_and_weak_features(spark, monkeypatch):
+    from tessera.plans import hr as plan
+    from tessera.sources import bindings as B
+    from tests.conftest import SF_SMALL
+
+    hr, seen = B.hr(spark, SF_SMALL), {}
+    evaluate = plan._evaluate
+    monkeypatch.setattr(plan, "_evaluate", lambda name, df, feats, folds: seen.update({name: (df, feats)}) or hr.limit(0))
+    monkeypatch.setattr(FE, "below_threshold", lambda importance, threshold: [])
+    plan.attrition_pipeline(hr, 2)
+    base, out = plan.encoded(hr), FE.outlier_rows(plan.encoded(hr), list(plan.NUMERIC[:5]), plan.ID)
+    assert out.count() > 0 and seen["attempt2"][0].count() == base.count() - out.distinct().count()
+    every = seen["attempt2"][1]
+    monkeypatch.setattr(FE, "below_threshold", lambda importance, threshold: every)
+    plan.attrition_pipeline(hr, 2)
+    assert seen["attempt2"][1] == []
+    assert evaluate("none", seen["attempt2"][0], [], 2).first()["n_features"] == 0
