@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, htmltext, langid, licenses, nbest, neardup, quality, repair, transcripts, warc
+from tessera.llm import (decontaminate, htmltext, langid, licenses, nbest, neardup, quality, repair, simhash, transcripts,
+                         warc)
 from tessera.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +125,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns recovered from raw transcripts of all conversations, rendered."""
     return transcripts.recovered(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_simhash_components")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint of every document and its component under at most three differing bits."""
+    return simhash.components(table(spark, sf_dir, "documents"))
