@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import (decontaminate, htmltext, langid, licenses, nbest, neardup, quality, repair, simhash, transcripts,
-                         warc)
+                         trie, warc)
 from tessera.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,3 +131,33 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint of every document and its component under at most three differing bits."""
     return simhash.components(table(spark, sf_dir, "documents"))
+
+
+@query("op13_conversation_trie", r"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+cs AS (SELECT DISTINCT c, c - c % 5 AS b, xor(4294967295::BIGINT, list_reduce(
+         list_transform(string_split(c::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT),
+         lambda u, ch: list_reduce(range(8), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END,
+                                   xor(u, ch)), 4294967295::BIGINT)) % 9 AS h FROM t),
+turns AS (SELECT cs.c, 0 AS side, pos, r, x FROM cs JOIN t ON t.c = cs.b AND pos < h
+          UNION ALL SELECT cs.c, 1, pos, r, x FROM cs JOIN t ON t.c = cs.c AND pos >= h),
+seq AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY side, pos) AS d, octet_length(encode(x)) AS b,
+               md5(octet_length(encode(r)) || ':' || r || x) AS g FROM turns),
+pre AS (SELECT c, d, b, string_agg(g, '') OVER (PARTITION BY c ORDER BY d) AS k FROM seq UNION ALL SELECT c, 0, 0, '' FROM cs),
+lengths AS (SELECT c, max(d) AS n FROM pre GROUP BY c),
+nodes AS (SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(b) AS saved,
+                 coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '') AS ends
+          FROM pre JOIN lengths USING (c) GROUP BY k, d),
+children AS (SELECT left(k, 32 * (d - 1)) AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+valued AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (k)),
+totals AS (SELECT left(k, 32 * e) AS k, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+           FROM (SELECT *, unnest(range(d + 1)) AS e FROM valued) GROUP BY 1)
+SELECT v.conv_id, v.d AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens,
+       sha256(v.ends) AS ends_sha256
+FROM valued v JOIN totals ON totals.k = v.k LEFT JOIN nodes p ON v.d > 0 AND p.k = left(v.k, 32 * (v.d - 1))
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations with subtree totals."""
+    return trie.rollup(table(spark, sf_dir, "conversations")).drop("key", "parent")
