@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import (decontaminate, htmltext, langid, licenses, nbest, neardup, quality, repair, simhash, transcripts,
+from tessera.llm import (decontaminate, htmltext, langid, lexical, licenses, nbest, neardup, quality, repair, simhash, transcripts,
                          trie, warc)
 from tessera.session import ship_package
 
@@ -161,3 +161,28 @@ FROM valued v JOIN totals ON totals.k = v.k LEFT JOIN nodes p ON v.d > 0 AND p.k
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the prefix trie of all rebuilt conversations with subtree totals."""
     return trie.rollup(table(spark, sf_dir, "conversations")).drop("key", "parent")
+
+
+@query("op11_ranked_search", r"""
+WITH lowered AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id AS id,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents
+  UNION ALL
+  SELECT 'i', item_id, item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+counted AS (SELECT side, r, id, t, count(*) AS tf
+            FROM (SELECT side, r, id, unnest(regexp_extract_all(x, '[0-9a-z\x{80}-\x{10FFFF}]+')) AS t FROM lowered)
+            GROUP BY side, r, id, t),
+sizes AS (SELECT r, sum(tf)::BIGINT AS n FROM counted WHERE side = 'd' GROUP BY r),
+corpus AS (SELECT count(*) AS nd, sum(n)::BIGINT AS l FROM sizes),
+wanted AS (SELECT id AS item_id, t, tf AS times FROM counted WHERE side = 'i'),
+held AS (SELECT r, id AS doc_id, t, tf FROM counted WHERE side = 'd' AND t IN (SELECT t FROM wanted)),
+weights AS (SELECT t, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM held, corpus GROUP BY t, nd),
+scores AS (SELECT item_id, h.r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // l))))::BIGINT AS score
+           FROM wanted JOIN held h USING (t) JOIN weights USING (t) JOIN sizes ON sizes.r = h.r, corpus GROUP BY item_id, h.r, doc_id)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every test item, with exact scores."""
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -47,7 +47,11 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     bytes gives each word's hash as a difference. About 40 bytes of memory
     per byte of text, so callers pass batches of about a million characters.
     """
-    raw = [t.lower().encode() for t in texts]
+    return term_hashes([t.lower().encode() for t in texts])
+
+
+def term_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``word_hashes`` of texts that are lower-cased bytes already."""
     if not any(raw):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
