@@ -10,12 +10,14 @@
    least c / (y e^r), y = e^(r (t - beta)), t = floor(ln w / r + beta), is the
    sample, identified by shingle and t). Equal texts share one node.
 3. Rows of samples form bands. In a bucket every member is a candidate of the
-   bucket's smallest node. Members not verified against it are then compared
-   with all members of the bucket, by samples, in blocks spread over tasks;
-   pairs that verified links already put in one class are left out, as they
-   can't change a class, and no pair table of a bucket is built.
-4. Candidates are verified by the exact weighted Jaccard similarity of their
-   whole texts, then joined into classes by connected components.
+   bucket's smallest node and verified by the exact weighted Jaccard similarity
+   of their whole texts.
+4. Members not linked to it are compared with all members of the bucket, in
+   blocks spread over tasks: first by samples, then those with a candidate left
+   exactly, in the same blocks. A pair is looked at in the first band it shares
+   and only while its ends are in different classes, so a block gives at most
+   one link for each class it joins; its pairs are never rows.
+5. Links are joined into classes by connected components.
 
 The weight of a shingle is tf * idf, idf = 1 + DAMPING * ln(1 / p) / ln(1 / RARE)
 with p = max(df / N, RARE): IDF damped to a range of 1 to 1 + DAMPING. Plain
@@ -48,6 +50,12 @@ SKETCH_BITS = 21
 #: half of 36 samples agree in 2 of 100,000 pairs.
 PRECHECK = 0.5
 BLOCK = 512
+#: Bytes of text that a block holds on average, at most.
+BLOCK_BYTES = 1 << 22
+#: Partners of one text that are compared with it at a time.
+AT_ONCE = 128
+#: Rows of digests and ids that may be broadcast: some ten MB.
+FEW = 100_000
 DRAWS = 1 << 16
 
 
@@ -136,44 +144,109 @@ def _signatures(idf, samples: int):
                 rows = sampler.signature(s, weights(s, count, table), starts)
                 for i, row in zip(owner[starts], rows.view(np.int32), strict=True):
                     sig[i] = row
-            yield pd.DataFrame({"doc_id": b["doc_id"], "node": b["node"], "sig": sig})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "node": b["node"], "sig": sig, "bytes": b["text"].str.len()})
     return run
 
 
-def _residual_pairs(samples: int, least: int):
-    """Pairs (residual, member) of a block with ``least`` equal samples in different components; sorted by block."""
+def _groups(batches: Iterator[pd.DataFrame], keys: list[str], prepare=lambda b: b) -> Iterator[pd.DataFrame]:
+    """Runs of equal ``keys`` of sorted rows, each as one frame; ``prepare`` sees every batch first."""
+    held: list[pd.DataFrame] = []
+    now = None
+    for b in batches:
+        b = prepare(b)
+        values = [b[k].to_numpy() for k in keys]
+        cut = np.flatnonzero(np.append(True, np.any([v[1:] != v[:-1] for v in values], axis=0))) if len(b) else ()
+        for s, e in zip(cut, [*cut[1:], len(b)], strict=True):
+            part = b.iloc[s:e]
+            key = tuple(v[s] for v in values)
+            if key != now and held:
+                yield pd.concat(held) if len(held) > 1 else held[0]
+                held = []
+            now = key
+            held.append(part)
+    if held:
+        yield pd.concat(held) if len(held) > 1 else held[0]
+
+
+def _open_pairs(x: pd.DataFrame, y: pd.DataFrame, rows: int, least: int) -> np.ndarray:
+    """Pairs of residuals ``x`` and members ``y`` of a bucket that this block has to decide.
+
+    ``least`` equal samples, different components, no earlier band in common;
+    two residuals meet twice and count where the smaller node is the residual.
+    """
+    sx, sy = np.stack(x["sig"].to_numpy()), np.stack(y["sig"].to_numpy())
+    same = np.zeros((len(x), len(y)), np.uint8)
+    earlier, band = np.zeros((len(x), len(y)), bool), int(x["band"].iloc[0])
+    for b in range(sx.shape[1] // rows):
+        equal = np.ones((len(x), len(y)), bool)
+        for k in range(b * rows, (b + 1) * rows):
+            one = sx[:, k, None] == sy[None, :, k]
+            same += one
+            if b < band:
+                equal &= one
+        if b < band:
+            earlier |= equal
+    nx, ny = x["node"].to_numpy(str), y["node"].to_numpy(str)
+    once = ~y["left"].to_numpy(bool)[None, :] | (nx[:, None] < ny[None, :])
+    apart = x["component"].to_numpy()[:, None] != y["component"].to_numpy()[None, :]
+    return (same >= least) & apart & once & ~earlier
+
+
+def _with_candidates(rows: int, least: int):
+    """Rows of a block that have a candidate in it; sorted by block."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        at = None
-
-        def pairs() -> pd.DataFrame:
-            g = pd.concat(held) if len(held) > 1 else held[0]
-            res = g["residual"].to_numpy(bool)
-            if not res.any() or res.all() and len(g) < 2:
-                return pd.DataFrame({"a": [], "b": []})
-            x, y = g[res], g[~res]
-            sx, sy = np.stack(x["sig"].to_numpy()), np.stack(y["sig"].to_numpy()) if len(y) else None
-            if sy is None:
-                return pd.DataFrame({"a": [], "b": []})
-            same = np.zeros((len(x), len(y)), np.uint8)
-            for k in range(samples):
-                same += sx[:, k, None] == sy[None, :, k]
-            cx, cy = x["component"].to_numpy(), y["component"].to_numpy()
-            i, j = np.nonzero((same >= least) & (cx[:, None] != cy[None, :]))
-            return pd.DataFrame({"a": x["node"].to_numpy()[i], "b": y["node"].to_numpy()[j]})
-
-        for b in batches:
-            cut = np.flatnonzero((b[["bucket", "i", "j"]] != b[["bucket", "i", "j"]].shift()).any(axis=1))
-            for s, e in zip(cut, [*cut[1:], len(b)], strict=True):
-                part = b.iloc[s:e]
-                key = tuple(part[["bucket", "i", "j"]].iloc[0])
-                if key != at and held:
-                    yield pairs()
-                    held = []
-                at = key
-                held.append(part)
-        if held:
-            yield pairs()
+        for g in _groups(batches, ["bucket", "i", "j"]):
+            x, y = g[g["residual"]], g[~g["residual"]]
+            if len(x) and len(y):
+                pairs = _open_pairs(x, y, rows, least)
+                yield pd.concat([x[pairs.any(axis=1)], y[pairs.any(axis=0)]])
+    return run
+
+
+def _block_links(idf, rows: int, least: int, threshold: float):
+    """Links between components of a block's rows, by exact similarity: at most one for each two that it joins."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = np.frombuffer(idf.value, np.float32).reshape(2, -1)
+
+        def as_sets(b: pd.DataFrame) -> pd.DataFrame:
+            s, count, owner = weighted_sets(b["text"].tolist())
+            w = weights(s, count, table)
+            edge = np.searchsorted(owner, np.arange(len(b) + 1))
+            cut = list(zip(edge[:-1], edge[1:]))
+            return b.drop(columns="text").assign(shingles=[s[p:q].copy() for p, q in cut], weights=[w[p:q].copy() for p, q in cut])
+
+        pieces = (as_sets(b) for b in by_text_size(batches, "text"))
+        for g in _groups(pieces, ["bucket", "i", "j"]):
+            x, y = g[g["residual"]], g[~g["residual"]]
+            if not len(x) or not len(y):
+                continue
+            pairs = _open_pairs(x, y, rows, least)
+            words, place = np.unique(np.concatenate([*x["shingles"], *y["shingles"]]), return_inverse=True)
+            sizes = [len(v) for v in [*x["shingles"], *y["shingles"]]]
+            places = np.split(place, np.cumsum(sizes)[:-1])
+            held = [*x["weights"], *y["weights"]]
+            total = np.array([v.sum() for v in held])
+            component = np.array([*x["component"], *y["component"]])
+            nodes, out = [*x["node"], *y["node"]], []
+            own = np.zeros(len(words))
+            for i in range(len(x)):
+                own[places[i]] = held[i]
+                partners = len(x) + np.flatnonzero(pairs[i])
+                for s in range(0, len(partners), AT_ONCE):
+                    part = partners[s:s + AT_ONCE]
+                    part = part[component[part] != component[i]]
+                    if not len(part):
+                        continue
+                    at = np.concatenate([places[k] for k in part])
+                    both = np.add.reduceat(np.minimum(own[at], np.concatenate([held[k] for k in part])),
+                                           np.cumsum([0, *(len(places[k]) for k in part[:-1])]))
+                    similar = both / (total[i] + total[part] - both)
+                    for k, sim in zip(part[similar >= threshold], similar[similar >= threshold]):
+                        if component[k] != component[i]:
+                            out.append((nodes[i], nodes[k], float(sim)))
+                            component[component == component[k]] = component[i]
+                own[places[i]] = 0
+            yield pd.DataFrame(out, columns=["a", "b", "similarity"])
     return run
 
 
@@ -203,6 +276,15 @@ def _verify(idf, threshold: float):
     return run
 
 
+def with_text(rows: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rows(node, ...)`` with the text of each node; only texts that are wanted are shuffled if those are few."""
+    wanted = written(rows.select(F.col("node").alias("t_node")).distinct()
+                     .join(nodes.select(F.col("node").alias("t_node"), F.col("rep").alias("t_rep")), "t_node"), "wanted")
+    held = texts.join(checked_broadcast(wanted, FEW),
+                      (F.col("node") == F.col("t_node")) & F.col("doc_id").eqNullSafe(F.col("t_rep"))).select("t_node", "text")
+    return rows.join(held, F.col("node") == F.col("t_node")).drop("t_node")
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
     """Those of ``pairs(a, b)`` whose texts reach the threshold.
 
@@ -211,13 +293,9 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, idf, threshol
     """
     sized = pairs.join(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 64).alias("_n")), "a")
     salted = sized.select("a", F.pmod(F.xxhash64("b"), "_n").alias("salt"), "b")
-    ends = (salted.select("a", "salt", F.lit(True).alias("member"), F.col("b").alias("node"))
-            .unionByName(salted.select("a", "salt", F.lit(False).alias("member"), F.col("a").alias("node")).distinct()))
-    ends = written(ends.join(nodes.select("node", "rep"), "node"), "ends")
-    texts = texts.select(F.col("node").alias("t_node"), F.col("doc_id").alias("t_doc"), "text")
-    rows = (texts.join(checked_broadcast(ends),
-                       (F.col("t_node") == F.col("node")) & F.col("t_doc").eqNullSafe(F.col("rep")))
-            .select("a", "salt", "member", "node", "text")
+    ends = written(salted.select("a", "salt", F.lit(True).alias("member"), F.col("b").alias("node"))
+                   .unionByName(salted.select("a", "salt", F.lit(False).alias("member"), F.col("a").alias("node")).distinct()), "ends")
+    rows = (with_text(ends, nodes, texts).select("a", "salt", "member", "node", "text")
             .repartition("a", "salt").sortWithinPartitions("a", "salt", "member", "node"))
     out = map_batches(rows, _verify(idf, threshold), "a string, b string, similarity double")
     return out.groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
@@ -253,81 +331,88 @@ def classes_by_text(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     texts = with_node(docs.select("doc_id", "text"))
     idf = spark.sparkContext.broadcast(idf_levels(docs, damping=damping).tobytes())
     drawn = map_batches(texts.where(F.col("node").isNotNull()), _signatures(idf, samples),
-                        "doc_id long, node string, sig array<int>")
-    nodes = written(drawn.groupBy("node").agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig")),
-                    "nodes")
+                        "doc_id long, node string, sig array<int>, bytes long")
+    nodes = written(drawn.groupBy("node").agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig"),
+                                              F.max("bytes").alias("bytes"), F.count(F.lit(1)).alias("n_rows")), "nodes")
 
     in_band = nodes.select("node", F.posexplode(F.array(*[
         F.xxhash64(F.lit(b), *[F.col("sig")[b * rows + i] for i in range(rows)]) for b in range(bands)])))
-    member = in_band.select("node", F.col("col").alias("bucket"))
+    member = in_band.select("node", F.col("pos").alias("band"), F.col("col").alias("bucket"))
     buckets = (member.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("centre"))
                .where("size > 1"))
-    member = written(member.join(buckets, "bucket"), "members")
+    member = written(member.join(buckets, "bucket").where("node <> centre"), "members")
 
     least = int(np.ceil(PRECHECK * samples))
-    star = member.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    star = member.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     x, y = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sx")), \
         nodes.select(F.col("node").alias("b"), F.col("sig").alias("sy"))
     same = F.size(F.filter(F.zip_with("sx", "sy", lambda p, q: p == q), lambda e: e))
     star = star.join(y, "b").join(x, "a").where(same >= least).select("a", "b")
     linked = written(verified(star, nodes, texts, idf, threshold), "linked")
-
-    # members that aren't linked to their bucket's centre meet all members of the bucket, in blocks
-    left = written(member.where("node <> centre").join(
-        linked.select(F.col("a").alias("centre"), F.col("b").alias("node")), ["centre", "node"], "left_anti")
-        .select("bucket", "node", "size"), "left")
     # what is already in one class needs no further link
     joined = written(connected_components(linked.select("a", "b")), "joined")
-    n_left = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_left"))
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    block_of = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
-    all_of = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    sized = member.join(n_left, "bucket")
-    side = (left.join(n_left, "bucket").select("bucket", "node", F.lit(True).alias("residual"),
-                                               block_of("n_left").alias("i"), all_of("size").alias("j"))
-            .unionByName(sized.where("node <> centre").select(
-                "bucket", "node", F.lit(False).alias("residual"), all_of("n_left").alias("i"),
-                block_of("size").alias("j"))))
-    side = (side.join(nodes.select("node", "sig"), "node").join(joined, "node", "left")
-            .withColumn("component", F.xxhash64(F.coalesce("component", "node"))).repartition("bucket", "i", "j")
-            .sortWithinPartitions("bucket", "i", "j"))
-    more = (map_batches(side, _residual_pairs(samples, least), "a string, b string").where("a <> b")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            .join(linked.select("a", "b"), ["a", "b"], "left_anti"))
-    more = written(more, "more")
-    links = linked.select("a", "b").unionByName(verified(more, nodes, texts, idf, threshold).select("a", "b"))
-
-    component = connected_components(links)
-    classed = nodes.join(component, "node", "left").select(
-        "node", "rep", F.coalesce("component", "node").alias("component"))
-    class_ids = classed.groupBy("component").agg(F.min("rep").alias("class_id"))
-    classed = classed.join(class_ids, "component").select("node", "component", "class_id")
-    rows_of = texts.select("doc_id", "node")
-    sizes = (rows_of.where(F.col("node").isNotNull()).groupBy("node").agg(F.count(F.lit(1)).alias("_n"))
-             .join(classed, "node").groupBy("component").agg(F.sum("_n").alias("class_size")))
-    classed = written(classed.join(sizes, "component").select("node", "class_id", "class_size"), "classes")
-    labelled = rows_of.join(classed, "node", "left").select(
+
+    # members that aren't linked to their bucket's centre meet all members of the bucket, in blocks
+    to_centre = linked.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.lit(False).alias("left"))
+    member = member.join(to_centre, ["centre", "node"], "left").select(
+        "bucket", "band", "node", F.coalesce("left", F.lit(True)).alias("left"))
+    member = written(member.join(nodes.select("node", "bytes"), "node").join(joined, "node", "left").withColumn(
+        "component", F.xxhash64(F.coalesce("component", "node"))), "placed")
+    blocks = lambda n, b: F.ceil(F.greatest(F.sum(n) / BLOCK, F.sum(b) / BLOCK_BYTES)).cast("int")
+    left = F.col("left").cast("int")
+    counts = (member.groupBy("bucket").agg(blocks(left, left * F.col("bytes")).alias("n_left"),
+                                           blocks(F.lit(1), F.col("bytes")).alias("n_all"),
+                                           F.min("component").alias("low"), F.max("component").alias("high"))
+              .where("n_left > 0 AND low <> high").drop("low", "high"))
+    block_of = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    sized = member.join(counts, "bucket")
+    side = (sized.where("left").select("bucket", "band", "node", "left", "component", F.lit(True).alias("residual"),
+                                       block_of("n_left").alias("i"), every("n_all").alias("j"))
+            .unionByName(sized.select("bucket", "band", "node", "left", "component", F.lit(False).alias("residual"),
+                                      every("n_left").alias("i"), block_of("n_all").alias("j"))))
+    block = ["bucket", "i", "j"]
+    side = side.join(nodes.select("node", "sig"), "node").repartition(*block).sortWithinPartitions(*block)
+    schema = "node string, bucket long, band int, left boolean, component long, residual boolean, i int, j int, sig array<int>"
+    side = written(map_batches(side, _with_candidates(rows, least), schema), "open")
+    side = with_text(side, nodes, texts).repartition(*block).sortWithinPartitions(*block)
+    more = written(map_batches(side, _block_links(idf, rows, least, threshold), "a string, b string, similarity double"), "more")
+    links = linked.select("a", "b").unionByName(more.select("a", "b"))
+
+    # the later links join classes of the first ones
+    first = nodes.join(joined, "node", "left").select("node", "rep", "n_rows", F.coalesce("component", "node").alias("first"))
+    ends = [first.select(F.col("node").alias(e), F.col("first").alias(f"{e}_first")) for e in ("a", "b")]
+    between = more.select("a", "b").join(ends[0], "a").join(ends[1], "b").select(
+        F.col("a_first").alias("a"), F.col("b_first").alias("b"))
+    again = connected_components(between).withColumnRenamed("node", "first")
+    classed = first.join(again, "first", "left").select("node", "rep", "n_rows", F.coalesce("component", "first").alias("component"))
+    least_row = F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "node"))
+    of_class = classed.groupBy("component").agg(least_row.alias("m"), F.sum("n_rows").alias("class_size"))
+    classed = written(classed.join(of_class, "component").select(
+        "node", F.col("m.rep").alias("class_id"), "class_size", (F.col("node") == F.col("m.node")).alias("keeps")), "classes")
+    labelled = texts.select("doc_id", "node").join(classed, "node", "left").select(
         "doc_id", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
+        F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), F.coalesce("keeps", F.lit(True)).alias("keeps"))
     return labelled, links, nodes
 
 
 def one_of_each(docs: DataFrame, **parameters) -> DataFrame:
     """``docs`` with one document of each near-duplicate class: the one with the smallest doc_id.
 
-    All columns stay. Of repeated rows with that doc_id and text one stays; documents
-    without a word are kept.
+    All columns stay. A null doc_id comes after all others; among equal ids
+    the smaller text digest decides, and of repeated rows with that doc_id and
+    text one stays. Documents without a word are kept.
     """
     labelled, _, _ = classes_by_text(docs, **parameters)
-    out = labelled.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).where(F.col("node").isNotNull())
-    out = written(out.select("doc_id", "node").distinct(), "removed")
-    repeated = written(labelled.where(F.col("node").isNotNull() & F.col("doc_id").eqNullSafe(F.col("class_id")))
-                       .groupBy("doc_id", "node").count().where("count > 1").select("doc_id", "node"), "repeated")
+    worded = labelled.where(F.col("node").isNotNull())
+    stays = F.col("keeps") & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    out = written(worded.where(~stays).select("doc_id", "node").distinct(), "removed")
+    repeated = written(worded.where(stays).groupBy("doc_id", "node").count().where("count > 1").select("doc_id", "node"), "repeated")
     node = F.md5(F.encode("text", "UTF-8"))
     match = lambda r: node.eqNullSafe(r["node"]) & docs["doc_id"].eqNullSafe(r["doc_id"])
-    kept = docs.join(checked_broadcast(out), match(out), "left_anti")
+    kept = docs.join(checked_broadcast(out, FEW), match(out), "left_anti")
     if repeated.isEmpty():
         return kept
-    single = kept.join(checked_broadcast(repeated), match(repeated), "left_anti")
-    again = kept.join(checked_broadcast(repeated), match(repeated), "left_semi")
+    single = kept.join(checked_broadcast(repeated, FEW), match(repeated), "left_anti")
+    again = kept.join(checked_broadcast(repeated, FEW), match(repeated), "left_semi")
     return single.unionByName(again.dropDuplicates(["doc_id", "text"]))

@@ -446,6 +446,57 @@ def test_near_duplicates_of_planted_copies(spark, odd):
     assert neardup.near_duplicate_classes(odd.limit(0)).count() == 0
 
 
+def near_copies(n, edits, seed):
+    rng = random.Random(seed)
+    base = [f"t{rng.randint(0, 5000)}" for _ in range(180)]
+    out = []
+    for _ in range(n):
+        w = list(base)
+        for _ in range(rng.choice(edits)):
+            w[rng.randrange(180)] = f"edit{rng.randrange(10**6)}"
+        out.append(" ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("block", [neardup.BLOCK, 16])
+def test_near_duplicate_classes_match_brute_force(spark, monkeypatch, block):
+    """Groups whose pairs lie on both sides of the threshold, so that few members are linked to a centre."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    texts = [t for k, edits in enumerate([(1, 2, 3), (3, 4, 5), (5, 7, 9)]) for t in near_copies(80, edits, k)]
+    texts += [r.text for r in table(spark, "documents").limit(60).collect()]
+    rows = list(enumerate(texts))
+    docs = docs_of(spark, rows)
+    idf = neardup.idf_levels(docs)
+    s, count, owner = neardup.weighted_sets([t or "" for t in texts])
+    w = neardup.weights(s, count, idf)
+    sets = [dict(zip(s[owner == i].tolist(), w[owner == i].tolist())) for i in range(len(texts))]
+    label, similar = list(range(len(texts))), set()
+    for a in range(len(texts)):
+        for b in range(a):
+            both = sum(min(x, sets[b][k]) for k, x in sets[a].items() if k in sets[b])
+            if both and both / (sum(sets[a].values()) + sum(sets[b].values()) - both) >= neardup.THRESHOLD:
+                similar.add((b, a))
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = [new if x == old else x for x in label]
+    labelled, links, _ = neardup.classes_by_text(docs)
+    got = {r.doc_id: r.class_id for r in labelled.collect()}
+    node = {r.node: r.doc_id for r in labelled.where("node IS NOT NULL").collect()}
+    assert all(tuple(sorted((node[r.a], node[r.b]))) in similar or texts[node[r.a]] == texts[node[r.b]] for r in links.collect())
+    assert all(label[i] == label[got[i]] for i in got)
+    assert sum(got[a] == got[b] for a, b in similar) >= 0.98 * len(similar) and len(similar) > 1000
+
+
+def test_one_of_each_with_shared_and_missing_ids(spark):
+    """Near copies under one id, or without ids: still one of each class stays."""
+    a, b = near_copies(2, [1], 1), near_copies(3, [1], 2)
+    rows = [(1, a[0]), (1, a[1]), (None, b[0]), (None, b[1]), (None, b[2]), (7, None), (7, "?")]
+    kept = [(r.doc_id, r.text) for r in neardup.one_of_each(docs_of(spark, rows)).collect()]
+    assert len(kept) == 4 and sum(i == 1 for i, _ in kept) == 1 and sum(t in b for _, t in kept) == 1
+    both = rows + [(5, b[0]), (5, b[0])]
+    kept = [(r.doc_id, r.text) for r in neardup.one_of_each(docs_of(spark, both)).collect()]
+    assert len(kept) == 4 and (5, b[0]) in kept
+
+
 # pipeline ----------------------------------------------------------------------------------------
 
 def test_pipeline_stages_keep_columns_and_take_effect(spark):
