@@ -22,9 +22,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import map_batches, scratch_dir
+from tessera.llm.shared import map_batches, scratch_dir, written
+from tessera.operators.joins import checked_broadcast
 
 SEGMENT = 1 << 16
+#: Digests, some 60 bytes each, that may be broadcast.
+FEW = 100_000
 SEPARATOR = "\r\n\r\nWARC/1.1\r\n"
 #: The alphabet of RFC 4648.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -50,14 +53,16 @@ def classified(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     Of records with equal payloads of at least ``min_bytes`` bytes the one
     with the smallest page_id is the response. The minimum is a partial
     aggregate over digests; only digests of more than one row are
-    joined back, and a payload of very many pages is a skewed join that AQE
-    splits.
+    joined back, to pages that stay where they are while those digests are
+    few enough to be broadcast. Beyond that, a payload of very many pages is a
+    skewed join that AQE splits.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     base = pages.select("page_id", "url", html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"),
                         base32_sha1(F.encode(html, "UTF-8")).alias("payload_digest"))
     first = (base.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "payload_bytes")
              .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("pages")).where("pages > 1").drop("pages"))
+    first = checked_broadcast(written(first, "digests"), FEW)
     revisit = F.coalesce(F.col("first") < F.col("page_id"), F.col("first").isNotNull() & F.col("page_id").isNull())
     return (base.join(first, ["payload_digest", "payload_bytes"], "left")
             .select("page_id", "url", "html", "payload_bytes", "payload_digest",
@@ -153,12 +158,23 @@ def _frame(rows: list[dict]) -> pd.DataFrame:
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """``(page_id, payload_bytes, payload_digest, record_type, refers_to)`` of every record of the archives.
 
-    Segments of a record meet by its number and are streamed in order; no
-    payload is put together. Raises if a payload does not match its header.
+    A record of one segment is checked where it is read. Segments of a longer
+    one meet by its number and are streamed in order; no payload is put
+    together. Raises if a payload does not match its header.
     """
-    table = read_archives(spark, path).drop("url").repartition("record").sortWithinPartitions("record", "piece", "part")
-    return map_batches(table, _summed, "page_id long, payload_bytes long, payload_digest string, record_type string, "
-                                       "refers_to long")
+    table = read_archives(spark, path).drop("url")
+    response = F.col("warc_type") == "response"
+    single = (F.col("piece") == 0) & (F.col("part") == 0) & (~response & (F.col("n") == 0) | response
+                                                             & (F.col("n") == F.col("payload_bytes")))
+    sound = (F.octet_length("data") == F.col("n")) & (~response | (base32_sha1(F.col("data")) == F.col("payload_digest")))
+    whole = table.where(single).select(
+        "page_id", "payload_bytes",
+        F.when(sound, F.col("payload_digest")).otherwise(F.raise_error(F.concat(
+            F.lit("record "), F.col("record"), F.lit(": payload does not match its header")))).alias("payload_digest"),
+        F.col("warc_type").alias("record_type"), "refers_to")
+    parts = table.where(~F.coalesce(single, F.lit(False))).repartition("record").sortWithinPartitions("record", "piece", "part")
+    return whole.unionByName(map_batches(parts, _summed, "page_id long, payload_bytes long, payload_digest string, "
+                                                         "record_type string, refers_to long"))
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
