@@ -17,8 +17,12 @@ doc_symbols (symbols per document).
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,12 +38,103 @@ SHARD_IDS = 1 << 18
 MIN_USES = 8
 #: Pairs that are replaced together occur at least this share as often as the most frequent one.
 ROUND_SHARE = 0.1
+BUCKET_BITS = 20
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
+#: Words whose ids a process keeps: about 60 MB.
+WORDS = 300_000
+LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
+#: Characters whose class is beyond doubt; texts with others are encoded whole.
+_PLAIN = re.compile(f"[\\n\\r\\t -~{LETTERS}«»¿¡–—‘’“”…]*")
+#: Fixed value: how byte-level BPE cuts a text before merging, for plain characters.
+_CUT = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 FILE = ("part int, block int, n_ids long, first_rule long, rules binary, lengths binary, symbols binary, "
         "doc_ids binary, is_null binary, doc_symbols binary")
 
 
+class Coder:
+    """Ids of whole texts by a tokenizers file.
+
+    No merge crosses the cuts that byte-level BPE makes first, so each
+    distinct piece is encoded once and its ids are put together. Texts with
+    characters outside ``_PLAIN`` or with an added token's string, and all
+    texts if the file isn't of that kind, are encoded as they are.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.coder = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        cut, model = file["pre_tokenizer"] or {}, file["model"]
+        self.by_piece = (file["normalizer"] is None and model["type"] == "BPE" and not model.get("dropout")
+                         and not model.get("ignore_merges") and cut.get("type") == "ByteLevel"
+                         and cut.get("use_regex", True) and not cut["add_prefix_space"])
+        self.added = [t["content"] for t in file["added_tokens"]]
+        self._clear()
+
+    def _clear(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.start, self.count, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [code.ids for code in self.coder.encode_batch(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        ids = self._whole(pieces)
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.start = np.append(self.start, len(self.ids) + np.cumsum(count) - count)
+        self.count = np.append(self.count, count)
+        self.ids = np.append(self.ids, np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum())))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.slot) > WORDS:
+            self._clear()
+        cut = [_CUT.findall(t) if self.by_piece and _PLAIN.fullmatch(t) and not any(a in t for a in self.added) else None
+               for t in texts]
+        fresh, slot = [], self.slot
+        for pieces in cut:
+            for p in pieces or ():
+                if p not in slot:
+                    slot[p] = len(slot)
+                    fresh.append(p)
+        if fresh:
+            self._learn(fresh)
+        whole = iter(self._whole([t for t, pieces in zip(texts, cut) if pieces is None]))
+        out = []
+        for pieces in cut:
+            if pieces is None:
+                out.append(np.array(next(whole), np.uint32))
+                continue
+            own = np.fromiter(map(slot.__getitem__, pieces), np.int64, len(pieces))
+            n = self.count[own]
+            end = np.cumsum(n)
+            out.append(self.ids[np.repeat(self.start[own] - (end - n), n) + np.arange(end[-1] if len(end) else 0)])
+        return out
+
+
+@lru_cache(1)
+def coder_of(path: str) -> Coder:
+    """The coder of this process: tasks that run in it one after another share it."""
+    return Coder(path)
+
+
+def _frequent(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(places, their pair's index, pairs, counts)`` of all pairs that can reach ``ROUND_SHARE`` of the best one.
+
+    Counts in hashed buckets bound the pairs' counts from above, so only the
+    places of well-filled buckets are sorted.
+    """
+    bucket = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    held = np.bincount(bucket, minlength=1 << BUCKET_BITS)
+    best = np.unique(key[bucket == held.argmax()], return_counts=True)[1].max()
+    place = np.flatnonzero(held[bucket] >= max(MIN_USES, ROUND_SHARE * best))
+    pairs, inverse, count = np.unique(key[place], return_inverse=True, return_counts=True)
+    return place, inverse, pairs, count
+
+
 def _places(n: int, place: np.ndarray, pair_at: np.ndarray, n_pairs: int,
             often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places to replace and their pair's index in ``often`` (ascending frequency): no two places overlap.
@@ -71,12 +166,18 @@ def compress(ids: np.ndarray, doc_sizes: np.ndarray, first_rule: int) -> tuple[n
     rules, lengths = [np.empty((0, 2), np.uint32)], [np.empty(0, np.uint32)]
     made = 0
     while len(s) > 1:
-        key = (s[:-1] << np.uint64(32)) | s[1:]
-        place = np.flatnonzero(~last[:-1])
-        pairs, inverse, count = np.unique(key[place], return_inverse=True, return_counts=True)
+        inside = np.flatnonzero(~last[:-1])
+        if not len(inside):
+            break
+        key = (s[inside] << np.uint64(32)) | s[inside + 1]
+        at, inverse, pairs, count = _frequent(key)
         if not len(count) or count.max() < MIN_USES:
             break
         for least in (max(MIN_USES, ROUND_SHARE * count.max()), MIN_USES):
+            if least < ROUND_SHARE * count.max():  # nothing could be replaced: all pairs count
+                at = np.arange(len(key))
+                pairs, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+            place = inside[at]
             often = np.flatnonzero(count >= least)
             often = often[np.argsort(count[often], kind="stable")]
             take, which = _places(len(s), place, inverse, len(count), often)
@@ -140,10 +241,9 @@ def decode_range(row: dict, start: int, count: int) -> np.ndarray:
 def _encoded(vocabulary: str, end_id: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import public_tokenizers
-        from tokenizers import Tokenizer
 
-        coder = Tokenizer.from_file(str(public_tokenizers.path(vocabulary)))
-        first_rule = max(coder.get_vocab_size(), end_id + 1)
+        coder = coder_of(str(public_tokenizers.path(vocabulary)))
+        first_rule = max(coder.coder.get_vocab_size(), end_id + 1)
         part, block = TaskContext.get().partitionId(), 0
         held: list[tuple[int | None, np.ndarray]] = []
         total = 0
@@ -159,10 +259,10 @@ def _encoded(vocabulary: str, end_id: int):
                 "is_null": bytes(d is None for d, _ in held), "doc_symbols": raw(doc_symbols)}])
 
         for b in by_text_size(batches, "text", 1 << 18):
-            coded = coder.encode_batch(b["text"].tolist(), add_special_tokens=False)
+            coded = coder.encode(b["text"].tolist())
             keys = [None if k is pd.NA else int(k) for k in b["doc_id"].astype("Int64")]
             for key, code in zip(keys, coded):
-                held.append((key, np.array(code.ids + [end_id], np.uint32)))
+                held.append((key, np.append(code, np.uint32(end_id))))
                 total += len(held[-1][1])
                 if total >= SHARD_IDS:
                     yield shard()
