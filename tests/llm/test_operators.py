@@ -520,3 +520,27 @@ def test_registered_queries():
     names = entry.queries()
     assert "pipeline" in names and all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 11))
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_ids_by_piece_are_those_of_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["<|endoftext|> a", "  two  spaces \n\n x", "it's 'tis don't 've we'll 's", "tab\t\tx \r\n y ", "12a34 5é…", "", "'", "''s",
+             "naïve – “quote” …  ", "日本語 text", " nbsp x ", "a\x1cb\x0bc", "x  'll  ", "\n \n", "ſ Œ œ ß", "$%&  #", "Ⅷ ½ ²"]
+    rng = random.Random(4)
+    texts += ["".join(rng.choice("ab é's \n\t12.,'‘😀　") for _ in range(60)) for _ in range(300)]
+    plain, coder = Tokenizer.from_file(path), repair.Coder(path)
+    for part in (texts[:9], texts[9:], texts):
+        assert [x.tolist() for x in coder.encode(part)] == [x.ids for x in plain.encode_batch(part, add_special_tokens=False)]
+
+
+def test_archive_with_a_changed_byte_is_refused(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "short payload"), (2, "u", "x" * 200_000)], "page_id long, url string, html string")
+    for name, old, new in (("short", "short payload", "short paylaod"), ("long", "x" * 70_000, "x" * 69_999 + "y")):
+        path = str(tmp_path / name)
+        rows = warc.classified(pages)
+        warc.write_archives(rows.withColumn("html", F.replace("html", F.lit(old), F.lit(new))), path)
+        with pytest.raises(Exception, match="does not match its header"):
+            warc.read_records(spark, path).collect()
