@@ -73,7 +73,7 @@ WITH words AS (
   UNION ALL
   SELECT 'i', item_id, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') FROM benchmark),
 grams AS (SELECT DISTINCT side, id, array_to_string(w[i:i + 4], ' ') AS g
-          FROM (SELECT side, id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)),
+          FROM (SELECT side, id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)),
 items AS (SELECT id, count(*) AS n FROM grams WHERE side = 'i' GROUP BY 1),
 shared AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS k
            FROM grams d JOIN grams i ON d.side = 'd' AND i.side = 'i' AND d.g = i.g GROUP BY 1, 2)

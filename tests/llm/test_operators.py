@@ -544,3 +544,18 @@ def test_archive_with_a_changed_byte_is_refused(spark, tmp_path):
         warc.write_archives(rows.withColumn("html", F.replace("html", F.lit(old), F.lit(new))), path)
         with pytest.raises(Exception, match="does not match its header"):
             warc.read_records(spark, path).collect()
+
+
+def test_decontamination_by_row_and_short_items(spark):
+    """A clean row stays though another one under its id, or also without one, holds an item; short items count."""
+    item, clean = "one two three four five six seven eight", "nothing of that kind is in this text at all"
+    rows = [(7, f"x {item} y"), (7, clean), (None, f"{item} z"), (None, clean), (8, clean), (9, "Short item"), (10, "a short item"),
+            (11, None), (12, "")]
+    items = spark.createDataFrame([(1, item, 0), (2, "short, item!", 0), (3, None, 0), (4, "", 0)], "item_id long, text string, hash int")
+    docs = docs_of(spark, rows)
+    kept = decontaminate.clean_documents(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted(
+        (i or 0, t or "") for i, t in rows if t in (clean, "a short item", None, ""))
+    found = {(r.doc_id, r.item_id, r.n_item) for r in decontaminate.contaminated(docs, items).collect()}
+    assert found == {(7, 1, 4), (None, 1, 4), (9, 2, 1)}
