@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import by_text_size, map_batches, written
+from tessera.llm.shared import by_text_size, map_slices, release_memory, written
 from tessera.session import ship_package
 
 SAMPLE = 600
@@ -125,7 +125,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict:
         return {"langs": [], "models": {}}
     rate = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, sample / counts[k])))])
     drawn = usable.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < rate[F.col("lang")] * 1_000_000)
-    features = written(map_batches(drawn.select("lang", "text"), _features, "lang string, f array<int>, v array<float>")
+    features = written(map_slices(drawn.select("lang", "text"), _features, "lang string, f array<int>, v array<float>")
                        .withColumn("order", F.xxhash64("f", "v")), "language-features")
     families = sorted({family(x) for x in langs})
     # (model, language, positive): families one against the rest, language pairs within a family
@@ -197,7 +197,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     null doc_id stays null, other columns aren't read, no rows give no rows.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    return map_batches(docs.select("doc_id", "text"), _predict(held), "doc_id long, lang_pred string, score double")
+    return map_slices(docs.select("doc_id", "text"), _predict(held), "doc_id long, lang_pred string, score double")
 
 
 def is_held_out() -> Column:
@@ -219,7 +219,12 @@ def identified(docs: DataFrame, min_score: float = MIN_SCORE, sample: int = SAMP
     """
     model = fit(docs.where(F.col("doc_id").isNotNull() & ~is_held_out()), sample)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc_id"), "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    judged = map_batches(rows, _predict(held), f"doc_id {kind}, lang_pred string, score double")
-    return judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select("doc_id.*")
+    @F.pandas_udf("lang_pred string, score double")
+    def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for out in _predict(held)(pd.DataFrame({"doc_id": 0, "text": t}) for t in texts):
+            yield out[["lang_pred", "score"]]
+        release_memory()
+
+    ship_package(docs.sparkSession)
+    verdict = judge(docs["text"])  # only texts go to Python; the rows wait beside them
+    return docs.where((verdict["lang_pred"] != UNDETERMINED) & (verdict["score"] >= min_score))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import connected_components
-from tessera.llm.shared import by_text_size, map_batches, written
+from tessera.llm.shared import by_text_size, map_batches, map_slices, written
 from tessera.llm.shingles import mix, weighted_sets
 from tessera.operators.joins import checked_broadcast
 
@@ -54,6 +54,8 @@ BLOCK = 512
 BLOCK_BYTES = 1 << 22
 #: Partners of one text that are compared with it at a time.
 AT_ONCE = 128
+#: Characters of text hashed at a time, at some 40 bytes each.
+BATCH = 1 << 19
 #: Rows of digests and ids that may be broadcast: some ten MB.
 FEW = 100_000
 DRAWS = 1 << 16
@@ -64,7 +66,7 @@ def _sketch_rows(bits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows, n = np.zeros((2, 1 << bits), np.uint32), 0
         low = np.uint64((1 << bits) - 1)
-        for b in by_text_size(batches, "text"):
+        for b in by_text_size(batches, "text", BATCH):
             s, _, _ = weighted_sets(b["text"].fillna("").tolist())
             n += len(b)
             for row, shift in zip(rows, (0, bits), strict=True):
@@ -86,7 +88,7 @@ def idf_levels(docs: DataFrame, bits: int = SKETCH_BITS, damping: float = DAMPIN
         total += np.frombuffer(zlib.decompress(y[1]), np.uint32)
         return x[0] + y[0], zlib.compress(np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes(), 1)
 
-    parts = map_batches(docs.select("text"), _sketch_rows(bits), "n long, sketch binary")
+    parts = map_slices(docs.select("text"), _sketch_rows(bits), "n long, sketch binary")
     zero = (0, zlib.compress(np.zeros((2, 1 << bits), np.uint32).tobytes(), 1))
     n, blob = parts.rdd.map(lambda r: (r[0], bytes(r[1]))).treeAggregate(zero, add, add, 3)
     df = np.frombuffer(zlib.decompress(blob), np.uint32).reshape(2, -1)
@@ -136,7 +138,7 @@ class Sampler:
 def _signatures(idf, samples: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sampler, table = Sampler(samples), np.frombuffer(idf.value, np.float32).reshape(2, -1)
-        for b in by_text_size(batches, "text"):
+        for b in by_text_size(batches, "text", BATCH):
             s, count, owner = weighted_sets(b["text"].fillna("").tolist())
             sig: list = [None] * len(b)
             if len(s):
@@ -215,7 +217,7 @@ def _block_links(idf, rows: int, least: int, threshold: float):
             cut = list(zip(edge[:-1], edge[1:]))
             return b.drop(columns="text").assign(shingles=[s[p:q].copy() for p, q in cut], weights=[w[p:q].copy() for p, q in cut])
 
-        pieces = (as_sets(b) for b in by_text_size(batches, "text"))
+        pieces = (as_sets(b) for b in by_text_size(batches, "text", BATCH))
         for g in _groups(pieces, ["bucket", "i", "j"]):
             x, y = g[g["residual"]], g[~g["residual"]]
             if not len(x) or not len(y):
@@ -255,7 +257,7 @@ def _verify(idf, threshold: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = np.frombuffer(idf.value, np.float32).reshape(2, -1)
         centre, centre_key = None, None
-        for b in by_text_size(batches, "text"):
+        for b in by_text_size(batches, "text", BATCH):
             s, count, owner = weighted_sets(b["text"].tolist())
             w = weights(s, count, table)
             edge = np.searchsorted(owner, np.arange(len(b) + 1))
@@ -297,7 +299,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, idf, threshol
                    .unionByName(salted.select("a", "salt", F.lit(False).alias("member"), F.col("a").alias("node")).distinct()), "ends")
     rows = (with_text(ends, nodes, texts).select("a", "salt", "member", "node", "text")
             .repartition("a", "salt").sortWithinPartitions("a", "salt", "member", "node"))
-    out = map_batches(rows, _verify(idf, threshold), "a string, b string, similarity double")
+    out = map_slices(rows, _verify(idf, threshold), "a string, b string, similarity double")
     return out.groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
 
 
@@ -330,7 +332,7 @@ def classes_by_text(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     spark, samples = docs.sparkSession, bands * rows
     texts = with_node(docs.select("doc_id", "text"))
     idf = spark.sparkContext.broadcast(idf_levels(docs, damping=damping).tobytes())
-    drawn = map_batches(texts.where(F.col("node").isNotNull()), _signatures(idf, samples),
+    drawn = map_slices(texts.where(F.col("node").isNotNull()), _signatures(idf, samples),
                         "doc_id long, node string, sig array<int>, bytes long")
     nodes = written(drawn.groupBy("node").agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig"),
                                               F.max("bytes").alias("bytes"), F.count(F.lit(1)).alias("n_rows")), "nodes")
@@ -376,7 +378,7 @@ def classes_by_text(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     schema = "node string, bucket long, band int, left boolean, component long, residual boolean, i int, j int, sig array<int>"
     side = written(map_batches(side, _with_candidates(rows, least), schema), "open")
     side = with_text(side, nodes, texts).repartition(*block).sortWithinPartitions(*block)
-    more = written(map_batches(side, _block_links(idf, rows, least, threshold), "a string, b string, similarity double"), "more")
+    more = written(map_slices(side, _block_links(idf, rows, least, threshold), "a string, b string, similarity double"), "more")
     links = linked.select("a", "b").unionByName(more.select("a", "b"))
 
     # the later links join classes of the first ones
