@@ -13,7 +13,6 @@ from tessera.plans import hr as HRP
 from tessera.plans import wine as WI
 from tessera.sources import bindings as B
 
-ISO = "'%Y-%m-%d %H:%M:%S'"
 
 
 @register("fn_round_half_up", f"SELECT DepDelay, {r_up('DepDelay / 4', 1)} AS r FROM delays")
@@ -83,13 +82,12 @@ def fn_word_count(spark, sf):
     return d.select("doc_id", C.word_count("text").alias("words"))
 
 
-@register("fn_to_timestamp_utc", f"SELECT strftime(datetime, {ISO}) AS text, strptime(strftime(datetime, {ISO}), {ISO}) "
-          "AS parsed FROM energy")
+@register("fn_to_timestamp_utc", "SELECT CAST(datetime AS VARCHAR) AS text, CAST(CAST(datetime AS VARCHAR) AS TIMESTAMP) AS parsed FROM energy")
 def fn_to_timestamp_utc(spark, sf):
-    # the wall-clock text of a timestamp_ntz, to whole seconds (date_format would
+    # the whole wall-clock text of a timestamp_ntz, with its fraction if it has one (date_format would
     # pass through the session time zone)
-    e = B.energy(spark, sf).select(F.substring(F.col("datetime").cast("string"), 1, 19).alias("text"))
-    return e.select("text", C.to_timestamp_utc("text", "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+    e = B.energy(spark, sf).select(F.col("datetime").cast("string").alias("text"))
+    return e.select("text", C.to_timestamp_utc("text", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").alias("parsed"))
 
 
 @register("fn_calendar_parts", """

@@ -24,23 +24,27 @@ def ts_moments(spark, sf):
                     F.round("skewness", 8).alias("skewness"), F.round("kurtosis", 8).alias("kurtosis"))
 
 
-_ACF_CTE = f"""s AS (SELECT series_id, avg(value) AS m, count(value) AS n FROM series GROUP BY 1),
+def _acf_cte(lags: str) -> str:
+    """Autocorrelations of every series for the lags 1 to ``lags``, an SQL expression of its length n."""
+    return f"""s AS (SELECT series_id, avg(value) AS m, count(value) AS n FROM series GROUP BY 1),
+k AS (SELECT series_id, unnest(range(1, CAST({lags} AS BIGINT) + 1)) AS k FROM s),
 d AS (SELECT x.series_id, t, value - m AS d FROM series x JOIN s ON x.series_id = s.series_id),
 den AS (SELECT d.series_id, sum(d * d) AS s0 FROM d GROUP BY 1),
-num AS (SELECT a.series_id, k, sum(a.d * b.d) AS sk FROM d a, range(1, {LAGS + 1}) r(k), d b
-  WHERE a.series_id = b.series_id AND b.t = a.t - k GROUP BY 1, 2),
+num AS (SELECT a.series_id, k, sum(a.d * b.d) AS sk FROM d a JOIN k ON k.series_id = a.series_id
+  JOIN d b ON a.series_id = b.series_id AND b.t = a.t - k GROUP BY 1, 2),
 r AS (SELECT num.series_id, s.n, k, sk / s0 AS acf FROM num JOIN den ON num.series_id = den.series_id
   JOIN s ON num.series_id = s.series_id WHERE k < s.n)"""
 
 
-@register("ts_acf", f"WITH {_ACF_CTE} SELECT series_id, n, CAST(k AS INTEGER) AS lag, {r_up('acf', 9)} AS acf FROM r")
+@register("ts_acf", f"WITH {_acf_cte('floor(round(10 * log10(n), 9))')} "
+          f"SELECT series_id, n, CAST(k AS INTEGER) AS lag, {r_up('acf', 9)} AS acf FROM r")
 def ts_acf(spark, sf):
-    a = TS.acf(B.series(spark, sf), LAGS)
-    return a.withColumn("acf", F.round("acf", 9))
+    """Autocorrelations of every series up to its own number of lags, floor(10 log10 n)."""
+    return TS.acf(B.series(spark, sf)).withColumn("acf", F.round("acf", 9))
 
 
 @register("ts_ljung_box", f"""
-WITH {_ACF_CTE},
+WITH {_acf_cte(LAGS)},
 q AS (SELECT series_id, n, n * (n + 2) * sum(acf * acf / (n - k)) AS qs FROM r GROUP BY 1, 2)
 SELECT series_id, n, {r_up('qs', 8)} AS statistic, {LAGS} AS df,
   {r_up(f'least(1.0, exp(-qs / 2) * list_sum(list_transform(range({LAGS // 2}), lambda i: pow(qs / 2, i) / factorial(CAST(i AS INTEGER)))))', 8)}

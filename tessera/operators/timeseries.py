@@ -23,7 +23,7 @@ third of all rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+from tessera.session import ship_package
+
 KEY, T, V = "series_id", "t", "value"
 DEFAULT_BLOCK = 4096
 
@@ -100,6 +102,8 @@ def lagged(series: DataFrame, max_lag: int, block: int = DEFAULT_BLOCK,
     Windows run over ``(series_id, block)`` partitions of at most
     ``block + max_lag`` rows; halo rows (copies of the last ``max_lag``
     positions of the previous block) only feed the lags and are dropped.
+    Rows are dealt by series and block, whatever join they come from, so the
+    blocks of a hot series spread over tasks.
     """
     if max_lag >= block:
         raise ValueError("block must exceed max_lag")
@@ -108,7 +112,7 @@ def lagged(series: DataFrame, max_lag: int, block: int = DEFAULT_BLOCK,
     tagged = series.select("*", F.explode(F.array(
         F.struct(blk.alias("_blk"), F.lit(False).alias("_halo")),
         F.when(in_tail, F.struct((blk + 1).alias("_blk"), F.lit(True).alias("_halo"))))).alias("_b")) \
-        .where(F.col("_b").isNotNull()).select("*", "_b._blk", "_b._halo").drop("_b")
+        .where(F.col("_b").isNotNull()).select("*", "_b._blk", "_b._halo").drop("_b").repartition(KEY, "_blk")
     win = f"OVER (PARTITION BY `{KEY}`, _blk ORDER BY `{T}`)"
     lags = [f"lag(`{c}`, {k}) {win} AS `lag_{c}_{k}`" for c in cols for k in range(1, max_lag + 1)]
     return tagged.selectExpr("*", *lags).where(~F.col("_halo")).drop("_blk", "_halo")
@@ -423,64 +427,131 @@ def _df_critical(n: Column) -> Column:
     return expr
 
 
+def _block_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums of the Dickey-Fuller regression over blocks of positions, added up per series within the task.
+
+    Rows come sorted by series, block and position; a block starts with the
+    ``p + 1`` positions before it. ``sums`` is one array: regression rows,
+    levels, squared levels, then for ``j = 0..p`` the products of the
+    difference with the one ``j`` earlier, and those of the level with it.
+    """
+    total: dict[int, list] = {}
+    held: list[pd.DataFrame] = []
+    now = None
+
+    def add() -> None:
+        g = pd.concat(held) if len(held) > 1 else held[0]
+        series, p, last = int(g[KEY].iloc[0]), int(g["_p"].iloc[0]), int(g["_last"].iloc[0])
+        t, y = g[T].to_numpy(np.int64), g[V].to_numpy(float)
+        entry = total.setdefault(series, [np.zeros(2 * p + 5), None, None])
+        if t[0] == 1:
+            entry[1] = y[:p + 1]
+        if t[-1] == last:
+            entry[2] = y[-(p + 1):]
+        own = t[~g["_halo"].to_numpy(bool)]
+        a, b = int(max(own[0], p + 2) - t[0]), len(t)
+        if a < b:
+            x, level = np.diff(y)[a - 1 - p:], y[a - 1:b - 1]
+            entry[0] += np.concatenate([[b - a, level.sum(), level @ level],
+                                        np.correlate(x, x[p:], "valid")[::-1], np.correlate(x, level, "valid")[::-1]])
+
+    for batch in batches:
+        ids, blocks = batch[KEY].to_numpy(), batch["_blk"].to_numpy()
+        cut = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (blocks[1:] != blocks[:-1])))
+        for s, e in zip(cut, [*cut[1:], len(batch)]):
+            if (ids[s], blocks[s]) != now and held:
+                add()
+                held = []
+                if ids[s] != now[0]:  # sorted by series: this one is complete here
+                    yield _sums_frame(total)
+                    total.clear()
+            now = (ids[s], blocks[s])
+            held.append(batch.iloc[s:e])
+    if held:
+        add()
+        yield _sums_frame(total)
+
+
+def _sums_frame(total: dict[int, list]) -> pd.DataFrame:
+    return pd.DataFrame([(k, *v) for k, v in total.items()], columns=[KEY, "sums", "head", "tail"])
+
+
+def _regression(p: int, sums: np.ndarray, head: np.ndarray, tail: np.ndarray) -> float | None:
+    """Statistic of the lagged level from a series' sums and its first and last ``p + 1`` levels.
+
+    The products of differences ``i`` and ``j`` earlier follow from those one
+    step less by what enters and leaves at the ends, so the whole matrix is
+    the array of lag products and its edges.
+    """
+    m, level, squares = int(sums[0]), sums[1], sums[2]
+    products, with_level = sums[3:p + 4], sums[p + 4:]
+    dof = m - (p + 2)
+    if dof <= 0:
+        return None
+    first, last = np.diff(head)[::-1], np.diff(tail)[::-1]
+    gram = np.empty((p + 1, p + 1))
+    gram[0], gram[:, 0] = products, products
+    for i in range(p):
+        gram[i + 1, 1:] = gram[i, :p] + first[i] * first - last[i] * last
+    ends = tail[::-1] - head[::-1]  # sums of the differences j earlier
+    full = np.empty((p + 2, p + 2))
+    full[0, 0], full[0, 1], full[1, 1] = m, level, squares
+    full[0, 2:], full[1, 2:], full[2:, 2:] = ends[1:], with_level[1:], gram[1:, 1:]
+    full[1:, 0], full[2:, 1] = full[0, 1:], full[1, 2:]
+    right = np.concatenate([[ends[0], with_level[0]], gram[0, 1:]])
+    scale = np.sqrt(np.diag(full))  # unit diagonal: levels and differences can be far apart
+    if not (scale > 0).all():
+        return None
+    try:
+        inverse = np.linalg.inv(full / np.outer(scale, scale)) / np.outer(scale, scale)
+    except np.linalg.LinAlgError:
+        return None
+    beta = inverse @ right
+    variance = (gram[0, 0] - beta @ right) / dof
+    return float(beta[1] / math.sqrt(variance * inverse[1, 1])) if variance > 0 and inverse[1, 1] > 0 else None
+
+
+def _solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield pd.DataFrame({KEY: b[KEY], "n": b["n"], "lags": b["_p"], "statistic": pd.Series(
+            [_regression(int(p), *map(np.asarray, row)) for p, *row in zip(b["_p"], b["sums"], b["head"], b["tail"])], dtype="float64",
+            index=b.index)})
+
+
 def adf(series: DataFrame, max_p: int | None = None, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Augmented Dickey-Fuller test with constant [choice: see README].
 
     Regression ``dy_t = a + g y_{t-1} + sum_{j<=p} b_j dy_{t-j}`` with
     ``p = floor((n-1)^(1/3))`` (capped at ``max_p`` if given); statistic ``g / se(g)``
-    against the 5% Dickey-Fuller critical value. The cross-product sums of
-    the regression are one aggregate per series over bounded block windows;
-    the small solve per series runs in ``applyInPandas`` on one row.
-    Output ``(series_id, n, lags, statistic, critical_5pct, stationary)``.
+    against the 5% Dickey-Fuller critical value. The regression needs ``2p + 5``
+    sums per series, held as one array: numpy adds it up over blocks of
+    positions, Spark adds the arrays place by place, so the plan has one size
+    for any length and a hot series spreads over tasks by its blocks. Levels
+    are taken from the series' mean, which leaves ``g`` as it is.
+    Positions run from 1 without a gap. Output ``(series_id, n, lags,
+    statistic, critical_5pct, stationary)``; a series too short for its lags,
+    constant, or with a null value has a null statistic.
     """
+    spark = series.sparkSession
     rule = F.floor(F.pow(F.col("n") - 1, 1.0 / 3))
-    stats = series_stats(series).withColumn("_p", (rule if max_p is None else F.least(rule, F.lit(max_p))).cast("int"))
-    # the regression width follows the longest series (one number to the driver)
-    longest = stats.agg(F.max("_p")).first()[0]
-    max_p = int(longest) if longest is not None else 0
-    lg = lagged(series, max_p + 1, block).join(stats.select(KEY, "_p"), KEY)
-    # regression terms as SQL text (one call to the JVM per aggregate)
-    y = [V] + [f"lag_{V}_{k}" for k in range(1, max_p + 2)]
-    dy = f"({V} - {y[1]})"
-    regs = ["1.0D", y[1]] + [f"(CASE WHEN {j} <= _p THEN {y[j]} - {y[j + 1]} ELSE 0.0D END)"
-                             for j in range(1, max_p + 1)]
-    k = len(regs)
-    usable = lg.where(F.col(T) >= F.col("_p") + 2)
-    aggs = [F.expr("count(1) AS _m"), F.expr(f"sum({dy} * {dy}) AS _yy")]
-    aggs += [F.expr(f"sum({regs[i]} * {dy}) AS _xy_{i}") for i in range(k)]
-    aggs += [F.expr(f"sum({regs[i]} * {regs[j]}) AS _xx_{i}_{j}") for i in range(k) for j in range(i, k)]
-    sums = usable.groupBy(KEY).agg(*aggs).join(stats.select(KEY, "n", "_p"), KEY)
-    packed = sums.select(KEY, "n", "_p", "_m", "_yy",
-                         F.array(*[F.col(f"_xy_{i}") for i in range(k)]).alias("_xy"),
-                         F.array(*[F.col(f"_xx_{i}_{j}") for i in range(k) for j in range(i, k)]).alias("_xx"))
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for sid, n, p, m, yy, xy, xx in zip(pdf[KEY], pdf["n"], pdf["_p"], pdf["_m"], pdf["_yy"],
-                                            pdf["_xy"], pdf["_xx"]):
-            full = np.zeros((k, k))
-            it = iter(list(xx))
-            for a in range(k):
-                for b in range(a, k):
-                    full[a, b] = full[b, a] = next(it)
-            kk = 2 + int(p)
-            xtx, xty = full[:kk, :kk], np.asarray(list(xy), dtype=float)[:kk]
-            dof = int(m) - kk
-            stat = None
-            if dof > 0:
-                try:
-                    inv = np.linalg.inv(xtx)
-                    beta = inv @ xty
-                    rss = float(yy) - float(beta @ xty)
-                    var = rss / dof
-                    if var > 0 and inv[1, 1] > 0:
-                        stat = float(beta[1] / math.sqrt(var * inv[1, 1]))
-                except np.linalg.LinAlgError:
-                    stat = None
-            rows.append((sid, int(n), int(p), stat))
-        return pd.DataFrame(rows, columns=[KEY, "n", "lags", "statistic"])
-
-    out = packed.groupBy(KEY).applyInPandas(solve, f"{KEY} long, n long, lags int, statistic double")
+    stats = (series.groupBy(KEY).agg(F.count(V).alias("n"), F.avg(V).alias("mean"), F.max(T).alias("_last"))
+             .withColumn("_p", (rule if max_p is None else F.least(rule, F.lit(max_p))).cast("int")).where("n > 0"))
+    blk = F.floor((F.col(T) - 1) / block)
+    in_tail = ((F.col(T) - 1) % block >= block - F.col("_p") - 1) & ((blk + 1) * block < F.col("_last"))
+    placed = (series.join(stats, KEY).select(
+        KEY, T, (F.col(V) - F.col("mean")).alias(V), "_last", "_p", F.explode(F.array_compact(F.array(
+            F.struct(F.assert_true(F.col("_p") + 1 < block, "more lags than a block has positions").isNull().alias("_ok"),
+                     blk.alias("_blk"), F.lit(False).alias("_halo")),
+            F.when(in_tail, F.struct(F.lit(True).alias("_ok"), (blk + 1).alias("_blk"), F.lit(True).alias("_halo")))))).alias("_b"))
+        .where("_b._ok").select(KEY, T, V, "_last", "_p", "_b._blk", "_b._halo"))
+    ship_package(spark)
+    parts = placed.repartition(KEY, "_blk").sortWithinPartitions(KEY, "_blk", T).mapInPandas(
+        _block_products, f"{KEY} long, sums array<double>, head array<double>, tail array<double>")
+    places = parts.select(KEY, F.posexplode("sums")).groupBy(KEY, "pos").agg(F.sum("col").alias("v"))
+    sums = places.groupBy(KEY).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda e: e["v"]).alias("sums"))
+    ends = parts.groupBy(KEY).agg(F.max("head").alias("head"), F.max("tail").alias("tail"))
+    out = sums.join(ends, KEY).join(stats.select(KEY, "n", "_p"), KEY).mapInPandas(
+        _solved, f"{KEY} long, n long, lags int, statistic double")
     cv = _df_critical(F.col("n"))
     return out.select(KEY, "n", "lags", "statistic", cv.alias("critical_5pct"),
                       (F.col("statistic") < cv).alias("stationary"))

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -258,3 +259,50 @@ def test_attrition_attempt2_drops_outliers_and_weak_features(spark, monkeypatch)
     plan.attrition_pipeline(hr, 2)
     assert seen["attempt2"][1] == []
     assert evaluate("none", seen["attempt2"][0], [], 2).first()["n_features"] == 0
+
+
+def _plain_adf(y, p):
+    """t value of the lagged level by least squares on the regression's own rows."""
+    x = np.diff(y)
+    rows = range(p + 1, len(y))  # 0-based targets
+    a = np.array([[1.0, y[t - 1], *(x[t - 1 - j] for j in range(1, p + 1))] for t in rows])
+    b = np.array([x[t - 1] for t in rows])
+    beta, *_ = np.linalg.lstsq(a, b, rcond=None)
+    rest = b - a @ beta
+    return beta[1] / np.sqrt(rest @ rest / (len(b) - a.shape[1]) * np.linalg.inv(a.T @ a)[1, 1])
+
+
+def test_adf_over_blocks_matches_plain_regression(spark):
+    """Hot, short and far-from-zero series, whose lags reach over block ends; one block size after another."""
+    rng = np.random.default_rng(8)
+    ys = {1: np.cumsum(rng.normal(size=700)) + 1e4, 2: rng.normal(size=60), 3: np.cumsum(rng.normal(size=33)), 4: rng.normal(size=9),
+          5: np.full(50, 3.0), 6: np.array([1.0, 2.0]), 7: np.array([5.0])}
+    df = spark.createDataFrame([(k, t, float(v)) for k, y in ys.items() for t, v in enumerate(y, 1)],
+                               "series_id long, t long, value double").repartition(5)
+    for block in (16, 64, 4096):
+        got = {r.series_id: r for r in TS.adf(df, block=block).collect()}
+        assert set(got) == set(ys)
+        for k in (1, 2, 3):
+            p = int((len(ys[k]) - 1) ** (1 / 3) + 1e-9)
+            assert got[k].lags == p and got[k].statistic == pytest.approx(_plain_adf(ys[k], p), rel=1e-8)
+        assert all(got[k].statistic is None and got[k].stationary is None for k in (5, 6, 7))
+
+
+def test_adf_of_a_long_series(spark):
+    """One series of a million points: the same statistic, from a plan of a fixed size."""
+    n = 1_000_000
+    df = spark.range(1, n + 1).select(F.lit(1).cast("long").alias("series_id"), F.col("id").alias("t"),
+                                      (F.sin(F.col("id") / 7) * 5 + F.pmod(F.xxhash64("id"), F.lit(1000)) / 100).alias("value"))
+    y = df.orderBy("t").toPandas()["value"].to_numpy()
+    got = TS.adf(df, max_p=30).first()
+    x = np.diff(y)
+    rows = np.lib.stride_tricks.sliding_window_view(x, 31)  # x[t-30..t]
+    a = np.column_stack([np.ones(len(rows)), y[30:-1] - y.mean(), rows[:, :-1][:, ::-1]])
+    b = rows[:, -1]
+    gram = a.T @ a
+    beta = np.linalg.solve(gram, a.T @ b)
+    rest = b - a @ beta
+    want = beta[1] / np.sqrt(rest @ rest / (len(b) - a.shape[1]) * np.linalg.inv(gram)[1, 1])
+    assert got.statistic == pytest.approx(want, rel=1e-8)
+    nodes = lambda d: len(TS.adf(d)._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert nodes(df.where("t <= 100")) == nodes(df.where("t <= 900000"))
