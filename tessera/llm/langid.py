@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import by_text_size, map_slices, release_memory, written
+from tessera.llm.shared import by_text_size, map_slices, release_memory, wide_rows, written
 from tessera.session import ship_package
 
 SAMPLE = 600
@@ -226,5 +226,6 @@ def identified(docs: DataFrame, min_score: float = MIN_SCORE, sample: int = SAMP
         release_memory()
 
     ship_package(docs.sparkSession)
+    wide_rows(docs.sparkSession)
     verdict = judge(docs["text"])  # only texts go to Python; the rows wait beside them
     return docs.where((verdict["lang_pred"] != UNDETERMINED) & (verdict["score"] >= min_score))

@@ -17,6 +17,8 @@ from tessera.session import ensure_checkpoint_dir, ship_package
 
 #: Bytes of a batch that stand in memory as Python objects at a time.
 SLICE = 1 << 22
+#: Rows of an Arrow batch where rows hold whole texts: some MB, on both sides of the socket.
+WIDE_ROWS = 1000
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -62,10 +64,18 @@ def release_memory() -> None:
         pass
 
 
+def wide_rows(spark: SparkSession) -> None:
+    """Smaller Arrow batches in this session from now on, unless it has a number of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # the default
+        spark.conf.set(key, str(WIDE_ROWS))
+
+
 def map_slices(df: DataFrame, fn: Callable, schema: str, size: int = SLICE) -> DataFrame:
     """``map_batches`` for wide rows: ``fn`` sees frames of about ``size`` bytes, so that Spark's batches of
     10,000 rows never stand in memory as Python strings. Columns of plain types and arrays only."""
     ship_package(df.sparkSession)
+    wide_rows(df.sparkSession)
     target = to_arrow_schema(StructType.fromDDL(schema))
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
