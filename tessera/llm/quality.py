@@ -1,21 +1,22 @@
 """Quality rules as a short-circuit cascade of Spark expressions (no Python in the tasks).
 
 Every rule is a statistic of the text and a condition on it. Cost and
-selectivity are estimated on a sample; the cascade is one CASE expression
-that tests the rules in the order of rejections per cost, and Spark
-evaluates a later branch only for texts that passed the earlier ones. The
-order changes the cost, never the verdict.
+selectivity are estimated on a sample of the whole table; the cascade is one
+CASE expression that tests the rules in the order of rejections per cost, and
+Spark evaluates a later branch only for texts that passed the earlier ones.
+The order changes the cost, never the verdict.
 """
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.shared import written
+
 SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 8
 
@@ -110,47 +111,50 @@ def whole_text() -> Column:
     return F.coalesce("text", F.lit(""))
 
 
-def _condition(rule: Rule, text: Column, word_list: Column) -> Column:
-    return rule.fails(*[STATISTICS[s](text, word_list) for s in rule.needs])
-
+def _condition(rule: Rule, text: Column, word_list: Column, counted: Collection[str] = ()) -> Column:
+    """The rule on a text and its words; statistics named in ``counted`` are columns already."""
+    return rule.fails(*[F.col(s) if s in counted else STATISTICS[s](text, word_list) for s in rule.needs])
 
-def _counted_condition(rule: Rule) -> Column:
-    """The rule on columns that hold the statistics."""
-    return rule.fails(*[F.col(s) for s in rule.needs])
 
+def ordered_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 512, repeats: int = 3,
+                  seed: int = 7) -> list[tuple[Rule, float, float]]:
+    """``(rule, mean cost in nanoseconds, share rejected)`` by falling rejections per cost.
 
-def ordered_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = 512,
-                  fraction: float = 0.5, seed: int = 7) -> list[tuple[Rule, float, float]]:
-    """``(rule, cost in seconds, share rejected)`` by falling rejections per cost.
-
-    The sample is random within the first partitions that Spark needs for
-    ``sample_rows`` rows; each rule's job brings back one boolean per sampled
-    row. Its time above that of a job that only reads the text is the cost.
+    The sample holds ``sample_rows`` rows in expectation, each row of the
+    table with the same chance, and is written with its words in the shared
+    folder. One job judges every sampled row by every rule, ``repeats`` times
+    with the JVM's clock read before and after; the shortest time of a row
+    counts, so pauses and waiting tasks don't. An empty sample leaves the
+    order as given. The driver gets one row per rule.
     """
-    sample = docs.select(whole_text().alias("text")).sample(fraction=fraction, seed=seed)
+    share = min(1.0, sample_rows / max(docs.count(), 1))
     text = F.col("text")
-
-    def timed(column: Column) -> tuple[float, list]:
-        began = time.perf_counter()
-        rows = sample.select(column.alias("x")).limit(sample_rows).collect()
-        return time.perf_counter() - began, rows
-
-    plain = F.length("text") < 0
-    timed(plain)
-    floor = timed(plain)[0]
-    out = []
-    for rule in rules:
-        seconds, rows = min((timed(let(words(text), lambda w: _condition(rule, text, w))) for _ in range(2)), key=lambda x: x[0])
-        out.append((rule, max(seconds - floor, 1e-3), sum(bool(r[0]) for r in rows) / max(len(rows), 1)))
+    sample = written(docs.select(whole_text().alias("text")).sample(fraction=share, seed=seed)
+                     .select("text", words(text).alias("words")), "quality-sample")
+    now = F.expr("java_method('java.lang.System', 'nanoTime')")
+    judged = None
+    for number, rule in enumerate(rules):
+        one = sample.select(F.xxhash64("text").alias("row"), "text", "words",
+                            F.explode(F.sequence(F.lit(1), F.lit(repeats)))).select(
+            F.lit(number).alias("rule"), "row",
+            F.struct(now.alias("began"), _condition(rule, text, F.col("words")).alias("failed"), now.alias("ended")).alias("t"))
+        judged = one if judged is None else judged.unionByName(one)
+    rows = judged.groupBy("rule", "row").agg(
+        F.min(F.col("t.ended").cast("long") - F.col("t.began").cast("long")).alias("cost"),
+        F.bool_or("t.failed").alias("failed"), (F.count(F.lit(1)) / repeats).alias("n"))
+    found = {r.rule: (max(float(r.cost), 1.0), float(r.rejected)) for r in rows.groupBy("rule").agg(
+        (F.sum(F.col("cost") * F.col("n")) / F.sum("n")).alias("cost"),
+        (F.sum(F.when(F.col("failed"), F.col("n")).otherwise(0.0)) / F.sum("n")).alias("rejected")).collect()}
+    out = [(rule, *found.get(number, (1.0, 0.0))) for number, rule in enumerate(rules)]
     return sorted(out, key=lambda x: (-x[2] / x[1], x[1]))
 
 
 def first_failure(rules: Sequence[Rule], condition: Callable[[Rule], Column]) -> Column:
-    """Name of the first rule that rejects the text, null if none does; later rules aren't evaluated."""
+    """Place (from 1) of the first rule that rejects the text, null if none does; later rules aren't evaluated."""
     chain = None
-    for rule in rules:
+    for place, rule in enumerate(rules, 1):
         test = condition(rule)
-        chain = F.when(test, rule.name) if chain is None else chain.when(test, rule.name)
+        chain = F.when(test, place) if chain is None else chain.when(test, place)
     return chain
 
 
@@ -168,15 +172,28 @@ def apply_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, **sampling) -> D
     return docs.where(failed.isNull())
 
 
+#: Statistics that the report returns for every document; the others are counted only where the cascade asks for them.
+REPORTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def rule_report(docs: DataFrame, rules: Sequence[Rule] = RULES, **sampling) -> DataFrame:
-    """One row per document: ``doc_id``, all statistics, ``base_failed``, ``first_failed`` and ``kept``."""
+    """One row per document: ``doc_id``, the reported statistics, ``base_failed`` and the verdict of the cascade.
+
+    The cascade runs as in ``apply_rules``: ``first_failed`` names the rule
+    that ended it (null if none did), ``n_evaluated`` counts the rules it
+    tested, ``kept`` is true where it came to its end. Null and empty texts,
+    repeated rows and empty tables as there; a null doc_id stays null.
+    """
     order = [r for r, _, _ in ordered_rules(docs, rules, **sampling)]
-    stats = list(STATISTICS)
     text, word_list = F.col("text"), F.col("words")
     cut = docs.select("doc_id", whole_text().alias("text")).withColumn("words", words(text))
-    counted = cut.select("doc_id", *[STATISTICS[s](text, word_list).cast("long").alias(s) for s in stats])
-    failed = _counted_condition(BASE[0])
+    counted = cut.select("*", *[STATISTICS[s](text, word_list).cast("long").alias(s) for s in REPORTED])
+    place = first_failure(order, lambda rule: _condition(rule, text, word_list, REPORTED))
+    judged = counted.select("doc_id", *REPORTED, place.alias("place"))
+    failed = BASE[0].fails(*map(F.col, BASE[0].needs))
     for rule in BASE[1:]:
-        failed = failed | _counted_condition(rule)
-    return (counted.withColumn("base_failed", failed).withColumn("first_failed", first_failure(order, _counted_condition))
-            .withColumn("kept", ~F.col("base_failed") & F.col("first_failed").isNull()))
+        failed = failed | rule.fails(*map(F.col, rule.needs))
+    names = F.array(*[F.lit(r.name) for r in order])
+    return judged.select(
+        "doc_id", *REPORTED, failed.alias("base_failed"), F.get(names, F.col("place") - 1).alias("first_failed"),
+        F.coalesce("place", F.lit(len(order))).alias("n_evaluated"), (~failed & F.col("place").isNull()).alias("kept"))

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -366,6 +367,44 @@ def test_quality_statistics(spark, odd):
     assert quality.rule_report(odd.limit(0)).count() == 0 and quality.apply_rules(odd.limit(0)).count() == 0
 
 
+def _cascade_by_hand(text, order):
+    n, chars, symbols, dup, repeated, _ = _quality_by_hand(text)
+    capitals = sum(unicodedata.category(c) == "Lu" for c in text or "")
+    fails = {"too_short": n < 20, "repeats": 100 * repeated > 30 * n, "symbols": 4 * symbols > n,
+             "capitals": 2 * capitals > chars, "duplicate_lines": 100 * dup > 50 * len((text or "").split("\n")),
+             "word_length": chars < 2 * n or chars > 40 * n}
+    for place, name in enumerate(order, 1):
+        if fails[name]:
+            return name, place, False
+    return None, len(order), True
+
+
+def test_quality_cascade(spark, odd, monkeypatch):
+    shouted = docs_of(spark, [(i, t) for i, t in enumerate(["LOUD WORDS " * 15, "# " * 30 + "word " * 3, "fine words of a text\n" * 9,
+                                                            "a b c d e f g h i j k l m n o p q r s t u v w x y z", None, ""])])
+    orders = [list(quality.RULES), list(reversed(quality.RULES))]
+    for docs in (table(spark, "documents"), odd, shouted):
+        measured = quality.ordered_rules(docs, sample_rows=200)
+        assert {r.name for r, _, _ in measured} == {r.name for r in quality.RULES}
+        assert all(cost >= 1 and 0 <= share <= 1 for _, cost, share in measured)
+        assert [s / c for _, c, s in measured] == sorted((s / c for _, c, s in measured), reverse=True)
+        verdicts = []
+        for order in orders:
+            monkeypatch.setattr(quality, "ordered_rules", lambda *a, order=order, **k: [(r, 1.0, 0.0) for r in order])
+            rows = quality.rule_report(docs).select("doc_id", "first_failed", "n_evaluated", "kept").collect()
+            names = [r.name for r in order]
+            assert Counter(map(tuple, rows)) == Counter((r.doc_id, *_cascade_by_hand(r.text, names)) for r in docs.collect())
+            verdicts.append(Counter((r.doc_id, r.kept) for r in rows))
+            monkeypatch.undo()
+        assert verdicts[0] == verdicts[1]
+
+
+def test_quality_sample_shares(spark):
+    docs = docs_of(spark, [(i, "short" if i % 4 == 0 else f"word{i} " * 5 + " ".join(f"w{i}x{k}" for k in range(30))) for i in range(400)])
+    found = {r.name: share for r, _, share in quality.ordered_rules(docs, sample_rows=400)}
+    assert found["too_short"] == 0.25 and found["symbols"] == 0.0
+
+
 # 8 -----------------------------------------------------------------------------------------------
 
 def test_transcripts_recover_roles(spark):
