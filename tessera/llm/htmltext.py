@@ -25,13 +25,13 @@ from pyspark.sql import functions as F
 from tessera.llm.shared import by_text_size, map_batches
 
 # Element names of HTML and words that name page furniture in class, id and role.
-SKIPPED = frozenset("script style noscript template nav header footer aside form button select textarea iframe svg object "
+SKIPPED = frozenset("script style noscript template nav header footer aside button select textarea iframe svg object "
                     "title dialog menu".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BLOCKS = HEADINGS | frozenset("p li pre blockquote dt dd td th figcaption caption summary address".split())
 CONTAINERS = frozenset("html body div section article main ul ol dl table tbody thead tfoot tr figure details center "
-                       "fieldset hgroup".split())
+                       "fieldset hgroup form".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub "
                    "sup time tt u var".split())
 _BREAKS = CONTAINERS | BLOCKS | (SKIPPED - {"script", "style", "button", "select", "textarea", "svg", "object"})
@@ -55,6 +55,10 @@ FURNITURE = re.compile(rf"{_FURNITURE}(?:s|list|box|bar|wrap|wrapper|area|sectio
 #: Names of a state or of a topic, not of furniture: has-sidebar, comments-open, header-fixed, category-promo.
 STATES = frozenset("no not has have with without is hide hidden show open closed enabled disabled fixed sticky".split())
 TOPICS = frozenset("category tag type status format topic".split())
+#: Names of reader comments everywhere but on the sections of an article, which may have a discussion of their own.
+DISCUSSION = re.compile(r"discussions?(?:list|box|wrap|wrapper|area|section|thread|container|content)?")
+HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+SENTENCE_ENDS = frozenset(".!?…。！？\"”»")
 TITLED = frozenset("entry article post story content section".split())
 #: Furniture by name is the page itself if it holds this many times the text outside furniture (with and without prose there).
 WRAPPER, WRAPPER_OF_PROSE = 4, 50
@@ -65,25 +69,25 @@ NAMED_ARTICLE = {"article": 25.0, "main": 15.0}
 
 
 @lru_cache(20_000)
-def _names_furniture(value: str) -> bool:
+def _names_furniture(value: str, pattern: re.Pattern = FURNITURE) -> bool:
     """Whether a word of a class, id or role names furniture; words are cut at punctuation and at capitals (cookieBanner)."""
     for token in value.split():
         parts = [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", token)]
         if not parts or parts[0] in TOPICS or not STATES.isdisjoint(parts) or "header" in parts and not TITLED.isdisjoint(parts):
             continue
-        if any(map(FURNITURE.fullmatch, parts)):
+        if any(map(pattern.fullmatch, parts)):
             return True
     return False
 
 
 class _Node:
-    """A container, or an element marked as furniture by its name."""
+    """A container, or an element marked as furniture by its name. A form is marked too, until it proves to be the page."""
 
-    __slots__ = ("tag", "parent", "children", "points", "order", "marked", "own", "chars", "prose")
+    __slots__ = ("tag", "parent", "children", "points", "order", "marked", "named", "own", "chars", "prose", "prose_inside")
 
     def __init__(self, tag: str, parent: "_Node | None", order: int, marked: bool = False) -> None:
-        self.tag, self.parent, self.order, self.marked = tag, parent, order, marked
-        self.points, self.own, self.chars, self.prose, self.children = 0.0, 0, 0, False, []
+        self.tag, self.parent, self.order, self.named, self.marked = tag, parent, order, marked, marked or tag == "form"
+        self.points, self.own, self.chars, self.prose, self.prose_inside, self.children = 0.0, 0, 0, False, False, []
         if parent is not None:
             parent.children.append(self)
 
@@ -144,10 +148,12 @@ class _Tree(HTMLParser):
         if tag in ENDS:
             self.end(*ENDS[tag])
         named = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
-        furniture = bool(named) and tag != "main" and _names_furniture(named)
+        furniture = bool(named) and tag != "main" and (_names_furniture(named) or not (
+            tag == "section" and self.open["article"]) and _names_furniture(named, DISCUSSION))
         # the header of an article or of the main part holds its title
         skipped = (tag in SKIPPED and not (tag == "header" and (self.open["article"] or self.open["main"]))
-                   or any(k == "hidden" for k, _ in attrs) or furniture and tag in INLINE)
+                   or any(k == "hidden" or k == "style" and v and HIDDEN.search(v) for k, v in attrs)
+                   or tag == "label" and self.open["form"] or furniture and tag in INLINE)
         node, block, marked = self.at, self.block_tag, furniture and not skipped
         if tag in _BREAKS or marked:
             self.flush()
@@ -187,8 +193,10 @@ def _weigh_furniture(tree: _Tree) -> None:
         node.prose |= len(text) >= PROSE_CHARS and linked <= PROSE_LINKS * len(text)
     for node in reversed(tree.nodes):
         node.chars += node.own
+        node.prose_inside |= node.prose
         if node.parent is not None:
             node.parent.chars += node.chars
+            node.parent.prose_inside |= node.prose_inside
     chars, prose, marked = 0, False, []
 
     def count(node: _Node) -> None:
@@ -206,6 +214,9 @@ def _weigh_furniture(tree: _Tree) -> None:
     count(tree.root)
     outside = chars
     for node in tree.nodes:
+        # a form around the page's text is the page, as servers generate it
+        if node.tag == "form" and not node.named and node.prose_inside and node.chars > WRAPPER * outside:
+            node.marked = False
         # no furniture holds the main part, or an article longer than all that is outside
         if not node.marked and (node.tag == "main" or node.tag == "article" and node.chars > outside):
             up = node.parent
@@ -258,12 +269,13 @@ def main_blocks(html: str) -> list[str]:
 def _chosen(tree: _Tree) -> tuple[set[int], set[int]]:
     """Containers kept whole, and those of which only the blocks between their children are kept."""
     _score(tree)
-    own = {id(n): [0, 0, False, False] for n in tree.nodes}  # text outside links, links, a title, prose
+    own = {id(n): [0, 0, False, False, False] for n in tree.nodes}  # text outside links, links, a title, prose, a sentence
     for node, tag, text, linked in tree.blocks:
         o, few = own[id(node)], linked <= PROSE_LINKS * len(text)
         o[0], o[1] = o[0] + max(0, len(text) - linked), o[1] + linked
         o[2], o[3] = o[2] or tag in ("h1", "h2") and few, o[3] or len(text) >= PROSE_CHARS and few
-    held = {k: list(o[:3]) for k, o in own.items()}
+        o[4] = o[4] or tag in ("p", "blockquote") and not linked and text[-1] in SENTENCE_ENDS
+    held = {k: list(o) for k, o in own.items()}
     children: dict[int, list[_Node]] = {k: [] for k in own}
     up: dict[int, _Node | None] = {}
     for node in reversed(tree.nodes):
@@ -274,7 +286,7 @@ def _chosen(tree: _Tree) -> tuple[set[int], set[int]]:
         if above is not None:
             children[id(above)].append(node)
             h, k = held[id(above)], held[id(node)]
-            h[0], h[1], h[2] = h[0] + k[0], h[1] + k[1], h[2] or k[2]
+            h[:] = h[0] + k[0], h[1] + k[1], h[2] or k[2], h[3] or k[3], h[4] or k[4]
     whole = max(1, held[id(tree.root)][0])
     for node in tree.nodes:
         node.points += NAMED_ARTICLE.get(node.tag, 0.0) * held[id(node)][0] / whole
@@ -293,13 +305,14 @@ def _chosen(tree: _Tree) -> tuple[set[int], set[int]]:
             todo.extend(children[id(n)])
 
     def belongs(node: _Node) -> bool:
-        chars, links, title = held[id(node)]
-        if named is not None:
-            return title and not holds_article(node)
+        chars, links, title, prose, sentence = held[id(node)]
+        if named is not None:  # an article beside it in main is the page's too if it has a title of its own and prose
+            return title and (prose or not holds_article(node))
         if own[id(node)][3] or node.points >= max(2.0, SIBLING_SHARE * best.points):
             return True
-        # a few words beside the article in body itself are more often a notice than its text
-        return links <= PROSE_LINKS * (chars + links) and (title or chars >= PROSE_CHARS or up[id(node)] is not tree.root)
+        # a few words beside the article in body itself are more often a notice than its text, if they aren't a paragraph
+        return links <= PROSE_LINKS * (chars + links) and (
+            title or sentence or chars >= PROSE_CHARS or up[id(node)] is not tree.root)
 
     def holds_article(node: _Node) -> bool:
         todo = [node]

@@ -321,6 +321,27 @@ def test_main_text_weighs_furniture_names():
     assert htmltext.main_blocks(page) == ["Title", prose]
 
 
+def test_main_text_in_forms_and_beside_articles():
+    prose = "A long paragraph with several words, commas, and enough text to be counted as prose of the article itself."
+    body = f"<h1>Title</h1><p>{prose}</p><p>{prose}</p>"
+    controls = "<label>Name</label><input name=a><select><option>one</select><textarea>typed</textarea><button>Send</button>"
+    assert htmltext.main_blocks(f"<body><form id=aspnet>{body}{controls}</form></body>") == ["Title", prose, prose]
+    assert htmltext.main_blocks(f"<body><nav>x</nav><form><div><main>{body}</main></div></form><p>Foot.</p></body>") == ["Title", prose, prose]
+    comment = f"<form><p>Leave a reply</p>{controls}</form>"
+    assert htmltext.main_blocks(f"<body><article>{body}{comment}</article></body>") == ["Title", prose, prose]
+    assert htmltext.main_blocks(f"<body><form>Search {controls}</form><div>{body}</div></body>") == ["Title", prose, prose]
+    two = f"<main><article><h2>One</h2><p>{prose}</p></article><article><h2>Two</h2><p>{prose}</p><p>{prose}</p></article></main>"
+    assert htmltext.main_blocks(two) == ["One", prose, "Two", prose, prose]
+    teaser = '<article><h2><a href="/x">Another page</a></h2><p><a href="/x">Read it</a></p></article>'
+    assert htmltext.main_blocks(f"<main><article>{body}</article>{teaser}</main>") == ["Title", prose, prose]
+    assert htmltext.main_blocks(f"<body><div>{body}</div><div><p>A short last paragraph.</p></div></body>")[-1] == "A short last paragraph."
+    for away in (f'<div style="color:red; display: none">{prose}</div>', f'<p style="visibility:hidden">{prose}</p>',
+                 f'<div class="discussion"><p>{prose}</p></div>', f'<section id="discussion"><p>{prose}</p></section>'):
+        assert htmltext.main_blocks(f"<body><article>{body}</article>{away}</body>") == ["Title", prose, prose], away
+    paper = f'<article>{body}<section id="discussion"><h2>Discussion</h2><p>{prose}</p></section></article>'
+    assert htmltext.main_blocks(paper) == ["Title", prose, prose, "Discussion", prose]
+
+
 def test_main_text_edge_rows(spark):
     pages = spark.createDataFrame([(None, None, None, "t"), (1, "u", "", "t"), (1, "u", "<p>a</p>" * 50_000, "t")],
                                   "page_id long, url string, html string, text string")
