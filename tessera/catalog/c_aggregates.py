@@ -11,6 +11,7 @@ from tessera.catalog.fixture_sql import r_up
 from tessera.catalog.registry import register
 from tessera.operators import profile, ratios, sorting
 from tessera.operators import timeseries as TS
+from tessera.operators.selection import exact_quantiles
 from tessera.plans import flights as FL
 from tessera.plans import wine as WI
 from tessera.sources import bindings as B
@@ -176,8 +177,8 @@ def agg_stddev(spark, sf):
 
 @register("agg_median", f"SELECT series_id, {r_up('median(value)', 9)} AS median FROM series GROUP BY series_id")
 def agg_median(spark, sf):
-    """Median per series, exact for any series length (ranked, no series in one task)."""
-    q = profile.quantiles_ranked(B.series(spark, sf), "value", [0.5], ["series_id"])
+    """Median per series, exact for any series length (no series in one task)."""
+    q = exact_quantiles(B.series(spark, sf), "value", [0.5], ["series_id"])
     return q.select("series_id", F.round("value", 9).alias("median"))
 
 

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import checked_broadcast
+from tessera.operators.selection import quantile_columns
+from tessera.session import cut_lineage
 
 
 def _keys(by: str | Sequence[str] | None) -> list[str]:
@@ -123,27 +125,22 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: str | Sequence[str] | None
     ``whisker * IQR`` of the box, and the number of values beyond.
 
     Output ``(by.., column, n, q1, median, q3, lower_whisker, upper_whisker,
-    n_outliers)``. Quartiles are one aggregate; the fences are joined back as
-    one row per column/group and the second aggregate finds whiskers and
-    outliers. ``method`` chooses the quartiles as in ``profile.describe``
-    (``'ranked'`` keeps no group's values in one task).
+    n_outliers)``. The fences are joined back as one row per column/group and
+    an aggregate finds whiskers and outliers. ``method`` chooses the quartiles
+    as in ``profile.describe``; ``'exact'`` keeps no group's values in one task.
     """
-    from tessera.operators.profile import quantiles_ranked
     keys = _keys(by)
     lng = _long(df, cols, keys)
-    if method == "ranked":
-        q = quantiles_ranked(lng, "value", [0.25, 0.5, 0.75], keys + ["column"])
-        wide = q.groupBy(*keys, "column").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
-        n = lng.groupBy(*keys, "column").agg(F.count("value").alias("n"))
-        stats = n.join(wide, keys + ["column"]).select(
-            *keys, "column", "n", F.col("`0.25`").alias("q1"), F.col("`0.5`").alias("median"),
-            F.col("`0.75`").alias("q3"))
+    own = [*keys, "column"]
+    if method in ("exact", "ranked"):  # the second is an earlier name
+        n = lng.groupBy(*own).agg(F.count("value").alias("n"))
+        stats = n.join(quantile_columns(lng, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, own), own)
+    elif method == "approx":
+        stats = lng.groupBy(*own).agg(F.count("value").alias("n"),
+                                      F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy).alias("_q"))
+        stats = stats.select(*own, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     else:
-        q = (F.percentile("value", [0.25, 0.5, 0.75]) if method == "exact"
-             else F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy))
-        stats = lng.groupBy(*keys, "column").agg(F.count("value").alias("n"), q.alias("_q"))
-        stats = stats.select(*keys, "column", "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                             F.col("_q")[2].alias("q3"))
+        raise ValueError("method is 'exact' or 'approx'")
     iqr = F.col("q3") - F.col("q1")
     stats = stats.withColumns({"_lo": F.col("q1") - whisker * iqr, "_hi": F.col("q3") + whisker * iqr})
     j = lng.join(F.broadcast(stats) if not keys else checked_broadcast(stats), keys + ["column"])
@@ -186,11 +183,12 @@ def kde(df: DataFrame, col: str, by: str | Sequence[str] | None = None, points:
     if hi is not None:
         src = src.where(x <= hi)
     src = src.select(*keys, x.alias("_x"))
-    q = F.percentile("_x", [0.25, 0.75])
-    stats = src.groupBy(*keys).agg(F.count("_x").alias("n"), F.stddev_samp("_x").alias("_sd"), q.alias("_q"),
+    stats = src.groupBy(*keys).agg(F.count("_x").alias("n"), F.stddev_samp("_x").alias("_sd"),
                                    F.min("_x").alias("_min"), F.max("_x").alias("_max"))
-    stats = stats.withColumn("bw", bandwidth_nrd0(F.coalesce(F.col("_sd"), F.lit(0.0)), F.col("_q")[0],
-                                                  F.col("_q")[1], F.col("n")))
+    quartiles = quantile_columns(src, "_x", {"_q1": 0.25, "_q3": 0.75}, keys)
+    stats = stats.join(quartiles, keys) if keys else stats.crossJoin(F.broadcast(quartiles))
+    stats = cut_lineage(stats.withColumn("bw", bandwidth_nrd0(F.coalesce(F.col("_sd"), F.lit(0.0)), F.col("_q1"),
+                                                              F.col("_q3"), F.col("n"))))
     w = (F.col("_max") - F.col("_min")) / bins
     j = _join_stats(src, stats.select(*keys, "_min", "_max"), keys)
     b = F.when(w == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("_x") - F.col("_min")) / w), F.lit(bins - 1)))

@@ -13,7 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.profile import unpivot_values
+from tessera.operators.selection import exact_quantiles
 from tessera.operators.sorting import top_k_per_group
+from tessera.session import cut_lineage
 
 # --------------------------------------------------------------- one-hot ---
 
@@ -40,12 +43,15 @@ def category_values(df: DataFrame, col: str) -> list:
 
 def _column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row: quartiles, min and max of every column."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.percentile(x, [0.25, 0.75]).alias(f"_q_{c}"), F.min(x).alias(f"_min_{c}"),
-                 F.max(x).alias(f"_max_{c}")]
-    return df.agg(*aggs)
+    aggs = [agg for c in cols for x in [F.col(c).cast("double")]
+            for agg in (F.min(x).alias(f"_min_{c}"), F.max(x).alias(f"_max_{c}"))]
+    q = exact_quantiles(unpivot_values(df, cols), "value", [0.25, 0.75], ["column"])
+
+    def quartile(c: str, p: float) -> Column:
+        return F.max(F.when((F.col("column") == c) & (F.col("p") == p), F.col("value")))
+
+    wide = q.agg(*[F.array(quartile(c, 0.25), quartile(c, 0.75)).alias(f"_q_{c}") for c in cols])
+    return df.agg(*aggs).crossJoin(F.broadcast(cut_lineage(wide)))
 
 
 def outlier_flag(cols: Sequence[str], whisker: float = 1.5) -> Column:

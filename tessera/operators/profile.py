@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.selection import exact_quantiles
 from tessera.operators.sorting import top_k_per_group
 
 # ---------------------------------------------------------------- schema ---
@@ -170,32 +171,29 @@ def describe(df: DataFrame, cols: Sequence[str], method: str = "exact", accuracy
              by: str | None = None, digits: int | None = None) -> DataFrame:
     """count, mean, sample sd, min, quartiles, max per column, long ``(column, stat, value)``.
 
-    Quartiles are interpolated as pandas does. ``method``: ``'exact'`` uses
-    Spark's ``percentile`` (a map of distinct values per group: right for
-    columns of bounded cardinality); ``'ranked'`` is exact for any
-    cardinality and group size (``quantiles_ranked``); ``'approx'`` uses
-    ``percentile_approx`` in fixed memory. ``digits`` rounds the values
-    (display precision).
+    Quartiles are interpolated as pandas does. ``method``: ``'exact'`` narrows
+    to the wanted ranks by counting (``selection.exact_quantiles``; any
+    cardinality and group size); ``'approx'`` uses ``percentile_approx`` in
+    fixed memory. ``digits`` rounds the values (display precision).
     """
     keys = [by] if by else []
-    if method not in ("exact", "ranked", "approx"):
-        raise ValueError("method is 'exact', 'ranked' or 'approx'")
+    method = "exact" if method == "ranked" else method  # an earlier name
+    if method not in ("exact", "approx"):
+        raise ValueError("method is 'exact' or 'approx'")
     # built as SQL text: one call to the JVM per column
     aggs = []
     for i, c in enumerate(cols):
         x = f"CAST(`{c}` AS DOUBLE)"
         fields = [f"CAST(count({x}) AS DOUBLE) AS `count`", f"avg({x}) AS mean", f"stddev_samp({x}) AS std",
                   f"min({x}) AS `min`", f"max({x}) AS `max`"]
-        if method == "exact":
-            fields.append(f"percentile({x}, array(0.25D, 0.5D, 0.75D)) AS q")
-        elif method == "approx":
+        if method == "approx":
             fields.append(f"percentile_approx({x}, array(0.25D, 0.5D, 0.75D), {int(accuracy)}) AS q")
         aggs.append(F.expr(f"struct({', '.join(fields)}) AS `_s{i}`"))
     wide = df.groupBy(*keys).agg(*aggs)
     parts = []
     for i, c in enumerate(cols):
         items = [("count", f"_s{i}.`count`"), ("mean", f"_s{i}.mean"), ("std", f"_s{i}.std"), ("min", f"_s{i}.`min`")]
-        if method != "ranked":
+        if method == "approx":
             items += [("25%", f"_s{i}.q[0]"), ("50%", f"_s{i}.q[1]"), ("75%", f"_s{i}.q[2]")]
         items.append(("max", f"_s{i}.`max`"))
         name = c.replace("'", "\\'")
@@ -205,13 +203,16 @@ def describe(df: DataFrame, cols: Sequence[str], method: str = "exact", accuracy
             parts.append(f"named_struct('column', '{name}', 'stat', '{stat}', 'value', {v})")
     key_sql = [f"`{k}`" for k in keys]
     out = wide.selectExpr(*key_sql, f"explode(array({', '.join(parts)})) AS d").selectExpr(*key_sql, "d.*")
-    if method == "ranked":
-        lng = unpivot_values(df, cols, keys)
-        q = quantiles_ranked(lng, "value", [0.25, 0.5, 0.75], keys + ["column"])
+    if method == "exact":
+        q = exact_quantiles(unpivot_values(df, cols, keys), "value", [0.25, 0.5, 0.75], [*keys, "column"])
         v = F.col("value")
         q = q.select(*keys, "column", F.concat((F.col("p") * 100).cast("int").cast("string"), F.lit("%")).alias("stat"),
                      (F.round(v, digits) if digits is not None else v).alias("value"))
-        out = out.unionByName(q)
+        # a column (of a group) without a value has quartiles too: null
+        empty = out.where(F.col("stat") == "count").where(F.col("value") == 0).select(
+            *keys, "column", F.explode(F.array(*[F.lit(x) for x in ("25%", "50%", "75%")])).alias("stat"),
+            F.lit(None).cast("double").alias("value"))
+        out = out.unionByName(q).unionByName(empty)
     return out
 
 
@@ -220,32 +221,3 @@ def unpivot_values(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ())
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
                                 for c in cols])).alias("kv")
     return df.select(*keys, pairs).select(*keys, "kv.column", "kv.value").where(F.col("value").isNotNull())
-
-
-def quantiles_ranked(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Exact interpolated quantiles (as ``percentile``/numpy) without holding a group's values
-    in one task: values are ranked within each group by ``sorting.position_within``
-    (range partitioning spreads a large group), the two ranks around
-    ``p * (n - 1)`` are picked by a join with a small table of target ranks,
-    and interpolated. Output ``(by.., p, value)``.
-    """
-    from tessera.operators.joins import checked_broadcast
-    from tessera.operators.sorting import position_within
-
-    keys = list(by)
-    src = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
-    n = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    targets = n.select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-    h = F.col("p") * (F.col("_n") - 1)
-    targets = targets.select(*keys, "p", (F.floor(h) + 1).cast("int").alias("_lo"),
-                             (h - F.floor(h)).alias("_frac"), "_n")
-    want = targets.select(*keys, "p", "_frac", F.explode(F.array(
-        F.struct(F.col("_lo").alias("_pos"), F.lit(0).alias("_side")),
-        F.struct(F.least(F.col("_lo") + 1, F.col("_n").cast("int")).alias("_pos"), F.lit(1).alias("_side"))
-    )).alias("w")).select(*keys, "p", "_frac", "w._pos", "w._side")
-    ranked = position_within(src, keys, ["_x"], name="_pos")
-    hit = ranked.join(checked_broadcast(want, max_broadcast_rows), [*keys, "_pos"])
-    g = hit.groupBy(*keys, "p", "_frac").agg(F.max(F.when(F.col("_side") == 0, F.col("_x"))).alias("_a"),
-                                             F.max(F.when(F.col("_side") == 1, F.col("_x"))).alias("_b"))
-    return g.select(*keys, "p", (F.col("_a") + F.col("_frac") * (F.col("_b") - F.col("_a"))).alias(value))

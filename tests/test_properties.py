@@ -306,3 +306,36 @@ def test_adf_of_a_long_series(spark):
     assert got.statistic == pytest.approx(want, rel=1e-8)
     nodes = lambda d: len(TS.adf(d)._jdf.queryExecution().optimizedPlan().toString().splitlines())
     assert nodes(df.where("t <= 100")) == nodes(df.where("t <= 900000"))
+
+
+# ------------------------------------------------------------ exact selection ---
+
+def test_exact_quantiles_of_distinct_and_hot_groups(spark):
+    from tessera.operators import selection
+    n, probs = 60_000, [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    kind = F.col("id") % 3
+    rows = spark.range(n).select(
+        F.when(kind == 0, "distinct").when(kind == 1, "hot").alias("k"),  # and a group without a key
+        F.when(kind == 0, F.exp(F.sin("id") * 40)).when(kind == 1, F.when(F.col("id") % 9 < 6, 5.0).otherwise(F.sin("id") * 10))
+        .otherwise((F.col("id") % 7).cast("double")).alias("v"))
+    rows = rows.union(spark.createDataFrame([("one", 3.0), ("two", 1.0), ("two", 2.0), ("none", None), ("inf", float("inf")),
+                                             ("inf", float("inf")), ("nan", 1.0), ("nan", float("nan"))], "k string, v double"))
+    values = {}
+    for k, v in rows.where(F.col("v").isNotNull()).collect():
+        values.setdefault(k, []).append(v)
+    for finish in (selection.FINISH, 10):  # the second takes further rounds
+        got = {(r.k, r.p): r.v for r in selection.exact_quantiles(rows, "v", probs, ["k"], finish=finish).collect()}
+        assert set(got) == {(k, p) for k in values for p in probs}
+        assert got["inf", 0.5] == float("inf") and got["nan", 0.0] == 1.0 and got["nan", 1.0] != got["nan", 1.0]
+        for k in ("distinct", "hot", None, "one", "two"):
+            assert np.allclose([got[k, p] for p in probs], np.quantile(values[k], probs), rtol=1e-12, atol=0), (k, finish)
+    assert selection.exact_quantiles(rows.limit(0), "v", probs).count() == 0
+    wide = selection.quantile_columns(rows.where("k = 'two'"), "v", {"q1": 0.25, "q3": 0.75}).collect()
+    assert [tuple(r) for r in wide] == [(1.25, 1.75)]
+
+
+def test_describe_of_an_empty_column(spark):
+    from tessera.operators import profile
+    rows = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
+    got = {(r["column"], r["stat"]): r["value"] for r in profile.describe(rows, ["a", "b"]).collect()}
+    assert len(got) == 16 and got["a", "50%"] == 2.0 and got["b", "50%"] is None and got["b", "count"] == 0
