@@ -64,16 +64,29 @@ def hist_fixed_width(spark, sf):
     return D.histogram_width(B.wine(spark, sf), "price", 0.5, 0, 100)
 
 
-@register("hist_density", """
+@register("hist_density", f"""
 WITH s AS (SELECT series_id, min(value) AS mn, max(value) AS mx, count(value) AS n,
-    CAST(ceil(log2(count(value)) + 1) AS INTEGER) AS nb FROM series GROUP BY 1),
-b AS (SELECT x.series_id, CAST(CASE WHEN (mx - mn) / nb = 0 THEN 0 ELSE least(floor((value - mn) / ((mx - mn) / nb)), nb - 1) END
-    AS INTEGER) AS bin, mn, mx, n, nb FROM series x JOIN s ON x.series_id = s.series_id)
-SELECT series_id, bin, mn + bin * ((mx - mn) / nb) AS lo, mn + (bin + 1) * ((mx - mn) / nb) AS hi, count(*) AS "count",
-  count(*) / (n * ((mx - mn) / nb)) AS density
-FROM b GROUP BY series_id, bin, mn, mx, n, nb""")
+    CAST(ceil(log2(count(value)) + 1) AS BIGINT) AS nb FROM series WHERE value IS NOT NULL GROUP BY 1),
+z AS (SELECT *, greatest(abs(mn), abs(mx)) AS size, nb // 3 AS least_bins FROM s),
+c AS (SELECT *, CASE WHEN size = 0 OR mx - mn < size * 1.4 * 3 * pow(2.0, -52) * nb
+    THEN 0.75 * (CASE WHEN size = 0 THEN 1 WHEN size > 10 THEN 9 + size / 10 ELSE size END) / greatest(least_bins, 1)
+    ELSE (mx - mn) / nb END AS cell FROM z),
+u0 AS (SELECT *, pow(10.0, floor(log10(cell))) AS base FROM c),
+u2 AS (SELECT *, CASE WHEN 2 * base - cell < 1.5 * (cell - base) THEN 2 * base ELSE base END AS unit2 FROM u0),
+u5 AS (SELECT *, CASE WHEN 5 * base - cell < 2.75 * (cell - unit2) THEN 5 * base ELSE unit2 END AS unit5 FROM u2),
+u AS (SELECT *, CASE WHEN 10 * base - cell < 1.5 * (cell - unit5) THEN 10 * base ELSE unit5 END AS unit FROM u5),
+e AS (SELECT *, CAST(floor(mn / unit + 1e-7) AS BIGINT) AS k0, CAST(ceil(mx / unit - 1e-7) AS BIGINT) AS k1 FROM u),
+m AS (SELECT *, greatest(least_bins - (k1 - k0), 0) AS more FROM e),
+f AS (SELECT *, CASE WHEN mn = 0 AND k0 = 0 AND mx <> 0 THEN 0 WHEN k0 >= 0 THEN more // 2 + more % 2 ELSE more // 2 END AS below FROM m),
+g AS (SELECT series_id, n, unit, k0 - below AS k0, k1 + more - below AS k1 FROM f),
+b AS (SELECT x.series_id, n, unit, k0, CAST(greatest(0, least(CAST(ceil(value / unit - 1e-7) AS BIGINT) - 1 - k0, k1 - k0 - 1)) AS INTEGER) AS bin
+    FROM series x JOIN g ON x.series_id = g.series_id WHERE value IS NOT NULL)
+SELECT series_id, bin, {r_up('(k0 + bin) * unit', 9)} AS lo, {r_up('(k0 + bin + 1) * unit', 9)} AS hi, count(*) AS "count",
+  {r_up('count(*) / (n * unit)', 9)} AS density
+FROM b GROUP BY series_id, bin, n, unit, k0""")
 def hist_density(spark, sf):
-    return D.histogram_density(B.series(spark, sf), "value", by="series_id")
+    h = D.histogram_density(B.series(spark, sf), "value", by="series_id")
+    return h.withColumns({c: _r(F.col(c)) for c in ("lo", "hi", "density")})
 
 
 @register("hist_all_numeric", _bins_sql(_unpivot_sql("hr", HR_NUM), "value", "10", ['"column"']))

@@ -80,28 +80,63 @@ def histogram_width(df: DataFrame, col: str, width: float, lo: float | None = No
         .select(*keys, "lo", (F.col("lo") + width).alias("hi"), "count")
 
 
+# Fixed values of the pretty-breaks rule: bias towards larger units (and towards 5), relative tolerance, shrinkage of constants.
+UNIT_BIAS, FIVE_BIAS, BREAK_TOLERANCE, CONSTANT_SHRINK = 1.5, 2.75, 1e-7, 0.75
+
+
+def with_pretty_breaks(stats: DataFrame, lo: str, hi: str, n: str) -> DataFrame:
+    """``stats`` with ``_unit, _first, _last``: breaks ``k * _unit`` for whole ``k`` from ``_first`` to ``_last``.
+
+    They cover ``lo..hi`` in about ``n`` intervals of 1, 2 or 5 times a power
+    of ten, as R's ``pretty``. A range that is zero beside its values' size
+    is given intervals around the value, at least a third of ``n``.
+    """
+    low, high, wish = F.col(lo), F.col(hi), F.col(n)
+    size = F.greatest(F.abs(low), F.abs(high))
+    tiny = 1.0 + 1.0 / (1.0 + UNIT_BIAS) if FIVE_BIAS >= 1.5 * UNIT_BIAS + 0.5 else 1.0 + 1.5 / (1.0 + FIVE_BIAS)
+    constant = (size == 0) | (high - low < size * (tiny * 3 * 2.0 ** -52) * F.greatest(wish, F.lit(1)))
+    least = F.floor(wish / 3).cast("long")
+    near = F.when(size == 0, F.lit(1.0)).when(size > 10, 9.0 + size / 10.0).otherwise(size) * CONSTANT_SHRINK
+    cell = F.when(constant, near / F.greatest(least, F.lit(1))).otherwise((high - low) / F.greatest(wish, F.lit(1)))
+    out = stats.withColumn("_cell", cell).withColumn("_base", F.pow(F.lit(10.0), F.floor(F.log10("_cell")).cast("double")))
+    c, unit = F.col("_cell"), F.col("_base")
+    for times, bias in ((2.0, UNIT_BIAS), (5.0, FIVE_BIAS), (10.0, UNIT_BIAS)):
+        larger = F.col("_base") * times
+        unit = F.when(larger - c < bias * (c - unit), larger).otherwise(unit)
+    out = out.withColumn("_unit", unit)
+    out = out.withColumns({"_first": F.floor(low / F.col("_unit") + BREAK_TOLERANCE).cast("long"),
+                           "_last": F.ceil(high / F.col("_unit") - BREAK_TOLERANCE).cast("long")})
+    missing = F.greatest(least - (F.col("_last") - F.col("_first")), F.lit(0).cast("long"))
+    out = out.withColumn("_more", missing)
+    half, rest = F.floor(F.col("_more") / 2).cast("long"), F.col("_more") % 2
+    below = F.when((low == 0) & (F.col("_first") == 0) & (high != 0), F.lit(0).cast("long")).when(
+        F.col("_first") >= 0, half + rest).otherwise(half)
+    return out.withColumns({"_first": F.col("_first") - below, "_last": F.col("_last") + F.col("_more") - below}) \
+        .drop("_cell", "_base", "_more")
+
+
 def histogram_density(df: DataFrame, col: str, by: str | Sequence[str] | None = None,
                       bins: int | None = None) -> DataFrame:
     """Density-scaled histogram (``hist(prob = TRUE)``): ``count / (n * width)``.
 
-    Bins are equal-width over the data range; their number is Sturges'
-    ``ceil(log2(n) + 1)`` per group unless given (R rounds the breaks to
-    "pretty" values, which is a display choice).
+    Breaks are the pretty ones for Sturges' ``ceil(log2(n) + 1)`` intervals per
+    group, or for ``bins`` if given. Intervals are right-closed, the first one
+    holds the lowest break too. Output ``(by.., bin, lo, hi, count, density)``,
+    bins counted from 0; empty bins are left out, and nulls and NaN.
     """
     keys = _keys(by)
     x = F.col(col).cast("double")
-    src = df.where(x.isNotNull())
+    src = df.where(x.isNotNull() & ~F.isnan(x))
     stats = src.groupBy(*keys).agg(F.min(x).alias("_min"), F.max(x).alias("_max"), F.count(x).alias("_n"))
-    nb = F.lit(bins) if bins else F.ceil(F.log2(F.col("_n")) + 1).cast("int")
-    stats = stats.withColumn("_bins", nb)
-    w = (F.col("_max") - F.col("_min")) / F.col("_bins")
-    b = F.when(w == 0, F.lit(0)).otherwise(F.least(F.floor((x - F.col("_min")) / w), F.col("_bins") - 1)).cast("int")
-    j = _join_stats(src.select(*keys, col), stats, keys)
-    g = j.groupBy(*keys, b.alias("bin"), "_min", "_max", "_n", "_bins").agg(F.count(F.lit(1)).alias("count"))
-    width = (F.col("_max") - F.col("_min")) / F.col("_bins")
-    return g.select(*keys, "bin", (F.col("_min") + F.col("bin") * width).alias("lo"),
-                    (F.col("_min") + (F.col("bin") + 1) * width).alias("hi"), "count",
-                    F.try_divide(F.col("count").cast("double"), F.col("_n") * width).alias("density"))
+    wish = F.lit(bins) if bins else F.ceil(F.log2(F.col("_n")) + 1).cast("int")
+    stats = with_pretty_breaks(stats.where(F.col("_n") > 0).withColumn("_bins", wish), "_min", "_max", "_bins")
+    j = _join_stats(src.select(*keys, col), stats.select(*keys, "_n", "_unit", "_first", "_last"), keys)
+    place = F.ceil(x / F.col("_unit") - BREAK_TOLERANCE).cast("long") - 1 - F.col("_first")
+    b = F.greatest(F.lit(0).cast("long"), F.least(place, F.col("_last") - F.col("_first") - 1)).cast("int")
+    g = j.groupBy(*keys, b.alias("bin"), "_n", "_unit", "_first").agg(F.count(F.lit(1)).alias("count"))
+    left = (F.col("_first") + F.col("bin")).cast("double")
+    return g.select(*keys, "bin", (left * F.col("_unit")).alias("lo"), ((left + 1) * F.col("_unit")).alias("hi"), "count",
+                    (F.col("count").cast("double") / (F.col("_n") * F.col("_unit"))).alias("density"))
 
 
 def _long(df: DataFrame, cols: Sequence[str], keys: list[str]) -> DataFrame:

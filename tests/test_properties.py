@@ -339,3 +339,30 @@ def test_describe_of_an_empty_column(spark):
     rows = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
     got = {(r["column"], r["stat"]): r["value"] for r in profile.describe(rows, ["a", "b"]).collect()}
     assert len(got) == 16 and got["a", "50%"] == 2.0 and got["b", "50%"] is None and got["b", "count"] == 0
+
+
+# --------------------------------------------------------------- pretty breaks ---
+
+def test_pretty_breaks_published_examples(spark):
+    from tessera.operators import distributions as D
+    cases = [(1.0, 10.0, 5, 2.0, 0.0, 10.0), (1.0, 10.0, 21, 0.5, 1.0, 10.0), (1.0, 20.0, 2, 10.0, 0.0, 20.0), (1.0, 20.0, 10, 2.0, 0.0, 20.0),
+             (0.0, 1.0, 5, 0.2, 0.0, 1.0), (1.0, 100.0, 5, 20.0, 0.0, 100.0), (1.0, 234.0, 5, 50.0, 0.0, 250.0), (-1.0, 1.0, 5, 0.5, -1.0, 1.0)]
+    stats = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, lo double, hi double, n int, u double, a double, b double")
+    for r in D.with_pretty_breaks(stats, "lo", "hi", "n").collect():
+        assert math.isclose(r["_unit"], r.u) and math.isclose(r["_first"] * r["_unit"], r.a, abs_tol=1e-12) \
+            and math.isclose(r["_last"] * r["_unit"], r.b, abs_tol=1e-12), r
+
+
+def test_density_histogram_covers_all_rows(spark):
+    from tessera.operators import distributions as D
+    rows = spark.createDataFrame([("c", 5.0)] * 9 + [("z", 0.0)] * 9 + [("t", float(i)) for i in range(1, 11)]
+                                 + [("t", None), ("t", float("nan")), ("e", None)], "k string, v double")
+    got = {}
+    for r in D.histogram_density(rows, "v", by="k").collect():
+        got.setdefault(r.k, []).append(r)
+    assert set(got) == {"c", "z", "t"}
+    for k, n in (("c", 9), ("z", 9), ("t", 10)):
+        assert sum(r["count"] for r in got[k]) == n and math.isclose(sum(r.density * (r.hi - r.lo) for r in got[k]), 1.0)
+    assert [(r.lo, r.hi, r["count"]) for r in sorted(got["t"], key=lambda r: r.bin)] == [(2.0 * i, 2.0 * i + 2, 2) for i in range(5)]
+    assert all(r.lo <= 5.0 <= r.hi for r in got["c"]) and all(r.lo <= 0.0 <= r.hi for r in got["z"])
+    assert D.histogram_density(rows.limit(0), "v", by="k").count() == 0
