@@ -312,8 +312,7 @@ def _disc_sql() -> str:
 def fe_drop_constant(spark, sf):
     """Columns of the discretised table holding one value only."""
     d = HRP.discretized(B.hr(spark, sf)).select("id", *_DISC_ONEHOT)
-    counts = d.agg(*[F.count_distinct(c).alias(c) for c in _DISC_ONEHOT])
-    return counts.unpivot([], _DISC_ONEHOT, "column", "n").where(F.col("n") <= 1).select("column")
+    return FE.constant_flags(d, _DISC_ONEHOT).unpivot([], _DISC_ONEHOT, "column", "one").where("one").select("column")
 
 
 def _skew_sql(source: str, cols) -> str:

@@ -120,8 +120,13 @@ def minmax(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def drop_constant(df: DataFrame, cols: Sequence[str]) -> list[str]:
     """Names of columns with a single value; one small aggregate to the driver."""
-    row = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cols]).first()
-    return [c for c in cols if row[c] <= 1]
+    row = constant_flags(df, cols).first()
+    return [c for c in cols if row[c]]
+
+
+def constant_flags(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row: does the column hold at most one distinct value (nulls don't count); smallest and largest tell."""
+    return df.agg(*[F.coalesce(F.min(c) == F.max(c), F.lit(True)).alias(c) for c in cols])
 
 
 # ----------------------------------------------------------------- split ---

@@ -26,7 +26,7 @@ def _round(c: Column, digits: int | None, rounding: str) -> Column:
 def share_by(df: DataFrame, keys: str | Sequence[str], *, where: Column | None = None,
              count_col: str | None = None, denominator: str = "all", name: str = "n",
              pct_name: str = "ratio", digits: int | None = 1, rounding: str = "up",
-             total: str = "window") -> DataFrame:
+             total: str = "aggregate") -> DataFrame:
     """Count per group and its percentage of a total.
 
     ``where`` restricts the counted rows (groups without such rows are left
@@ -35,10 +35,10 @@ def share_by(df: DataFrame, keys: str | Sequence[str], *, where: Column | None =
     divides by all rows of ``df`` (T16, the reference's ``count()`` of the
     whole table), ``'counted'`` by the sum of the group counts.
 
-    ``total='window'`` sums the group counts with a window over the
-    aggregated rows (one row per group, one scan of ``df``);
-    ``total='aggregate'`` computes the total as a separate one-row aggregate
-    joined back by broadcast, for group counts too large for one task.
+    ``total='aggregate'`` computes the total as a one-row aggregate of the
+    group counts, joined back by broadcast; both branches share the shuffled
+    counts. ``total='window'`` sums them with one window over all groups, in
+    one task: only for few groups.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     cond = where if where is not None else F.lit(True)
