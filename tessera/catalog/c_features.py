@@ -172,16 +172,48 @@ def normal_overlay(spark, sf):
 _C_IN = ", ".join("'" + v + "'" for v in TOP_COUNTRIES)
 
 
+def _loess_sql(source: str, x: str, y: str, key: str, span: float = 0.75, vertices: int = 17) -> str:
+    """CTEs of the local regression: ``fits (key, i, v, step, f, sl)``, value and slope at the vertices."""
+    near = "abs(p.x - v.v)"
+    return f"""p AS (SELECT {key}, CAST({x} AS DOUBLE) AS x, count(*) AS n, sum({y}) AS sy FROM {source}
+  WHERE {x} IS NOT NULL AND {y} IS NOT NULL GROUP BY 1, 2),
+e AS (SELECT {key}, min(x) AS mn, max(x) AS mx, sum(n) AS total FROM p GROUP BY 1),
+v AS (SELECT {key}, i, mn + i * (mx - mn) / {vertices - 1} AS v, (mx - mn) / {vertices - 1} AS step,
+  least(total, greatest(1, floor(total * {span} + 1e-5))) AS q FROM e, range({vertices}) r(i)),
+cum AS (SELECT v.*, {near} AS d, sum(n) OVER (PARTITION BY v.{key}, i ORDER BY {near}) AS upto
+  FROM v JOIN p ON p.{key} = v.{key}),
+h AS (SELECT {key}, i, v, step, min(d) AS h FROM cum WHERE upto >= q GROUP BY ALL),
+w AS (SELECT h.*, n, sy, CASE WHEN h > 0 THEN (x - v) / h ELSE 0 END AS u,
+  CASE WHEN abs(x - v) < h THEN pow(1 - pow(abs(x - v) / h, 3), 3) ELSE 0 END AS w
+  FROM h JOIN p ON p.{key} = h.{key} WHERE abs(x - v) <= h),
+sums AS (SELECT {key}, i, v, step, h, count_if(w > 0) AS k, sum(n) AS m, sum(sy) AS t, sum(w * n) AS s0, sum(w * n * u) AS s1,
+  sum(w * n * u * u) AS s2, sum(w * n * u * u * u) AS s3, sum(w * n * u * u * u * u) AS s4,
+  sum(w * sy) AS t0, sum(w * sy * u) AS t1, sum(w * sy * u * u) AS t2 FROM w GROUP BY ALL),
+dets AS (SELECT *, s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2) AS det FROM sums),
+fits AS (SELECT {key}, i, v, step,
+  CASE WHEN k >= 3 THEN (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)) / det
+    WHEN k = 2 THEN (t0 * s2 - t1 * s1) / (s0 * s2 - s1 * s1) WHEN k = 1 THEN t0 / s0 ELSE t / m END AS f,
+  CASE WHEN k >= 3 THEN (s0 * (t1 * s4 - s3 * t2) - t0 * (s1 * s4 - s3 * s2) + s2 * (s1 * t2 - t1 * s2)) / (det * h)
+    WHEN k = 2 THEN (s0 * t1 - s1 * t0) / ((s0 * s2 - s1 * s1) * h) ELSE 0 END AS sl FROM dets)"""
+
+
 @register("trend_by_x", f"""
 WITH src AS (SELECT * FROM {WINE_CLEAN} WHERE country IN ({_C_IN})),
 line AS (SELECT country, regr_slope(ln_price, points) AS b, regr_intercept(ln_price, points) AS a FROM src GROUP BY 1),
-m AS (SELECT country, points, count(*) AS n, avg(ln_price) AS mean_y FROM src GROUP BY 1, 2)
-SELECT m.country, points, n, {r_up('mean_y', 9)} AS mean_y, {r_up('a + b * points', 9)} AS fitted
-FROM m JOIN line ON m.country = line.country""")
+m AS (SELECT country, points, count(*) AS n, avg(ln_price) AS mean_y FROM src GROUP BY 1, 2),
+{_loess_sql('src', 'points', 'ln_price', 'country')},
+j AS (SELECT m.*, a + b * points AS fitted, mn, (mx - mn) / 16 AS step,
+  CASE WHEN mx > mn THEN least(floor((points - mn) / ((mx - mn) / 16)), 15) ELSE 0 END AS cell
+  FROM m JOIN line ON m.country = line.country JOIN e ON m.country = e.country),
+c AS (SELECT j.*, p.f AS f0, p.sl AS s0, q.f AS f1, q.sl AS s1, CASE WHEN j.step > 0 THEN (points - p.v) / j.step ELSE 0 END AS t
+  FROM j JOIN fits p ON p.country = j.country AND p.i = cell JOIN fits q ON q.country = j.country AND q.i = cell + 1)
+SELECT country, points, n, {r_up('mean_y', 9)} AS mean_y, {r_up('fitted', 9)} AS fitted,
+  {r_up('f0 * (2*t*t*t - 3*t*t + 1) + s0 * step * (t*t*t - 2*t*t + t) + f1 * (3*t*t - 2*t*t*t) + s1 * step * (t*t*t - t*t)', 6)} AS smooth
+FROM c""")
 def trend_by_x(spark, sf):
     w = WI.clean(B.wine(spark, sf)).where(F.col("country").isin(*TOP_COUNTRIES))
     t = D.trend(w, "points", "ln_price", by="country")
-    return t.withColumns({"mean_y": _r(F.col("mean_y")), "fitted": _r(F.col("fitted"))})
+    return t.withColumns({"mean_y": _r(F.col("mean_y")), "fitted": _r(F.col("fitted")), "smooth": _r(F.col("smooth"), 6)})
 
 
 @register("hourly_profile", f"""

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.joins import checked_broadcast
 from tessera.operators.selection import quantile_columns
+from tessera.operators.smoothing import local_regression, smoothed
 from tessera.session import cut_lineage
 
 
@@ -248,16 +249,17 @@ def normal_overlay(df: DataFrame, col: str, by: str | Sequence[str] | None = Non
     return g.select(*keys, "i", "x", normal_pdf(F.col("x"), F.col("mu"), F.col("sigma")).alias("density"))
 
 
-def trend(df: DataFrame, x: str, y: str, by: str | Sequence[str] | None = None) -> DataFrame:
-    """Mean of ``y`` at each ``x`` and the least-squares line through the data, per facet.
-    R draws a loess/GAM smoother; a straight line is the
-    aggregate form chosen here.
+def trend(df: DataFrame, x: str, y: str, by: str | Sequence[str] | None = None, span: float = 0.75,
+          vertices: int = 17) -> DataFrame:
+    """Mean of ``y`` at each ``x``, the least-squares line and the loess curve through the data, per facet.
 
-    Output ``(by.., x, n, mean_y, fitted)``.
+    The curve is ``smoothing.local_regression`` with ``span`` and ``vertices``.
+    Output ``(by.., x, n, mean_y, fitted, smooth)``.
     """
     keys = _keys(by)
     src = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     line = src.groupBy(*keys).agg(F.regr_slope(y, x).alias("_slope"), F.regr_intercept(y, x).alias("_icpt"))
     means = src.groupBy(*keys, x).agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean_y"))
     j = means.crossJoin(F.broadcast(line)) if not keys else means.join(checked_broadcast(line), keys)
-    return j.select(*keys, x, "n", "mean_y", (F.col("_icpt") + F.col("_slope") * F.col(x)).alias("fitted"))
+    j = j.select(*keys, x, "n", "mean_y", (F.col("_icpt") + F.col("_slope") * F.col(x)).alias("fitted"))
+    return smoothed(j, local_regression(src, x, y, keys, span, vertices), x, keys)
