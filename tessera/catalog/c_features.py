@@ -122,22 +122,26 @@ def box_stats_grouped(spark, sf):
     return _round_box(D.box_stats(WI.clean(B.wine(spark, sf)), ["ln_price"], by="points"))
 
 
-def _kde_sql(source: str, x: str, key: str, points: int = 100, bins: int = 512, cut: float = 3.0,
+def _kde_sql(source: str, x: str, key: str, points: int = 100, bins: int = 512, cut: float = 3.0, margin: float = 4.0,
              where: str = "TRUE") -> str:
-    w = f"((mx - mn) / {bins})"
+    """Linear binning and the kernel sum at the two places around each grid point, which the convolution gives at once."""
     return f"""WITH src AS (SELECT {key}, CAST({x} AS DOUBLE) AS x FROM {source} WHERE {x} IS NOT NULL AND {where}),
 st AS (SELECT {key}, count(x) AS n, coalesce(stddev_samp(x), 0) AS sd, quantile_cont(x, 0.25) AS q1,
   quantile_cont(x, 0.75) AS q3, min(x) AS mn, max(x) AS mx FROM src GROUP BY {key}),
 st2 AS (SELECT *, 0.9 * (CASE WHEN least(sd, (q3 - q1) / 1.34) > 0 THEN least(sd, (q3 - q1) / 1.34)
   WHEN sd > 0 THEN sd ELSE 1.0 END) * pow(CAST(n AS DOUBLE), -0.2) AS bw FROM st),
-bn AS (SELECT {key}, CASE WHEN {w} = 0 THEN 0 ELSE least(floor((x - mn) / {w}), {bins - 1}) END AS bin, mn, mx,
-  count(*) AS c FROM src JOIN st2 USING ({key}) GROUP BY ALL),
-ce AS (SELECT {key}, c, mn + (bin + 0.5) * {w} AS centre FROM bn),
-g AS (SELECT {key}, i, (mn - {cut} * bw) + i * ((mx + {cut} * bw) - (mn - {cut} * bw)) / {points - 1} AS x, n, bw
-  FROM st2, range({points}) r(i))
-SELECT g.{key}, CAST(i AS INTEGER) AS i, {r_up('x', 9)} AS x,
-  {r_up(f'sum(c * exp(-0.5 * ((x - centre) / bw) * ((x - centre) / bw))) / (n * bw * sqrt(2 * pi()))', 9)} AS density
-FROM g JOIN ce ON g.{key} = ce.{key} GROUP BY g.{key}, i, x, n, bw"""
+st3 AS (SELECT *, mn - {cut + margin} * bw AS first_place, (mx - mn + {2 * (cut + margin)} * bw) / {bins - 1} AS step FROM st2),
+pos AS (SELECT src.{key}, (x - first_place) / step AS pos FROM src JOIN st3 ON src.{key} = st3.{key}),
+lf AS (SELECT {key}, pos, least(floor(pos), {bins - 2}) AS b FROM pos),
+bn AS (SELECT {key}, b, sum(w) AS w FROM (SELECT {key}, b, 1 - (pos - b) AS w FROM lf UNION ALL SELECT {key}, b + 1, pos - b FROM lf)
+  GROUP BY 1, 2),
+g AS (SELECT {key}, i, (mn - {cut} * bw) + i * ((mx + {cut} * bw) - (mn - {cut} * bw)) / {points - 1} AS x, n, bw, first_place, step
+  FROM st3, range({points}) r(i)),
+g2 AS (SELECT *, (x - first_place) / step AS place FROM g),
+s AS (SELECT g2.{key}, i, x, place, sum(w * exp(-0.5 * pow((floor(place) - b) * step / bw, 2))) / (n * bw * sqrt(2 * pi())) AS y0,
+  sum(w * exp(-0.5 * pow((floor(place) + 1 - b) * step / bw, 2))) / (n * bw * sqrt(2 * pi())) AS y1
+  FROM g2 JOIN bn ON g2.{key} = bn.{key} GROUP BY g2.{key}, i, x, place, n, bw)
+SELECT {key}, CAST(i AS INTEGER) AS i, {r_up('x', 9)} AS x, {r_up('y0 + (place - floor(place)) * (y1 - y0)', 9)} AS density FROM s"""
 
 
 def _round_kde(df):

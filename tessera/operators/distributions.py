@@ -3,7 +3,7 @@ statistics, kernel densities, normal overlays, trends.
 
 Each one aggregates first and never carries raw rows into a cross join:
 histograms count per bin, box statistics keep quartiles per column or group,
-kernel densities bin the data before the kernel sums over a fixed grid.
+kernel densities add bin weights up before one convolution per group.
 Per-column or per-group statistics are one row per column or group; one row
 per *column* is bounded by the schema and is broadcast, one row per group is
 broadcast only after a size check.
@@ -12,15 +12,18 @@ broadcast only after a size check.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from tessera.operators.joins import checked_broadcast
-from tessera.operators.selection import quantile_columns
+from tessera.operators.selection import on_keys, quantile_columns
 from tessera.operators.smoothing import local_regression, smoothed
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, ship_package
 
 
 def _keys(by: str | Sequence[str] | None) -> list[str]:
@@ -200,42 +203,74 @@ def bandwidth_nrd0(sd: Column, q1: Column, q3: Column, n: Column) -> Column:
     return 0.9 * lo * F.pow(n.cast("double"), -0.2)
 
 
+#: Bandwidths that the binned range goes beyond the grid's ends, so that the convolution never wraps around (fixed value).
+MARGIN = 4.0
+
+
+def _convolved(points: int, bins: int, cut: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Densities of groups from their bin weights: one FFT convolution and an interpolation per row."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        apart = np.concatenate([np.arange(bins), np.arange(bins, 0, -1)])
+        for batch in batches:
+            xs, ys = [], []
+            for n, lo, hi, bw, places, weights in zip(*(batch[c] for c in ("_n", "_min", "_max", "bw", "_bins", "_weights"))):
+                start, end = lo - cut * bw, hi + cut * bw
+                binned = np.zeros(2 * bins)
+                binned[np.asarray(places, dtype=int)] = np.asarray(weights, dtype=float) / n
+                step = (end - start + 2 * MARGIN * bw) / (bins - 1)
+                kernel = np.exp(-0.5 * (apart * step / bw) ** 2) / (bw * math.sqrt(2 * math.pi))
+                smooth = np.fft.irfft(np.fft.rfft(binned) * np.fft.rfft(kernel), 2 * bins)[:bins]
+                at = start + np.arange(points) * (end - start) / (points - 1)
+                xs.append(at)
+                ys.append(np.maximum(np.interp((at - (start - MARGIN * bw)) / step, np.arange(bins), smooth), 0.0))
+            out = batch.drop(columns=["_n", "_min", "_max", "bw", "_bins", "_weights"])
+            yield out.assign(_xs=xs, _ys=ys)
+    return run
+
+
 def kde(df: DataFrame, col: str, by: str | Sequence[str] | None = None, points: int = 100,
         bins: int = 512, cut: float = 3.0, lo: float | None = None, hi: float | None = None) -> DataFrame:
-    """Gaussian kernel density on a grid of ``points``.
-
-    The data are first counted in ``bins`` equal-width bins per group; the
-    density at each grid point is the kernel sum over the bin centres
-    weighted by their counts, so the work per group is at most
-    ``points * bins`` whatever the group size. Bandwidth ``bw.nrd0``; the
-    grid spans ``[min - cut bw, max + cut bw]`` as R's ``density``. ``lo``/``hi``
-    restrict the data first (``xlim``).
+    """Gaussian kernel density on a grid of ``points``, as R's ``density``.
+
+    Each value's weight is split between the two of ``bins`` equally spaced
+    places around it (linear binning), the weights are added up per group and
+    place, and one FFT convolution per group gives the density at the places;
+    the grid is interpolated linearly between them. Bandwidth ``bw.nrd0``; the
+    grid spans ``[min - cut bw, max + cut bw]``. ``lo``/``hi`` restrict the data
+    first (``xlim``). Nulls and NaN are left out; a group without a value has
+    no rows.
     """
     keys = _keys(by)
     x = F.col(col).cast("double")
-    src = df.where(x.isNotNull())
+    src = df.where(x.isNotNull() & ~F.isnan(x))
     if lo is not None:
         src = src.where(x >= lo)
     if hi is not None:
         src = src.where(x <= hi)
     src = src.select(*keys, x.alias("_x"))
-    stats = src.groupBy(*keys).agg(F.count("_x").alias("n"), F.stddev_samp("_x").alias("_sd"),
-                                   F.min("_x").alias("_min"), F.max("_x").alias("_max"))
+    stats = src.groupBy(*keys).agg(F.count("_x").alias("_n"), F.stddev_samp("_x").alias("_sd"),
+                                   F.min("_x").alias("_min"), F.max("_x").alias("_max")).where(F.col("_n") > 0)
     quartiles = quantile_columns(src, "_x", {"_q1": 0.25, "_q3": 0.75}, keys)
-    stats = stats.join(quartiles, keys) if keys else stats.crossJoin(F.broadcast(quartiles))
-    stats = cut_lineage(stats.withColumn("bw", bandwidth_nrd0(F.coalesce(F.col("_sd"), F.lit(0.0)), F.col("_q1"),
-                                                              F.col("_q3"), F.col("n"))))
-    w = (F.col("_max") - F.col("_min")) / bins
-    j = _join_stats(src, stats.select(*keys, "_min", "_max"), keys)
-    b = F.when(w == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("_x") - F.col("_min")) / w), F.lit(bins - 1)))
-    binned = (j.groupBy(*keys, b.cast("int").alias("_bin"), "_min", "_max").agg(F.count(F.lit(1)).alias("_c"))
-              .select(*keys, "_c", (F.col("_min") + (F.col("_bin") + 0.5) * w).alias("_centre")))
-    g = grid(stats, F.col("_min") - cut * F.col("bw"), F.col("_max") + cut * F.col("bw"), points)
-    g = g.select(*keys, "i", "x", "n", "bw")
-    pairs = g.join(binned, keys) if keys else g.crossJoin(binned)
-    z = (F.col("x") - F.col("_centre")) / F.col("bw")
-    dens = F.sum(F.col("_c") * F.exp(-0.5 * z * z)) / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi))
-    return pairs.groupBy(*keys, "i", "x", "n", "bw").agg(dens.alias("density")).select(*keys, "i", "x", "density")
+    stats = on_keys(stats, cut_lineage(quartiles), keys)
+    stats = cut_lineage(stats.select(*keys, "_n", "_min", "_max", bandwidth_nrd0(
+        F.coalesce(F.col("_sd"), F.lit(0.0)), F.col("_q1"), F.col("_q3"), F.col("_n")).alias("bw")))
+    start = F.col("_min") - (cut + MARGIN) * F.col("bw")
+    step = (F.col("_max") - F.col("_min") + 2 * (cut + MARGIN) * F.col("bw")) / (bins - 1)
+    j = on_keys(src, stats, keys).withColumn("_pos", (F.col("_x") - start) / step) \
+        .withColumn("_bin", F.least(F.floor("_pos").cast("int"), F.lit(bins - 2)))
+    right = F.col("_pos") - F.col("_bin")
+    two = F.explode(F.array(F.struct(F.col("_bin").alias("b"), (1 - right).alias("w")),
+                            F.struct((F.col("_bin") + 1).alias("b"), right.alias("w")))).alias("_two")
+    group = [*keys, "_n", "_min", "_max", "bw"]
+    weights = j.select(*group, two).groupBy(*group, F.col("_two.b").alias("_b")).agg(F.sum("_two.w").alias("_w"))
+    packed = weights.groupBy(*group).agg(F.collect_list(F.struct("_b", "_w")).alias("_l")).select(
+        *group, F.col("_l._b").alias("_bins"), F.col("_l._w").alias("_weights"))
+    kept = StructType([f for f in packed.schema.fields if f.name in keys])
+    out = packed.mapInPandas(_convolved(points, bins, cut), StructType(
+        [*kept.fields, StructField("_xs", ArrayType(DoubleType())), StructField("_ys", ArrayType(DoubleType()))]))
+    ship_package(df.sparkSession)
+    return out.select(*keys, F.posexplode(F.arrays_zip("_xs", "_ys")).alias("i", "_p")).select(
+        *keys, "i", F.col("_p._xs").alias("x"), F.col("_p._ys").alias("density"))
 
 
 def normal_overlay(df: DataFrame, col: str, by: str | Sequence[str] | None = None, points: int = 100,

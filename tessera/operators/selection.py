@@ -23,7 +23,7 @@ CELLS, ACCURACY, FINISH = 512, 5000, 20_000
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def _on_keys(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+def on_keys(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``rows`` with the columns of their group; null keys are equal. ``groups`` is written, so counting it is cheap."""
     few = groups.count() <= MAX_BROADCAST_ROWS
     named = groups.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
@@ -50,7 +50,7 @@ def _bounds(rank: Column, i: int) -> list[Column]:
 def _counted(rows: DataFrame, groups: DataFrame, keys: Sequence[str], m: int) -> DataFrame:
     """``groups`` with the exact number of values below, on and between each of the ``m`` pairs of bounds."""
     x = F.col("_x")
-    joined = _on_keys(rows, groups, keys)
+    joined = on_keys(rows, groups, keys)
     aggs = [F.first(c).alias(c) for c in groups.columns if c not in keys]
     for i in range(m):
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
@@ -76,7 +76,7 @@ def _settled(rank: Column, i: int) -> list[Column]:
 
 def _inside(rows: DataFrame, open_: DataFrame, keys: Sequence[str]) -> DataFrame:
     x, lo, hi = F.col("_x"), F.col("_lo"), F.col("_hi")
-    joined = _on_keys(rows, open_, keys)
+    joined = on_keys(rows, open_, keys)
     return joined.where((lo.isNull() | (x > lo)) & (hi.isNull() | (x < hi)))
 
 
@@ -108,7 +108,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     while (left.agg(F.max("_size")).head()[0] or 0) > finish:
         inside = cut_lineage(inside.select(*own, "_frac", "_rank", "_x"))
         ranked = inside.groupBy(*own).agg(F.first("_frac").alias("_frac"), F.first("_rank").alias("_rank"))
-        groups = _on_keys(_cells(inside, own), cut_lineage(ranked), own)
+        groups = on_keys(_cells(inside, own), cut_lineage(ranked), own)
         groups = cut_lineage(groups.select("*", *_bounds(F.col("_rank"), 0)).drop("_cells"))
         found = _counted(inside.select(*own, "_x"), groups, own, 1).select(*own, "_frac", *_settled(F.col("_rank"), 0))
         done = done.unionByName(found.where(F.col("_value").isNotNull()).select(*own, "_frac", "_value"))

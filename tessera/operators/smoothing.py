@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.selection import _on_keys
+from tessera.operators.selection import on_keys
 from tessera.session import cut_lineage
 
 CELLS = 64
@@ -42,7 +42,7 @@ def _vertices(points: DataFrame, keys: Sequence[str], span: float, vertices: int
 def _narrowed(points: DataFrame, open_: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One round: the cell of distances that holds the ``_q``-th nearest row, as smallest and largest distance in it."""
     own = [*keys, "i"]
-    near = _on_keys(points.select(*keys, "_x", "_n"), open_, keys).withColumn("_d", F.abs(F.col("_x") - F.col("_v"))) \
+    near = on_keys(points.select(*keys, "_x", "_n"), open_, keys).withColumn("_d", F.abs(F.col("_x") - F.col("_v"))) \
         .where((F.col("_d") >= F.col("_lo")) & (F.col("_d") <= F.col("_hi")))
     width = (F.col("_hi") - F.col("_lo")) / CELLS
     cell = F.when(width <= 0, 0).otherwise(F.least(F.floor((F.col("_d") - F.col("_lo")) / width), F.lit(CELLS - 1))).cast("int")
@@ -104,7 +104,7 @@ def local_regression(df: DataFrame, x: str, y: str, by: Sequence[str] = (), span
 
 
 def _fitted(points: DataFrame, radii: DataFrame, keys: Sequence[str]) -> DataFrame:
-    near = _on_keys(points, cut_lineage(radii), keys).withColumn("_d", F.abs(F.col("_x") - F.col("_v"))) \
+    near = on_keys(points, cut_lineage(radii), keys).withColumn("_d", F.abs(F.col("_x") - F.col("_v"))) \
         .where(F.col("_d") <= F.col("_h"))
     u = F.when(F.col("_h") > 0, (F.col("_x") - F.col("_v")) / F.col("_h")).otherwise(F.lit(0.0))
     tricube = F.when(F.col("_d") < F.col("_h"), F.pow(1 - F.pow(F.col("_d") / F.col("_h"), F.lit(3.0)), F.lit(3.0))).otherwise(0.0)
@@ -136,7 +136,7 @@ def smoothed(rows: DataFrame, curve: DataFrame, x: str, by: Sequence[str] = (),
     keys = list(by)
     packed = curve.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
         F.col("i"), F.col("x").alias("v"), F.col("fitted").alias("f"), F.col("slope").alias("s")))).alias("_curve"))
-    out = _on_keys(rows, cut_lineage(packed), keys) if keys else rows.crossJoin(F.broadcast(packed))
+    out = on_keys(rows, cut_lineage(packed), keys) if keys else rows.crossJoin(F.broadcast(packed))
     at, last = F.col(x).cast("double"), F.size("_curve") - 1
     first, end = F.col("_curve")[0]["v"], F.element_at("_curve", -1)["v"]
     step = (end - first) / last
