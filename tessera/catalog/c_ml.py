@@ -79,6 +79,14 @@ def ml_logreg_fit_predict(spark, sf):
     return ml.predict(model, test, keep=[HRP.ID, HRP.LABEL])
 
 
+@register("ml_folds", """
+SELECT id, "left", CAST((row_number() OVER (ORDER BY "left" NULLS FIRST, md5(CAST(id AS VARCHAR)), id) - 1) % 30 AS INTEGER) AS fold
+FROM hr""")
+def ml_folds(spark, sf):
+    """The stratified fold of every row of the study table, as the cross validation deals them."""
+    return ml.stratified_folds(B.hr(spark, sf).select("id", "left"), "left", "id", 30)
+
+
 @register("ml_cross_val")
 def ml_cross_val(spark, sf):
     """30-fold F1 and weighted F1 of the baseline model on the training split."""

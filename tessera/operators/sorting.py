@@ -71,7 +71,7 @@ def _range_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], parti
 
 
 def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos",
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, as_type: str = "int") -> DataFrame:
     """1-based position of each row within its key, in ``order`` (a unique order).
 
     Equivalent to ``row_number() over (partition by keys order by order)``
@@ -88,7 +88,7 @@ def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], na
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select("_pid", *keys, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     return (s.withColumn("_local", local).join(offsets, ["_pid", *keys])
-            .withColumn(name, (F.col("_off") + F.col("_local")).cast("int")).drop("_pid", "_local", "_off"))
+            .withColumn(name, (F.col("_off") + F.col("_local")).cast(as_type)).drop("_pid", "_local", "_off"))
 
 
 def running_sum_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column | str,

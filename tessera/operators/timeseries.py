@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from tessera.session import ship_package
+from tessera.session import cut_lineage, ship_package
 
 KEY, T, V = "series_id", "t", "value"
 DEFAULT_BLOCK = 4096
@@ -226,44 +226,40 @@ def chi2_sf(q: float, dof: int) -> float:
 def pacf(series: DataFrame, max_lag: int | None = None) -> DataFrame:
     """Partial autocorrelations by Durbin-Levinson on the autocorrelations.
 
-    Without ``max_lag`` each series has the lags of ``lag_rule``. The recursion runs per series on its K autocorrelations only (one short
-    array per series), in ``applyInPandas``. Output ``(series_id, lag, pacf)``.
+    Without ``max_lag`` each series has the lags of ``lag_rule``. The recursion
+    is a fold over a series' short array of autocorrelations, in the JVM; its
+    plan has one size for any number of lags. A series with a missing
+    autocorrelation (constant, or null values) has no rows; after a lag that
+    predicts a series perfectly the rest is null. Output ``(series_id, lag, pacf)``.
     """
-    wide = acf_wide(series, _longest_lag(series) if max_lag is None else max_lag).withColumn(
-        "_lags", lag_rule(F.col("n")) if max_lag is None else F.lit(max_lag))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for sid, n, r, lags in zip(pdf[KEY], pdf["n"], pdf["acf"], pdf["_lags"]):
-            k_max = min(int(lags), int(n) - 1) if n else 0
-            if k_max < 1 or r is None or any(x is None or (isinstance(x, float) and math.isnan(x))
-                                             for x in list(r)[:k_max]):
-                continue
-            for lag, p in enumerate(durbin_levinson(np.asarray(list(r)[:k_max], dtype=float)), start=1):
-                out.append((sid, lag, float(p)))
-        return pd.DataFrame(out, columns=[KEY, "lag", "pacf"])
-
-    return wide.groupBy(KEY).applyInPandas(run, schema=f"{KEY} long, lag int, pacf double")
-
-
-def durbin_levinson(r) -> list[float]:
-    """Partial autocorrelations from autocorrelations ``r[0] = rho_1 ..``."""
-    k_max = len(r)
-    phi_prev: list[float] = []
-    out = []
-    v = 1.0
-    for k in range(1, k_max + 1):
-        if k == 1:
-            phi_kk = r[0]
-        else:
-            num = r[k - 1] - sum(phi_prev[j] * r[k - 2 - j] for j in range(k - 1))
-            phi_kk = num / v
-        phi = [phi_prev[j] - phi_kk * phi_prev[k - 2 - j] for j in range(k - 1)] + [phi_kk]
-        v = v * (1 - phi_kk * phi_kk)
-        out.append(phi_kk)
-        phi_prev = phi
-    return out
+    wide = acf_wide(series, _longest_lag(series) if max_lag is None else max_lag)
+    lags = lag_rule(F.col("n")) if max_lag is None else F.lit(max_lag)
+    short = wide.withColumn("_k", F.least(lags, F.col("n").cast("int") - 1)).where(F.col("_k") >= 1) \
+        .select(KEY, F.slice("acf", F.lit(1), F.col("_k")).alias("_r")) \
+        .where(~F.exists("_r", lambda r: r.isNull() | F.isnan(r)))
+    return short.select(KEY, F.posexplode(_durbin_levinson(F.col("_r"))).alias("_at", "pacf")) \
+        .select(KEY, (F.col("_at") + 1).alias("lag"), "pacf")
+
 
+def _durbin_levinson(r: Column) -> Column:
+    """Partial autocorrelations of the array ``r`` of autocorrelations at the lags 1, 2, ...
+
+    State: the coefficients of the last order, the share of the variance they
+    leave, and the results so far.
+    """
+    none = F.array().cast("array<double>")
+    start = F.struct(none.alias("phi"), F.lit(1.0).alias("v"), none.alias("out"))
+
+    def step(state: Column, rho: Column) -> Column:
+        phi = state["phi"]
+        before = F.reverse(F.slice(r, F.lit(1), F.size(phi)))
+        explained = F.aggregate(F.zip_with(phi, before, lambda a, b: a * b), F.lit(0.0), lambda acc, e: acc + e)
+        # an array of one value, so that the value is computed once
+        return F.transform(F.array(F.try_divide(rho - explained, state["v"])), lambda last: F.struct(
+            F.concat(F.zip_with(phi, F.reverse(phi), lambda a, b: a - last * b), F.array(last)).alias("phi"),
+            (state["v"] * (1 - last * last)).alias("v"), F.concat(state["out"], F.array(last)).alias("out")))[0]
+
+    return F.aggregate(r, start, step, lambda state: state["out"])
 
 
 # ------------------------------------------------------ normal quantile ----
@@ -290,14 +286,18 @@ def _horner_sql(coefs: Sequence[float], x: str) -> str:
 
 def probit(p: str) -> Column:
     """Standard normal quantile of the SQL expression ``p`` in (0, 1), one JVM-side expression."""
+    return F.expr(probit_sql(p))
+
+
+def probit_sql(p: str) -> str:
+    """Text of ``probit``."""
     q, r = f"(({p}) - 0.5D)", f"((({p}) - 0.5D) * (({p}) - 0.5D))"
     central = f"({_horner_sql(_PROBIT_A, r)} * {q} / ({_horner_sql(_PROBIT_B, r)} * {r} + 1.0D))"
     ql = f"sqrt(-2.0D * ln({p}))"
     low = f"({_horner_sql(_PROBIT_C, ql)} / ({_horner_sql(_PROBIT_D, ql)} * {ql} + 1.0D))"
     qu = f"sqrt(-2.0D * ln(1.0D - ({p})))"
     high = f"(-{_horner_sql(_PROBIT_C, qu)} / ({_horner_sql(_PROBIT_D, qu)} * {qu} + 1.0D))"
-    return F.expr(f"CASE WHEN ({p}) < {_P_LOW!r}D THEN {low} WHEN ({p}) > {1 - _P_LOW!r}D THEN {high} "
-                  f"ELSE {central} END")
+    return f"CASE WHEN ({p}) < {_P_LOW!r}D THEN {low} WHEN ({p}) > {1 - _P_LOW!r}D THEN {high} ELSE {central} END"
 
 
 def normal_sf(z: float) -> float:
@@ -328,54 +328,60 @@ def _poly(coefs: Sequence[float], x):
     return out
 
 
+def _shapiro_coefficients(sizes: DataFrame) -> DataFrame:
+    """``(n, _a1, _a2, _fac)`` for every sample size in ``sizes``: at most ``SHAPIRO_MAX_N - 2`` rows.
+
+    The normal scores come from a generated sequence, once per size: the sum
+    of their squares and the two largest give the two outer coefficients (by
+    polynomials) and the factor of the others.
+    """
+    scored = sizes.select("n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_i")) \
+        .withColumn("_m", probit("(_i - 0.375D) / (CAST(n AS DOUBLE) + 0.25D)"))
+    sums = scored.groupBy("n").agg(F.sum(F.col("_m") * F.col("_m")).alias("_summ2"),
+                                   F.max(F.when(F.col("_i") == F.col("n"), F.col("_m"))).alias("_mn"),
+                                   F.max(F.when(F.col("_i") == F.col("n") - 1, F.col("_m"))).alias("_mn1"))
+    rsn = 1 / F.sqrt(F.col("n").cast("double"))
+    # m_n = -m_1 by symmetry of the normal scores
+    a1 = _poly(_SW_C1, rsn) + F.col("_mn") / F.sqrt(F.col("_summ2"))
+    a2 = F.col("_mn1") / F.sqrt(F.col("_summ2")) + _poly(_SW_C2, rsn)
+    fac_big = F.sqrt((F.col("_summ2") - 2 * F.col("_mn") ** 2 - 2 * F.col("_mn1") ** 2) / (1 - 2 * a1 ** 2 - 2 * a2 ** 2))
+    fac_small = F.sqrt((F.col("_summ2") - 2 * F.col("_mn") ** 2) / (1 - 2 * a1 ** 2))
+    return sums.select("n", F.when(F.col("n") == 3, F.lit(math.sqrt(0.5))).otherwise(a1).alias("_a1"),
+                       F.when(F.col("n") > 5, a2).alias("_a2"),
+                       F.when(F.col("n") > 5, fac_big).otherwise(fac_small).alias("_fac"))
+
+
 def shapiro(series: DataFrame) -> DataFrame:
     """Shapiro-Wilk normality test, Royston's approximation as R's ``shapiro.test``.
 
     Defined for ``3 <= n <= 5000``; other series, and constant ones, get a
     row with null statistic and p-value. Because of that bound the per-series
     rank window never holds more than 5000 rows, and longer series are left
-    out by a join before any window. The coefficients ``a_i`` are Column expressions of the rank (normal scores by
-    ``probit``); W is one aggregate; its p-value is computed on the one
-    aggregated row per series. Output ``(series_id, n, statistic, p_value)``.
+    out by a join before any window. The coefficients depend on n and the rank
+    only, so they are computed once per size that occurs, from generated
+    scores; W is one aggregate over the ranked values and its p-value is
+    computed on the one aggregated row per series. Nulls have no rank. Output
+    ``(series_id, n, statistic, p_value)``.
     """
     from tessera.operators.joins import checked_broadcast
 
-    every = series_stats(series)
+    every = cut_lineage(series_stats(series))
     stats = every.where((F.col("n") >= 3) & (F.col("n") <= SHAPIRO_MAX_N))
-    keep = series.join(checked_broadcast(stats), KEY)
-    w = Window.partitionBy(KEY).orderBy(V, T)
-    ranked = keep.withColumn("_i", F.row_number().over(w))
-    n = F.col("n").cast("double")
-    ranked = ranked.withColumn("_m", probit("(_i - 0.375D) / (CAST(n AS DOUBLE) + 0.25D)"))
-    # sums over the normal scores, the two largest scores, per series
-    sums = ranked.groupBy(KEY).agg(F.sum(F.col("_m") * F.col("_m")).alias("_summ2"),
-                                   F.max(F.when(F.col("_i") == F.col("n"), F.col("_m"))).alias("_mn"),
-                                   F.max(F.when(F.col("_i") == F.col("n") - 1, F.col("_m"))).alias("_mn1"))
-    rsn = 1 / F.sqrt(n)
-    # the two largest scores are positive; their coefficients get the
-    # polynomial corrections (m_n = -m_1 by symmetry of the normal scores)
-    a1 = _poly(_SW_C1, rsn) + F.col("_mn") / F.sqrt(F.col("_summ2"))
-    a2 = F.col("_mn1") / F.sqrt(F.col("_summ2")) + _poly(_SW_C2, rsn)
-    fac_big = F.sqrt((F.col("_summ2") - 2 * F.col("_mn") ** 2 - 2 * F.col("_mn1") ** 2)
-                     / (1 - 2 * a1 ** 2 - 2 * a2 ** 2))
-    fac_small = F.sqrt((F.col("_summ2") - 2 * F.col("_mn") ** 2) / (1 - 2 * a1 ** 2))
-    coef = sums.join(stats, KEY).select(
-        KEY, "n", "mean",
-        F.when(F.col("n") == 3, F.lit(math.sqrt(0.5))).otherwise(a1).alias("_a1"),
-        F.when(F.col("n") > 5, a2).alias("_a2"),
-        F.when(F.col("n") > 5, fac_big).otherwise(fac_small).alias("_fac"))
-    j = ranked.select(KEY, T, V, "_i", "_m").join(coef, KEY)
+    keep = series.where(F.col(V).isNotNull()).join(checked_broadcast(stats), KEY)
+    ranked = keep.withColumn("_i", F.row_number().over(Window.partitionBy(KEY).orderBy(V, T))) \
+        .withColumn("_m", probit("(_i - 0.375D) / (CAST(n AS DOUBLE) + 0.25D)"))
+    j = ranked.join(F.broadcast(_shapiro_coefficients(stats.select("n").distinct())), "n")
     i, nn = F.col("_i"), F.col("n")
     # antisymmetric coefficients: a_{n+1-i} = -a_i; the outer one or two come from the polynomials
     pos = F.when(i == nn, F.col("_a1")).when((i == nn - 1) & (nn > 5), F.col("_a2"))
     neg = F.when(i == 1, -F.col("_a1")).when((i == 2) & (nn > 5), -F.col("_a2"))
     a = F.coalesce(pos, neg, F.when(nn == 3, F.lit(0.0)), F.col("_m") / F.col("_fac"))
-    w_stat = j.groupBy(KEY, "n").agg(
+    w_stat = j.groupBy(KEY).agg(
         F.try_divide(F.pow(F.sum(a * F.col(V)), 2), F.sum(F.pow(F.col(V) - F.col("mean"), 2))).alias("statistic"))
     # ``least`` skips nulls, so a missing statistic must stay missing
     w_stat = w_stat.withColumn("statistic", F.when(F.col("statistic").isNotNull(),
                                                    F.least(F.col("statistic"), F.lit(1.0))))
-    w_stat = every.select(KEY, "n").join(w_stat.drop("n"), KEY, "left")
+    w_stat = every.select(KEY, "n").join(w_stat, KEY, "left")
     return w_stat.withColumn("p_value", _shapiro_p_udf(F.col("statistic"), F.col("n")))
 
 
@@ -413,18 +419,29 @@ def _shapiro_p_udf(ws: pd.Series, ns: pd.Series) -> pd.Series:
 
 # ------------------------------------------------------- Dickey-Fuller ----
 
-# 5% critical values of the Dickey-Fuller tau statistic for a
-# regression with constant and no trend, by sample size (Fuller 1976).
-DF_TAU_C_5PCT = ((25, -3.00), (50, -2.93), (100, -2.89), (250, -2.88), (500, -2.87), (None, -2.86))
+# Response surface of the Dickey-Fuller tau statistic for a regression with constant and no trend
+# (MacKinnon 2010): asymptotic critical value and coefficients of 1/T, 1/T^2, 1/T^3, by level.
+TAU_SURFACE = {1: (-3.43035, -6.5393, -16.786, -79.433), 5: (-2.86154, -2.8903, -4.234, -40.040),
+               10: (-2.56677, -1.5384, -2.809, 0.0)}
+# Polynomials whose normal tail is the p-value of tau (MacKinnon 1994), below and above the switch point,
+# and the range they hold for.
+TAU_LOW, TAU_HIGH = (2.1659, 1.4412, 0.038269), (1.7339, 0.93202, -0.12745, -0.010368)
+TAU_SWITCH, TAU_MIN, TAU_MAX = -1.61, -18.83, 2.74
 
 
-def _df_critical(n: Column) -> Column:
-    expr = None
-    for size, cv in DF_TAU_C_5PCT:
-        if size is None:
-            return expr.otherwise(F.lit(cv))
-        expr = F.when(n <= size, F.lit(cv)) if expr is None else expr.when(n <= size, F.lit(cv))
-    return expr
+def tau_critical(rows: Column, percent: int = 5) -> Column:
+    """Critical value of the Dickey-Fuller statistic of a regression (constant, no trend) over ``rows`` rows."""
+    t = rows.cast("double")
+    return _poly(TAU_SURFACE[percent], 1.0 / t)
+
+
+def tau_p_value(tau: float | None) -> float | None:
+    """Approximate p-value of the Dickey-Fuller statistic (constant, no trend)."""
+    if tau is None or math.isnan(tau):
+        return None
+    if tau > TAU_MAX or tau < TAU_MIN:
+        return 1.0 if tau > TAU_MAX else 0.0
+    return normal_sf(-_poly(TAU_LOW if tau <= TAU_SWITCH else TAU_HIGH, tau))
 
 
 def _block_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -513,9 +530,10 @@ def _regression(p: int, sums: np.ndarray, head: np.ndarray, tail: np.ndarray) ->
 
 def _solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        yield pd.DataFrame({KEY: b[KEY], "n": b["n"], "lags": b["_p"], "statistic": pd.Series(
-            [_regression(int(p), *map(np.asarray, row)) for p, *row in zip(b["_p"], b["sums"], b["head"], b["tail"])], dtype="float64",
-            index=b.index)})
+        tau = [_regression(int(p), *map(np.asarray, row)) for p, *row in zip(b["_p"], b["sums"], b["head"], b["tail"])]
+        yield pd.DataFrame({KEY: b[KEY], "n": b["n"], "lags": b["_p"], "rows": [int(x[0]) for x in b["sums"]],
+                            "statistic": pd.Series(tau, dtype="float64", index=b.index),
+                            "p_value": pd.Series([tau_p_value(t) for t in tau], dtype="float64", index=b.index)})
 
 
 def adf(series: DataFrame, max_p: int | None = None, block: int = DEFAULT_BLOCK) -> DataFrame:
@@ -523,13 +541,14 @@ def adf(series: DataFrame, max_p: int | None = None, block: int = DEFAULT_BLOCK)
 
     Regression ``dy_t = a + g y_{t-1} + sum_{j<=p} b_j dy_{t-j}`` with
     ``p = floor((n-1)^(1/3))`` (capped at ``max_p`` if given); statistic ``g / se(g)``
-    against the 5% Dickey-Fuller critical value. The regression needs ``2p + 5``
+    against the 5% critical value of MacKinnon's response surface for the
+    regression's number of rows, with its approximate p-value. The regression needs ``2p + 5``
     sums per series, held as one array: numpy adds it up over blocks of
     positions, Spark adds the arrays place by place, so the plan has one size
     for any length and a hot series spreads over tasks by its blocks. Levels
     are taken from the series' mean, which leaves ``g`` as it is.
     Positions run from 1 without a gap. Output ``(series_id, n, lags,
-    statistic, critical_5pct, stationary)``; a series too short for its lags,
+    statistic, p_value, critical_5pct, stationary)``; a series too short for its lags,
     constant, or with a null value has a null statistic.
     """
     spark = series.sparkSession
@@ -551,9 +570,9 @@ def adf(series: DataFrame, max_p: int | None = None, block: int = DEFAULT_BLOCK)
     sums = places.groupBy(KEY).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda e: e["v"]).alias("sums"))
     ends = parts.groupBy(KEY).agg(F.max("head").alias("head"), F.max("tail").alias("tail"))
     out = sums.join(ends, KEY).join(stats.select(KEY, "n", "_p"), KEY).mapInPandas(
-        _solved, f"{KEY} long, n long, lags int, statistic double")
-    cv = _df_critical(F.col("n"))
-    return out.select(KEY, "n", "lags", "statistic", cv.alias("critical_5pct"),
+        _solved, f"{KEY} long, n long, lags int, rows long, statistic double, p_value double")
+    cv = F.when(F.col("rows") > 0, tau_critical(F.col("rows")))
+    return out.select(KEY, "n", "lags", "statistic", "p_value", cv.alias("critical_5pct"),
                       (F.col("statistic") < cv).alias("stationary"))
 
 
