@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import by_text_size, map_slices, release_memory, wide_rows, written
+from tessera.llm.shared import by_text_size, drop_tables, map_slices, release_memory, wide_rows, written
 from tessera.session import ship_package
 
 SAMPLE = 600
@@ -221,6 +221,7 @@ def identified(docs: DataFrame, min_score: float = MIN_SCORE, sample: int = SAMP
     held = docs.sparkSession.sparkContext.broadcast(model)
     @F.pandas_udf("lang_pred string, score double")
     def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        drop_tables()
         for out in _predict(held)(pd.DataFrame({"doc_id": 0, "text": t}) for t in texts):
             yield out[["lang_pred", "score"]]
         release_memory()

@@ -64,6 +64,24 @@ def release_memory() -> None:
         pass
 
 
+_TABLES: dict[tuple, object] = {}
+
+
+def process_table(key: tuple, build: Callable[[], object]) -> object:
+    """A table that tasks of one operator share in this process; it takes the place of any other operator's."""
+    if key not in _TABLES:
+        drop_tables()
+        _TABLES[key] = build()
+    return _TABLES[key]
+
+
+def drop_tables() -> None:
+    """Forget what earlier operators' tasks left in this process, before a task that has its own needs."""
+    if _TABLES:
+        _TABLES.clear()
+        release_memory()
+
+
 def wide_rows(spark: SparkSession) -> None:
     """Smaller Arrow batches in this session from now on, unless it has a number of its own."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -85,6 +103,7 @@ def map_slices(df: DataFrame, fn: Callable, schema: str, size: int = SLICE) -> D
                 yield batch.slice(at, rows).to_pandas()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables()
         try:
             for out in fn(frames(batches)):
                 yield pa.RecordBatch.from_pandas(out, schema=target, preserve_index=False)
