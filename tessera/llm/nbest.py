@@ -90,6 +90,13 @@ class Vocabulary:
         if len(np.unique(keys)) < none or len(np.unique(at)) < len(rest):
             raise ValueError("pieces collide in the hash tables")
         self.second[at] = rest
+        # marks hashes of what a piece begins with; a false mark only costs a look into the tables
+        self.begins = np.zeros(1 << 22, bool)
+        for p in self.prefixes:
+            h = np.uint64(0)
+            for c in p:
+                h = self.extend(h, np.uint64(ord(c)))
+            self.begins[h >> np.uint64(42)] = True
 
     @staticmethod
     def extend(h, code):
@@ -149,20 +156,32 @@ def _side_by_side(v: Vocabulary, units: list[str]) -> tuple[np.ndarray, np.ndarr
     codes = np.ascontiguousarray(np.array(units, f"<U{n}").view(np.uint32).reshape(len(units), n).T).astype(np.uint64)
     score = np.full((n, min(v.longest, n) + 1, len(units)), -np.inf)
     piece = np.zeros(score.shape, np.int32)
-    h = [np.zeros(len(units), np.uint64) for _ in range(n)]
+    # of every place the units in which a piece may begin and go on there, and the hash of what it has so far
+    live = [np.arange(len(units))] * n
+    h = [np.zeros(len(units), np.uint64)] * n
+    found = np.zeros(score.shape[:2], bool)
     for length in range(1, score.shape[1]):
         for i in range(n - length + 1):
-            h[i] = v.extend(h[i], codes[i + length - 1])
-            live = np.flatnonzero(size >= i + length)
-            at = v.find(h[i][live])
+            long = size[live[i]] >= i + length
+            row = live[i][long]
+            if not row.size:
+                live[i], h[i] = row, h[i][:0]
+                continue
+            key = v.extend(h[i][long], codes[i + length - 1, row])
+            at = v.find(key)
             hit = at >= 0
-            score[i, length, live[hit]] = v.scores[at[hit]]
-            piece[i, length, live[hit]] = v.ids[at[hit]]
+            found[i, length] = hit.any()
+            score[i, length, row[hit]] = v.scores[at[hit]]
+            piece[i, length, row[hit]] = v.ids[at[hit]]
+            on = v.begins[key >> np.uint64(42)]
+            live[i], h[i] = row[on], key[on]
     ahead = np.full((n + 1, len(units)), -np.inf)
     step = np.zeros((n + 1, len(units)), np.int64)
     ahead[0] = 0
     for j in range(1, n + 1):
         for length in range(1, min(j, score.shape[1] - 1) + 1):
+            if not found[j - length, length]:
+                continue
             got = ahead[j - length] + score[j - length, length]
             better = got > ahead[j]
             ahead[j][better] = got[better]
@@ -172,7 +191,7 @@ def _side_by_side(v: Vocabulary, units: list[str]) -> tuple[np.ndarray, np.ndarr
     after = np.full((n + 1, len(units)), -np.inf)
     after[size, every] = 0
     for i in range(n - 1, -1, -1):
-        for length in range(1, min(n - i, score.shape[1] - 1) + 1):
+        for length in np.flatnonzero(found[i]):
             np.maximum(after[i], score[i, length] + after[i + length], out=after[i])
     ids, used = np.zeros((n, len(units)), np.int32), np.zeros(len(units), np.int64)
     through = np.full(len(units), -np.inf)
@@ -185,7 +204,7 @@ def _side_by_side(v: Vocabulary, units: list[str]) -> tuple[np.ndarray, np.ndarr
         ids[n - 1 - used[go], go] = piece[at[go], length, go]
         used[go] += 1
     for i in range(n):
-        for length in range(1, min(n - i, score.shape[1] - 1) + 1):
+        for length in np.flatnonzero(found[i]):
             total = ahead[i] + score[i, length] + after[i + length]
             np.maximum(through, np.where(path[i, length], -np.inf, total), out=through)
     with np.errstate(invalid="ignore"):
@@ -238,7 +257,7 @@ class Segmenter:
         for t in texts:
             marked = (BLANK + t.replace(BLANK, LITERAL).replace(" ", BLANK)) if t else ""
             units = _UNIT.findall(marked)
-            for u in units:
+            for u in dict.fromkeys(units):
                 if u not in slot:
                     slot[u] = len(slot)
                     fresh.append(u)
@@ -252,7 +271,7 @@ class Segmenter:
             near = np.sort(np.argsort(self.gap[own], kind="stable")[:self.n - 1]) if len(own) >= self.n else np.arange(len(own))
             places = [(int(end[k] - n[k]), int(end[k])) for k in near]
             ways = [self._ways(units[k], ids[a:e]) for k, (a, e) in zip(near, places)]
-            scores, paths, same = [], [], self.decode(ids.tolist()) == text
+            total, scores, paths, same = float(self.score[own].sum()), [], [], self.decode(ids.tolist()) == text
             for loss, taken in self._combined(ways):
                 parts, at = [], 0
                 for (a, e), way, k in zip(places, ways, taken):
@@ -260,7 +279,7 @@ class Segmenter:
                         parts += [ids[at:a], way[k][1]]
                         at = e
                         same = same and way[k][2]
-                scores.append(float(self.score[own].sum()) - loss)
+                scores.append(total - loss)
                 paths.append(np.concatenate([*parts, ids[at:]]) if parts else ids)
             yield scores, paths, same
 
@@ -303,48 +322,44 @@ def _lists(sizes: list[int], values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(np.cumsum([0, *sizes], dtype=np.int32), values)
 
 
-def _segment(path: str, n: int, with_ids: bool):
+def _segment(path: str, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(vocabulary_of(path), n)
-        yield from _segmented(segmenter, batches, with_ids)
+        yield from _segmented(segmenter, batches)
         del segmenter
         release_memory()
     return run
 
 
-def _segmented(segmenter: Segmenter, batches: Iterator[pa.RecordBatch], with_ids: bool) -> Iterator[pa.RecordBatch]:
+def _segmented(segmenter: Segmenter, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in _slices(batch):
             found = list(segmenter.batch([t or "" for t in part.column("text").to_pylist()]))
-            paths = [p for _, ways, _ in found for p in ways]
-            ways = [len(w) for _, w, _ in found]
-            ids = (_lists(ways, _lists([len(p) for p in paths], pa.array(np.concatenate(paths).astype(np.int32))))
-                   if with_ids else pa.nulls(len(found), pa.list_(pa.list_(pa.int32()))))
+            paths = [p.astype("<i4", copy=False) for _, ways, _ in found for p in ways]
+            sizes = [len(p) for p in paths]
+            one = pa.StructArray.from_arrays(
+                [pa.array([x for scores, _, _ in found for x in scores], pa.float64()),
+                 _lists(sizes, pa.array(np.concatenate(paths))), pa.array(sizes, pa.int64()),
+                 pa.array([zlib.crc32(p) for p in paths], pa.int64())], ["score", "ids", "n_pieces", "ids_crc32"])
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), ids, _lists(ways, pa.array([len(p) for p in paths], pa.int64())),
-                 _lists(ways, pa.array([zlib.crc32(p.astype("<u4").tobytes()) for p in paths], pa.int64())),
-                 _lists(ways, pa.array([x for scores, _, _ in found for x in scores], pa.float64())),
-                 pa.array([exact for _, _, exact in found], pa.bool_())],
-                ["doc_id", "ids", "n_pieces", "ids_crc32", "scores", "exact"])
+                [part.column("doc_id"), _lists([len(w) for _, w, _ in found], one),
+                 pa.array([exact for _, _, exact in found], pa.bool_())], ["doc_id", "segmentations", "exact"])
 
 
-def segmented(docs: DataFrame, n: int = BEST, path: str | None = None, with_ids: bool = True) -> DataFrame:
+def segmented(docs: DataFrame, n: int = BEST, path: str | None = None) -> DataFrame:
     """One row per document: ``doc_id``, ``segmentations`` and ``exact``: decoding the ids of each gives the text.
 
     ``segmentations`` are the up to ``n`` best, best first, as ``(score, ids,
-    n_pieces, ids_crc32)``; ``with_ids=False`` leaves out their ids. Of equal
-    scores any may come first. A null text counts as empty; an empty text has
-    one segmentation without pieces and of score 0. Equal texts have equal
-    results. Only ``doc_id`` and ``text`` are read; an empty table gives no
-    rows. ``path`` names the vocabulary file, which every executor must have.
+    n_pieces, ids_crc32)``. Of equal scores any may come first. A null text
+    counts as empty; an empty text has one segmentation without pieces and of
+    score 0. Equal texts have equal results. Only ``doc_id`` and ``text`` are
+    read; an empty table gives no rows. ``path`` names the vocabulary file, which every executor must have.
     """
     ship_package(docs.sparkSession)
     wide_rows(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _segment(path or default_model(), n, with_ids),
-        "doc_id long, ids array<array<int>>, n_pieces array<long>, ids_crc32 array<long>, scores array<double>, exact boolean")
-    names = ["score", *(["ids"] if with_ids else []), "n_pieces", "ids_crc32"]
-    return rows.withColumnRenamed("scores", "score").select("doc_id", F.arrays_zip(*names).alias("segmentations"), "exact")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        _segment(path or default_model(), n),
+        "doc_id long, segmentations array<struct<score:double,ids:array<int>,n_pieces:long,ids_crc32:long>>, exact boolean")
 
 
 def best_segmentations(text: str, n: int = BEST, path: str | None = None) -> list[tuple[float, tuple[int, ...]]]:

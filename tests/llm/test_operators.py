@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import (decontaminate, htmltext, langid, licenses, nbest, neardup, quality, repair, transcripts, warc)
+from tessera.llm import (decontaminate, htmltext, langid, licenses, nbest, neardup, quality, queries, repair, transcripts, warc)
 from tests.conftest import SF_SMALL
 
 DOCS = "doc_id long, text string, lang string, containment double, node string, hash long, n_words int"
@@ -210,6 +210,18 @@ def test_segmented_round_trip(spark, odd):
     assert nbest.segmented(odd.limit(0)).count() == 0
 
 
+def test_op3_returns_the_ids_of_every_segmentation(spark):
+    """The query's own rows, not only digests of them: each alternative spells the text."""
+    vocabulary = nbest.Vocabulary(nbest.default_model())
+    texts = {r.doc_id: r.text or "" for r in table(spark, "documents").collect()}
+    rows = queries.QUERIES["op3_sentencepiece_nbest"](spark, SF_SMALL).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts) and max(len(r.segmentations) for r in rows) == nbest.BEST
+    for r in rows:
+        for s in r.segmentations:
+            assert b"".join(vocabulary.raw[i] for i in s.ids)[1:].decode() == texts[r.doc_id]
+            assert (s.n_pieces, s.ids_crc32) == (len(s.ids), zlib.crc32(np.array(s.ids, "<u4").tobytes()))
+
+
 # 4 -----------------------------------------------------------------------------------------------
 
 def _warc_by_hand(rows):
