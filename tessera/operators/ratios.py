@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import percent, safe_corr
+from tessera.session import cut_lineage
 
 
 def _round(c: Column, digits: int | None, rounding: str) -> Column:
@@ -36,8 +37,8 @@ def share_by(df: DataFrame, keys: str | Sequence[str], *, where: Column | None =
     whole table), ``'counted'`` by the sum of the group counts.
 
     ``total='aggregate'`` computes the total as a one-row aggregate of the
-    group counts, joined back by broadcast; both branches share the shuffled
-    counts. ``total='window'`` sums them with one window over all groups, in
+    group counts, joined back by broadcast; the counts are written first, or
+    the total, which needs fewer columns, would count the whole table again. ``total='window'`` sums them with one window over all groups, in
     one task: only for few groups.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -53,6 +54,7 @@ def share_by(df: DataFrame, keys: str | Sequence[str], *, where: Column | None =
     if total == "window":
         with_total = g.withColumn("_total", F.sum(total_src).over(Window.partitionBy()))
     else:
+        g = cut_lineage(g)
         with_total = g.crossJoin(F.broadcast(g.agg(F.sum(total_src).alias("_total"))))
     return (with_total.where(F.col("_rows") > 0)
             .select(*keys, name, _round(percent(name, "_total"), digits, rounding).alias(pct_name)))

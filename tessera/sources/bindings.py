@@ -32,32 +32,35 @@ def _t(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None)
 def delays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flights: ``Origin, Dest, Region, DayOfWeek, Distance, ArrDelay, DepDelay`` and five causes.
 
-    Snowflake lookups are joined to their small dimensions first, so the fact
-    table meets each dimension once. Nation and region have 25 and 5 rows by
-    the TPC-H definition; their broadcast is left to the planner's size
-    estimate (``broadcast='auto'``), which costs no extra job.
+    The tables that grow with the flights (part, orders and their customers)
+    are joined by sort and merge at any size, so shuffled bytes follow the
+    rows: lineitem is dealt twice, by part and by order, and carries keys and
+    nation numbers instead of names. Suppliers are broadcast behind a size
+    check. Nation and region have 25 and 5 rows by the TPC-H definition; they
+    come last, and their broadcast is left to the planner's size estimate
+    (``broadcast='auto'``), which costs no extra job.
     """
     nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = (_t(spark, sf_dir, "region").where(F.col("r_name") != EXCLUDED_REGION)
               .select("r_regionkey", "r_name"))
-    nation_region = lookup_join(nation, region, F.col("n_regionkey") == F.col("r_regionkey"), broadcast="auto")
-    cust_geo = lookup_join(_t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
-                           nation_region, F.col("c_nationkey") == F.col("n_nationkey"), how="inner",
-                           broadcast="auto") \
-        .select("c_custkey", F.col("n_name").alias("Origin"), F.col("r_name").alias("Region"))
-    supp_geo = lookup_join(_t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
-                           nation, F.col("s_nationkey") == F.col("n_nationkey"), how="inner", broadcast="auto") \
-        .select("s_suppkey", F.col("n_name").alias("Dest"))
-    li = _t(spark, sf_dir, "lineitem").select(
+    origin = lookup_join(nation, region, F.col("n_regionkey") == F.col("r_regionkey"), broadcast="auto") \
+        .select(F.col("n_nationkey").alias("_origin"), F.col("n_name").alias("Origin"), F.col("r_name").alias("Region"))
+    dest = nation.select(F.col("n_nationkey").alias("_dest"), F.col("n_name").alias("Dest"))
+    # lineitem and orders are dealt by their keys in the joins: spreading them would only add a shuffle
+    li = _t(spark, sf_dir, "lineitem", spread=False).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_discount", "l_tax", "l_returnflag", "l_shipdate")
-    # orders is the build side of the join with lineitem: spreading it would only add a shuffle
-    orders = _t(spark, sf_dir, "orders", spread=False).select("o_orderkey", "o_custkey", "o_orderdate")
+        "l_discount", "l_tax", "l_returnflag", F.col("l_shipdate").cast("date").alias("l_shipdate"))
+    orders = _t(spark, sf_dir, "orders", spread=False).select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     part = _t(spark, sf_dir, "part").select("p_partkey", "p_size")
-    x = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-         .join(supp_geo, F.col("l_suppkey") == F.col("s_suppkey"))
-         .join(cust_geo, F.col("o_custkey") == F.col("c_custkey")))
+    supplier = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    ordered = lookup_join(orders, customer, F.col("o_custkey") == F.col("c_custkey"), how="inner", broadcast="never")
+    x = lookup_join(li, supplier, F.col("l_suppkey") == F.col("s_suppkey"), how="inner")
+    x = lookup_join(x, part, F.col("l_partkey") == F.col("p_partkey"), how="inner", broadcast="never")
+    x = lookup_join(x, ordered, F.col("l_orderkey") == F.col("o_orderkey"), how="inner", broadcast="never")
+    x = lookup_join(x, dest, F.col("s_nationkey") == F.col("_dest"), how="inner", broadcast="auto")
+    x = lookup_join(x, origin, F.col("c_nationkey") == F.col("_origin"), how="inner", broadcast="auto")
     arr = f"CAST(datediff(l_shipdate, o_orderdate) % {ARR_MODULUS} AS INT)"
     late = f"{arr} >= 15"
     qty = "CAST(l_quantity AS INT)"
