@@ -1,8 +1,10 @@
 """Work that must not grow faster than the tables: passes over the input and shuffles of the large side."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.operators import ratios
+from tessera.plans import flights as FL
 from tessera.sources import bindings as B
 from tests.conftest import SF_SMALL
 
@@ -24,3 +26,16 @@ def test_share_counts_the_table_once(spark):
     assert "Range" not in plan_of(out)
     want = {k: sum(1 for i in range(1000) if i % 7 == k and i % 3) for k in range(7)}
     assert {r.k: (r.n, r.ratio) for r in out.collect()} == {k: (n, round(n / 10 + 1e-9, 1)) for k, n in want.items()}
+
+
+def test_distance_summary_reads_the_flights_once(spark):
+    flights = spark.range(500).select((F.col("id") % 90 * 50).cast("int").alias("Distance"),
+                                      F.when(F.col("id") % 5 != 0, (F.col("id") % 40).cast("int")).alias("ArrDelay"))
+    out = FL.distance_summary(flights, digits=6)
+    assert "Range" not in plan_of(out)
+    rows = [(i % 90 * 50, i % 40 if i % 5 else None) for i in range(500)]
+    got = {(r.subset, r.stat): r.value for r in out.collect()}
+    for subset, values in (("all", [d for d, _ in rows]), ("delayed", [d for d, a in rows if a is not None and a >= 15])):
+        assert got[subset, "count"] == len(values)
+        for stat, p in (("25%", 25), ("50%", 50), ("75%", 75)):
+            assert got[subset, stat] == round(float(np.percentile(values, p)), 6)
