@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tessera.catalog.fixture_sql import r_up
 from tessera.catalog.registry import register
 from tessera.operators import timeseries as TS
+from tessera.session import stored
 from tessera.sources import bindings as B
 
 LAGS = 20
@@ -76,8 +77,9 @@ def ts_pacf(spark, sf):
 @register("ts_ndiffs_adf")
 def ts_ndiffs_adf(spark, sf):
     """Differences needed by the ADF test for the stationary and the random-walk series."""
-    a = TS.ndiffs(B.series(spark, sf)).withColumn("kind", F.lit("noise"))
-    b = TS.ndiffs(B.series_walk(spark, sf)).withColumn("kind", F.lit("walk"))
+    noise = stored(B.series(spark, sf))  # positions are numbered once: each test and the walk read them
+    a = TS.ndiffs(noise).withColumn("kind", F.lit("noise"))
+    b = TS.ndiffs(stored(B.walk_of(noise))).withColumn("kind", F.lit("walk"))
     return a.unionByName(b)
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from tessera.session import cut_lineage, ship_package
+from tessera.session import cut_lineage, ship_package, stored
 
 KEY, T, V = "series_id", "t", "value"
 DEFAULT_BLOCK = 4096
@@ -148,7 +148,11 @@ def acf(series: DataFrame, max_lag: int | None = None, block: int = DEFAULT_BLOC
     """
     if max_lag is None:
         return acf(series, _longest_lag(series), block).where(F.col("lag") <= lag_rule(F.col("n")))
-    s = autocovariance_sums(series, max_lag, block)
+    return _acf_rows(autocovariance_sums(series, max_lag, block), max_lag)
+
+
+def _acf_rows(s: DataFrame, max_lag: int) -> DataFrame:
+    """Autocorrelations from the sums of ``autocovariance_sums``."""
     rows = F.explode(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"s_{k}").alias("s"))
                                for k in range(1, max_lag + 1)])).alias("r")
     return (s.select(KEY, "n", "s_0", rows).where(F.col("r.lag") < F.col("n"))
@@ -157,7 +161,10 @@ def acf(series: DataFrame, max_lag: int | None = None, block: int = DEFAULT_BLOC
 
 def acf_wide(series: DataFrame, max_lag: int) -> DataFrame:
     """``(series_id, n, acf array[1..max_lag])`` for per-series follow-up work."""
-    s = autocovariance_sums(series, max_lag)
+    return _acf_arrays(autocovariance_sums(series, max_lag), max_lag)
+
+
+def _acf_arrays(s: DataFrame, max_lag: int) -> DataFrame:
     return s.select(KEY, "n", F.array(*[F.try_divide(F.col(f"s_{k}"), F.col("s_0"))
                                         for k in range(1, max_lag + 1)]).alias("acf"))
 
@@ -183,7 +190,11 @@ def ljung_box(series: DataFrame, lag: int = 20, fitdf: int = 0) -> DataFrame:
     ``Q = n(n+2) sum_k r_k^2 / (n-k)``, chi-square with ``lag - fitdf`` degrees
     of freedom. Output ``(series_id, n, statistic, df, p_value)``.
     """
-    s = autocovariance_sums(series, lag)
+    return _ljung_box_rows(autocovariance_sums(series, lag), lag, fitdf)
+
+
+def _ljung_box_rows(s: DataFrame, lag: int, fitdf: int = 0) -> DataFrame:
+    """The test from the sums of ``autocovariance_sums``, which may hold more lags."""
     terms = " + ".join(f"power(try_divide(s_{k}, s_0), 2) / (n - {k})" for k in range(1, lag + 1))
     q = F.expr(f"n * (n + 2) * ({terms})")
     dof = lag - fitdf
@@ -232,7 +243,11 @@ def pacf(series: DataFrame, max_lag: int | None = None) -> DataFrame:
     autocorrelation (constant, or null values) has no rows; after a lag that
     predicts a series perfectly the rest is null. Output ``(series_id, lag, pacf)``.
     """
-    wide = acf_wide(series, _longest_lag(series) if max_lag is None else max_lag)
+    return _pacf_rows(acf_wide(series, _longest_lag(series) if max_lag is None else max_lag), max_lag)
+
+
+def _pacf_rows(wide: DataFrame, max_lag: int | None = None) -> DataFrame:
+    """Partial autocorrelations from the arrays of ``acf_wide``."""
     lags = lag_rule(F.col("n")) if max_lag is None else F.lit(max_lag)
     short = wide.withColumn("_k", F.least(lags, F.col("n").cast("int") - 1)).where(F.col("_k") >= 1) \
         .select(KEY, F.slice("acf", F.lit(1), F.col("_k")).alias("_r")) \
@@ -444,53 +459,83 @@ def tau_p_value(tau: float | None) -> float | None:
     return normal_sf(-_poly(TAU_LOW if tau <= TAU_SWITCH else TAU_HIGH, tau))
 
 
-def _block_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of the Dickey-Fuller regression over blocks of positions, added up per series within the task.
+def _block_products(orders: int):
+    """Sums of the Dickey-Fuller regressions of a series and its first ``orders - 1`` differences over blocks of
+    positions, added up per series within the task.
 
     Rows come sorted by series, block and position; a block starts with the
-    ``p + 1`` positions before it. ``sums`` is one array: regression rows,
-    levels, squared levels, then for ``j = 0..p`` the products of the
-    difference with the one ``j`` earlier, and those of the level with it.
+    positions before it that its regressions reach back to. ``sums`` is one
+    array: regression rows, levels, squared levels, then for ``j = 0..p`` the
+    products of the difference with the one ``j`` earlier, and those of the
+    level with it. ``lo`` and ``hi`` are the smallest and largest value that
+    isn't null (NaN is the largest).
     """
-    total: dict[int, list] = {}
-    held: list[pd.DataFrame] = []
-    now = None
-
-    def add() -> None:
-        g = pd.concat(held) if len(held) > 1 else held[0]
-        series, p, last = int(g[KEY].iloc[0]), int(g["_p"].iloc[0]), int(g["_last"].iloc[0])
-        t, y = g[T].to_numpy(np.int64), g[V].to_numpy(float)
-        entry = total.setdefault(series, [np.zeros(2 * p + 5), None, None])
-        if t[0] == 1:
-            entry[1] = y[:p + 1]
-        if t[-1] == last:
-            entry[2] = y[-(p + 1):]
-        own = t[~g["_halo"].to_numpy(bool)]
-        a, b = int(max(own[0], p + 2) - t[0]), len(t)
+    def add(entry: list, d: int, y: np.ndarray, none: np.ndarray, t0: int, own: int, last: int, p: int, centre: float) -> None:
+        w, end = np.diff(y, d) if d else y, t0 + len(y) - 1
+        if t0 == 1:
+            entry[1] = w[:p + 1]
+        if end == last:
+            entry[2] = w[-(p + 1):]
+        mine = w[max(own - d - t0, 0):]
+        if none.any():
+            mine = mine[~np.convolve(none, np.ones(d + 1, int), "valid").astype(bool)[-len(mine):]] if len(mine) else mine
+        if len(mine):
+            lo, hi = np.fmin.reduce(mine), np.maximum.reduce(mine)
+            entry[3], entry[4] = (lo, hi) if entry[3] is None else (np.fmin(entry[3], lo), np.maximum(entry[4], hi))
+        a, b = max(own, p + 2 + d) - d - t0, len(w)
         if a < b:
-            x, level = np.diff(y)[a - 1 - p:], y[a - 1:b - 1]
+            x, level = np.diff(w)[a - 1 - p:], w[a - 1:b - 1] - centre
             entry[0] += np.concatenate([[b - a, level.sum(), level @ level],
                                         np.correlate(x, x[p:], "valid")[::-1], np.correlate(x, level, "valid")[::-1]])
 
-    for batch in batches:
-        ids, blocks = batch[KEY].to_numpy(), batch["_blk"].to_numpy()
-        cut = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (blocks[1:] != blocks[:-1])))
-        for s, e in zip(cut, [*cut[1:], len(batch)]):
-            if (ids[s], blocks[s]) != now and held:
-                add()
-                held = []
-                if ids[s] != now[0]:  # sorted by series: this one is complete here
-                    yield _sums_frame(total)
-                    total.clear()
-            now = (ids[s], blocks[s])
-            held.append(batch.iloc[s:e])
-    if held:
-        add()
-        yield _sums_frame(total)
-
-
-def _sums_frame(total: dict[int, list]) -> pd.DataFrame:
-    return pd.DataFrame([(k, *v) for k, v in total.items()], columns=[KEY, "sums", "head", "tail"])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done: list[tuple] = []
+        total: list[list] = []
+        held: list[tuple] = []
+        now = n = ps = centres = last = None
+
+        def close() -> None:
+            t, y, none = (np.concatenate(c) for c in zip(*held)) if len(held) > 1 else held[0]
+            own = int(now[1]) * now[2] + 1
+            for d in range(orders):
+                add(total[d], d, y, none, int(t[0]), own, last, ps[d], centres[d])
+
+        def finish() -> None:
+            done.extend((now[0], d, n, ps[d], *total[d]) for d in range(orders))
+
+        for batch in batches:
+            ids, blocks, t = batch[KEY].to_numpy(), batch["_blk"].to_numpy(), batch[T].to_numpy(np.int64)
+            y, none = batch[V].to_numpy(float), batch["_none"].to_numpy(bool)
+            cut = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (blocks[1:] != blocks[:-1]))) if len(batch) else []
+            firsts = batch.iloc[cut]
+            facts = zip(firsts["_n"].tolist(), firsts["_last"].tolist(), firsts["_width"].tolist(),
+                        zip(*[firsts[f"_p{d}"].tolist() for d in range(orders)]),
+                        zip(*[firsts[f"_c{d}"].tolist() for d in range(orders)]))
+            for s, e, (count, end, width, lags, means) in zip(cut, [*cut[1:], len(batch)], facts):
+                if now is None or (ids[s], blocks[s]) != now[:2]:
+                    if held:
+                        close()
+                        held = []
+                    if now is None or ids[s] != now[0]:  # sorted by series: the one before is complete here
+                        if now is not None:
+                            finish()
+                            if len(done) >= 5000:
+                                yield _sums_frame(done)
+                                done = []
+                        total = [[np.zeros(2 * p + 5), None, None, None, None] for p in lags]
+                    now, n, ps, centres, last = (ids[s], blocks[s], width), count, lags, means, end
+                held.append((t[s:e], y[s:e], none[s:e]))
+        if held:
+            close()
+            finish()
+        if done:
+            yield _sums_frame(done)
+
+    return run
+
+
+def _sums_frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[KEY, "d", "n", "p", "sums", "head", "tail", "lo", "hi"])
 
 
 def _regression(p: int, sums: np.ndarray, head: np.ndarray, tail: np.ndarray) -> float | None:
@@ -529,11 +574,76 @@ def _regression(p: int, sums: np.ndarray, head: np.ndarray, tail: np.ndarray) ->
 
 
 def _solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Statistics from the sums of the tasks, which come sorted by series and order."""
+    now = None
+
+    def row() -> tuple:
+        (series, d), n, p, sums, head, tail, lo, hi = now
+        tau = _regression(p, sums, head, tail) if head is not None and tail is not None else None
+        same = None if lo is None else bool(lo == hi or (math.isnan(lo) and math.isnan(hi)))
+        return series, d, n, p, int(sums[0]), tau, tau_p_value(tau), same
+
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=[KEY, "d", "n", "lags", "rows", "statistic", "p_value", "same"]).astype(
+            {"statistic": "float64", "p_value": "float64", "same": "object"})
+
     for b in batches:
-        tau = [_regression(int(p), *map(np.asarray, row)) for p, *row in zip(b["_p"], b["sums"], b["head"], b["tail"])]
-        yield pd.DataFrame({KEY: b[KEY], "n": b["n"], "lags": b["_p"], "rows": [int(x[0]) for x in b["sums"]],
-                            "statistic": pd.Series(tau, dtype="float64", index=b.index),
-                            "p_value": pd.Series([tau_p_value(t) for t in tau], dtype="float64", index=b.index)})
+        out = []
+        for series, d, n, p, sums, head, tail, empty, lo, hi in zip(
+                *(b[c].tolist() for c in (KEY, "d", "n", "p", "sums", "head", "tail", "_empty", "lo", "hi"))):
+            lo, hi = (None, None) if empty else (lo, hi)
+            if now is None or now[0] != (series, d):
+                if now is not None:
+                    out.append(row())
+                now = [(series, d), n, p, np.array(sums), head, tail, lo, hi]
+                continue
+            now[3] = now[3] + sums
+            now[4], now[5] = (head if now[4] is None else now[4]), (tail if now[5] is None else now[5])
+            if not empty:
+                now[6], now[7] = (lo, hi) if now[6] is None else (np.fmin(now[6], lo), np.maximum(now[7], hi))
+        if out:
+            yield frame(out)
+    if now is not None:
+        yield frame([row()])
+
+
+def _unit_root_tests(series: DataFrame, orders: int, max_p: int | None, block: int) -> DataFrame:
+    """Dickey-Fuller tests of every series (``d`` = 0) and its first ``orders - 1`` differences from one reading of it:
+    ``(series_id, d, n, lags, rows, statistic, p_value, same)``; ``same``: all values are equal (null: there is none)."""
+    at = F.struct(F.col(T).alias("t"), F.col(V).alias("v"))
+    even = F.col(T) % 2 == 0
+    stats = series.groupBy(KEY).agg(
+        F.count(V).alias("_n"), F.avg(V).alias("_c0"), F.max(T).alias("_last"), F.max(F.when(even, at)).alias("_even"),
+        F.max(F.when(~even, at)).alias("_odd"), F.max(F.when(F.col(T) == 1, F.col(V))).alias("_y1"),
+        F.max(F.when(F.col(T) == 2, F.col(V))).alias("_y2")).where("_n > 0")
+    for d in range(orders):
+        rule = F.floor(F.pow(F.greatest(F.col("_n") - 1 - d, F.lit(0)), 1.0 / 3))
+        stats = stats.withColumn(f"_p{d}", (rule if max_p is None else F.least(rule, F.lit(max_p))).cast("int"))
+    # means of the first and second differences follow from the ends; higher ones are about 0
+    flip = F.col("_last") % 2 == 0
+    end, before = F.when(flip, F.col("_even.v")).otherwise(F.col("_odd.v")), F.when(flip, F.col("_odd.v")).otherwise(F.col("_even.v"))
+    means = {1: F.try_divide(end - F.col("_y1"), F.col("_last") - 1),
+             2: F.try_divide(end - before - F.col("_y2") + F.col("_y1"), F.col("_last") - 2)}
+    for d in range(1, orders):
+        stats = stats.withColumn(f"_c{d}", F.coalesce(means.get(d, F.lit(0.0)), F.lit(0.0)))
+    facts = ["_n", "_last", *[f"_p{d}" for d in range(orders)], *[f"_c{d}" for d in range(orders)]]
+    reach = F.col("_p0") + orders  # positions before a block that its regressions need
+    blk = F.floor((F.col(T) - 1) / block)
+    in_tail = ((F.col(T) - 1) % block >= block - reach) & ((blk + 1) * block < F.col("_last"))
+    placed = (series.join(stats.select(KEY, *facts), KEY).select(
+        KEY, T, F.col(V).cast("double").alias(V), F.col(V).isNull().alias("_none"), *facts, F.lit(block).alias("_width"),
+        F.explode(F.array_compact(F.array(
+            F.struct(F.assert_true(reach < block, "more lags than a block has positions").isNull().alias("_ok"), blk.alias("_blk")),
+            F.when(in_tail, F.struct(F.lit(True).alias("_ok"), (blk + 1).alias("_blk")))))).alias("_b"))
+        .where("_b._ok").select(KEY, T, V, "_none", *facts, "_width", "_b._blk"))
+    ship_package(series.sparkSession)
+    parts = placed.repartition(KEY, "_blk").sortWithinPartitions(KEY, "_blk", T).mapInPandas(
+        _block_products(orders), f"{KEY} long, d int, n long, p int, sums array<double>, head array<double>, "
+        "tail array<double>, lo double, hi double")
+    # pandas has one mark for null and NaN
+    return parts.withColumn("_empty", F.col("lo").isNull() & F.col("hi").isNull()).repartition(KEY) \
+        .sortWithinPartitions(KEY, "d").mapInPandas(
+            _solved, f"{KEY} long, d int, n long, lags int, rows long, statistic double, p_value double, same boolean")
 
 
 def adf(series: DataFrame, max_p: int | None = None, block: int = DEFAULT_BLOCK) -> DataFrame:
@@ -544,33 +654,14 @@ def adf(series: DataFrame, max_p: int | None = None, block: int = DEFAULT_BLOCK)
     against the 5% critical value of MacKinnon's response surface for the
     regression's number of rows, with its approximate p-value. The regression needs ``2p + 5``
     sums per series, held as one array: numpy adds it up over blocks of
-    positions, Spark adds the arrays place by place, so the plan has one size
+    positions, one array per task is left to add up, so the plan has one size
     for any length and a hot series spreads over tasks by its blocks. Levels
     are taken from the series' mean, which leaves ``g`` as it is.
     Positions run from 1 without a gap. Output ``(series_id, n, lags,
     statistic, p_value, critical_5pct, stationary)``; a series too short for its lags,
     constant, or with a null value has a null statistic.
     """
-    spark = series.sparkSession
-    rule = F.floor(F.pow(F.col("n") - 1, 1.0 / 3))
-    stats = (series.groupBy(KEY).agg(F.count(V).alias("n"), F.avg(V).alias("mean"), F.max(T).alias("_last"))
-             .withColumn("_p", (rule if max_p is None else F.least(rule, F.lit(max_p))).cast("int")).where("n > 0"))
-    blk = F.floor((F.col(T) - 1) / block)
-    in_tail = ((F.col(T) - 1) % block >= block - F.col("_p") - 1) & ((blk + 1) * block < F.col("_last"))
-    placed = (series.join(stats, KEY).select(
-        KEY, T, (F.col(V) - F.col("mean")).alias(V), "_last", "_p", F.explode(F.array_compact(F.array(
-            F.struct(F.assert_true(F.col("_p") + 1 < block, "more lags than a block has positions").isNull().alias("_ok"),
-                     blk.alias("_blk"), F.lit(False).alias("_halo")),
-            F.when(in_tail, F.struct(F.lit(True).alias("_ok"), (blk + 1).alias("_blk"), F.lit(True).alias("_halo")))))).alias("_b"))
-        .where("_b._ok").select(KEY, T, V, "_last", "_p", "_b._blk", "_b._halo"))
-    ship_package(spark)
-    parts = placed.repartition(KEY, "_blk").sortWithinPartitions(KEY, "_blk", T).mapInPandas(
-        _block_products, f"{KEY} long, sums array<double>, head array<double>, tail array<double>")
-    places = parts.select(KEY, F.posexplode("sums")).groupBy(KEY, "pos").agg(F.sum("col").alias("v"))
-    sums = places.groupBy(KEY).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda e: e["v"]).alias("sums"))
-    ends = parts.groupBy(KEY).agg(F.max("head").alias("head"), F.max("tail").alias("tail"))
-    out = sums.join(ends, KEY).join(stats.select(KEY, "n", "_p"), KEY).mapInPandas(
-        _solved, f"{KEY} long, n long, lags int, rows long, statistic double, p_value double")
+    out = _unit_root_tests(series, 1, max_p, block)
     cv = F.when(F.col("rows") > 0, tau_critical(F.col("rows")))
     return out.select(KEY, "n", "lags", "statistic", "p_value", cv.alias("critical_5pct"),
                       (F.col("statistic") < cv).alias("stationary"))
@@ -579,27 +670,19 @@ def adf(series: DataFrame, max_p: int | None = None, block: int = DEFAULT_BLOCK)
 def ndiffs(series: DataFrame, max_d: int = 2, max_p: int | None = None) -> DataFrame:
     """Number of differences needed for stationarity by the ADF test.
 
-    The series and its first ``max_d`` differences are tested in the same
-    job; ``d`` is the first order whose test rejects a unit root, else
+    The series and its first ``max_d`` differences are tested in one reading
+    of the series; ``d`` is the first order whose test rejects a unit root, else
     ``max_d``. A constant series needs no further difference; a series too
     short for a test gets null. Output ``(series_id, ndiffs)``.
     """
-    current = series
-    tests = []
-    for d in range(max_d + 1):
-        same = current.groupBy(KEY).agg((F.min(V) == F.max(V)).alias("_same"))
-        tests.append(same.join(adf(current, max_p), KEY, "left").select(
-            KEY, F.when(F.col("_same"), True).otherwise(F.col("stationary")).alias(f"_s{d}")))
-        if d < max_d:
-            current = difference(current)
-    j = tests[0]
-    for t in tests[1:]:
-        j = j.join(t, KEY, "left")
-    expr = None
+    out = _unit_root_tests(series, max_d + 1, max_p, DEFAULT_BLOCK)
+    stationary = F.col("statistic") < F.when(F.col("rows") > 0, tau_critical(F.col("rows")))
+    test = F.when(F.col("same"), True).otherwise(stationary)
+    wide = out.groupBy(KEY).agg(*[F.max(F.when(F.col("d") == d, test)).alias(f"_s{d}") for d in range(max_d + 1)])
+    j = series.groupBy(KEY).agg((F.min(V) == F.max(V)).alias("_same")).join(wide, KEY, "left")
+    expr = F.when(F.col("_same"), F.lit(0))
     for d in range(max_d + 1):
-        test = F.col(f"_s{d}")
-        missing = F.lit(None).cast("int")
-        expr = (F.when(test.isNull(), missing) if expr is None else expr.when(test.isNull(), missing)).when(test, F.lit(d))
+        expr = expr.when(F.col(f"_s{d}").isNull(), F.lit(None).cast("int")).when(F.col(f"_s{d}"), F.lit(d))
     return j.select(KEY, expr.otherwise(F.lit(max_d)).alias("ndiffs"))
 
 
@@ -615,7 +698,12 @@ def diagnose(series: DataFrame, lag: int = 20, max_d: int = 2) -> DataFrame:
     the number of differences). Only Ljung-Box and Shapiro have a p-value.
     """
     parts = []
-    z = difference(series)
+    # every test reads the series, its differences, and the lag sums of each: they are written once
+    series = cut_lineage(series.select(KEY, T, V))
+    z = stored(difference(series))
+    longest = max(_longest_lag(series), lag)
+    sums = {name: stored(autocovariance_sums(s, longest))
+            for name, s in (("y", series), ("y2", squared(series)), ("z", z), ("z2", squared(z)))}
 
     def plain(rows: DataFrame, name: str, test: Column, value: str) -> DataFrame:
         return rows.select(KEY, F.lit(name).alias("transform"), test.alias("test"), F.col(value).alias("statistic"),
@@ -625,11 +713,13 @@ def diagnose(series: DataFrame, lag: int = 20, max_d: int = 2) -> DataFrame:
         wide = moments(s).select(KEY, F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).alias("v"))
                                                           for m in which])).alias("r")).select(KEY, "r.m", "r.v")
         parts.append(plain(wide, name, F.col("m"), "v"))
-    for name, s in (("y", series), ("y2", squared(series)), ("z", z)):
-        for kind, rows in (("acf", acf(s)), ("pacf", pacf(s))):
+    for name in ("y", "y2", "z"):
+        s = sums[name]
+        for kind, rows in (("acf", _acf_rows(s, longest).where(F.col("lag") <= lag_rule(F.col("n")))),
+                           ("pacf", _pacf_rows(_acf_arrays(s, longest)))):
             parts.append(plain(rows, name, F.concat(F.lit(f"{kind}_"), F.col("lag")), kind))
-    for name, s in (("y", series), ("y2", squared(series)), ("z", z), ("z2", squared(z))):
-        lb = ljung_box(s, lag)
+    for name in ("y", "y2", "z", "z2"):
+        lb = _ljung_box_rows(sums[name], lag)
         parts.append(lb.select(KEY, F.lit(name).alias("transform"), F.lit("ljung_box").alias("test"),
                                "statistic", "p_value"))
     for name, s in (("y", series), ("z", z)):

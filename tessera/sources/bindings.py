@@ -186,7 +186,11 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def series_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Non-stationary companion: running sum of ``value - 49.6`` within each series."""
-    s = series(spark, sf_dir)
+    return walk_of(series(spark, sf_dir))
+
+
+def walk_of(s: DataFrame) -> DataFrame:
+    """Running sum of ``value - 49.6`` within each series of ``s``."""
     w = running_sum_within(s, ["series_id"], ["t"], F.col("value") - SERIES_DRIFT, name="walk")
     return w.select("series_id", "t", F.col("walk").alias("value"))
 

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.operators import ratios
+from tessera.operators import timeseries as TS
 from tessera.plans import flights as FL
 from tessera.sources import bindings as B
 from tests.conftest import SF_SMALL
@@ -39,3 +40,24 @@ def test_distance_summary_reads_the_flights_once(spark):
         assert got[subset, "count"] == len(values)
         for stat, p in (("25%", 25), ("50%", 50), ("75%", 75)):
             assert got[subset, stat] == round(float(np.percentile(values, p)), 6)
+
+
+def test_ndiffs_reads_the_series_a_fixed_number_of_times(spark):
+    """All orders of difference come from one reading, with the results of the tests one by one; a null has no result."""
+    rng = np.random.default_rng(4)
+    ys = {1: rng.normal(size=90), 2: np.cumsum(rng.normal(size=200)), 3: np.cumsum(np.cumsum(rng.normal(size=150))),
+          4: np.arange(40.0), 5: np.full(30, 2.5), 6: rng.normal(size=4), 7: np.arange(60.0) ** 2, 8: rng.normal(size=50)}
+    rows = [(k, t, None if (k, t) == (8, 20) else float(v)) for k, y in ys.items() for t, v in enumerate(y, 1)]
+    df = spark.createDataFrame(rows, "series_id long, t long, value double").repartition(3)
+    got = {r.series_id: r.ndiffs for r in TS.ndiffs(df).collect()}
+    want, orders, current = {}, [], df
+    for _ in range(3):
+        same = {r.series_id for r in current.groupBy("series_id").agg(F.min("value").alias("a"), F.max("value").alias("b")).where("a = b").collect()}
+        orders.append({r.series_id: r.series_id in same or r.stationary for r in TS.adf(current).collect()})
+        current = TS.difference(current)
+    for k in ys:
+        tests = [o.get(k) for o in orders]
+        want[k] = next((d if t else None for d, t in enumerate(tests) if t or t is None), 2)
+    assert got == want and want[4] == 1 and want[5] == 0 and want[7] == 2 and want[8] is None
+    many = spark.range(1, 100).select(F.lit(1).cast("long").alias("series_id"), F.col("id").alias("t"), F.rand(1).alias("value"))
+    assert plan_of(TS.ndiffs(many)).count("Range") <= 3
