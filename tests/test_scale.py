@@ -61,3 +61,11 @@ def test_ndiffs_reads_the_series_a_fixed_number_of_times(spark):
     assert got == want and want[4] == 1 and want[5] == 0 and want[7] == 2 and want[8] is None
     many = spark.range(1, 100).select(F.lit(1).cast("long").alias("series_id"), F.col("id").alias("t"), F.rand(1).alias("value"))
     assert plan_of(TS.ndiffs(many)).count("Range") <= 3
+
+
+def test_battery_computes_its_input_once(spark):
+    many = spark.range(1, 80).select(F.lit(1).cast("long").alias("series_id"), F.col("id").alias("t"),
+                                     (F.col("id") * 7 % 31).cast("double").alias("value"))
+    out = TS.diagnose(many)
+    assert "Range" not in plan_of(out)
+    assert plan_of(out).count("lag(") == 0  # lag sums are written, not taken again by each test
