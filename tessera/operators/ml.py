@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.features import hash_bucket
 from tessera.operators.sorting import position_within
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, stored
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str, C: float = 1.0,
@@ -163,58 +163,96 @@ def fit_logistic_folds(data: DataFrame, features: Sequence[str], label: str, fol
     """Coefficients of all fold models at once: model ``k`` is fitted on the rows whose
     fold is not ``k``, with the same objective as ``fit_logistic``.
 
-    Newton's method, one pass over the data per iteration for all folds: each
-    task computes, for its rows, every fold model's gradient and Hessian
-    contributions with numpy (``mapInPandas``); Spark sums them by position;
-    the driver solves ``folds`` small systems of size ``features + 1`` and
-    sends the new coefficients with the next pass. ``init`` (one coefficient
-    vector) starts every model there, e.g. at the fit on all training rows,
-    which the fold models are close to. Returns an array
-    ``(folds, 1 + features)``, intercept first.
+    Newton's method from one starting point for all models: ``init`` (one
+    coefficient vector), else the fit on all rows, which the fold models are
+    close to. There all models have the same weights, so each row adds to one
+    Hessian, of all rows, and to that of its own fold; a model's Hessian is
+    their difference. Further passes take every model's exact gradient and
+    keep its Hessian while steps shrink at least tenfold; otherwise all
+    Hessians are taken anew before the next step. Each task adds up its rows with numpy
+    (``mapInPandas``), Spark sums by position, the driver solves ``folds``
+    small systems of size ``features + 1`` and sends the new coefficients
+    with the next pass. Returns an array ``(folds, 1 + features)``, intercept
+    first.
     """
     feats = list(features)
-    dim = len(feats) + 1
-    w = np.zeros((folds, dim)) if init is None else np.tile(np.asarray(init, dtype=float), (folds, 1))
+    if init is None and folds > 1:
+        init = _newton(data.withColumn(fold, F.lit(-1)), feats, label, fold, 1, C, max_iter, tol, np.zeros((1, len(feats) + 1)))[0]
+    start = np.zeros(len(feats) + 1) if init is None else np.asarray(init, dtype=float)
+    return _newton(data, feats, label, fold, folds, C, max_iter, tol, np.tile(start, (folds, 1)))
+
+
+SLOWEST = 0.1  # a step above this share of the one before: the Hessians are taken anew
+
+
+def _newton(data: DataFrame, feats: list[str], label: str, fold: str, folds: int, C: float, max_iter: int,
+            tol: float, w: np.ndarray) -> np.ndarray:
+    dim = w.shape[1]
     reg = np.eye(dim)
     reg[0, 0] = 0.0
-    size = folds * dim + folds * dim * dim
-
-    for _ in range(max_iter):
-        coef = w.copy()
-
-        def partial(batches, coef=coef):
-            g = np.zeros((folds, dim))
-            h = np.zeros((folds, dim, dim))
-            seen = False
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                seen = True
-                x = np.hstack([np.ones((len(pdf), 1)), pdf[feats].to_numpy(dtype=float)])
-                y = pdf[label].to_numpy(dtype=float)
-                f = pdf[fold].to_numpy()
-                p = 1.0 / (1.0 + np.exp(-(x @ coef.T)))
-                train = f[:, None] != np.arange(folds)[None, :]
-                g += ((p - y[:, None]) * train).T @ x
-                wt = p * (1 - p) * train
-                for k in range(folds):
-                    h[k] += (x * wt[:, k:k + 1]).T @ x
-            if seen:
-                yield pd.DataFrame({"v": [np.concatenate([g.ravel(), h.ravel()]).tolist()]})
-
-        parts = data.select(*feats, label, fold).mapInPandas(partial, "v array<double>")
-        # one vector aggregate with map-side combine: the driver receives one vector
-        total = parts.agg(Summarizer.sum(array_to_vector("v")).alias("s")).first()["s"]
-        vec = total.toArray() if total is not None else np.zeros(size)
-        g = C * vec[:folds * dim].reshape(folds, dim) + w @ reg
-        h = C * vec[folds * dim:].reshape(folds, dim, dim) + reg
+    h, last, anew = None, np.inf, True
+    for _ in range(max_iter if folds == 1 else 2 * max_iter):
+        shared = bool((w == w[0]).all())
+        total = _pass(data, feats, label, fold, w, "shared" if shared and anew else "own" if anew else None)
+        g = C * total[:folds * dim].reshape(folds, dim) + w @ reg
+        if anew:
+            sums = total[folds * dim:].reshape(-1, dim, dim)
+            h = C * (sums[0] - sums[1:] if shared else sums) + reg
         step = np.stack([np.linalg.solve(h[k], g[k]) for k in range(folds)])
+        size = np.max(np.abs(step))
+        if not anew and not size <= SLOWEST * last:  # the Hessians are of too far away: no step with them
+            anew = True
+            continue
         w = w - step
-        if np.max(np.abs(step)) < tol:
+        if size < tol:
             break
+        anew, last = folds == 1, size  # one model's Hessian costs little more than its gradient
     return w
 
 
+def _pass(data: DataFrame, feats: list[str], label: str, fold: str, coef: np.ndarray, hessians: str | None) -> np.ndarray:
+    """Gradients of all fold models at ``coef``, then Hessians: ``own``, one per model; ``shared`` (all models have the
+    same coefficients), that of all rows and those of each fold's own rows; none."""
+    folds, dim = coef.shape
+
+    def partial(batches):
+        g = np.zeros((folds, dim))
+        h = np.zeros(({"shared": folds + 1, "own": folds}.get(hessians, 0), dim, dim))
+        seen = False
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            seen = True
+            x = np.hstack([np.ones((len(pdf), 1)), pdf[feats].to_numpy(dtype=float)])
+            y = pdf[label].to_numpy(dtype=float)
+            f = pdf[fold].to_numpy()
+            if hessians == "shared":
+                p = 1.0 / (1.0 + np.exp(-(x @ coef[0])))
+                own = f[:, None] == np.arange(folds)[None, :]
+                rest = (p - y)[:, None] * x
+                g += rest.sum(axis=0) - own.T.astype(float) @ rest
+                scaled = x * (p * (1 - p))[:, None]
+                h[0] += scaled.T @ x
+                for k in np.flatnonzero(own.any(axis=0)):
+                    h[k + 1] += scaled[own[:, k]].T @ x[own[:, k]]
+                continue
+            p = 1.0 / (1.0 + np.exp(-(x @ coef.T)))
+            train = f[:, None] != np.arange(folds)[None, :]
+            g += ((p - y[:, None]) * train).T @ x
+            if hessians == "own":
+                wt = p * (1 - p) * train
+                for k in range(folds):
+                    h[k] += (x * wt[:, k:k + 1]).T @ x
+        if seen:
+            yield pd.DataFrame({"v": [np.concatenate([g.ravel(), h.ravel()]).tolist()]})
+
+    parts = data.select(*feats, label, fold).mapInPandas(partial, "v array<double>")
+    # one vector aggregate with map-side combine: the driver receives one vector
+    total = parts.agg(Summarizer.sum(array_to_vector("v")).alias("s")).first()["s"]
+    size = folds * dim + {"shared": folds + 1, "own": folds}.get(hessians, 0) * dim * dim
+    return total.toArray() if total is not None else np.zeros(size)
+
+
 def fit_logistic_newton(train: DataFrame, features: Sequence[str], label: str, C: float = 1.0) -> np.ndarray:
     """One model with the objective of ``fit_logistic``, by the Newton passes of
     ``fit_logistic_folds`` (every row is in the training set). Converges in a
@@ -258,10 +296,14 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, id_col: s
                      *[F.col(c).cast("double").alias(c) for c in feats])
     data = cut_lineage(stratified_folds(data, label, id_col, folds, "_fold"))
     w = fit_logistic_folds(data, feats, label, "_fold", folds, C, init=init)
-    margin = F.expr("CASE " + " ".join(f"WHEN _fold = {k} THEN {_margin_sql(w[k], feats)}" for k in range(folds))
-                    + " END")
-    pred = data.select(F.col("_fold").alias("fold"), F.col(label).cast("int").alias(label),
-                       F.when(margin > 0, 1).otherwise(0).alias("prediction"))
+    # each row meets its fold's coefficients; both scores read the predictions, written once
+    names = [f"_w{i}" for i in range(len(feats) + 1)]
+    coefs = df.sparkSession.createDataFrame([(k, *map(float, w[k])) for k in range(folds)],
+                                            "_fold int, " + ", ".join(f"{c} double" for c in names))
+    margin = F.expr(" + ".join(["_w0", *[f"{c} * `{x}`" for c, x in zip(names[1:], feats)]]))
+    pred = stored(data.join(F.broadcast(coefs), "_fold").select(
+        F.col("_fold").alias("fold"), F.col(label).cast("int").alias(label),
+        F.when(margin > 0, 1).otherwise(0).alias("prediction")))
     return f1_score(pred, label, "prediction", ["fold"]).join(f1_weighted(pred, label, "prediction", ["fold"]), "fold")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tessera.functions import columns as C
 from tessera.operators import features as FE
 from tessera.operators import profile
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, stored
 
 LABEL = "left"
 ID = "id"
@@ -118,27 +118,29 @@ def attrition_pipeline(hr: DataFrame, folds: int = 30) -> DataFrame:
       columns, fix skewness, scale, drop features below the importance
       threshold (if all are, the intercept alone is fitted), remove outlier rows.
     """
-    base = encoded(hr)
+    # tables that several steps read are written: each step's statistics would compute all steps before it again
+    base = stored(encoded(hr))
+    outliers = stored(FE.outlier_rows(base, list(NUMERIC[:5]), ID))
     out = [_evaluate("baseline", base, feature_columns(base), folds)]
 
-    a1 = FE.drop_rows(base, FE.outlier_rows(base, list(NUMERIC[:5]), ID), ID)
-    a1 = a1.drop(*[c for c in ATTEMPT1_DROP if c in a1.columns])
+    a1 = FE.drop_rows(base, outliers, ID)
+    a1 = stored(a1.drop(*[c for c in ATTEMPT1_DROP if c in a1.columns]))
     feats1 = feature_columns(a1)
     skewed1 = [r["column"] for r in FE.skewed(a1, feats1).collect()]
     a1 = FE.minmax(FE.fix_skewness(a1, skewed1), feats1)
     out.append(_evaluate("attempt1", a1, feats1, folds))
 
-    a2 = discretized(hr)
+    a2 = stored(discretized(hr))
     feats2 = feature_columns(a2)
     constant = FE.drop_constant(a2, feats2)
     a2 = a2.drop(*constant)
     feats2 = [c for c in feats2 if c not in constant]
     skewed2 = [r["column"] for r in FE.skewed(a2, feats2).collect()]
-    a2 = FE.minmax(FE.fix_skewness(a2, skewed2), feats2)
+    a2 = stored(FE.minmax(FE.fix_skewness(a2, skewed2), feats2))
     low = FE.below_threshold(FE.relieff(a2, feats2, LABEL, ID), IMPORTANCE_THRESHOLD)
     keep = [c for c in feats2 if c not in low]
     # by the numeric columns as in attempt 1: beyond the fences of a one-hot column lies each row of a rarer value
-    a2 = FE.drop_rows(a2.select(ID, LABEL, *keep), FE.outlier_rows(base, list(NUMERIC[:5]), ID), ID)
+    a2 = FE.drop_rows(a2.select(ID, LABEL, *keep), outliers, ID)
     out.append(_evaluate("attempt2", a2, keep, folds))
 
     res = out[0]
