@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import process_table, release_memory, wide_rows
+from tessera.llm.shared import Slots, packed, process_table, release_memory, wide_rows
 from tessera.session import ship_package
 
 BEST = 4
@@ -39,9 +39,15 @@ CACHE, KNOWN = 100_000, 20_000
 #: Units searched side by side, and bytes of text segmented at a time.
 SIDE_BY_SIDE, BATCH = 2048, 1 << 20
 BLANK = "▁"
-#: Stands for a literal U+2581 in a text; a lone surrogate can't occur in a text itself.
-LITERAL = "\ud800"
-_UNIT = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n|[^{BLANK}\n]+")
+#: Stands for a literal U+2581 in a text, and between units; lone surrogates can't occur in a text itself.
+LITERAL, BETWEEN = "\ud800", "\ud801"
+#: Units as they stand in a text, before blanks are marked: strings of one byte per character mostly.
+_UNIT = re.compile(" +[^ \n]*|\n|[^ \n]+")
+
+
+def marked(text: str) -> str:
+    """Blanks as pieces spell them."""
+    return text.replace(BLANK, LITERAL).replace(" ", BLANK)
 
 
 def default_model() -> str:
@@ -183,9 +189,8 @@ def _side_by_side(v: Vocabulary, units: list[str]) -> tuple[np.ndarray, np.ndarr
             if not found[j - length, length]:
                 continue
             got = ahead[j - length] + score[j - length, length]
-            better = got > ahead[j]
-            ahead[j][better] = got[better]
-            step[j][better] = length
+            np.copyto(step[j], length, where=got > ahead[j])
+            np.maximum(ahead[j], got, out=ahead[j])
     every = np.arange(len(units))
     best = ahead[size, every]
     after = np.full((n + 1, len(units)), -np.inf)
@@ -206,26 +211,30 @@ def _side_by_side(v: Vocabulary, units: list[str]) -> tuple[np.ndarray, np.ndarr
     for i in range(n):
         for length in np.flatnonzero(found[i]):
             total = ahead[i] + score[i, length] + after[i + length]
-            np.maximum(through, np.where(path[i, length], -np.inf, total), out=through)
+            np.copyto(total, -np.inf, where=path[i, length])
+            np.maximum(through, total, out=through)
     with np.errstate(invalid="ignore"):
         return best, best - through, ids.T, used
 
 
 class Segmenter:
-    """Segments batches of texts; results of distinct units are kept up to ``CACHE`` units."""
+    """Segments batches of texts; results of distinct units are kept up to ``CACHE`` units, then the half most used."""
 
     def __init__(self, vocabulary: Vocabulary, n: int = BEST):
         self.v, self.n = vocabulary, n
-        self.known = lru_cache(KNOWN)(lambda unit: best_paths(self.v, unit, n))
-        self._clear()
-
-    def _clear(self) -> None:
-        self.slot: dict[str, int] = {}
+        self.known = lru_cache(KNOWN)(lambda unit: best_paths(self.v, marked(unit), n))
+        self.slot = Slots()
         self.score, self.gap = np.empty(0), np.empty(0)
         self.count, self.start, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
 
+    def _trim(self) -> None:
+        stay = self.slot.trim(CACHE // 2)
+        self.score, self.gap = self.score[stay], self.gap[stay]
+        self.start, self.count, self.ids = packed(self.start[stay], self.count[stay], self.ids)
+
     def _learn(self, units: list[str]) -> None:
         """Adds units to the tables, in order."""
+        units = marked(BETWEEN.join(units)).split(BETWEEN)
         size = np.fromiter(map(len, units), np.int64, len(units))
         score, gap = np.full(len(units), -np.inf), np.empty(len(units))
         count, start, ids, total = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64), [self.ids], len(self.ids)
@@ -252,17 +261,12 @@ class Segmenter:
         """Scores and ids of up to ``n`` best segmentations of every text, best first, and whether all
         spell the text."""
         if len(self.slot) > CACHE:
-            self._clear()
-        slots, fresh, slot = [], [], self.slot
+            self._trim()
+        slots = []
         for t in texts:
-            marked = (BLANK + t.replace(BLANK, LITERAL).replace(" ", BLANK)) if t else ""
-            units = _UNIT.findall(marked)
-            for u in dict.fromkeys(units):
-                if u not in slot:
-                    slot[u] = len(slot)
-                    fresh.append(u)
-            slots.append((units, np.fromiter(map(slot.__getitem__, units), np.int64, len(units))))
-        if fresh:
+            units = _UNIT.findall(" " + t) if t else []
+            slots.append((units, self.slot.of(units)))
+        if fresh := self.slot.taken():
             self._learn(fresh)
         for (units, own), text in zip(slots, texts):
             n = self.count[own]
@@ -364,5 +368,4 @@ def segmented(docs: DataFrame, n: int = BEST, path: str | None = None) -> DataFr
 
 def best_segmentations(text: str, n: int = BEST, path: str | None = None) -> list[tuple[float, tuple[int, ...]]]:
     """The ``n`` best segmentations of one text over its whole lattice: (score, ids)."""
-    marked = (BLANK + text.replace(BLANK, LITERAL).replace(" ", BLANK)) if text else ""
-    return best_paths(Vocabulary(path or default_model()), marked, n)
+    return best_paths(Vocabulary(path or default_model()), marked(" " + text) if text else "", n)

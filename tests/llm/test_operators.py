@@ -222,6 +222,25 @@ def test_op3_returns_the_ids_of_every_segmentation(spark):
             assert (s.n_pieces, s.ids_crc32) == (len(s.ids), zlib.crc32(np.array(s.ids, "<u4").tobytes()))
 
 
+def test_units_in_use_are_searched_once_when_the_table_overflows(monkeypatch):
+    """Rare units make room for each other; the ones that every text holds stay."""
+    monkeypatch.setattr(nbest, "CACHE", 100)
+    learned = Counter()
+    learn = nbest.Segmenter._learn
+    monkeypatch.setattr(nbest.Segmenter, "_learn", lambda self, units: (learned.update(u.strip(f" {nbest.BLANK}") for u in units),
+                                                                        learn(self, units))[1])
+    vocabulary = nbest.Vocabulary(nbest.default_model())
+    common = "the cat and the dog of it"
+    texts = [f"{common} {' '.join(f'rare{k}x{j} ▁' for j in range(30))} {common}" for k in range(40)]
+    kept = nbest.Segmenter(vocabulary)
+    for text in texts:
+        (scores, paths, same), = kept.batch([text])
+        (fresh_scores, fresh_paths, _), = nbest.Segmenter(vocabulary).batch([text]) if text in texts[::13] else [(scores, paths, same)]
+        assert same and scores == fresh_scores and all(map(np.array_equal, paths, fresh_paths))
+        assert len(kept.slot) <= 200 and len(kept.score) == len(kept.count) == len(kept.slot)
+    assert all(learned[w] <= 1 + len(texts[::13]) for w in common.split())
+
+
 # 4 -----------------------------------------------------------------------------------------------
 
 def _warc_by_hand(rows):
