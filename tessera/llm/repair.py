@@ -23,6 +23,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import by_text_size, map_batches, scratch_dir
+from tessera.llm.shared import Slots, by_text_size, joined, map_batches, packed, scratch_dir
 from tessera.operators.joins import checked_broadcast
 
 SHARD_IDS = 1 << 18
@@ -38,7 +39,6 @@ SHARD_IDS = 1 << 18
 MIN_USES = 8
 #: Pairs that are replaced together occur at least this share as often as the most frequent one.
 ROUND_SHARE = 0.1
-BUCKET_BITS = 20
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 #: Words whose ids a process keeps: about 60 MB.
@@ -48,6 +48,9 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
 _PLAIN = re.compile(f"[\\n\\r\\t -~{LETTERS}«»¿¡–—‘’“”…]*")
 #: Fixed value: how byte-level BPE cuts a text before merging, for plain characters.
 _CUT = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
+#: Fixed value: the character by which byte-level BPE spells each byte, printable ones by themselves.
+_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+ALPHABET = "".join(chr(b if b in _OWN else 256 + sum(c not in _OWN for c in range(b))) for b in range(256))
 FILE = ("part int, block int, n_ids long, first_rule long, rules binary, lengths binary, symbols binary, "
         "doc_ids binary, is_null binary, doc_symbols binary")
 
@@ -56,7 +59,8 @@ class Coder:
     """Ids of whole texts by a tokenizers file.
 
     No merge crosses the cuts that byte-level BPE makes first, so each
-    distinct piece is encoded once and its ids are put together. Texts with
+    distinct piece goes through the file's merges once and its ids are put
+    together; beyond ``WORDS`` pieces the half most used stays. Texts with
     characters outside ``_PLAIN`` or with an added token's string, and all
     texts if the file isn't of that kind, are encoded as they are.
     """
@@ -66,6 +70,7 @@ class Coder:
         from tokenizers import Tokenizer
 
         self.coder = Tokenizer.from_file(path)
+        self.model = self.coder.model
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         cut, model = file["pre_tokenizer"] or {}, file["model"]
@@ -73,46 +78,31 @@ class Coder:
                          and not model.get("ignore_merges") and cut.get("type") == "ByteLevel"
                          and cut.get("use_regex", True) and not cut["add_prefix_space"])
         self.added = [t["content"] for t in file["added_tokens"]]
-        self._clear()
-
-    def _clear(self) -> None:
-        self.slot: dict[str, int] = {}
+        self.slot = Slots()
         self.start, self.count, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [code.ids for code in self.coder.encode_batch(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[str]) -> None:
-        ids = self._whole(pieces)
+        merged = self.model.tokenize
+        ids = [[token.id for token in merged(p.encode().decode("latin-1").translate(ALPHABET))] for p in pieces]
         count = np.fromiter(map(len, ids), np.int64, len(ids))
         self.start = np.append(self.start, len(self.ids) + np.cumsum(count) - count)
         self.count = np.append(self.count, count)
-        self.ids = np.append(self.ids, np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum())))
+        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum())))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.slot) > WORDS:
-            self._clear()
-        cut = [_CUT.findall(t) if self.by_piece and _PLAIN.fullmatch(t) and not any(a in t for a in self.added) else None
-               for t in texts]
-        fresh, slot = [], self.slot
-        for pieces in cut:
-            for p in pieces or ():
-                if p not in slot:
-                    slot[p] = len(slot)
-                    fresh.append(p)
-        if fresh:
+            stay = self.slot.trim(WORDS // 2)
+            self.start, self.count, self.ids = packed(self.start[stay], self.count[stay], self.ids)
+        cut = [self.slot.of(_CUT.findall(t)) if self.by_piece and _PLAIN.fullmatch(t) and not any(a in t for a in self.added)
+               else None for t in texts]
+        if fresh := self.slot.taken():
             self._learn(fresh)
-        whole = iter(self._whole([t for t, pieces in zip(texts, cut) if pieces is None]))
-        out = []
-        for pieces in cut:
-            if pieces is None:
-                out.append(np.array(next(whole), np.uint32))
-                continue
-            own = np.fromiter(map(slot.__getitem__, pieces), np.int64, len(pieces))
-            n = self.count[own]
-            end = np.cumsum(n)
-            out.append(self.ids[np.repeat(self.start[own] - (end - n), n) + np.arange(end[-1] if len(end) else 0)])
-        return out
+        whole = iter(self._whole([t for t, own in zip(texts, cut) if own is None]))
+        return [np.array(next(whole), np.uint32) if own is None else joined(self.start[own], self.count[own], self.ids)
+                for own in cut]
 
 
 @lru_cache(1)
@@ -121,36 +111,66 @@ def coder_of(path: str) -> Coder:
     return Coder(path)
 
 
-def _frequent(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _all_pairs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(pairs, every key's index in them, counts)``, pairs ascending."""
+    pairs, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+    return pairs, inverse, count
+
+
+def _frequent(s: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(places, their pair's index, pairs, counts)`` of all pairs that can reach ``ROUND_SHARE`` of the best one.
 
     Counts in hashed buckets bound the pairs' counts from above, so only the
-    places of well-filled buckets are sorted.
+    places of well-filled buckets are read again. There a bucket's pair is
+    counted as it stands; only other pairs that share its bucket are sorted.
     """
-    bucket = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-    held = np.bincount(bucket, minlength=1 << BUCKET_BITS)
-    best = np.unique(key[bucket == held.argmax()], return_counts=True)[1].max()
-    place = np.flatnonzero(held[bucket] >= max(MIN_USES, ROUND_SHARE * best))
-    pairs, inverse, count = np.unique(key[place], return_inverse=True, return_counts=True)
-    return place, inverse, pairs, count
-
-
-def _places(n: int, place: np.ndarray, pair_at: np.ndarray, n_pairs: int,
-            often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places to replace and their pair's index in ``often`` (ascending frequency): no two places overlap.
+    bits = min(max(len(s).bit_length() - 1, 10), 24)
+    bucket = s[:-1] * np.uint32(0x9E3779B1)
+    bucket ^= s[1:] * np.uint32(0x85EBCA77)
+    bucket *= np.uint32(0xC2B2AE3D)
+    bucket >>= np.uint32(32 - bits)
+    bucket = bucket.astype(np.int64)
+    bucket[ends[:-1]] = 1 << bits  # no pair reaches over the end of a document
+    held = np.bincount(bucket, minlength=(1 << bits) + 1)
+    held[-1] = 0
+    at = np.flatnonzero(bucket == held.argmax())
+    best = _all_pairs(_keys(s, at))[2].max()
+    enough = held >= max(MIN_USES, ROUND_SHARE * best)
+    place = np.flatnonzero(enough[bucket])
+    key, used = _keys(s, place), np.flatnonzero(enough)
+    number = np.zeros((1 << bits) + 1, np.int32)
+    number[used] = np.arange(len(used))
+    index = number[bucket[place]].astype(np.int64)
+    pairs = np.zeros(len(used), np.uint64)
+    pairs[index] = key  # one of each bucket
+    other = np.flatnonzero(pairs[index] != key)
+    more, inverse, count = _all_pairs(key[other])
+    index[other] = len(used) + inverse
+    pairs = np.append(pairs, more)
+    count = np.bincount(index, minlength=len(pairs))
+    order = np.argsort(pairs)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return place, rank[index], pairs[order], count[order]
+
+
+def _keys(s: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (s[place].astype(np.uint64) << np.uint64(32)) | s[place + 1]
+
+
+def _places(place: np.ndarray, grade: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places to replace and their pair's grade, of ascending places: no two overlap.
 
     The better pair wins where two overlap; in a run of one symbol every
     second place is taken.
     """
-    rank = np.zeros(n_pairs, np.int64)
-    rank[often] = np.arange(1, len(often) + 1)
-    grade = np.zeros(n + 1, np.int64)  # shifted by one, so that both ends have a neighbour of grade 0
-    grade[place + 1] = rank[pair_at]
-    mine, left, right = grade[1:-1], grade[:-2], grade[2:]
-    at = np.arange(n - 1)
-    in_run = at - np.maximum.accumulate(np.where(mine != left, at, 0))
-    take = np.flatnonzero((mine > 0) & (mine >= left) & (mine >= right) & (in_run % 2 == 0))
-    return take, mine[take] - 1
+    near = np.diff(place) == 1
+    left, right = np.zeros_like(grade), np.zeros_like(grade)
+    left[1:], right[:-1] = grade[:-1] * near, grade[1:] * near
+    at = np.arange(len(place))
+    in_run = at - np.maximum.accumulate(np.where(grade != left, at, 0))
+    take = np.flatnonzero((grade >= left) & (grade >= right) & (in_run % 2 == 0))
+    return place[take], grade[take]
 
 
 def compress(ids: np.ndarray, doc_sizes: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -160,29 +180,25 @@ def compress(ids: np.ndarray, doc_sizes: np.ndarray, first_rule: int) -> tuple[n
     frequent ones at once; where chosen pairs overlap the more frequent one
     wins (ties: the larger pair).
     """
-    s = ids.astype(np.uint64)
-    last = np.zeros(len(s), bool)
-    last[np.cumsum(doc_sizes) - 1] = True
+    s, ends = ids.astype(np.uint32), np.cumsum(doc_sizes) - 1
     rules, lengths = [np.empty((0, 2), np.uint32)], [np.empty(0, np.uint32)]
     made = 0
-    while len(s) > 1:
-        inside = np.flatnonzero(~last[:-1])
-        if not len(inside):
-            break
-        key = (s[inside] << np.uint64(32)) | s[inside + 1]
-        at, inverse, pairs, count = _frequent(key)
+    while len(s) > len(ends):
+        at, inverse, pairs, count = _frequent(s, ends)
         if not len(count) or count.max() < MIN_USES:
             break
         for least in (max(MIN_USES, ROUND_SHARE * count.max()), MIN_USES):
             if least < ROUND_SHARE * count.max():  # nothing could be replaced: all pairs count
-                at = np.arange(len(key))
-                pairs, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
-            place = inside[at]
+                at = np.delete(np.arange(len(s) - 1), ends[:-1])
+                pairs, inverse, count = _all_pairs(_keys(s, at))
             often = np.flatnonzero(count >= least)
             often = often[np.argsort(count[often], kind="stable")]
-            take, which = _places(len(s), place, inverse, len(count), often)
-            good = np.bincount(which, minlength=len(often)) >= MIN_USES
-            take, which = take[good[which]], which[good[which]]
+            rank = np.zeros(len(count), np.int64)
+            rank[often] = np.arange(1, len(often) + 1)
+            grade = rank[inverse]
+            take, which = _places(at[grade > 0], grade[grade > 0])
+            good = np.bincount(which - 1, minlength=len(often)) >= MIN_USES
+            take, which = take[good[which - 1]], which[good[which - 1]] - 1
             if len(take):
                 break
         if not len(take):
@@ -190,19 +206,15 @@ def compress(ids: np.ndarray, doc_sizes: np.ndarray, first_rule: int) -> tuple[n
         number = np.cumsum(good) - 1
         chosen = pairs[often][good]
         new = np.column_stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)]).astype(np.uint32)
-        known = np.concatenate(lengths)
-        size = lambda x: np.where(x < first_rule, 1, known[np.maximum(x.astype(np.int64) - first_rule, 0)]
-                                  if len(known) else 1)
-        lengths.append((size(new[:, 0]) + size(new[:, 1])).astype(np.uint32))
+        lengths.append((symbol_lengths(new[:, 0], np.concatenate(lengths), first_rule)
+                        + symbol_lengths(new[:, 1], np.concatenate(lengths), first_rule)).astype(np.uint32))
         rules.append(new)
-        s[take] = (first_rule + made + number[which]).astype(np.uint64)
-        last[take] = last[take + 1]
+        s[take] = (first_rule + made + number[which]).astype(np.uint32)
         stay = np.ones(len(s), bool)
         stay[take + 1] = False
-        s, last = s[stay], last[stay]
+        s, ends = s[stay], ends - np.searchsorted(take, ends)
         made += len(new)
-    ends = np.flatnonzero(last)
-    return np.concatenate(rules), np.concatenate(lengths), s.astype(np.uint32), np.diff(ends, prepend=-1)
+    return np.concatenate(rules), np.concatenate(lengths), s, np.diff(ends, prepend=-1)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:
@@ -228,6 +240,13 @@ def symbol_lengths(symbols: np.ndarray, lengths: np.ndarray, first_rule: int) ->
     return out
 
 
+def expand_shard(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, first_rule: int) -> np.ndarray:
+    """Ids of all symbols of a shard: every rule is opened once, then copied to where it stands."""
+    ids = np.append(np.arange(first_rule, dtype=np.uint32), expand(first_rule + np.arange(len(rules)), rules, first_rule))
+    size = np.append(np.ones(first_rule, np.int64), lengths)
+    return joined((np.cumsum(size) - size)[symbols], size[symbols], ids)
+
+
 def decode_range(row: dict, start: int, count: int) -> np.ndarray:
     """``count`` ids from id ``start`` of one shard row, opening only the symbols that cover them."""
     numbers = {k: np.frombuffer(row[k], "<u4") for k in ("rules", "lengths", "symbols")}
@@ -294,13 +313,13 @@ def _decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sizes = symbol_lengths(n["symbols"], n["lengths"], row["first_rule"])
             cut = np.concatenate([[0], np.cumsum(n["doc_symbols"].astype(np.int64))])
             ends = np.concatenate([[0], np.cumsum(sizes)])[cut]
-            ids = expand(n["symbols"], n["rules"].reshape(-1, 2), row["first_rule"]).astype("<u4")
+            ids = expand_shard(n["symbols"], n["rules"].reshape(-1, 2), n["lengths"], row["first_rule"]).astype("<u4", copy=False)
             doc_id = pd.array(keys, "Int64")
             doc_id[np.frombuffer(row["is_null"], np.uint8).astype(bool)] = pd.NA
             yield pd.DataFrame({
                 "doc_id": doc_id, "part": row["part"], "block": row["block"], "at": ends[:-1],
                 "n_tokens": np.diff(ends),
-                "ids_crc32": [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:])]})
+                "ids_crc32": [zlib.crc32(ids[a:b]) for a, b in zip(ends[:-1], ends[1:])]})
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -150,6 +150,32 @@ def test_repair_compresses_and_decodes_any_range():
         assert np.array_equal(repair.decode_range(row, a, n), ids[a:a + n])
 
 
+def test_pieces_in_use_are_encoded_once_when_the_table_overflows(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    monkeypatch.setattr(repair, "WORDS", 100)
+    learned, learn = Counter(), repair.Coder._learn
+    monkeypatch.setattr(repair.Coder, "_learn", lambda self, pieces: (learned.update(pieces), learn(self, pieces))[1])
+    plain, coder = Tokenizer.from_file(path), repair.Coder(path)
+    common = "the cat naïvely and «the» dog's tail\n"
+    for k in range(40):
+        text = f"{common}{' '.join(f'rare{chr(97 + k % 26)}{chr(97 + j)}{k}' for j in range(26))} {common}"
+        assert coder.encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert all(learned[w] == 1 for w in (" cat", " naïvely", " dog"))
+
+
+def test_shard_expands_by_rules_opened_once():
+    rng = np.random.default_rng(3)
+    for hi, n in ((1, 5000), (3, 900), (40, 20_000), (9, 1)):
+        ids = np.tile(rng.integers(0, hi, n), 3).astype(np.uint32)
+        sizes = np.array([n, 2 * n - 1, 1]) if n > 1 else np.array([3])
+        rules, lengths, symbols, doc_symbols = repair.compress(ids, sizes, 50)
+        assert np.array_equal(repair.expand_shard(symbols, rules, lengths, 50), ids)
+        assert np.array_equal(repair.expand(symbols, rules, 50), ids) and doc_symbols.sum() == len(symbols)
+
+
 # 3 -----------------------------------------------------------------------------------------------
 
 def _brute_force_best(vocabulary, unit):
