@@ -24,9 +24,11 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,11 +45,18 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 #: Words whose ids a process keeps: about 60 MB.
 WORDS = 300_000
+#: Characters of text that are cut into pieces at a time.
+BATCH = 1 << 20
+#: Pieces whose tokens stand in memory as objects at a time.
+PORTION = 1000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
 #: Characters whose class is beyond doubt; texts with others are encoded whole.
 _PLAIN = re.compile(f"[\\n\\r\\t -~{LETTERS}«»¿¡–—‘’“”…]*")
-#: Fixed value: how byte-level BPE cuts a text before merging, for plain characters.
-_CUT = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
+#: Kinds of characters in plain texts; a text's end is a null character.
+OTHER, LETTER, DIGIT, WHITE, END = range(5)
+_KIND = np.zeros(1 << 16, np.uint8)
+for _pattern, _kind in ((f"[{LETTERS}]", LETTER), ("[0-9]", DIGIT), (r"[ \t\n\r]", WHITE), ("\0", END)):
+    _KIND[[c for c in range(0x180) if re.fullmatch(_pattern, chr(c))]] = _kind
 #: Fixed value: the character by which byte-level BPE spells each byte, printable ones by themselves.
 _OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 ALPHABET = "".join(chr(b if b in _OWN else 256 + sum(c not in _OWN for c in range(b))) for b in range(256))
@@ -85,24 +94,66 @@ class Coder:
         return [code.ids for code in self.coder.encode_batch(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[str]) -> None:
-        merged = self.model.tokenize
-        ids = [[token.id for token in merged(p.encode().decode("latin-1").translate(ALPHABET))] for p in pieces]
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        spelt = "\0".join(pieces).encode().decode("latin-1").translate(ALPHABET).split(ALPHABET[0])
+        counts, ids, number = [], [self.ids], attrgetter("id")
+        for k in range(0, len(spelt), PORTION):
+            tokens = list(map(self.model.tokenize, spelt[k:k + PORTION]))
+            counts += map(len, tokens)
+            ids.append(np.fromiter(map(number, chain.from_iterable(tokens)), np.uint32))
+        count = np.array(counts, np.int64)
         self.start = np.append(self.start, len(self.ids) + np.cumsum(count) - count)
-        self.count = np.append(self.count, count)
-        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum())))
+        self.count, self.ids = np.append(self.count, count), np.concatenate(ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.slot) > WORDS:
             stay = self.slot.trim(WORDS // 2)
             self.start, self.count, self.ids = packed(self.start[stay], self.count[stay], self.ids)
-        cut = [self.slot.of(_CUT.findall(t)) if self.by_piece and _PLAIN.fullmatch(t) and not any(a in t for a in self.added)
-               else None for t in texts]
+        plain = [self.by_piece and bool(_PLAIN.fullmatch(t)) and not any(a in t for a in self.added) for t in texts]
+        whole = iter(self._whole([t for t, p in zip(texts, plain) if not p]))
+        pieces = iter(self._by_piece([t for t, p in zip(texts, plain) if p]))
+        return [next(pieces) if p else np.array(next(whole), np.uint32) for p in plain]
+
+    def _by_piece(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
+        raw = ("\0".join(texts) + "\0").encode("utf-16-le")
+        code = np.frombuffer(raw, "<u2")
+        at = np.flatnonzero(_starts(code))
+        ends = np.flatnonzero(code[at] == 0)
+        strings = pa.Array.from_buffers(pa.large_binary(), len(at), [
+            None, pa.py_buffer(2 * np.append(at, len(code))), pa.py_buffer(raw)]).dictionary_encode()
+        index, distinct = strings.indices.to_numpy(), strings.dictionary.to_numpy(zero_copy_only=False).tolist()
+        end = index[ends[0]]
+        index = np.delete(index, ends)
+        index -= index > end
+        del distinct[end]
+        slots = self.slot.of(distinct, np.bincount(index, minlength=len(distinct)))
         if fresh := self.slot.taken():
-            self._learn(fresh)
-        whole = iter(self._whole([t for t, own in zip(texts, cut) if own is None]))
-        return [np.array(next(whole), np.uint32) if own is None else joined(self.start[own], self.count[own], self.ids)
-                for own in cut]
+            self._learn(b"\0\0".join(fresh).decode("utf-16-le").split("\0"))
+        own = slots[index]
+        before = np.append(0, np.cumsum(self.count[own]))[ends - np.arange(len(ends))]
+        return np.split(joined(self.start[own], self.count[own], self.ids), before[:-1])
+
+
+def _starts(code: np.ndarray) -> np.ndarray:
+    """Where the pieces begin into which byte-level BPE cuts plain texts, each followed by a null character.
+
+    These are the matches of ``'(?:s|t|re|ve|m|ll|d)| ?letters| ?digits| ?others|\\s+(?!\\S)|\\s+``.
+    """
+    kind = _KIND[code]
+    start = kind == END
+    start[0] = True
+    start[1:] |= kind[1:] != kind[:-1]
+    last = np.flatnonzero((kind[:-1] == WHITE) & (kind[1:] < WHITE))  # of the white space before a word
+    start[last] = True
+    start[last[code[last] == ord(" ")] + 1] = False
+    signs = np.flatnonzero((code == ord("'")) & start)
+    for ending in ("s", "t", "re", "ve", "m", "ll", "d"):
+        at = signs
+        for k, c in enumerate(ending, 1):
+            at = at[code[at + k] == ord(c)]
+        start[at + 1], start[at + 1 + len(ending)] = False, True
+    return start
 
 
 @lru_cache(1)
@@ -133,12 +184,20 @@ def _frequent(s: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     bucket[ends[:-1]] = 1 << bits  # no pair reaches over the end of a document
     held = np.bincount(bucket, minlength=(1 << bits) + 1)
     held[-1] = 0
-    at = np.flatnonzero(bucket == held.argmax())
-    best = _all_pairs(_keys(s, at))[2].max()
-    enough = held >= max(MIN_USES, ROUND_SHARE * best)
-    place = np.flatnonzero(enough[bucket])
+    best = 0.8 * held.max()  # the best pair mostly has its bucket nearly for itself
+    found = _in_buckets(s, bucket, held, ROUND_SHARE * best)
+    if len(found[3]) and found[3].max() < best:
+        found = _in_buckets(s, bucket, held, ROUND_SHARE * found[3].max())
+    return found
+
+
+def _in_buckets(s: np.ndarray, bucket: np.ndarray, held: np.ndarray,
+                least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(places, their pair's index, pairs, counts)`` of the buckets that hold at least so many, and ``MIN_USES``."""
+    enough = held >= max(MIN_USES, least)
+    place = np.flatnonzero(enough.take(bucket, mode="clip"))  # all are inside; clipping only saves the check
     key, used = _keys(s, place), np.flatnonzero(enough)
-    number = np.zeros((1 << bits) + 1, np.int32)
+    number = np.zeros(len(held), np.int32)
     number[used] = np.arange(len(used))
     index = number[bucket[place]].astype(np.int64)
     pairs = np.zeros(len(used), np.uint64)
@@ -196,7 +255,8 @@ def compress(ids: np.ndarray, doc_sizes: np.ndarray, first_rule: int) -> tuple[n
             rank = np.zeros(len(count), np.int64)
             rank[often] = np.arange(1, len(often) + 1)
             grade = rank[inverse]
-            take, which = _places(at[grade > 0], grade[grade > 0])
+            hit = np.flatnonzero(grade)
+            take, which = _places(at[hit], grade[hit])
             good = np.bincount(which - 1, minlength=len(often)) >= MIN_USES
             take, which = take[good[which - 1]], which[good[which - 1]] - 1
             if len(take):
@@ -277,7 +337,7 @@ def _encoded(vocabulary: str, end_id: int):
                 "doc_ids": np.array([d or 0 for d, _ in held], "<i8").tobytes(),
                 "is_null": bytes(d is None for d, _ in held), "doc_symbols": raw(doc_symbols)}])
 
-        for b in by_text_size(batches, "text", 1 << 18):
+        for b in by_text_size(batches, "text", BATCH):
             coded = coder.encode(b["text"].tolist())
             keys = [None if k is pd.NA else int(k) for k in b["doc_id"].astype("Int64")]
             for key, code in zip(keys, coded):
