@@ -653,6 +653,21 @@ def test_ids_by_piece_are_those_of_whole_texts():
         assert [x.tolist() for x in coder.encode(part)] == [x.ids for x in plain.encode_batch(part, add_special_tokens=False)]
 
 
+def test_plain_texts_are_cut_as_the_tokenizer_cuts_them():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path, rng = str(public_tokenizers.path("byte_bpe_50k.json")), random.Random(6)
+    texts = ["", "'", "'s", "re", "e'll", "a'", " \n x", "", "x \n\n", "''ve 've", "'st're'm"]
+    for letters in ("ab é's \n\t12.,'‘", "'strevmld ", "  \n\r\tx1.' ", "ñß «»a'"):
+        texts += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 25))) for _ in range(500)]
+    assert all(map(repair._PLAIN.fullmatch, texts))
+    plain, coder = Tokenizer.from_file(path), repair.Coder(path)
+    want = [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in coder.encode(texts)] == want
+    assert [coder.encode([t])[0].tolist() for t in texts[:50]] == want[:50]
+
+
 def test_archive_with_a_changed_byte_is_refused(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "short payload"), (2, "u", "x" * 200_000)], "page_id long, url string, html string")
     for name, old, new in (("short", "short payload", "short paylaod"), ("long", "x" * 70_000, "x" * 69_999 + "y")):
