@@ -23,8 +23,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
-from operator import attrgetter
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -33,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import Slots, by_text_size, joined, map_batches, packed, scratch_dir
+from tessera.llm.shared import by_text_size, joined, map_batches, packed, scratch_dir
 from tessera.operators.joins import checked_broadcast
 
 SHARD_IDS = 1 << 18
@@ -46,8 +45,9 @@ END_ID = 2
 #: Words whose ids a process keeps: about 60 MB.
 WORDS = 300_000
 #: Characters of text that are cut into pieces at a time.
-BATCH = 1 << 20
-#: Pieces whose tokens stand in memory as objects at a time.
+BATCH = 1 << 22
+#: Characters of whole texts, and pieces, whose tokens stand in memory as objects at a time.
+WHOLE = 1 << 20
 PORTION = 1000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
 #: Characters whose class is beyond doubt; texts with others are encoded whole.
@@ -60,6 +60,9 @@ for _pattern, _kind in ((f"[{LETTERS}]", LETTER), ("[0-9]", DIGIT), (r"[ \t\n\r]
 #: Fixed value: the character by which byte-level BPE spells each byte, printable ones by themselves.
 _OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 ALPHABET = "".join(chr(b if b in _OWN else 256 + sum(c not in _OWN for c in range(b))) for b in range(256))
+_SPELT = np.array(list(map(ord, ALPHABET)), "<u2")
+#: The low bytes of a number, by how many.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 FILE = ("part int, block int, n_ids long, first_rule long, rules binary, lengths binary, symbols binary, "
         "doc_ids binary, is_null binary, doc_symbols binary")
 
@@ -69,9 +72,12 @@ class Coder:
 
     No merge crosses the cuts that byte-level BPE makes first, so each
     distinct piece goes through the file's merges once and its ids are put
-    together; beyond ``WORDS`` pieces the half most used stays. Texts with
-    characters outside ``_PLAIN`` or with an added token's string, and all
-    texts if the file isn't of that kind, are encoded as they are.
+    together; beyond ``WORDS`` pieces the half most used stays. New pieces
+    are merged many at a call, set apart by the character of the null byte,
+    which no merge holds. A piece's row in the table of ids is found by its
+    bytes: as a number if they are at most eight of Latin-1. Texts with characters outside ``_PLAIN`` or with an
+    added token's string, and all texts if the file isn't of that kind, are
+    encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -79,60 +85,102 @@ class Coder:
         from tokenizers import Tokenizer
 
         self.coder = Tokenizer.from_file(path)
-        self.model = self.coder.model
+        self.merges = Tokenizer(self.coder.model)
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         cut, model = file["pre_tokenizer"] or {}, file["model"]
         self.by_piece = (file["normalizer"] is None and model["type"] == "BPE" and not model.get("dropout")
                          and not model.get("ignore_merges") and cut.get("type") == "ByteLevel"
-                         and cut.get("use_regex", True) and not cut["add_prefix_space"])
+                         and cut.get("use_regex", True) and not cut["add_prefix_space"]
+                         and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+                         and [t for t in model["vocab"] if ALPHABET[0] in t] == [ALPHABET[0]])
+        self.between = self.coder.token_to_id(ALPHABET[0])
         self.added = [t["content"] for t in file["added_tokens"]]
-        self.slot = Slots()
-        self.start, self.count, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
-
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [code.ids for code in self.coder.encode_batch(texts, add_special_tokens=False)]
+        self.keys, self.key_rows = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.rows: dict[bytes, int] = {}
+        self.start, self.count, self.uses = np.empty((3, 0), np.int64)
+        self.ids = np.empty(0, np.uint32)
+
+    def _whole(self, texts: list[str]) -> Iterator[np.ndarray]:
+        size = np.cumsum([0, *map(len, texts)])
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(size, size[at] + WHOLE, "right")) - 1)
+            for code in self.coder.encode_batch_fast(texts[at:end], add_special_tokens=False):
+                yield np.array(code.ids, np.uint32)
+            at = end
 
     def _learn(self, pieces: list[str]) -> None:
-        spelt = "\0".join(pieces).encode().decode("latin-1").translate(ALPHABET).split(ALPHABET[0])
-        counts, ids, number = [], [self.ids], attrgetter("id")
-        for k in range(0, len(spelt), PORTION):
-            tokens = list(map(self.model.tokenize, spelt[k:k + PORTION]))
-            counts += map(len, tokens)
-            ids.append(np.fromiter(map(number, chain.from_iterable(tokens)), np.uint32))
-        count = np.array(counts, np.int64)
+        ids = [np.empty(0, np.uint32)]
+        for k in range(0, len(pieces), PORTION):
+            raw = np.frombuffer(("\0".join(pieces[k:k + PORTION]) + "\0").encode(), np.uint8)
+            code, = self.merges.encode_batch_fast([_SPELT[raw].tobytes().decode("utf-16-le")], add_special_tokens=False)
+            ids.append(np.array(code.ids, np.uint32))
+        new = np.concatenate(ids)
+        apart = new == self.between
+        count = np.diff(np.flatnonzero(apart), prepend=-1) - 1
         self.start = np.append(self.start, len(self.ids) + np.cumsum(count) - count)
-        self.count, self.ids = np.append(self.count, count), np.concatenate(ids)
+        self.count, self.ids = np.append(self.count, count), np.append(self.ids, new[~apart])
+        self.uses = np.append(self.uses, np.zeros_like(count))
+
+    def _trim(self, n: int) -> None:
+        stay = np.sort(np.argsort(-self.uses, kind="stable")[:n])
+        row = np.full(len(self.uses), -1)
+        row[stay] = np.arange(len(stay))
+        key_rows = row[self.key_rows]
+        self.keys, self.key_rows = self.keys[key_rows >= 0], key_rows[key_rows >= 0]
+        self.rows = {p: k for p, k in zip(self.rows, row[list(self.rows.values())].tolist()) if k >= 0}
+        self.uses = self.uses[stay] // 2
+        self.start, self.count, self.ids = packed(self.start[stay], self.count[stay], self.ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.slot) > WORDS:
-            stay = self.slot.trim(WORDS // 2)
-            self.start, self.count, self.ids = packed(self.start[stay], self.count[stay], self.ids)
+        if len(self.count) > WORDS:
+            self._trim(WORDS // 2)
         plain = [self.by_piece and bool(_PLAIN.fullmatch(t)) and not any(a in t for a in self.added) for t in texts]
-        whole = iter(self._whole([t for t, p in zip(texts, plain) if not p]))
+        whole = self._whole([t for t, p in zip(texts, plain) if not p])
         pieces = iter(self._by_piece([t for t, p in zip(texts, plain) if p]))
-        return [next(pieces) if p else np.array(next(whole), np.uint32) for p in plain]
+        return [next(pieces) if p else next(whole) for p in plain]
 
     def _by_piece(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
             return []
         raw = ("\0".join(texts) + "\0").encode("utf-16-le")
         code = np.frombuffer(raw, "<u2")
-        at = np.flatnonzero(_starts(code))
-        ends = np.flatnonzero(code[at] == 0)
-        strings = pa.Array.from_buffers(pa.large_binary(), len(at), [
-            None, pa.py_buffer(2 * np.append(at, len(code))), pa.py_buffer(raw)]).dictionary_encode()
-        index, distinct = strings.indices.to_numpy(), strings.dictionary.to_numpy(zero_copy_only=False).tolist()
-        end = index[ends[0]]
-        index = np.delete(index, ends)
-        index -= index > end
-        del distinct[end]
-        slots = self.slot.of(distinct, np.bincount(index, minlength=len(distinct)))
-        if fresh := self.slot.taken():
-            self._learn(b"\0\0".join(fresh).decode("utf-16-le").split("\0"))
-        own = slots[index]
-        before = np.append(0, np.cumsum(self.count[own]))[ends - np.arange(len(ends))]
-        return np.split(joined(self.start[own], self.count[own], self.ids), before[:-1])
+        start = np.flatnonzero(_starts(code))
+        strings = pa.Array.from_buffers(pa.large_binary(), len(start), [
+            None, pa.py_buffer(2 * np.append(start, len(code))), pa.py_buffer(raw)])
+        size, is_end = np.diff(start, append=len(code)), code[start] == 0
+        in_key = ~is_end & (size <= 8)
+        if (wide := code > 255).any():
+            in_key &= ~np.logical_or.reduceat(wide, start)
+        short, long = np.flatnonzero(in_key), np.flatnonzero(~is_end & ~in_key)
+        narrow = np.append(code.astype(np.uint8), np.zeros(8, np.uint8))
+        eight = np.ndarray(len(code), "<u8", narrow, strides=(1,))  # from every character on
+        key_of, keys = pd.factorize(eight[start[short]] & _LOW[size[short]])
+        key_rows = np.append(self.key_rows, -1)[pd.Index(self.keys).get_indexer(keys)]
+        strings = strings.take(pa.array(long)).dictionary_encode()
+        string_of, strings = strings.indices.to_numpy(), strings.dictionary.to_numpy(zero_copy_only=False).tolist()
+        rows = np.fromiter(map(self.rows.get, strings, repeat(-1)), np.int64, len(strings))
+        new_keys, new = np.flatnonzero(key_rows < 0), np.flatnonzero(rows < 0)
+        if len(new_keys) or len(new):
+            key_rows[new_keys] = len(self.count) + np.arange(len(new_keys))
+            rows[new] = len(self.count) + len(new_keys) + np.arange(len(new))
+            fresh = keys[new_keys]
+            self.keys, self.key_rows = np.append(self.keys, fresh), np.append(self.key_rows, key_rows[new_keys])
+            fresh, others = fresh.astype("<u8").view("S8").tolist(), [strings[k] for k in new.tolist()]
+            self.rows.update(zip(others, rows[new].tolist()))
+            self._learn(_as_text(fresh, b"\0", "latin-1") + _as_text(others, b"\0\0", "utf-16-le"))
+        self.uses[key_rows] += np.bincount(key_of, minlength=len(keys))
+        self.uses[rows] += np.bincount(string_of, minlength=len(strings))
+        row = np.empty(len(start), np.int64)
+        row[short], row[long] = key_rows[key_of], rows[string_of]
+        row, ends = row[~is_end], np.flatnonzero(is_end)
+        before = np.append(0, np.cumsum(self.count[row]))[ends - np.arange(len(ends))]
+        return np.split(joined(self.start[row], self.count[row], self.ids), before[:-1])
+
+
+def _as_text(pieces: list[bytes], between: bytes, coding: str) -> list[str]:
+    return between.join(pieces).decode(coding).split("\0") if pieces else []
 
 
 def _starts(code: np.ndarray) -> np.ndarray:
@@ -162,119 +210,112 @@ def coder_of(path: str) -> Coder:
     return Coder(path)
 
 
-def _all_pairs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(pairs, every key's index in them, counts)``, pairs ascending."""
-    pairs, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
-    return pairs, inverse, count
-
+def _frequent(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(places, their pair's index, pairs, counts)`` of all keys that occur at least ``MIN_USES`` times.
 
-def _frequent(s: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(places, their pair's index, pairs, counts)`` of all pairs that can reach ``ROUND_SHARE`` of the best one.
-
-    Counts in hashed buckets bound the pairs' counts from above, so only the
-    places of well-filled buckets are read again. There a bucket's pair is
-    counted as it stands; only other pairs that share its bucket are sorted.
+    Counts in hashed buckets bound the keys' counts from above, so only the
+    places of well-filled buckets are read again. There a bucket's key is
+    counted as it stands; only other keys that share its bucket are sorted.
     """
-    bits = min(max(len(s).bit_length() - 1, 10), 24)
-    bucket = s[:-1] * np.uint32(0x9E3779B1)
-    bucket ^= s[1:] * np.uint32(0x85EBCA77)
-    bucket *= np.uint32(0xC2B2AE3D)
-    bucket >>= np.uint32(32 - bits)
-    bucket = bucket.astype(np.int64)
-    bucket[ends[:-1]] = 1 << bits  # no pair reaches over the end of a document
-    held = np.bincount(bucket, minlength=(1 << bits) + 1)
-    held[-1] = 0
-    best = 0.8 * held.max()  # the best pair mostly has its bucket nearly for itself
-    found = _in_buckets(s, bucket, held, ROUND_SHARE * best)
-    if len(found[3]) and found[3].max() < best:
-        found = _in_buckets(s, bucket, held, ROUND_SHARE * found[3].max())
-    return found
-
-
-def _in_buckets(s: np.ndarray, bucket: np.ndarray, held: np.ndarray,
-                least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(places, their pair's index, pairs, counts)`` of the buckets that hold at least so many, and ``MIN_USES``."""
-    enough = held >= max(MIN_USES, least)
-    place = np.flatnonzero(enough.take(bucket, mode="clip"))  # all are inside; clipping only saves the check
-    key, used = _keys(s, place), np.flatnonzero(enough)
-    number = np.zeros(len(held), np.int32)
-    number[used] = np.arange(len(used))
-    index = number[bucket[place]].astype(np.int64)
-    pairs = np.zeros(len(used), np.uint64)
-    pairs[index] = key  # one of each bucket
-    other = np.flatnonzero(pairs[index] != key)
-    more, inverse, count = _all_pairs(key[other])
-    index[other] = len(used) + inverse
-    pairs = np.append(pairs, more)
-    count = np.bincount(index, minlength=len(pairs))
-    order = np.argsort(pairs)
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    return place, rank[index], pairs[order], count[order]
-
-
-def _keys(s: np.ndarray, place: np.ndarray) -> np.ndarray:
-    return (s[place].astype(np.uint64) << np.uint64(32)) | s[place + 1]
-
-
-def _places(place: np.ndarray, grade: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    bits = min(max(len(key).bit_length() - 1, 10), 24)
+    bucket = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).view(np.int64)
+    place = np.flatnonzero((np.bincount(bucket, minlength=1 << bits) >= MIN_USES).take(bucket))
+    key, bucket = key[place], bucket[place]
+    pairs = np.zeros(1 << bits, np.uint64)
+    pairs[bucket] = key  # one of each bucket
+    other = np.flatnonzero(pairs.take(bucket) != key)
+    more, inverse = np.unique(key[other], return_inverse=True)
+    bucket[other] = (1 << bits) + inverse
+    count = np.bincount(bucket, minlength=len(pairs) + len(more))
+    often = np.flatnonzero(count >= MIN_USES)
+    number = np.full(len(count), -1)
+    number[often] = np.arange(len(often))
+    number = number.take(bucket)
+    stay = np.flatnonzero(number >= 0)
+    return place[stay], number[stay], np.append(pairs, more)[often], count[often]
+
+
+def _places(place: np.ndarray, after: np.ndarray, grade: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places to replace and their pair's grade, of ascending places: no two overlap.
 
     The better pair wins where two overlap; in a run of one symbol every
     second place is taken.
     """
-    near = np.diff(place) == 1
-    left, right = np.zeros_like(grade), np.zeros_like(grade)
-    left[1:], right[:-1] = grade[:-1] * near, grade[1:] * near
-    at = np.arange(len(place))
-    in_run = at - np.maximum.accumulate(np.where(grade != left, at, 0))
-    take = np.flatnonzero((grade >= left) & (grade >= right) & (in_run % 2 == 0))
+    near = after[place[:-1]] == place[1:]
+    good = np.ones(len(place), bool)
+    good[:-1] &= ~(near & (grade[:-1] < grade[1:]))
+    good[1:] &= ~(near & (grade[:-1] > grade[1:]))
+    run = np.flatnonzero(near & (grade[:-1] == grade[1:]))
+    if len(run):
+        at = np.arange(len(run))
+        in_run = at - np.maximum.accumulate(np.where(np.diff(run, prepend=-2) != 1, at, 0))
+        good[run[in_run % 2 == 0] + 1] = False
+    take = np.flatnonzero(good)
     return place[take], grade[take]
 
 
 def compress(ids: np.ndarray, doc_sizes: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(rules, lengths, symbols, symbols per document)`` of one shard.
 
-    A round counts all adjacent pairs inside documents and replaces the most
-    frequent ones at once; where chosen pairs overlap the more frequent one
-    wins (ties: the larger pair).
+    A round replaces the most frequent of all adjacent pairs inside documents
+    at once; where chosen pairs overlap the more frequent one wins (ties: the
+    larger pair). Symbols keep their places and know the next and the last
+    one that is left. Only pairs beside a new symbol are counted anew: they
+    hold its number, so none was there before, and other pairs only get rarer.
     """
-    s, ends = ids.astype(np.uint32), np.cumsum(doc_sizes) - 1
-    rules, lengths = [np.empty((0, 2), np.uint32)], [np.empty(0, np.uint32)]
-    made = 0
-    while len(s) > len(ends):
-        at, inverse, pairs, count = _frequent(s, ends)
-        if not len(count) or count.max() < MIN_USES:
+    n, ends = len(ids), np.cumsum(doc_sizes)
+    s, stays = np.append(ids.astype(np.uint32), np.uint32(0)), np.ones(n, bool)
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    after[ends - 1] = before[ends - doc_sizes] = n  # nothing there
+    rules, lengths, made = [np.empty((0, 2), np.uint32)], np.empty(0, np.uint32), 0
+    pairs, count = np.empty(0, np.uint64), np.empty(0, np.int64)
+    place, pair = np.empty(0, np.int64), np.empty(0, np.int32)  # of every pair that is still frequent
+    pair_at, fresh = np.full(n + 1, -1, np.int32), np.flatnonzero(after[:n] < n)
+    while True:
+        at, number, new, uses = _frequent((s[fresh].astype(np.uint64) << np.uint64(32)) | s[after[fresh]])
+        at, number = fresh[at], (len(pairs) + number).astype(np.int32)
+        pair_at[at] = number
+        place, pair = np.append(place, at), np.append(pair, number)
+        pairs, count = np.append(pairs, new), np.append(count, uses)
+        if not len(place):
             break
-        for least in (max(MIN_USES, ROUND_SHARE * count.max()), MIN_USES):
-            if least < ROUND_SHARE * count.max():  # nothing could be replaced: all pairs count
-                at = np.delete(np.arange(len(s) - 1), ends[:-1])
-                pairs, inverse, count = _all_pairs(_keys(s, at))
+        for least in (max(MIN_USES, ROUND_SHARE * count.max()), MIN_USES):  # all, if nothing could be replaced
             often = np.flatnonzero(count >= least)
-            often = often[np.argsort(count[often], kind="stable")]
-            rank = np.zeros(len(count), np.int64)
+            often = often[np.lexsort((pairs[often], count[often]))]
+            rank = np.zeros(len(count), np.int32)
             rank[often] = np.arange(1, len(often) + 1)
-            grade = rank[inverse]
+            grade = rank.take(pair)
             hit = np.flatnonzero(grade)
-            take, which = _places(at[hit], grade[hit])
-            good = np.bincount(which - 1, minlength=len(often)) >= MIN_USES
-            take, which = take[good[which - 1]], which[good[which - 1]] - 1
-            if len(take):
+            hit = hit[np.argsort(place[hit], kind="stable")]
+            take, which = _places(place[hit], after, grade[hit])
+            good = np.bincount(which, minlength=len(often) + 1)[1:] >= MIN_USES
+            if good.any():
                 break
-        if not len(take):
+        if not good.any():
             break
-        number = np.cumsum(good) - 1
-        chosen = pairs[often][good]
+        kept = np.flatnonzero(good[which - 1])
+        take, which = take[kept], which[kept] - 1
+        chosen = pairs[often[good]]
         new = np.column_stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)]).astype(np.uint32)
-        lengths.append((symbol_lengths(new[:, 0], np.concatenate(lengths), first_rule)
-                        + symbol_lengths(new[:, 1], np.concatenate(lengths), first_rule)).astype(np.uint32))
+        lengths = np.append(lengths, (symbol_lengths(new[:, 0], lengths, first_rule)
+                                      + symbol_lengths(new[:, 1], lengths, first_rule)).astype(np.uint32))
         rules.append(new)
-        s[take] = (first_rule + made + number[which]).astype(np.uint32)
-        stay = np.ones(len(s), bool)
-        stay[take + 1] = False
-        s, ends = s[stay], ends - np.searchsorted(take, ends)
+        s[take] = (first_rule + made + np.cumsum(good) - 1)[which]
+        gone = after[take]
+        stays[gone] = False
+        after[take] = right = after[gone]
+        before[right] = take
+        left = before[take]
+        left = left[(left < n) & (s[left] < first_rule + made)]  # others are new themselves
+        fresh = np.append(take[right < n], left)
+        pair_at[gone] = pair_at[take] = pair_at[left] = -1
         made += len(new)
-    return np.concatenate(rules), np.concatenate(lengths), s, np.diff(ends, prepend=-1)
+        pair = pair_at.take(place)
+        count = np.bincount(pair + 1, minlength=len(pairs) + 1)[1:]
+        count[count < MIN_USES] = 0
+        stay = np.flatnonzero(np.append(count > 0, False).take(pair, mode="wrap"))
+        place, pair = place[stay], pair[stay]
+    return np.concatenate(rules), lengths, s[:n][stays], np.add.reduceat(stays, ends - doc_sizes, dtype=np.int64)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:

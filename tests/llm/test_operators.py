@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import random
 import re
 import unicodedata
@@ -176,6 +177,90 @@ def test_shard_expands_by_rules_opened_once():
         assert np.array_equal(repair.expand(symbols, rules, 50), ids) and doc_symbols.sum() == len(symbols)
 
 
+def plain_rounds(ids, sizes, first_rule):
+    """Re-Pair in rounds with all pairs counted in every one."""
+    docs, rules = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])], []
+    while True:
+        count = Counter(p for d in docs for p in zip(d, d[1:]))
+        for least in (max(repair.MIN_USES, repair.ROUND_SHARE * max(count.values(), default=0)), repair.MIN_USES):
+            ranked = sorted((n, p) for p, n in count.items() if n >= least)
+            grade = {p: k for k, (_, p) in enumerate(ranked)}
+            uses = Counter()
+            taken = []
+            for d in docs:
+                own, run = [grade.get(p, -1) for p in zip(d, d[1:])], 0
+                for i, g in enumerate(own):
+                    run = run + 1 if i and g == own[i - 1] else 0
+                    if g >= 0 and run % 2 == 0 and g >= max(own[max(i - 1, 0):i + 2]):
+                        uses[g] += 1
+                        taken.append((id(d), i, g))
+            good = [g for g in sorted(uses) if uses[g] >= repair.MIN_USES]
+            if good:
+                break
+        if not good:
+            return rules, docs
+        number = {g: first_rule + len(rules) + k for k, g in enumerate(good)}
+        rules += [ranked[g][1] for g in good]
+        at = {(d, i): number[g] for d, i, g in taken if g in number}
+        docs = [[at.get((id(d), i), x) for i, x in enumerate(d) if (id(d), i - 1) not in at] for d in docs]
+
+
+def test_rounds_count_only_pairs_beside_new_symbols(monkeypatch):
+    looked_at, frequent = [], repair._frequent
+    monkeypatch.setattr(repair, "_frequent", lambda key: (looked_at.append(len(key)), frequent(key))[1])
+    rng = np.random.default_rng(8)
+    for hi, n in ((1, 300), (2, 400), (6, 900), (30, 3000), (30, 40)):
+        looked_at.clear()
+        ids = np.resize(rng.integers(0, hi, n // 2), n).astype(np.uint32)
+        sizes = np.array([1, n // 3, n - n // 3 - 2, 1])
+        rules, _, symbols, doc_symbols = repair.compress(ids, sizes, 50)
+        want_rules, want_docs = plain_rounds(ids, sizes, 50)
+        assert [tuple(r) for r in rules.tolist()] == want_rules and doc_symbols.tolist() == list(map(len, want_docs))
+        assert symbols.tolist() == [x for d in want_docs for x in d]
+        assert looked_at[0] == n - 4 and sum(looked_at[1:]) <= 2 * (n - len(symbols))
+
+
+def test_new_pieces_are_merged_many_at_a_call(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    class Counting:
+        def __init__(self, merges):
+            self.merges, self.calls = merges, 0
+
+        def encode_batch_fast(self, *args, **kw):
+            self.calls += 1
+            return self.merges.encode_batch_fast(*args, **kw)
+
+    path, rng = str(public_tokenizers.path("byte_bpe_50k.json")), random.Random(9)
+    plain, coder = Tokenizer.from_file(path), repair.Coder(path)
+    coder.merges = Counting(coder.merges)
+    monkeypatch.setattr(repair, "WORDS", 2000)
+    word = lambda: "".join(rng.choice("abcdeéÿſŒ") for _ in range(rng.randint(1, 14)))
+    for _ in range(4):
+        texts = [" ".join(word() for _ in range(rng.randint(0, 60))) + " — “the” tail…" for _ in range(60)]
+        assert [x.tolist() for x in coder.encode(texts)] == [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
+    assert len(coder.count) == len(coder.keys) + len(coder.rows) > 1000 and coder.merges.calls < 20
+
+
+def test_vocabulary_that_merges_the_character_between_pieces_is_not_used_by_piece(tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        file = json.load(f)
+    null = repair.ALPHABET[0]
+    file["model"]["vocab"][2 * null] = max(file["model"]["vocab"].values()) + 1
+    file["model"]["merges"].append([null, null])
+    path = str(tmp_path / "merged.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(file, f)
+    plain, coder = Tokenizer.from_file(path), repair.Coder(path)
+    texts = ["a\0\0b", "", "two words", "\0" * 9]
+    assert not coder.by_piece
+    assert [x.tolist() for x in coder.encode(texts)] == [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
+
+
 # 3 -----------------------------------------------------------------------------------------------
 
 def _brute_force_best(vocabulary, unit):
