@@ -17,7 +17,6 @@ piece is spelt by its UTF-8 byte pieces.
 from __future__ import annotations
 
 import heapq
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import Slots, packed, process_table, release_memory, wide_rows
+from tessera.llm.shared import Slots, joined, packed, process_table, release_memory, wide_rows
 from tessera.session import ship_package
 
 BEST = 4
@@ -41,8 +40,6 @@ SIDE_BY_SIDE, BATCH = 2048, 1 << 20
 BLANK = "▁"
 #: Stands for a literal U+2581 in a text, and between units; lone surrogates can't occur in a text itself.
 LITERAL, BETWEEN = "\ud800", "\ud801"
-#: Units as they stand in a text, before blanks are marked: strings of one byte per character mostly.
-_UNIT = re.compile(" +[^ \n]*|\n|[^ \n]+")
 
 
 def marked(text: str) -> str:
@@ -56,6 +53,12 @@ def default_model() -> str:
     return str(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def _codes(strings: list[str]) -> np.ndarray:
+    """Code points, one row per place, one column per string, zero behind its end."""
+    n = max(map(len, strings))
+    return np.ascontiguousarray(np.array(strings, f"<U{n}").view(np.uint32).reshape(len(strings), n).T).astype(np.uint64)
+
+
 class Vocabulary:
     """Pieces of a SentencePiece file, their scores, and a hash table for substrings."""
 
@@ -70,24 +73,22 @@ class Vocabulary:
         self.pieces = {model.id_to_piece(i): (i, -float(np.log(rank)) - harmonic) for rank, i in enumerate(plain, 1)}
         self.spell = -float(np.log(len(plain))) - harmonic - 10  # of one byte piece
         self.longest = max(map(len, self.pieces))
-        self.prefixes = {p[:k] for p in self.pieces for k in range(1, len(p) + 1)}
+        self.prefixes = {p[:k]: self.pieces.get(p[:k]) for p in self.pieces for k in range(1, len(p) + 1)}
         self.raw = [b""] * n
         for p, (i, _) in self.pieces.items():
             self.raw[i] = p.replace(BLANK, " ").encode()
         for b, i in self.byte_id.items():
             self.raw[i] = bytes([b])
+        self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
+        self.raw_size = np.array([len(r) for r in self.raw])
+        self.raw_start = np.cumsum(self.raw_size) - self.raw_size
         self.ids = np.array([i for i, _ in self.pieces.values()])
         self.scores = np.array([s for _, s in self.pieces.values()])
         self._tables()
 
     def _tables(self) -> None:
-        keys = np.zeros(len(self.pieces), np.uint64)
-        for k, p in enumerate(self.pieces):
-            h = np.uint64(0)
-            for c in p:
-                h = self.extend(h, np.uint64(ord(c)))
-            keys[k] = h
-        self.keys = np.append(keys, np.uint64(0))  # the last entry matches nothing
+        keys = self._hashes(list(self.pieces))
+        self.keys = np.append(keys, ~np.uint64(0))  # the last entry matches nothing (a text's NUL hashes to 0)
         none = len(keys)
         self.first, self.second = np.full(1 << 20, none, np.int32), np.full(1 << 20, none, np.int32)
         self.first[keys >> np.uint64(44)] = np.arange(none)
@@ -98,11 +99,14 @@ class Vocabulary:
         self.second[at] = rest
         # marks hashes of what a piece begins with; a false mark only costs a look into the tables
         self.begins = np.zeros(1 << 22, bool)
-        for p in self.prefixes:
-            h = np.uint64(0)
-            for c in p:
-                h = self.extend(h, np.uint64(ord(c)))
-            self.begins[h >> np.uint64(42)] = True
+        self.begins[self._hashes(list(self.prefixes)) >> np.uint64(42)] = True
+
+    def _hashes(self, strings: list[str]) -> np.ndarray:
+        codes, size = _codes(strings), np.array([len(s) for s in strings])
+        h = np.zeros(len(strings), np.uint64)
+        for k, column in enumerate(codes):
+            h = np.where(size > k, self.extend(h, column), h)
+        return h
 
     @staticmethod
     def extend(h, code):
@@ -113,7 +117,7 @@ class Vocabulary:
     def find(self, h: np.ndarray) -> np.ndarray:
         """Position of each hash among the pieces, -1 for none."""
         at = self.first[h >> np.uint64(44)]
-        miss = np.flatnonzero(self.keys[at] != h)
+        miss = (self.keys[at] != h).nonzero()[0]
         other = self.second[(h[miss] >> np.uint64(20)) & np.uint64((1 << 20) - 1)]
         at[miss] = np.where(self.keys[other] == h[miss], other, -1)
         return at
@@ -126,9 +130,10 @@ class Vocabulary:
                 spelt = (BLANK if c == LITERAL else c).encode()
                 into[i + 1].append((i, self.spell * len(spelt), tuple(self.byte_id[b] for b in spelt)))
             for j in range(i + 1, min(i + self.longest, len(unit)) + 1):
-                if unit[i:j] not in self.prefixes:
+                found = self.prefixes.get(unit[i:j], False)
+                if found is False:
                     break
-                if found := self.pieces.get(unit[i:j]):
+                if found:
                     into[j].append((i, found[1], (found[0],)))
         return into
 
@@ -158,71 +163,87 @@ def best_paths(vocabulary: Vocabulary, unit: str, n: int) -> list[tuple[float, t
 def _side_by_side(v: Vocabulary, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Best score, gap to the second best, and best pieces (with their number) of units
     whose characters are all pieces (best score -inf: they aren't)."""
-    n, size = max(map(len, units)), np.array([len(u) for u in units])
-    codes = np.ascontiguousarray(np.array(units, f"<U{n}").view(np.uint32).reshape(len(units), n).T).astype(np.uint64)
+    codes, size = _codes(units), np.array([len(u) for u in units])
+    n, every = len(codes), np.arange(len(units))
     score = np.full((n, min(v.longest, n) + 1, len(units)), -np.inf)
     piece = np.zeros(score.shape, np.int32)
-    # of every place the units in which a piece may begin and go on there, and the hash of what it has so far
-    live = [np.arange(len(units))] * n
-    h = [np.zeros(len(units), np.uint64)] * n
+    # the places of units where a piece may begin and go on, the characters left there, and the hash of what it has so far
+    char, wide = codes.ravel(), len(units)
+    place = np.arange(codes.size)
+    left, h = (size - np.arange(n)[:, None]).ravel(), np.zeros(codes.size, np.uint64)
     found = np.zeros(score.shape[:2], bool)
     for length in range(1, score.shape[1]):
-        for i in range(n - length + 1):
-            long = size[live[i]] >= i + length
-            row = live[i][long]
-            if not row.size:
-                live[i], h[i] = row, h[i][:0]
-                continue
-            key = v.extend(h[i][long], codes[i + length - 1, row])
-            at = v.find(key)
-            hit = at >= 0
-            found[i, length] = hit.any()
-            score[i, length, row[hit]] = v.scores[at[hit]]
-            piece[i, length, row[hit]] = v.ids[at[hit]]
-            on = v.begins[key >> np.uint64(42)]
-            live[i], h[i] = row[on], key[on]
+        on = (left >= length).nonzero()[0]
+        place, left, h = place[on], left[on], v.extend(h[on], char[place[on] + (length - 1) * wide])
+        on = v.begins[h >> np.uint64(42)].nonzero()[0]
+        place, left, h = place[on], left[on], h[on]
+        at = v.find(h)
+        hit = (at >= 0).nonzero()[0]
+        at, begin = at[hit], place[hit] // wide
+        found[:, length] = np.bincount(begin, minlength=n) > 0
+        to = place[hit] + (begin * (score.shape[1] - 1) + length) * wide  # in (begin, length, unit)
+        score.ravel()[to], piece.ravel()[to] = v.scores[at], v.ids[at]
+    after = np.full((n + 1, len(units)), -np.inf)
+    after[size, every] = 0
+    got = np.empty(len(units))
+    for i in range(n - 1, -1, -1):
+        for length in np.flatnonzero(found[i]):
+            np.maximum(after[i], np.add(score[i, length], after[i + length], out=got), out=after[i])
     ahead = np.full((n + 1, len(units)), -np.inf)
-    step = np.zeros((n + 1, len(units)), np.int64)
+    step = np.zeros((n + 1, len(units)), np.int16)
     ahead[0] = 0
     for j in range(1, n + 1):
         for length in range(1, min(j, score.shape[1] - 1) + 1):
             if not found[j - length, length]:
                 continue
-            got = ahead[j - length] + score[j - length, length]
-            np.copyto(step[j], length, where=got > ahead[j])
-            np.maximum(ahead[j], got, out=ahead[j])
-    every = np.arange(len(units))
+            score[j - length, length] += ahead[j - length]  # from here on the score of the best way through this piece's end
+            np.copyto(step[j], length, where=score[j - length, length] > ahead[j])
+            np.maximum(ahead[j], score[j - length, length], out=ahead[j])
     best = ahead[size, every]
-    after = np.full((n + 1, len(units)), -np.inf)
-    after[size, every] = 0
-    for i in range(n - 1, -1, -1):
-        for length in np.flatnonzero(found[i]):
-            np.maximum(after[i], score[i, length] + after[i + length], out=after[i])
     ids, used = np.zeros((n, len(units)), np.int32), np.zeros(len(units), np.int64)
-    through = np.full(len(units), -np.inf)
-    at, path = size.copy(), np.zeros((n, score.shape[1], len(units)), bool)
+    at = size.copy()
     at[best == -np.inf] = 0  # a character that is no piece: left to the caller
     while (go := np.flatnonzero(at > 0)).size:
         length = step[at[go], go]
         at[go] -= length
-        path[at[go], length, go] = True
+        score[at[go], length, go] = -np.inf  # what is left are the pieces beside the best path
         ids[n - 1 - used[go], go] = piece[at[go], length, go]
         used[go] += 1
+    through = np.full(len(units), -np.inf)
     for i in range(n):
         for length in np.flatnonzero(found[i]):
-            total = ahead[i] + score[i, length] + after[i + length]
-            np.copyto(total, -np.inf, where=path[i, length])
-            np.maximum(through, total, out=through)
+            np.maximum(through, np.add(score[i, length], after[i + length], out=got), out=through)
     with np.errstate(invalid="ignore"):
         return best, best - through, ids.T, used
 
 
+def _units(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray, np.ndarray]:
+    """Units of all texts as they stand (blanks are not marked), one after another, and the end of each text's units;
+    the bytes of all texts, each but empty ones with a blank before it, and the end of each text's bytes.
+
+    A run of blanks begins a unit, which goes on to the next blank or line end; a line end is a unit."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    blank = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", " ").cast(pa.large_string())
+    texts = pc.binary_join_element_wise(blank, texts, pa.scalar("", pa.large_string()))
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data or b"", np.uint8)[bounds[0]:bounds[-1]]
+    bounds = bounds - bounds[0]
+    space, line = raw == 32, raw == 10
+    starts = line.copy()
+    starts[1:] |= np.where(space[1:], ~space[:-1], line[:-1])
+    starts[bounds[:-1][np.diff(bounds) > 0]] = True
+    at = np.append(np.flatnonzero(starts), len(raw))
+    units = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(raw))
+    return units.dictionary_encode(), np.searchsorted(at, bounds[1:]), raw, bounds[1:]
+
+
 class Segmenter:
     """Segments batches of texts; results of distinct units are kept up to ``CACHE`` units, then the half most used."""
 
     def __init__(self, vocabulary: Vocabulary, n: int = BEST):
         self.v, self.n = vocabulary, n
-        self.known = lru_cache(KNOWN)(lambda unit: best_paths(self.v, marked(unit), n))
+        self.known = lru_cache(KNOWN)(self._ways)
         self.slot = Slots()
         self.score, self.gap = np.empty(0), np.empty(0)
         self.count, self.start, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
@@ -257,55 +278,64 @@ class Segmenter:
         self.count, self.start = np.append(self.count, count), np.append(self.start, start)
         self.ids = np.concatenate(ids)
 
-    def batch(self, texts: list[str]) -> Iterator[tuple[list[float], list[np.ndarray], bool]]:
+    def batch(self, texts: list[str] | pa.Array) -> Iterator[tuple[list[float], list[np.ndarray], bool]]:
         """Scores and ids of up to ``n`` best segmentations of every text, best first, and whether all
         spell the text."""
         if len(self.slot) > CACHE:
             self._trim()
-        slots = []
-        for t in texts:
-            units = _UNIT.findall(" " + t) if t else []
-            slots.append((units, self.slot.of(units)))
+        units, last, raw, ends = _units(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts)
+        strings, which = units.dictionary.to_pylist(), units.indices.to_numpy()
+        own = self.slot.of(strings, np.bincount(which, minlength=len(strings)))
         if fresh := self.slot.taken():
             self._learn(fresh)
-        for (units, own), text in zip(slots, texts):
-            n = self.count[own]
-            end = np.cumsum(n)
-            ids = self.ids[np.repeat(self.start[own] - (end - n), n) + np.arange(n.sum())]
-            near = np.sort(np.argsort(self.gap[own], kind="stable")[:self.n - 1]) if len(own) >= self.n else np.arange(len(own))
-            places = [(int(end[k] - n[k]), int(end[k])) for k in near]
-            ways = [self._ways(units[k], ids[a:e]) for k, (a, e) in zip(near, places)]
-            total, scores, paths, same = float(self.score[own].sum()), [], [], self.decode(ids.tolist()) == text
+        count, score, gap = self.count[own][which], self.score[own][which], self.gap[own][which]
+        ids, until = joined(self.start[own][which], count, self.ids), np.append(0, np.cumsum(count))
+        spelt = joined(self.v.raw_start[ids], self.v.raw_size[ids], self.v.raw_bytes)
+        spelt_to = np.append(0, np.cumsum(self.v.raw_size[ids]))
+        first = begin = 0
+        for end, stop in zip(last.tolist(), ends.tolist()):
+            near = first + self._near(gap[first:end])
+            a, b = until[first], until[end]
+            same = np.array_equal(spelt[spelt_to[a]:spelt_to[b]], raw[begin:stop])
+            places = [(int(until[k]), int(until[k + 1])) for k in near]
+            ways = [self.known(strings[which[k]], ids[x:y].tobytes()) for k, (x, y) in zip(near, places)]
+            total, scores, paths = float(score[first:end].sum()), [], []
             for loss, taken in self._combined(ways):
-                parts, at = [], 0
-                for (a, e), way, k in zip(places, ways, taken):
+                parts, at = [], a
+                for (x, y), way, k in zip(places, ways, taken):
                     if k:
-                        parts += [ids[at:a], way[k][1]]
-                        at = e
+                        parts += [ids[at:x], way[k][1]]
+                        at = y
                         same = same and way[k][2]
                 scores.append(total - loss)
-                paths.append(np.concatenate([*parts, ids[at:]]) if parts else ids)
+                paths.append(np.concatenate([*parts, ids[at:b]]) if parts else ids[a:b])
             yield scores, paths, same
-
-    def _ways(self, unit: str, best: np.ndarray) -> list[tuple[float, np.ndarray, bool]]:
-        """The unit's segmentations, the one in the best ids first: loss, ids, and whether they spell the same bytes."""
-        paths, first = self.known(unit), tuple(best.tolist())
-        raw = b"".join(map(self.v.raw.__getitem__, first))
+            first, begin = end, stop
+
+    def _near(self, gap: np.ndarray) -> np.ndarray:
+        """Places of the ``n`` - 1 smallest gaps, of equal ones the first, in order."""
+        if len(gap) < self.n:
+            return np.arange(len(gap))
+        if self.n == 1:
+            return np.empty(0, np.int64)
+        few = np.flatnonzero(gap <= np.partition(gap, self.n - 2)[self.n - 2])
+        return np.sort(few[np.argsort(gap[few], kind="stable")[:self.n - 1]])
+
+    def _ways(self, unit: str, best: bytes) -> list[tuple[float, np.ndarray, bool]]:
+        """The unit's segmentations, the one with the best ids first: loss, ids, and whether they spell the same bytes."""
+        paths, first = best_paths(self.v, marked(unit), self.n), np.frombuffer(best, np.int32)
+        raw, one = b"".join(map(self.v.raw.__getitem__, first)), tuple(first.tolist())
         others = [(max(0.0, paths[0][0] - s), np.array(ids, np.int32), b"".join(map(self.v.raw.__getitem__, ids)) == raw)
-                  for s, ids in paths if ids != first]  # of equal scores A-star may put another one first
-        return [(0.0, best, True), *others[:self.n - 1]]
+                  for s, ids in paths if ids != one]  # of equal scores A-star may put another one first
+        return [(0.0, first, True), *others[:self.n - 1]]
 
     def _combined(self, ways: list[list[tuple[float, np.ndarray, bool]]]) -> list[tuple[float, tuple[int, ...]]]:
         """The best combinations of the units' segmentations, best first: loss, and the one taken of every unit."""
         best: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
         for way in ways:
-            best = heapq.nsmallest(self.n, ((x + w[0], (*taken, k)) for x, taken in best for k, w in enumerate(way)))
+            best = sorted((x + w[0], (*taken, k)) for x, taken in best for k, w in enumerate(way))[:self.n]
         return best
 
-    def decode(self, ids) -> str:
-        """Text of piece ids (the blank that encoding puts first is dropped)."""
-        return b"".join(map(self.v.raw.__getitem__, ids))[1:].decode()
-
 
 def vocabulary_of(path: str) -> Vocabulary:
     """The vocabulary of this process: tasks that run in it one after another share its tables."""
@@ -338,7 +368,7 @@ def _segment(path: str, n: int):
 def _segmented(segmenter: Segmenter, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in _slices(batch):
-            found = list(segmenter.batch([t or "" for t in part.column("text").to_pylist()]))
+            found = list(segmenter.batch(part.column("text")))
             paths = [p.astype("<i4", copy=False) for _, ways, _ in found for p in ways]
             sizes = [len(p) for p in paths]
             one = pa.StructArray.from_arrays(

@@ -352,6 +352,30 @@ def test_units_in_use_are_searched_once_when_the_table_overflows(monkeypatch):
     assert all(learned[w] <= 1 + len(texts[::13]) for w in common.split())
 
 
+def test_a_unit_is_looked_up_once_a_batch(monkeypatch):
+    """Repeats of a unit cost no look into the table of units; the counts by which it is trimmed hold them."""
+    asked = []
+    of = nbest.Slots.of
+    monkeypatch.setattr(nbest.Slots, "of", lambda self, strings, times=1: (asked.extend(strings), of(self, strings, times))[1])
+    segmenter = nbest.Segmenter(nbest.Vocabulary(nbest.default_model()))
+    texts = ["the cat and the cat\nthe cat", "the cat " * 50, "", "and\n and"]
+    found = list(segmenter.batch(texts))
+    assert sorted(asked) == sorted({" the", " cat", " and", "\n", "the", " "})
+    assert dict(zip(segmenter.slot, segmenter.slot.uses.tolist())) == {" the": 52, " cat": 53, " and": 3, "\n": 2, "the": 1, " ": 1}
+    assert all(same for _, _, same in found) and [len(scores) for scores, _, _ in found] == [4, 4, 1, 4]
+    assert list(segmenter.batch(["", ""])) == [([0.0], [pytest.approx([])], True)] * 2
+
+
+def test_segmented_lines_that_begin_with_nul(spark):
+    """The hash of a NUL is that of no characters; it stood for the entry of the tables that matches nothing."""
+    texts = ["a\n\0", "a\n\0b c", "\0", "\0\0 x"]
+    rows = nbest.segmented(docs_of(spark, list(enumerate(texts)))).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        every = _every_path(nbest.Vocabulary(nbest.default_model()), texts[r.doc_id])
+        assert r.exact and [s.score for s in r.segmentations] == pytest.approx([s for s, _ in every[:nbest.BEST]])
+
+
 # 4 -----------------------------------------------------------------------------------------------
 
 def _warc_by_hand(rows):
