@@ -36,7 +36,7 @@ LONGEST_UNIT = 32
 #: Units, and A-star results of units, that a process keeps: about 40 and 15 MB.
 CACHE, KNOWN = 100_000, 20_000
 #: Units searched side by side, and bytes of text segmented at a time.
-SIDE_BY_SIDE, BATCH = 2048, 1 << 20
+SIDE_BY_SIDE, BATCH = 2048, 1 << 19
 BLANK = "▁"
 #: Stands for a literal U+2581 in a text, and between units; lone surrogates can't occur in a text itself.
 LITERAL, BETWEEN = "\ud800", "\ud801"
@@ -122,6 +122,10 @@ class Vocabulary:
         at[miss] = np.where(self.keys[other] == h[miss], other, -1)
         return at
 
+    def spelt(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes that piece ids spell."""
+        return joined(self.raw_start[ids], self.raw_size[ids], self.raw_bytes)
+
     def edges(self, unit: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
         """For every position the pieces that end there: (start, score, ids)."""
         into: list[list] = [[] for _ in range(len(unit) + 1)]
@@ -290,13 +294,12 @@ class Segmenter:
             self._learn(fresh)
         count, score, gap = self.count[own][which], self.score[own][which], self.gap[own][which]
         ids, until = joined(self.start[own][which], count, self.ids), np.append(0, np.cumsum(count))
-        spelt = joined(self.v.raw_start[ids], self.v.raw_size[ids], self.v.raw_bytes)
-        spelt_to = np.append(0, np.cumsum(self.v.raw_size[ids]))
+        del units, own, count
         first = begin = 0
         for end, stop in zip(last.tolist(), ends.tolist()):
             near = first + self._near(gap[first:end])
             a, b = until[first], until[end]
-            same = np.array_equal(spelt[spelt_to[a]:spelt_to[b]], raw[begin:stop])
+            same = np.array_equal(self.v.spelt(ids[a:b]), raw[begin:stop])
             places = [(int(until[k]), int(until[k + 1])) for k in near]
             ways = [self.known(strings[which[k]], ids[x:y].tobytes()) for k, (x, y) in zip(near, places)]
             total, scores, paths = float(score[first:end].sum()), [], []
@@ -304,7 +307,7 @@ class Segmenter:
                 parts, at = [], a
                 for (x, y), way, k in zip(places, ways, taken):
                     if k:
-                        parts += [ids[at:x], way[k][1]]
+                        parts += [ids[at:x], np.frombuffer(way[k][1], np.int32)]
                         at = y
                         same = same and way[k][2]
                 scores.append(total - loss)
@@ -321,15 +324,15 @@ class Segmenter:
         few = np.flatnonzero(gap <= np.partition(gap, self.n - 2)[self.n - 2])
         return np.sort(few[np.argsort(gap[few], kind="stable")[:self.n - 1]])
 
-    def _ways(self, unit: str, best: bytes) -> list[tuple[float, np.ndarray, bool]]:
+    def _ways(self, unit: str, best: bytes) -> list[tuple[float, bytes, bool]]:
         """The unit's segmentations, the one with the best ids first: loss, ids, and whether they spell the same bytes."""
-        paths, first = best_paths(self.v, marked(unit), self.n), np.frombuffer(best, np.int32)
-        raw, one = b"".join(map(self.v.raw.__getitem__, first)), tuple(first.tolist())
-        others = [(max(0.0, paths[0][0] - s), np.array(ids, np.int32), b"".join(map(self.v.raw.__getitem__, ids)) == raw)
-                  for s, ids in paths if ids != one]  # of equal scores A-star may put another one first
-        return [(0.0, first, True), *others[:self.n - 1]]
+        paths, first = best_paths(self.v, marked(unit), self.n), tuple(np.frombuffer(best, np.int32).tolist())
+        raw = b"".join(map(self.v.raw.__getitem__, first))
+        others = [(max(0.0, paths[0][0] - s), np.array(ids, np.int32).tobytes(), b"".join(map(self.v.raw.__getitem__, ids)) == raw)
+                  for s, ids in paths if ids != first]  # of equal scores A-star may put another one first
+        return [(0.0, best, True), *others[:self.n - 1]]
 
-    def _combined(self, ways: list[list[tuple[float, np.ndarray, bool]]]) -> list[tuple[float, tuple[int, ...]]]:
+    def _combined(self, ways: list[list[tuple[float, bytes, bool]]]) -> list[tuple[float, tuple[int, ...]]]:
         """The best combinations of the units' segmentations, best first: loss, and the one taken of every unit."""
         best: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
         for way in ways:
@@ -339,7 +342,12 @@ class Segmenter:
 
 def vocabulary_of(path: str) -> Vocabulary:
     """The vocabulary of this process: tasks that run in it one after another share its tables."""
-    return process_table(("pieces", path), lambda: Vocabulary(path))
+    def read() -> Vocabulary:
+        found = Vocabulary(path)
+        release_memory()
+        return found
+
+    return process_table(("pieces", path), read)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
