@@ -12,18 +12,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.features import hash_bucket
 from tessera.operators.sorting import position_within
-from tessera.session import cut_lineage, stored
+from tessera.session import ship_package, stored
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str, C: float = 1.0,
@@ -142,7 +142,8 @@ def fold_column(id_col: str, folds: int) -> F.Column:
     return hash_bucket(id_col, folds)
 
 
-def stratified_folds(df: DataFrame, label: str, id_col: str, folds: int, name: str = "fold") -> DataFrame:
+def stratified_folds(df: DataFrame, label: str, id_col: str, folds: int, name: str = "fold",
+                     features: Sequence[str] | None = None) -> DataFrame:
     """``df`` with a fold 0 .. ``folds`` - 1 per row, exactly stratified.
 
     Rows are put in the order of label, md5 of the id and id, and dealt to the
@@ -150,13 +151,223 @@ def stratified_folds(df: DataFrame, label: str, id_col: str, folds: int, name: s
     whole folds. Positions come from range partitions and their offsets, so no
     label stands in one task. Null labels are a class of their own; the id is
     unique (rows that share one are dealt in an order of their own).
+
+    With ``features`` the label and these columns come packed in blocks for
+    the fit (``_dealt_blocks``), dealt to the same folds.
     """
+    if features is not None:
+        return _dealt_blocks(df, features, label, id_col, folds)
     order = ["_label", "_hash", id_col]
     placed = position_within(df.withColumns({"_label": F.col(label), "_hash": F.md5(F.col(id_col).cast("string"))}),
                              [], order, name="_place", as_type="long")
     return placed.withColumn(name, ((F.col("_place") - 1) % folds).cast("int")).drop("_label", "_hash", "_place")
 
 
+# ----------------------------------------------------------------- blocks ---
+# Rows that many passes read are written once as blocks: label, "a feature is null" and the features, column by column
+# in the narrowest type that holds each value, put in order of their fold. Equal rows of a fold are kept once with
+# their number where that at least halves a block.
+
+BLOCK, CELL, CHUNK = 32_768, 100_000, 131_072  # rows of a block, of a sorted cell, of a dealt chunk
+_BLOCK = "_rows long, _shift int, _sizes binary, _weights binary, _body binary"
+_TYPES = {"b": np.int8, "f": np.float32, "d": np.float64}
+
+
+def _narrow(v: np.ndarray) -> tuple[str, np.ndarray]:
+    with np.errstate(invalid="ignore", over="ignore"):
+        for code in "bf":
+            w = v.astype(_TYPES[code])
+            if (w == v).all():
+                return code, w
+    return "d", v
+
+
+def _encode(columns: Sequence[np.ndarray]) -> bytes:
+    codes, parts = zip(*[_narrow(v) for v in columns])
+    return "".join(codes).encode() + b"".join(w.tobytes() for w in parts)
+
+
+def _decode(body, n: int, m: int, out: np.ndarray) -> np.ndarray:
+    """The ``m`` columns of ``n`` values of ``body`` as rows of ``out``."""
+    at = m
+    for i, code in enumerate(bytes(body[:m]).decode()):
+        t = _TYPES[code]
+        out[i] = np.frombuffer(body, t, n, at)
+        at += n * t().itemsize
+    return out
+
+
+def _once(columns: list[np.ndarray], group: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Places of the distinct rows, in order of their group, and how often each occurs; none if too few are equal."""
+    n = len(group)
+    raw = [w.view(np.uint8).reshape(n, -1) for _, w in map(_narrow, columns)]
+    width = sum(r.shape[1] for r in raw)
+    words = np.zeros((n, -(-width // 8) * 8), np.uint8)
+    np.concatenate(raw, axis=1, out=words[:, :width])
+    words = words.view(np.uint64)
+    some = words[:min(n, int(np.searchsorted(group, group[0], "right")), 2048)]
+    if 2 * len(np.unique(some, axis=0)) > len(some):
+        return None
+    order = np.lexsort((*words.T, group))
+    words, group = words[order], group[order]
+    first = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]).any(axis=1) | (group[1:] != group[:-1])]))
+    return order[first], np.diff(np.append(first, n))
+
+
+def _packed(columns: list[np.ndarray], group: np.ndarray, folds: int) -> tuple[int, bytes, bytes, bytes]:
+    """A block of rows whose fold is ``group``, or none where that is ``folds``: rows, sizes, weights and columns."""
+    rows, weights = len(group), b""
+    order = np.argsort(group, kind="stable")
+    columns, group = [v[order] for v in columns], group[order]
+    once = _once(columns, group)
+    if once:
+        columns, group, weights = [v[once[0]] for v in columns], group[once[0]], once[1].astype(float).tobytes()
+    sizes = np.bincount(group, minlength=folds + 1).astype(np.int32)
+    return rows, sizes.tobytes(), weights, _encode(columns)
+
+
+def _columns(batch: pa.RecordBatch, label: str, feats: Sequence[str]) -> list[np.ndarray]:
+    """Label, "a feature is null" and the features as doubles, nulls as NaN."""
+    lost = np.zeros(batch.num_rows)
+    for c in feats:
+        if batch.column(c).null_count:
+            lost[batch.column(c).is_null().to_numpy(zero_copy_only=False)] = 1
+    return [batch.column(label).to_numpy(zero_copy_only=False).astype(float), lost,
+            *[batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in feats]]
+
+
+def _table(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    types = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "binary": pa.binary(), "array<double>": pa.list_(pa.float64())}
+    fields = [f.rsplit(" ", 1) for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(v, types[t]) for v, (_, t) in zip(zip(*rows), fields)], [c for c, _ in fields])
+
+
+def _blocks(data: DataFrame, feats: list[str], label: str, fold: str, folds: int) -> DataFrame:
+    """``data``, whose folds are given, as blocks; ``data`` itself if that is what it has."""
+    if "_body" in data.columns:
+        return data
+    ship_package(data.sparkSession)
+
+    def pack(batches):
+        for batch in batches:
+            if batch.num_rows:
+                columns = _columns(batch, label, feats)
+                group = batch.column(fold).to_numpy(zero_copy_only=False)
+                group = np.where((group >= 0) & (group < folds), group, folds).astype(np.int64)
+                rows, *rest = _packed(columns, group, folds)
+                yield _table(_BLOCK, [(rows, 0, *rest)])
+
+    return stored(data.select(label, *feats, fold).mapInArrow(pack, _BLOCK))
+
+
+def _dealt_blocks(df: DataFrame, features: Sequence[str], label: str, id_col: str, folds: int) -> DataFrame:
+    """The rows of ``df`` as blocks, dealt as ``stratified_folds`` does.
+
+    The md5 of the id, which is spread evenly whatever the ids are, names one
+    of many cells; rows go to their cell many at a time, packed, and a cell is
+    sorted in one task by numpy. A block holds rows of one label that follow
+    each other, so its place is the number of rows in the label's earlier
+    cells plus a place in the cell. Rows without an id come first, as a null
+    sorts; they are spread by the md5 of their values.
+    """
+    ship_package(df.sparkSession)
+    feats = list(features)
+    cells = max(1, -(-df.count() // CELL))
+    values = [F.col(label).cast("double").alias("_label"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(feats)]]
+    text = F.coalesce(F.col(id_col).cast("string"), F.concat_ws(",", *[v.cast("string") for v in values]))
+    rows = df.select(F.unhex(F.md5(text)).alias("_hash"), F.col(id_col).isNotNull().alias("_named"), *values)
+    names, m = [f"_x{i}" for i in range(len(feats))], len(feats) + 2
+
+    def hashes(column: pa.Array) -> np.ndarray:
+        column = column.cast(pa.binary())
+        at = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+        return np.frombuffer(column.buffers()[2], np.uint8)[at[0]:at[-1]].view(">u8").reshape(-1, 2).astype(np.uint64)
+
+    def chunks(batches):
+        some, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                some.append((hashes(batch.column("_hash")), batch.column("_named").to_numpy(zero_copy_only=False).astype(bool),
+                             _columns(batch, "_label", names)))
+                n += batch.num_rows
+            if n >= CHUNK:
+                yield some
+                some, n = [], 0
+        if some:
+            yield some
+
+    def deal(batches):
+        for some in chunks(batches):
+            words = np.concatenate([s[0] for s in some])
+            cell = ((words[:, 0] >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
+            cell[np.concatenate([s[1] for s in some])] += cells
+            order = np.argsort(cell, kind="stable")
+            codes, columns = zip(*[_narrow(np.concatenate(v)[order]) for v in zip(*[s[2] for s in some])])
+            columns = [words[order, 0], words[order, 1], *columns]
+            cell = cell[order]
+            at = np.append(np.flatnonzero(np.diff(cell, prepend=-1)), len(cell))
+            head = "".join(codes).encode()
+            yield _table("_cell long, _n long, _body binary", [
+                (int(cell[a]), int(b - a), b"".join([*[v[a:b].tobytes() for v in columns[:2]], head, *[v[a:b].tobytes() for v in columns[2:]]]))
+                for a, b in zip(at[:-1], at[1:])])
+
+    def settle(cell: int, parts: list) -> list[tuple]:
+        n = sum(k for k, _ in parts)
+        words, x, at = np.empty((2, n), np.uint64), np.empty((m, n)), 0
+        for k, body in parts:
+            words[:, at:at + k] = np.frombuffer(body, np.uint64, 2 * k).reshape(2, k)
+            _decode(body[16 * k:], k, m, x[:, at:at + k])
+            at += k
+        y = np.where(np.isnan(x[0]), -np.inf, x[0])
+        order = np.lexsort((words[1], words[0], y))
+        ends = words[:, order]
+        if ((ends[:, 1:] == ends[:, :-1]).all(axis=0) & (y[order][1:] == y[order][:-1])).any():  # the same id: by value
+            order = np.lexsort((*x[::-1], words[1], words[0], y))
+        y, out = y[order], []
+        at = np.append(np.flatnonzero(np.concatenate([[True], y[1:] != y[:-1]])), n)
+        for a, b in zip(at[:-1], at[1:]):
+            for lo in range(a, b, BLOCK):
+                own = order[lo:min(lo + BLOCK, b)]
+                kept, *rest = _packed(list(x[:, own]), (lo - a + np.arange(len(own))) % folds, folds)
+                out.append((None if y[a] == -np.inf else float(y[a]), cell, kept, *rest))
+        return out
+
+    settled = "_label double, _cell long, _rows long, _sizes binary, _weights binary, _body binary"
+
+    def sort(batches):
+        cell, parts = None, []
+        for batch in batches:
+            for c, k, body in zip(*[batch.column(i) for i in range(3)]):
+                if c.as_py() != cell and parts:
+                    yield _table(settled, settle(cell, parts))
+                    parts = []
+                cell = c.as_py()
+                parts.append((k.as_py(), body.as_py()))
+        if parts:
+            yield _table(settled, settle(cell, parts))
+
+    dealt = rows.mapInArrow(deal, "_cell long, _n long, _body binary").repartition("_cell").sortWithinPartitions("_cell")
+    blocks = stored(dealt.mapInArrow(sort, settled))
+    before = Window.orderBy(F.col("_label").asc_nulls_first(), "_cell").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = stored(blocks.groupBy("_label", "_cell").agg(F.sum("_rows").alias("_sum")).select(
+        F.col("_label").alias("_l"), F.col("_cell").alias("_c"), (F.coalesce(F.sum("_sum").over(before), F.lit(0)) % folds).cast("int").alias("_shift")))
+    return blocks.join(shifts, F.col("_cell").eqNullSafe(F.col("_c")) & F.col("_label").eqNullSafe(F.col("_l"))).select(
+        "_rows", "_shift", "_sizes", "_weights", "_body")
+
+
+def _opened(batches, m: int, folds: int):
+    """Of each block: label, null mark and features (rows of an array), weights, and start and end of each fold's rows;
+    the rows of no fold are the last."""
+    for batch in batches:
+        for shift, sizes, weights, body in zip(*[batch.column(c) for c in ("_shift", "_sizes", "_weights", "_body")]):
+            sizes = np.frombuffer(sizes.as_buffer(), np.int32)
+            n, body = int(sizes.sum()), body.as_buffer()
+            columns = _decode(memoryview(body), n, m, np.empty((m, n)))
+            at = np.concatenate([[0], np.cumsum(sizes)])
+            own = [(int(at[g]), int(at[g + 1])) for g in (np.arange(folds) - shift.as_py()) % folds]
+            yield columns, np.frombuffer(weights.as_buffer()) if len(weights.as_buffer()) else np.ones(n), own
+
+
 def fit_logistic_folds(data: DataFrame, features: Sequence[str], label: str, fold: str, folds: int,
                        C: float = 1.0, max_iter: int = 50, tol: float = 1e-9,
                        init: np.ndarray | None = None) -> np.ndarray:
@@ -176,89 +387,98 @@ def fit_logistic_folds(data: DataFrame, features: Sequence[str], label: str, fol
     first.
     """
     feats = list(features)
+    data = _blocks(data, feats, label, fold, folds)
     if init is None and folds > 1:
-        init = _newton(data.withColumn(fold, F.lit(-1)), feats, label, fold, 1, C, max_iter, tol, np.zeros((1, len(feats) + 1)))[0]
+        init = _newton(data, feats, label, fold, folds, C, max_iter, tol, np.zeros((1, len(feats) + 1)), True)[0]
     start = np.zeros(len(feats) + 1) if init is None else np.asarray(init, dtype=float)
-    return _newton(data, feats, label, fold, folds, C, max_iter, tol, np.tile(start, (folds, 1)))
+    return _newton(data, feats, label, fold, folds, C, max_iter, tol, np.tile(start, (folds, 1)), False)
 
 
 SLOWEST = 0.1  # a step above this share of the one before: the Hessians are taken anew
 
 
 def _newton(data: DataFrame, feats: list[str], label: str, fold: str, folds: int, C: float, max_iter: int,
-            tol: float, w: np.ndarray) -> np.ndarray:
-    dim = w.shape[1]
+            tol: float, w: np.ndarray, whole: bool) -> np.ndarray:
+    """``whole``: one model of all rows; else one model per fold."""
+    models, dim = w.shape
     reg = np.eye(dim)
     reg[0, 0] = 0.0
     h, last, anew = None, np.inf, True
-    for _ in range(max_iter if folds == 1 else 2 * max_iter):
+    for _ in range(max_iter if models == 1 else 2 * max_iter):
+        if not np.isfinite(w).all(axis=1).any():  # a null or NaN feature or label: no model, however many steps
+            break
         shared = bool((w == w[0]).all())
-        total = _pass(data, feats, label, fold, w, "shared" if shared and anew else "own" if anew else None)
-        g = C * total[:folds * dim].reshape(folds, dim) + w @ reg
+        total = _pass(data, feats, label, fold, w, "shared" if shared and anew else "own" if anew else None, folds, whole)
+        g = C * total[:models * dim].reshape(models, dim) + w @ reg
         if anew:
-            sums = total[folds * dim:].reshape(-1, dim, dim)
-            h = C * (sums[0] - sums[1:] if shared else sums) + reg
-        step = np.stack([np.linalg.solve(h[k], g[k]) for k in range(folds)])
-        size = np.max(np.abs(step))
+            sums = total[models * dim:].reshape(-1, dim, dim)
+            h = C * (sums[0] - sums[1:] if shared and not whole else sums) + reg
+        step = np.stack([np.linalg.solve(h[k], g[k]) for k in range(models)])
+        good = np.isfinite(step).all(axis=1)
+        size = np.max(np.abs(step[good]), initial=0.0)
         if not anew and not size <= SLOWEST * last:  # the Hessians are of too far away: no step with them
             anew = True
             continue
         w = w - step
         if size < tol:
             break
-        anew, last = folds == 1, size  # one model's Hessian costs little more than its gradient
+        anew, last = models == 1, size  # one model's Hessian costs little more than its gradient
     return w
 
 
-def _pass(data: DataFrame, feats: list[str], label: str, fold: str, coef: np.ndarray, hessians: str | None) -> np.ndarray:
-    """Gradients of all fold models at ``coef``, then Hessians: ``own``, one per model; ``shared`` (all models have the
-    same coefficients), that of all rows and those of each fold's own rows; none."""
-    folds, dim = coef.shape
+def _pass(data: DataFrame, feats: list[str], label: str, fold: str, coef: np.ndarray, hessians: str | None, folds: int,
+          whole: bool) -> np.ndarray:
+    """Gradients of all models at ``coef``, then Hessians: ``own``, one per model; ``shared`` (all models have the
+    same coefficients), that of all rows and those of each fold's own rows, or of all rows if there is one model of the
+    ``whole`` data; none."""
+    models, dim = coef.shape
+    kept = models + (hessians == "shared" and not whole) if hessians else 0
 
     def partial(batches):
-        g = np.zeros((folds, dim))
-        h = np.zeros(({"shared": folds + 1, "own": folds}.get(hessians, 0), dim, dim))
-        seen = False
-        for pdf in batches:
-            if pdf.empty:
-                continue
+        g, h, seen = np.zeros((models, dim)), np.zeros((kept, dim, dim)), False
+        for columns, weights, own in _opened(batches, dim + 1, folds):
             seen = True
-            x = np.hstack([np.ones((len(pdf), 1)), pdf[feats].to_numpy(dtype=float)])
-            y = pdf[label].to_numpy(dtype=float)
-            f = pdf[fold].to_numpy()
+            y, x = columns[0].copy(), columns[1:]
+            x[0] = 1.0  # in place of the null mark
             if hessians == "shared":
-                p = 1.0 / (1.0 + np.exp(-(x @ coef[0])))
-                own = f[:, None] == np.arange(folds)[None, :]
-                rest = (p - y)[:, None] * x
-                g += rest.sum(axis=0) - own.T.astype(float) @ rest
-                scaled = x * (p * (1 - p))[:, None]
-                h[0] += scaled.T @ x
-                for k in np.flatnonzero(own.any(axis=0)):
-                    h[k + 1] += scaled[own[:, k]].T @ x[own[:, k]]
+                p = 1.0 / (1.0 + np.exp(-(coef[0] @ x)))
+                rest, scaled = (p - y) * weights, x * (p * (1 - p) * weights)
+                g += x @ rest
+                h[0] += scaled @ x.T
+                for k, (a, b) in enumerate(own if not whole else []):
+                    g[k] -= x[:, a:b] @ rest[a:b]
+                    h[k + 1] += scaled[:, a:b] @ x[:, a:b].T
                 continue
-            p = 1.0 / (1.0 + np.exp(-(x @ coef.T)))
-            train = f[:, None] != np.arange(folds)[None, :]
-            g += ((p - y[:, None]) * train).T @ x
-            if hessians == "own":
-                wt = p * (1 - p) * train
-                for k in range(folds):
-                    h[k] += (x * wt[:, k:k + 1]).T @ x
+            train = np.broadcast_to(weights, (models, len(y))).copy()
+            for k, (a, b) in enumerate(own if not whole else []):
+                train[k, a:b] = 0.0
+            for lo in range(0, len(y), 4096):  # what the processor's cache holds
+                part, some = x[:, lo:lo + 4096], train[:, lo:lo + 4096]
+                p = 1.0 / (1.0 + np.exp(-(coef @ part)))
+                g += ((p - y[lo:lo + 4096]) * some) @ part.T
+                if hessians == "own":
+                    wt = p * (1 - p) * some
+                    for k in range(models):
+                        h[k] += (part * wt[k]) @ part.T
         if seen:
-            yield pd.DataFrame({"v": [np.concatenate([g.ravel(), h.ravel()]).tolist()]})
+            yield _table("v array<double>", [(np.concatenate([g.ravel(), h.ravel()]),)])
 
-    parts = data.select(*feats, label, fold).mapInPandas(partial, "v array<double>")
+    parts = data.mapInArrow(partial, "v array<double>")
     # one vector aggregate with map-side combine: the driver receives one vector
     total = parts.agg(Summarizer.sum(array_to_vector("v")).alias("s")).first()["s"]
-    size = folds * dim + {"shared": folds + 1, "own": folds}.get(hessians, 0) * dim * dim
-    return total.toArray() if total is not None else np.zeros(size)
+    return total.toArray() if total is not None else np.zeros(models * dim + kept * dim * dim)
 
 
-def fit_logistic_newton(train: DataFrame, features: Sequence[str], label: str, C: float = 1.0) -> np.ndarray:
+def fit_logistic_newton(train: DataFrame, features: Sequence[str], label: str, C: float = 1.0,
+                        blocks: DataFrame | None = None, folds: int = 1) -> np.ndarray:
     """One model with the objective of ``fit_logistic``, by the Newton passes of
     ``fit_logistic_folds`` (every row is in the training set). Converges in a
     few passes where L-BFGS on the unstandardised objective needs many.
-    Returns ``[intercept, coefficients..]``."""
+    ``blocks``: the same rows as ``stratified_folds`` packs them for ``folds``
+    folds. Returns ``[intercept, coefficients..]``."""
     feats = list(features)
+    if blocks is not None:
+        return _newton(blocks, feats, label, "_fold", folds, C, 50, 1e-9, np.zeros((1, len(feats) + 1)), True)[0]
     data = train.select(F.col(label).cast("double").alias(label),
                         *[F.col(c).cast("double").alias(c) for c in feats]).withColumn("_fold", F.lit(-1))
     return fit_logistic_folds(data, feats, label, "_fold", 1, C)[0]
@@ -282,31 +502,44 @@ def predict_linear(coef: np.ndarray, df: DataFrame, features: Sequence[str], kee
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, id_col: str, folds: int = 30,
-                   C: float = 1.0, init: np.ndarray | None = None) -> DataFrame:
+                   C: float = 1.0, init: np.ndarray | None = None, blocks: DataFrame | None = None) -> DataFrame:
     """K-fold scores of the logistic model on exactly stratified folds: ``(fold, f1, f1_weighted)``.
 
-    The prepared rows are checkpointed once (lineage cut in the shared
-    checkpoint folder: every Newton pass reads them, and a lost executor does
+    The prepared rows are dealt and written once as blocks (``blocks``, if the
+    caller has them: every Newton pass reads them, and a lost executor does
     not recompute the feature pipeline); all fold models are fitted together
     by ``fit_logistic_folds``; each row is then scored by the model of its own
     fold and the metrics are one aggregate by fold.
     """
     feats = list(features)
-    data = df.select(id_col, F.col(label).cast("double").alias(label),
-                     *[F.col(c).cast("double").alias(c) for c in feats])
-    data = cut_lineage(stratified_folds(data, label, id_col, folds, "_fold"))
+    data = stratified_folds(df, label, id_col, folds, "_fold", features=feats) if blocks is None else blocks
     w = fit_logistic_folds(data, feats, label, "_fold", folds, C, init=init)
     # each row meets its fold's coefficients; both scores read the predictions, written once
-    names = [f"_w{i}" for i in range(len(feats) + 1)]
-    coefs = df.sparkSession.createDataFrame([(k, *map(float, w[k])) for k in range(folds)],
-                                            "_fold int, " + ", ".join(f"{c} double" for c in names))
-    margin = F.expr(" + ".join(["_w0", *[f"{c} * `{x}`" for c, x in zip(names[1:], feats)]]))
-    pred = stored(data.join(F.broadcast(coefs), "_fold").select(
-        F.col("_fold").alias("fold"), F.col(label).cast("int").alias(label),
-        F.when(margin > 0, 1).otherwise(0).alias("prediction")))
+    pred = stored(_predicted(data, w, label))
     return f1_score(pred, label, "prediction", ["fold"]).join(f1_weighted(pred, label, "prediction", ["fold"]), "fold")
 
 
+def _predicted(blocks: DataFrame, w: np.ndarray, label: str) -> DataFrame:
+    """``(fold, label, prediction)`` of every row by the model of its own fold. As in SQL, a null feature gives 0 and
+    NaN is above all numbers."""
+    folds, dim = w.shape
+
+    def predict(batches):
+        for columns, weights, own in _opened(batches, dim + 1, folds):
+            margin, fold = np.empty(len(weights)), np.full(len(weights), -1, np.int32)
+            for k, (a, b) in enumerate(own):
+                margin[a:b], fold[a:b] = w[k, 0], k
+                for c, x in zip(w[k, 1:], columns[2:]):
+                    margin[a:b] += c * x[a:b]
+            found = (((margin > 0) | np.isnan(margin)) & (columns[1] == 0)).astype(np.int32)
+            times = np.where(fold >= 0, weights, 0).astype(np.int64)
+            found, fold, y = np.repeat(found, times), np.repeat(fold, times), np.repeat(columns[0], times)
+            yield pa.RecordBatch.from_arrays([pa.array(fold), pa.array(y, pa.float64(), from_pandas=True).cast(pa.int32(), safe=False),
+                                              pa.array(found)], ["fold", label, "prediction"])
+
+    return blocks.mapInArrow(predict, f"fold int, `{label}` int, prediction int")
+
+
 def cv_summary(scores: DataFrame) -> DataFrame:
     """Median and (population) standard deviation of the fold scores, as the reference prints."""
     return scores.agg(F.median("f1").alias("f1_median"), F.stddev_pop("f1").alias("f1_std"),

@@ -11,9 +11,12 @@ fast a round narrows: ranks it misses are looked for on the other side.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,6 +104,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
             wanted.append(F.struct(F.lit(float(p)).alias("p"), (h - F.floor(h)).alias("_frac"), F.lit(side).alias("_side"),
                                    *_settled(rank, i)))
     found = counted.select(*keys, F.explode(F.array(*wanted)).alias("_t")).select(*keys, "_t.*")
+    return _finished(rows, found, keys, value, finish)
+
+
+def _finished(rows: DataFrame, found: DataFrame, keys: list[str], value: str, finish: int) -> DataFrame:
+    """The quantiles, from what the first count settled and the ``rows`` that may lie in its open intervals."""
     own = [*keys, "p", "_side"]
     done = found.where(F.col("_value").isNotNull()).select(*own, "_frac", "_value")
     left = found.where(F.col("_value").isNull()).drop("_value")
@@ -123,6 +131,76 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
             F.col("_a") + F.col("_frac") * (F.col("_b") - F.col("_a"))).alias(value))
 
 
+STRIDE, CHUNK = 128, 131_072
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], finish: int = FINISH) -> DataFrame:
+    """``exact_quantiles`` of several columns, ``(column, p, value)``, without a row per value.
+
+    The cells come from each 128th value of sorted chunks of the columns; one
+    aggregate over the columns side by side counts around the ranks. Only the
+    values inside open intervals become rows. The driver gets some numbers a
+    column.
+    """
+    m = len(probs)
+    rows = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
+
+    def points(some: list[pa.RecordBatch]) -> pa.RecordBatch:
+        values = [np.sort(np.concatenate([b.column(i).drop_null().to_numpy(zero_copy_only=False) for b in some])) for i in range(len(cols))]
+        kept = [v[len(v) % STRIDE // 2::STRIDE] for v in values]
+        return pa.RecordBatch.from_arrays([pa.array(range(len(cols)), pa.int32()), pa.array([len(v) for v in values], pa.int64()),
+                                           pa.array(kept, pa.list_(pa.float64()))], ["_i", "_k", "_points"])
+
+    def sketch(batches):
+        some, n = [], 0
+        for batch in batches:
+            some.append(batch)
+            n += batch.num_rows
+            if n >= CHUNK:
+                yield points(some)
+                some, n = [], 0
+        if n:
+            yield points(some)
+
+    sketched = cut_lineage(rows.mapInArrow(sketch, "_i int, _k long, _points array<double>"))
+    sizes = {r["_i"]: r["_n"] for r in sketched.groupBy("_i").agg(F.sum("_k").alias("_n")).collect() if r["_n"]}
+    cells = {r["_i"]: r["_cells"] for r in _cells(sketched.select("_i", F.explode("_points").alias("_x")), ["_i"]).collect()}
+    bounds = {}
+    for i, n in sizes.items():
+        for j, p in enumerate(probs):
+            at = math.floor(math.floor(p * (n - 1)) * CELLS / n)
+            bounds[i, j] = cells[i][max(at - 1, 0)], cells[i][min(at + 2, CELLS)]
+    counts = {}
+    for few in (list(sizes)[k:k + 4] for k in range(0, len(sizes), 4)):
+        aggs = []
+        for i, j in ((i, j) for i in few for j in range(m)):
+            x, lo, hi = F.col(f"_x{i}"), F.lit(bounds[i, j][0]), F.lit(bounds[i, j][1])
+            aggs += [F.count_if(x < lo), F.count_if(x == lo), F.count_if((x > lo) & (x < hi)), F.count_if((x == hi) & (hi > lo))]
+        row = rows.agg(*[a.alias(f"_a{k}") for k, a in enumerate(aggs)]).first()
+        counts |= {(i, j): row[4 * k:4 * k + 4] for k, (i, j) in enumerate((i, j) for i in few for j in range(m))}
+    found = []
+    for (i, j), (below, at_lo, inside, at_hi) in counts.items():
+        (lo, hi), n, h = bounds[i, j], sizes[i], probs[j] * (sizes[i] - 1)
+        b, c, d = below + at_lo, below + at_lo + inside, below + at_lo + inside + at_hi
+        for side, rank in enumerate((math.floor(h), min(math.floor(h) + 1, n - 1))):
+            settled = lo if below <= rank < b else hi if c <= rank < d else None
+            rest = (None, lo, rank, below) if rank < below else (lo, hi, rank - b, inside) if rank < c else (hi, None, rank - d, n - d)
+            found.append((cols[i], float(probs[j]), h - math.floor(h), side, settled, *rest))
+    left = {}
+    for name, _, _, _, settled, lo, hi, _, _ in found:
+        if settled is None:
+            left.setdefault(name, []).append((lo, hi))
+    spark = df.sparkSession
+    inside = spark.createDataFrame([], "column string, _x double")
+    for name, ranges in left.items():
+        x = F.col(f"_x{list(cols).index(name)}")
+        some = [(F.lit(True) if lo is None else x > lo) & (F.lit(True) if hi is None else x < hi) for lo, hi in ranges]
+        inside = inside.union(rows.where(x.isNotNull() & reduce(lambda a, b: a | b, some)).select(F.lit(name), x))
+    found = cut_lineage(spark.createDataFrame(
+        found, "column string, p double, _frac double, _side int, _value double, _lo double, _hi double, _rank long, _size long"))
+    return _finished(inside, found, ["column"], "value", finish)
+
+
 def quantile_columns(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
     """``exact_quantiles`` as one row per group with a column per name of ``probs``."""
     long = exact_quantiles(df, value, list(probs.values()), by)

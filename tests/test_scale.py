@@ -1,6 +1,7 @@
 """Work that must not grow faster than the tables: passes over the input and shuffles of the large side."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import ml, ratios
@@ -100,3 +101,130 @@ def test_fold_models_from_a_bad_start_reach_the_optimum(spark):
     df = spark.createDataFrame(rows, "a double, y double, _fold int")
     far = ml.fit_logistic_folds(df, ["a"], "y", "_fold", 3, init=np.array([0.8, 0.6]))
     assert np.allclose(far, ml.fit_logistic_folds(df, ["a"], "y", "_fold", 3), atol=1e-7)
+
+
+def _rows_of(blocks, features, folds):
+    """(fold, label, features..) of each row of packed blocks."""
+    out = []
+    for columns, weights, own in ml._opened([b for b in blocks.toArrow().to_batches()], features + 2, folds):
+        for k, (a, b) in enumerate(own):
+            out += [(k, *columns[[0, *range(2, features + 2)], i].tolist()) for i in range(a, b) for _ in range(int(weights[i]))]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("cell, block", [(100_000, 32_768), (170, 64)])
+def test_rows_in_blocks_have_the_folds_of_rows(spark, monkeypatch, cell, block):
+    """Both forms of the folds agree: null ids and labels, fractions, flags and one value in all rows."""
+    monkeypatch.setattr(ml, "CELL", cell)
+    monkeypatch.setattr(ml, "BLOCK", block)
+    monkeypatch.setattr(ml, "CHUNK", 4 * cell)
+    i = F.col("i")
+    df = spark.range(2003).toDF("i").select(
+        F.when(i != 77, i).alias("key"), F.when(i % 9 == 0, 1).when(i % 50 != 7, 0).alias("y"),
+        F.sin(i).alias("a"), (i % 2).cast("int").alias("b"), F.when(i % 400 != 3, i * 1000).alias("c"))
+    for feats in (["a", "b", "c"], ["b"], []):
+        rows = ml.stratified_folds(df, "y", "key", 7).select("fold", F.col("y").cast("double"), *[F.col(c).cast("double") for c in feats])
+        nan = lambda v: float("nan") if v is None else v
+        want = sorted([(r[0], *map(nan, r[1:])) for r in rows.collect()], key=str)
+        blocks = ml.stratified_folds(df.repartition(5), "y", "key", 7, features=feats)
+        assert _rows_of(blocks, len(feats), 7) == want or str(_rows_of(blocks, len(feats), 7)) == str(want)
+        if feats == ["b"] and cell > 2003:  # equal rows of a fold are kept once
+            assert blocks.agg(F.sum(F.length("_body"))).first()[0] < 2003
+    assert ml.stratified_folds(df.limit(0), "y", "key", 7, features=["a"]).count() == 0
+
+
+def test_fit_on_blocks_is_the_fit_on_rows(spark):
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.normal(size=4000), rng.integers(0, 2, 4000), rng.integers(0, 3, 4000)])
+    y = (rng.random(4000) < 1 / (1 + np.exp(-(x @ [1.0, -2.0, 0.5] - 0.3)))).astype(float)
+    df = spark.createDataFrame([(k, *map(float, r), float(t)) for k, (r, t) in enumerate(zip(x, y))], "id long, a double, b double, c double, y double")
+    for feats in (["a", "b", "c"], ["b", "c"]):
+        rows = ml.stratified_folds(df, "y", "id", 5, "_fold")
+        blocks = ml.stratified_folds(df, "y", "id", 5, features=feats)
+        whole = ml.fit_logistic_newton(df, feats, "y")
+        assert np.allclose(ml.fit_logistic_newton(df, feats, "y", blocks=blocks, folds=5), whole, atol=1e-9)
+        want = ml.fit_logistic_folds(rows, feats, "y", "_fold", 5)
+        assert np.allclose(ml.fit_logistic_folds(blocks, feats, "y", "_fold", 5, init=whole), want, atol=1e-8)
+        names = {f"w{k}": c for k, c in enumerate(feats)}
+        got = {(r["fold"], r["y"], r["prediction"]): r["n"] for r in ml._predicted(blocks, want, "y").groupBy("fold", "y", "prediction").agg(F.count("*").alias("n")).collect()}
+        by_hand = {}
+        for r in rows.collect():
+            margin = want[r["_fold"]][0] + sum(want[r["_fold"]][k + 1] * r[names[f"w{k}"]] for k in range(len(feats)))
+            key = (r["_fold"], int(r["y"]), int(margin > 0))
+            by_hand[key] = by_hand.get(key, 0) + 1
+        assert got == by_hand
+
+
+def test_a_missing_feature_leaves_no_model_and_ends_the_fit(spark, monkeypatch):
+    df = spark.createDataFrame([(k, float(k % 3) if k != 5 else None, k % 2) for k in range(60)], "id long, a double, y int")
+    passes, one_pass = [], ml._pass
+    monkeypatch.setattr(ml, "_pass", lambda *args: passes.append(1) or one_pass(*args))
+    blocks = ml.stratified_folds(df, "y", "id", 3, features=["a"])
+    w = ml.fit_logistic_newton(df, ["a"], "y", blocks=blocks, folds=3)
+    assert np.isnan(w).all() and len(passes) == 1  # all 50 passes were run before
+    found = ml._predicted(blocks, np.tile(w, (3, 1)), "y").groupBy("prediction").count().collect()
+    assert {r[0]: r[1] for r in found} == {0: 1, 1: 59}  # as in SQL: NaN > 0, null is not
+
+
+def test_statistics_of_many_columns_stay_small_plans(spark):
+    """Spark compiles neither aggregates above 100 fields nor long methods, so columns are taken a few at a time."""
+    from tessera.operators import features as FE
+    n = 40
+    df = spark.range(50).select("id", *[((F.col("id") * (k + 3)) % (k + 2)).cast("int").alias(f"c{k}") for k in range(n)])
+    cols = [f"c{k}" for k in range(n)]
+    plan = FE.skewness_table(df, cols)._jdf.queryExecution().optimizedPlan().toString()
+    assert max(line.count("skewness(") for line in plan.splitlines() if "Aggregate [" in line) <= FE.AT_ONCE
+    scaled = FE.minmax(FE.fix_skewness(df, cols[1:]), cols)
+    plan = scaled._jdf.queryExecution().optimizedPlan().toString()
+    assert max(line.count("LOG1P(") for line in plan.splitlines()) <= FE.AT_ONCE
+    rows, got = df.toPandas(), scaled.toPandas().sort_values("id")
+    assert list(got.columns) == ["id", *cols]
+    for c in cols:
+        x = rows[c].to_numpy(dtype=float) if c == "c0" else np.log1p(rows[c].to_numpy(dtype=float) - rows[c].min())
+        assert np.allclose(got[c], (x - x.min()) / (x.max() - x.min()) if x.max() > x.min() else 0.0, atol=1e-15)
+
+
+def test_relieff_gives_out_neighbours_once_a_task(spark, monkeypatch):
+    """Weights as by hand over flags and fractions; what leaves a task does not grow with its rows."""
+    from tessera.operators import features as FE
+    rng = np.random.default_rng(6)
+    n, anchors, k = 900, 30, 4
+    x = np.column_stack([rng.integers(0, 2, n), rng.integers(0, 2, n), rng.normal(size=n), np.full(n, 3.0), rng.integers(0, 5, n)])
+    y = ((x[:, 0] + rng.random(n)) > 1).astype(int)
+    feats = ["f", "g", "a", "one", "m"]
+    df = spark.createDataFrame([(i, *map(float, r), int(t)) for i, (r, t) in enumerate(zip(x, y))],
+                               "id long, f double, g double, a double, one double, m double, y int").coalesce(1)
+    sizes, top = [], FE.top_k_per_group
+    monkeypatch.setattr(FE, "top_k_per_group", lambda cand, *a, **b: sizes.append(cand.count()) or top(cand, *a, **b))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        got = {r[0]: r[1] for r in FE.relieff(df, feats, "y", "id", anchors=anchors, k=k).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    width = np.ptp(x, axis=0)
+    s = np.where(width > 0, (x - x.min(axis=0)) / np.where(width > 0, width, 1), 0.0)
+    parts = []
+    for j in range(anchors):
+        diff = np.abs(s - s[j])
+        order = np.lexsort((np.arange(n), np.round(diff.sum(axis=1), 9)))
+        near = [[i for i in order if i != j and (y[i] == y[j]) == hit][:k] for hit in (True, False)]
+        parts.append(diff[near[1]].mean(axis=0) - diff[near[0]].mean(axis=0))
+    assert np.allclose([got[f] for f in feats], np.mean(parts, axis=0), atol=1e-12)
+    assert sizes == [anchors * 2 * k]
+
+
+def test_quantiles_of_columns_are_those_of_rows(spark):
+    from tessera.operators import selection
+    i = F.col("id")
+    df = spark.range(60_000).select(F.exp(F.sin(i) * 20).alias("a"), F.when(i % 9 < 6, 5.0).otherwise(F.sin(i) * 10).alias("b"), (i % 7).alias("c"),
+                                    F.when(i == 7, 1.5).alias("one"), F.lit(None).cast("double").alias("none"),
+                                    F.when(i % 3 == 0, float("nan")).when(i % 3 == 1, i).cast("double").alias("nan"))
+    cols, probs = df.columns, [0.0, 0.25, 0.5, 0.75, 1.0]
+    table = df.toPandas()
+    for finish in (selection.FINISH, 10):
+        got = {(r["column"], r["p"]): r["value"] for r in selection.column_quantiles(df, cols, probs, finish=finish).collect()}
+        for c in ("a", "b", "c", "one"):
+            assert np.allclose([got[c, p] for p in probs], np.quantile(table[c].dropna(), probs), rtol=1e-12, atol=0), c
+        assert not [k for k in got if k[0] == "none"] and got["nan", 0.0] == 1.0 and np.isnan(got["nan", 0.75])
+        assert got["nan", 0.25] == 1 + 3 * 9999.75  # 20,000 numbers below 20,000 NaN: rank 9,999.75
