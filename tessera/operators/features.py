@@ -42,7 +42,8 @@ def category_values(df: DataFrame, col: str) -> list:
 
 # --------------------------------------------------- statistics of columns ---
 
-AT_ONCE = 8  # columns of one aggregate: Spark compiles neither plans above 100 fields nor very long methods
+# columns of one aggregate and of one projection: Spark compiles no plans above 100 fields, the JVM no very long methods
+AT_ONCE, SCALED_AT_ONCE = 8, 12
 
 
 def _by_column(df: DataFrame, cols: Sequence[str], *stats: Callable[[Column], Column]) -> DataFrame:
@@ -66,8 +67,8 @@ def _with_columns(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     """``withColumns``, few at a time: the method Spark makes of dozens of expressions is too long for the JVM to compile.
     Between them a coalesce to more partitions than there are, which changes nothing but ends the method."""
     cols = list(exprs)
-    for i in range(0, len(cols), AT_ONCE):
-        df = (df.coalesce(2 ** 30) if i else df).withColumns({c: exprs[c] for c in cols[i:i + AT_ONCE]})
+    for i in range(0, len(cols), SCALED_AT_ONCE):
+        df = (df.coalesce(2 ** 30) if i else df).withColumns({c: exprs[c] for c in cols[i:i + SCALED_AT_ONCE]})
     return df
 
 

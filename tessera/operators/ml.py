@@ -420,7 +420,7 @@ def _newton(data: DataFrame, feats: list[str], label: str, fold: str, folds: int
             anew = True
             continue
         w = w - step
-        if size < tol:
+        if size * (min(1.0, size / last) if last < np.inf else 1.0) < tol:  # the next step, if steps shrink as before
             break
         anew, last = models == 1, size  # one model's Hessian costs little more than its gradient
     return w

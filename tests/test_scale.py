@@ -176,7 +176,7 @@ def test_statistics_of_many_columns_stay_small_plans(spark):
     assert max(line.count("skewness(") for line in plan.splitlines() if "Aggregate [" in line) <= FE.AT_ONCE
     scaled = FE.minmax(FE.fix_skewness(df, cols[1:]), cols)
     plan = scaled._jdf.queryExecution().optimizedPlan().toString()
-    assert max(line.count("LOG1P(") for line in plan.splitlines()) <= FE.AT_ONCE
+    assert max(line.count("LOG1P(") for line in plan.splitlines()) <= FE.SCALED_AT_ONCE
     rows, got = df.toPandas(), scaled.toPandas().sort_values("id")
     assert list(got.columns) == ["id", *cols]
     for c in cols:
