@@ -164,9 +164,9 @@ def stratified_folds(df: DataFrame, label: str, id_col: str, folds: int, name: s
 
 
 # ----------------------------------------------------------------- blocks ---
-# Rows that many passes read are written once as blocks: label, "a feature is null" and the features, column by column
-# in the narrowest type that holds each value, put in order of their fold. Equal rows of a fold are kept once with
-# their number where that at least halves a block.
+# Rows that many passes read are written once as blocks: the features and the label, column by column in the narrowest
+# type that holds each value, put in order of their fold. Equal rows of a fold are kept once with their number where
+# that at least halves a block.
 
 BLOCK, CELL, CHUNK = 32_768, 100_000, 131_072  # rows of a block, of a sorted cell, of a dealt chunk
 _BLOCK = "_rows long, _shift int, _sizes binary, _weights binary, _body binary"
@@ -226,14 +226,9 @@ def _packed(columns: list[np.ndarray], group: np.ndarray, folds: int) -> tuple[i
     return rows, sizes.tobytes(), weights, _encode(columns)
 
 
-def _columns(batch: pa.RecordBatch, label: str, feats: Sequence[str]) -> list[np.ndarray]:
-    """Label, "a feature is null" and the features as doubles, nulls as NaN."""
-    lost = np.zeros(batch.num_rows)
-    for c in feats:
-        if batch.column(c).null_count:
-            lost[batch.column(c).is_null().to_numpy(zero_copy_only=False)] = 1
-    return [batch.column(label).to_numpy(zero_copy_only=False).astype(float), lost,
-            *[batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in feats]]
+def _columns(batch: pa.RecordBatch, feats: Sequence[str], label: str) -> list[np.ndarray]:
+    """The features and the label as doubles, nulls as NaN."""
+    return [batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in (*feats, label)]
 
 
 def _table(schema: str, rows: list[tuple]) -> pa.RecordBatch:
@@ -251,7 +246,7 @@ def _blocks(data: DataFrame, feats: list[str], label: str, fold: str, folds: int
     def pack(batches):
         for batch in batches:
             if batch.num_rows:
-                columns = _columns(batch, label, feats)
+                columns = _columns(batch, feats, label)
                 group = batch.column(fold).to_numpy(zero_copy_only=False)
                 group = np.where((group >= 0) & (group < folds), group, folds).astype(np.int64)
                 rows, *rest = _packed(columns, group, folds)
@@ -276,7 +271,7 @@ def _dealt_blocks(df: DataFrame, features: Sequence[str], label: str, id_col: st
     values = [F.col(label).cast("double").alias("_label"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(feats)]]
     text = F.coalesce(F.col(id_col).cast("string"), F.concat_ws(",", *[v.cast("string") for v in values]))
     rows = df.select(F.unhex(F.md5(text)).alias("_hash"), F.col(id_col).isNotNull().alias("_named"), *values)
-    names, m = [f"_x{i}" for i in range(len(feats))], len(feats) + 2
+    names, m = [f"_x{i}" for i in range(len(feats))], len(feats) + 1
 
     def hashes(column: pa.Array) -> np.ndarray:
         column = column.cast(pa.binary())
@@ -288,7 +283,7 @@ def _dealt_blocks(df: DataFrame, features: Sequence[str], label: str, id_col: st
         for batch in batches:
             if batch.num_rows:
                 some.append((hashes(batch.column("_hash")), batch.column("_named").to_numpy(zero_copy_only=False).astype(bool),
-                             _columns(batch, "_label", names)))
+                             _columns(batch, names, "_label")))
                 n += batch.num_rows
             if n >= CHUNK:
                 yield some
@@ -318,11 +313,11 @@ def _dealt_blocks(df: DataFrame, features: Sequence[str], label: str, id_col: st
             words[:, at:at + k] = np.frombuffer(body, np.uint64, 2 * k).reshape(2, k)
             _decode(body[16 * k:], k, m, x[:, at:at + k])
             at += k
-        y = np.where(np.isnan(x[0]), -np.inf, x[0])
+        y = np.where(np.isnan(x[-1]), -np.inf, x[-1])
         order = np.lexsort((words[1], words[0], y))
         ends = words[:, order]
         if ((ends[:, 1:] == ends[:, :-1]).all(axis=0) & (y[order][1:] == y[order][:-1])).any():  # the same id: by value
-            order = np.lexsort((*x[::-1], words[1], words[0], y))
+            order = np.lexsort((*x, words[1], words[0], y))
         y, out = y[order], []
         at = np.append(np.flatnonzero(np.concatenate([[True], y[1:] != y[:-1]])), n)
         for a, b in zip(at[:-1], at[1:]):
@@ -355,17 +350,18 @@ def _dealt_blocks(df: DataFrame, features: Sequence[str], label: str, id_col: st
         "_rows", "_shift", "_sizes", "_weights", "_body")
 
 
-def _opened(batches, m: int, folds: int):
-    """Of each block: label, null mark and features (rows of an array), weights, and start and end of each fold's rows;
+def _opened(batches, dim: int, folds: int):
+    """Of each block: ones and the features (rows of an array), label, weights, and start and end of each fold's rows;
     the rows of no fold are the last."""
     for batch in batches:
         for shift, sizes, weights, body in zip(*[batch.column(c) for c in ("_shift", "_sizes", "_weights", "_body")]):
             sizes = np.frombuffer(sizes.as_buffer(), np.int32)
-            n, body = int(sizes.sum()), body.as_buffer()
-            columns = _decode(memoryview(body), n, m, np.empty((m, n)))
+            n = int(sizes.sum())
+            columns = np.ones((dim + 1, n))
+            _decode(memoryview(body.as_buffer()), n, dim, columns[1:])
             at = np.concatenate([[0], np.cumsum(sizes)])
             own = [(int(at[g]), int(at[g + 1])) for g in (np.arange(folds) - shift.as_py()) % folds]
-            yield columns, np.frombuffer(weights.as_buffer()) if len(weights.as_buffer()) else np.ones(n), own
+            yield columns[:-1], columns[-1], np.frombuffer(weights.as_buffer()) if len(weights.as_buffer()) else np.ones(n), own
 
 
 def fit_logistic_folds(data: DataFrame, features: Sequence[str], label: str, fold: str, folds: int,
@@ -405,17 +401,16 @@ def _newton(data: DataFrame, feats: list[str], label: str, fold: str, folds: int
     reg[0, 0] = 0.0
     h, last, anew = None, np.inf, True
     for _ in range(max_iter if models == 1 else 2 * max_iter):
-        if not np.isfinite(w).all(axis=1).any():  # a null or NaN feature or label: no model, however many steps
-            break
         shared = bool((w == w[0]).all())
         total = _pass(data, feats, label, fold, w, "shared" if shared and anew else "own" if anew else None, folds, whole)
+        if not np.isfinite(total).all():
+            raise ValueError("no model fits rows with a null, NaN or infinite feature or label")
         g = C * total[:models * dim].reshape(models, dim) + w @ reg
         if anew:
             sums = total[models * dim:].reshape(-1, dim, dim)
             h = C * (sums[0] - sums[1:] if shared and not whole else sums) + reg
         step = np.stack([np.linalg.solve(h[k], g[k]) for k in range(models)])
-        good = np.isfinite(step).all(axis=1)
-        size = np.max(np.abs(step[good]), initial=0.0)
+        size = np.max(np.abs(step))
         if not anew and not size <= SLOWEST * last:  # the Hessians are of too far away: no step with them
             anew = True
             continue
@@ -436,10 +431,8 @@ def _pass(data: DataFrame, feats: list[str], label: str, fold: str, coef: np.nda
 
     def partial(batches):
         g, h, seen = np.zeros((models, dim)), np.zeros((kept, dim, dim)), False
-        for columns, weights, own in _opened(batches, dim + 1, folds):
+        for x, y, weights, own in _opened(batches, dim, folds):
             seen = True
-            y, x = columns[0].copy(), columns[1:]
-            x[0] = 1.0  # in place of the null mark
             if hessians == "shared":
                 p = 1.0 / (1.0 + np.exp(-(coef[0] @ x)))
                 rest, scaled = (p - y) * weights, x * (p * (1 - p) * weights)
@@ -520,22 +513,19 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, id_col: s
 
 
 def _predicted(blocks: DataFrame, w: np.ndarray, label: str) -> DataFrame:
-    """``(fold, label, prediction)`` of every row by the model of its own fold. As in SQL, a null feature gives 0 and
-    NaN is above all numbers."""
+    """``(fold, label, prediction)`` of every row by the model of its own fold."""
     folds, dim = w.shape
 
     def predict(batches):
-        for columns, weights, own in _opened(batches, dim + 1, folds):
-            margin, fold = np.empty(len(weights)), np.full(len(weights), -1, np.int32)
+        for x, y, weights, own in _opened(batches, dim, folds):
+            margin, fold = np.empty(len(y)), np.full(len(y), -1, np.int32)
             for k, (a, b) in enumerate(own):
                 margin[a:b], fold[a:b] = w[k, 0], k
-                for c, x in zip(w[k, 1:], columns[2:]):
-                    margin[a:b] += c * x[a:b]
-            found = (((margin > 0) | np.isnan(margin)) & (columns[1] == 0)).astype(np.int32)
+                for c, v in zip(w[k, 1:], x[1:]):
+                    margin[a:b] += c * v[a:b]
             times = np.where(fold >= 0, weights, 0).astype(np.int64)
-            found, fold, y = np.repeat(found, times), np.repeat(fold, times), np.repeat(columns[0], times)
-            yield pa.RecordBatch.from_arrays([pa.array(fold), pa.array(y, pa.float64(), from_pandas=True).cast(pa.int32(), safe=False),
-                                              pa.array(found)], ["fold", label, "prediction"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(v.astype(np.int32), times)) for v in (fold, y, margin > 0)],
+                                             ["fold", label, "prediction"])
 
     return blocks.mapInArrow(predict, f"fold int, `{label}` int, prediction int")
 

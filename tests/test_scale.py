@@ -106,9 +106,9 @@ def test_fold_models_from_a_bad_start_reach_the_optimum(spark):
 def _rows_of(blocks, features, folds):
     """(fold, label, features..) of each row of packed blocks."""
     out = []
-    for columns, weights, own in ml._opened([b for b in blocks.toArrow().to_batches()], features + 2, folds):
+    for x, y, weights, own in ml._opened(blocks.toArrow().to_batches(), features + 1, folds):
         for k, (a, b) in enumerate(own):
-            out += [(k, *columns[[0, *range(2, features + 2)], i].tolist()) for i in range(a, b) for _ in range(int(weights[i]))]
+            out += [(k, float(y[i]), *x[1:, i].tolist()) for i in range(a, b) for _ in range(int(weights[i]))]
     return sorted(out, key=str)
 
 
@@ -155,15 +155,25 @@ def test_fit_on_blocks_is_the_fit_on_rows(spark):
         assert got == by_hand
 
 
-def test_a_missing_feature_leaves_no_model_and_ends_the_fit(spark, monkeypatch):
+def test_a_missing_feature_ends_the_fit(spark):
     df = spark.createDataFrame([(k, float(k % 3) if k != 5 else None, k % 2) for k in range(60)], "id long, a double, y int")
-    passes, one_pass = [], ml._pass
-    monkeypatch.setattr(ml, "_pass", lambda *args: passes.append(1) or one_pass(*args))
     blocks = ml.stratified_folds(df, "y", "id", 3, features=["a"])
-    w = ml.fit_logistic_newton(df, ["a"], "y", blocks=blocks, folds=3)
-    assert np.isnan(w).all() and len(passes) == 1  # all 50 passes were run before
-    found = ml._predicted(blocks, np.tile(w, (3, 1)), "y").groupBy("prediction").count().collect()
-    assert {r[0]: r[1] for r in found} == {0: 1, 1: 59}  # as in SQL: NaN > 0, null is not
+    for fit in (lambda: ml.fit_logistic_newton(df, ["a"], "y"), lambda: ml.fit_logistic_newton(df, ["a"], "y", blocks=blocks, folds=3),
+                lambda: ml.cross_validate(df, ["a"], "y", "id", 3)):
+        with pytest.raises(ValueError, match="null"):
+            fit()
+
+
+def test_fits_end_without_a_pass_that_only_confirms(spark, monkeypatch):
+    df = spark.range(3000).select(F.sin("id").alias("a"), (F.sin("id") + F.cos(F.col("id") * 7) > 0.3).cast("int").alias("y"))
+    steps, solve = [], np.linalg.solve
+    monkeypatch.setattr(np.linalg, "solve", lambda h, g: steps.append(np.abs(solve(h, g)).max()) or solve(h, g))
+    w = ml.fit_logistic_newton(df, ["a"], "y")
+    assert steps[-1] * steps[-1] / steps[-2] < 1e-9 <= steps[-2] ** 2 / steps[-3]
+    monkeypatch.undo()
+    x, y = np.array(df.collect(), dtype=float).T
+    p = 1 / (1 + np.exp(-(w[0] + w[1] * x)))
+    assert abs((p - y).sum()) < 1e-5 and abs(((p - y) * x).sum() + w[1]) < 1e-5
 
 
 def test_statistics_of_many_columns_stay_small_plans(spark):
